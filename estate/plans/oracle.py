@@ -102,6 +102,32 @@ objectives AS (
 )"""
 
 
+CLASSIFIED_COLS = ("request_id, pool_name, start_time, end_time, command, extract_ts, "
+                   "command_w1, command_w2, command_type")
+
+WINDOW = r"""
+SELECT pool_name, extract_ts,
+       min(start_time) AS min_request_start_time,
+       max(start_time) AS max_start_time,
+       date_sub('minute', min(start_time), max(start_time)) AS extract_window_minutes,
+       date_sub('hour', min(start_time), max(start_time)) AS extract_window_hours,
+       count(*) AS num_requests
+FROM classified
+GROUP BY extract_ts, pool_name"""
+
+
+def _incremental(scope: str, earlier: str) -> str:
+    key = "pool_name" if scope == "key" else "1"
+    join = "LEFT JOIN marks m USING (pool_name)" if scope == "key" else "CROSS JOIN marks m"
+    return _with(REQUESTS, CLASSIFIED) + f""",
+earlier AS (SELECT {CLASSIFIED_COLS} FROM classified WHERE {earlier}),
+marks AS (SELECT {key} AS k, max(end_time) AS mark FROM earlier GROUP BY {key}),
+later AS (SELECT {', '.join('c.' + x.strip() for x in CLASSIFIED_COLS.split(','))}
+          FROM classified c {join.replace('USING (pool_name)', 'ON c.pool_name = m.k')}
+          WHERE m.mark IS NULL OR c.end_time > m.mark)
+SELECT * FROM earlier UNION ALL SELECT * FROM later"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
@@ -181,4 +207,15 @@ FROM scoped""",
 
     "databases_in_scope": _with(DATABASES) + r"""
 SELECT name, database_id, collation_name, state_desc FROM scoped""",
+
+    "incremental_requests": _incremental(
+        "key", "day(start_time) < 5 + 5 * CAST(substr(pool_name, 6, 3) AS INTEGER)"),
+    "incremental_global": _incremental(
+        "global", "day(start_time) < 5 + 5 * CAST(substr(pool_name, 6, 3) AS INTEGER)"),
+    "stream_requests": _incremental("key", "day(start_time) < 15"),
+    "staged_roundtrip": _with(REQUESTS, CLASSIFIED) + f"""
+SELECT {CLASSIFIED_COLS} FROM classified""",
+    "step_skip": _with(REQUESTS, CLASSIFIED) + f"""
+SELECT {CLASSIFIED_COLS} FROM classified""",
+    "analyzer_views": _with(REQUESTS, CLASSIFIED) + WINDOW,
 }

@@ -31,6 +31,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     builder = (builder
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -61,3 +62,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return os.path.join(root, *parts) if parts else root
+
+
+def fresh_root(spark: SparkSession, label: str) -> str:
+    """A new, unique staging root under the shared folder (one per run)."""
+    import uuid
+    return shared_dir(spark, "estate-runs", f"{label}-{uuid.uuid4().hex[:12]}")
