@@ -6,6 +6,7 @@ Filters are plain Catalyst predicates, so against Parquet they appear as
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -64,6 +65,12 @@ def online(df: DataFrame, status_col: str = "status") -> DataFrame:
     return df.filter(F.col(status_col) == "Online")
 
 
+def day_list(run_date: _dt.date, days: int = 59) -> list[_dt.date]:
+    """The ``days`` calendar days before ``run_date``, yesterday first
+    (the run-history days a profile run requests)."""
+    return [run_date - _dt.timedelta(days=i) for i in range(1, days + 1)]
+
+
 def day_partitions(df: DataFrame, ts_col: str, tz: str, run_date, days: int = 59,
                    out_col: str = "last_upd") -> DataFrame:
     """P10: rows last updated on one of the ``days`` local days before

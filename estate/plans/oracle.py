@@ -7,6 +7,19 @@ the same inputs independently of Spark.
 
 from __future__ import annotations
 
+import datetime as _dt
+
+from estate.operators.metrics import DEDICATED_METRICS, SPARK_POOL_METRICS, WORKSPACE_METRICS
+from estate.plans.queries import RUN_DATE, RUN_TZ
+from estate.sources.tables import TABLES
+
+
+def _names(names) -> str:
+    return ", ".join(f"'{n}'" for n in names)
+
+
+ALL_METRICS = DEDICATED_METRICS + SPARK_POOL_METRICS + WORKSPACE_METRICS
+
 REQUESTS = r"""
 requests AS (
   SELECT event_id AS request_id,
@@ -219,3 +232,120 @@ SELECT {CLASSIFIED_COLS} FROM classified""",
 SELECT {CLASSIFIED_COLS} FROM classified""",
     "analyzer_views": _with(REQUESTS, CLASSIFIED) + WINDOW,
 }
+
+
+POINTS = f"""
+points AS (
+  SELECT concat('/pools/pool_', CAST(user_id % 4 AS VARCHAR)) AS resource_id,
+         CASE WHEN event_type = 'error' THEN 'UnlistedMetric'
+              ELSE list_extract([{_names(ALL_METRICS)}], CAST(user_id % {len(ALL_METRICS)} + 1 AS INTEGER))
+         END AS name,
+         ts, value
+  FROM events
+)"""
+
+
+def _rollup(where: str, grain: str) -> str:
+    return _with(POINTS) + f""",
+sel AS (SELECT * FROM points WHERE {where})
+SELECT resource_id, name, time_bucket(INTERVAL '{grain}', ts) AS "timestamp",
+       round(avg(value), 4) AS average, round(CAST(count(value) AS DOUBLE), 4) AS "count",
+       round(max(value), 4) AS maximum, round(min(value), 4) AS minimum,
+       round(sum(value), 4) AS total
+FROM sel
+GROUP BY resource_id, name, time_bucket(INTERVAL '{grain}', ts)"""
+
+
+def _in_span(names, days: int) -> str:
+    return (f"name IN ({_names(names)}) AND ts >= (SELECT max(ts) FROM points "
+            f"WHERE name IN ({_names(names)})) - INTERVAL {days} DAY")
+
+
+_FIRST_DAY = RUN_DATE - _dt.timedelta(days=59)
+
+ORACLE.update({
+    "page_chain": r"""
+WITH items AS (
+  SELECT concat('ws_', CAST(p_partkey % 3 AS VARCHAR)) AS workspace_name,
+         CAST(floor(p_partkey / 60) + 1 AS INTEGER) AS page_no,
+         concat('/items/', CAST(p_partkey AS VARCHAR)) AS id,
+         p_name AS name, p_type AS type, p_brand AS brand, p_size AS size
+  FROM part
+),
+pages AS (
+  SELECT DISTINCT workspace_name, page_no,
+         CASE WHEN page_no % 40 = 30 THEN NULL ELSE 'tok' END AS tok
+  FROM items
+),
+ends AS (
+  SELECT p.workspace_name, min(p.page_no) AS first_page,
+         least(coalesce(min(CASE WHEN p.tok IS NULL THEN p.page_no END), 2147483647),
+               min(CASE WHEN s.page_no IS NULL THEN p.page_no END), 5001) AS last_page
+  FROM pages p LEFT JOIN pages s
+    ON s.workspace_name = p.workspace_name AND s.page_no = p.page_no + 1
+  GROUP BY p.workspace_name
+)
+SELECT i.workspace_name, i.page_no, i.id, i.name, i.type, i.brand, i.size
+FROM items i JOIN ends e ON i.workspace_name = e.workspace_name
+WHERE e.first_page = 1 AND i.page_no <= e.last_page""",
+
+    "listing_flatten": r"""
+SELECT 'ws_0' AS workspace_name, concat('/pools/', CAST(s_suppkey AS VARCHAR)) AS id,
+       lower(replace(s_name, '#', '_')) AS name,
+       'Microsoft.Synapse/workspaces/sqlPools' AS type,
+       concat('region-', CAST(s_nationkey AS VARCHAR)) AS location,
+       concat('DW', CAST((s_suppkey % 10 + 1) * 100 AS VARCHAR), 'c') AS sku_name,
+       CAST(s_suppkey % 5 AS INTEGER) AS sku_capacity,
+       'Succeeded' AS provisioning_state,
+       CASE WHEN s_acctbal > 0 THEN 'Online' ELSE 'Paused' END AS status,
+       TIMESTAMP '2020-01-01' + to_days(CAST(s_suppkey % 365 AS INTEGER)) AS creation_date
+FROM supplier""",
+
+    "online_pools": r"""
+SELECT concat('/pools/', CAST(s_suppkey AS VARCHAR)) AS id,
+       lower(replace(s_name, '#', '_')) AS name, 'Online' AS status,
+       concat('DW', CAST((s_suppkey % 10 + 1) * 100 AS VARCHAR), 'c') AS sku_name
+FROM supplier WHERE s_acctbal > 0""",
+
+    "runs_by_day": f"""
+WITH runs AS (
+  SELECT o_orderkey AS run_id, concat('pl_', substr(o_orderpriority, 1, 1)) AS pipeline_name,
+         o_orderstatus AS status,
+         o_orderdate + to_seconds(CAST(o_orderkey % 86400 AS BIGINT)) AS last_updated
+  FROM orders
+),
+d AS (
+  SELECT *, CAST(timezone('{RUN_TZ}', timezone('UTC', last_updated)) AS DATE) AS last_upd
+  FROM runs
+)
+SELECT run_id, pipeline_name, status, last_updated, last_upd FROM d
+WHERE last_upd >= DATE '{_FIRST_DAY.isoformat()}' AND last_upd < DATE '{RUN_DATE.isoformat()}'""",
+
+    "metric_flatten": _rollup("true", "15 minutes"),
+    "metric_rollup_15m": _rollup(_in_span(DEDICATED_METRICS, 90), "15 minutes"),
+    "metric_rollup_1h": _rollup(_in_span(WORKSPACE_METRICS, 90), "1 hour"),
+    "metric_coarsen": _rollup(f"name IN ({_names(SPARK_POOL_METRICS)})", "1 hour"),
+
+    "union_databases": " UNION ALL ".join(
+        f"SELECT p_brand AS table_schema, p_name AS table_name, p_type AS table_type, "
+        f"'db_{n}' AS table_catalog FROM part WHERE p_partkey % 3 = {n}" for n in range(3)),
+
+    "query_statements": r"""
+WITH stats AS (
+  SELECT doc_id AS sql_handle,
+         CAST(2 * (doc_id % 10) AS INTEGER) AS statement_start_offset,
+         CAST(CASE WHEN toxic = 1 THEN -1 ELSE 2 * (doc_id % 10 + 20) END AS INTEGER)
+           AS statement_end_offset,
+         TIMESTAMP '2024-01-01' + to_seconds(doc_id) AS last_execution_time
+  FROM labels
+)
+SELECT s.sql_handle, s.statement_start_offset, s.statement_end_offset, s.last_execution_time,
+       substring(d.text, s.statement_start_offset // 2 + 1,
+                 ((CASE WHEN s.statement_end_offset = -1 THEN 2 * length(d.text)
+                        ELSE s.statement_end_offset END) - s.statement_start_offset) // 2 + 1)
+         AS statement_text
+FROM stats s JOIN documents d ON d.doc_id = s.sql_handle""",
+
+    "dataset_profile": " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset, count(*) AS row_count FROM {t}" for t in TABLES),
+})

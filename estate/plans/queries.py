@@ -13,10 +13,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate.operators import analysis, filters, incremental
+from estate.operators import analysis, filters, incremental, metrics, pages
 from estate.plans import catalog
 from estate.session import fresh_root
-from estate.sources import activity, staging, tables
+from estate.sources import activity, jdbc, staging, tables
 from estate.streaming import incremental as stream_inc
 
 # Fixed extract time used where a query stamps rows (F9), so that results
@@ -147,6 +147,93 @@ def analyzer_views(spark, sf_dir):
     return analysis.request_window(spark.table(f"{schema}.dedicated_session_requests"))
 
 
+def page_chain(spark, sf_dir):
+    """S38 + S39 + P1: follow each workspace's page chain, flatten the
+    objects, drop the price field."""
+    reached = pages.reachable_pages(tables.item_pages(spark, sf_dir))
+    out = pages.flatten(reached, remove=["retail_price"], carry=("workspace_name", "page_no"))
+    return out
+
+
+def listing_flatten(spark, sf_dir):
+    """S24 + S39 + P1: the sql_pools listing with its default keep-list."""
+    pools = pages.read_listing(tables.pool_pages(spark, sf_dir), "sql_pools")
+    return pools.select("workspace_name", "id", "name", "type", "location",
+                        F.col("sku.name").alias("sku_name"),
+                        F.col("sku.capacity").alias("sku_capacity"),
+                        "provisioning_state", "status", "creation_date")
+
+
+def online_pools(spark, sf_dir):
+    """P8 + P9: pools to profile - allow-list (empty: all), status Online."""
+    pools = pages.read_listing(tables.pool_pages(spark, sf_dir), "sql_pools")
+    pools = filters.online(filters.in_scope(pools, "name", include=[]))
+    return pools.select("id", "name", "status", F.col("sku.name").alias("sku_name"))
+
+
+RUN_DATE = _dt.date(2001, 6, 15)
+RUN_TZ = "America/New_York"
+
+
+def runs_by_day(spark, sf_dir):
+    """S35 + P10: pipeline runs of the 59 local days before the run date in
+    the workspace time zone, with the local day as ``last_upd``."""
+    return filters.day_partitions(tables.pipeline_runs(spark, sf_dir), "last_updated",
+                                  RUN_TZ, RUN_DATE, days=59)
+
+
+def _round(df, digits=4):
+    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c)
+                       for c, t in df.dtypes])
+
+
+def metric_flatten(spark, sf_dir):
+    """Flatten dumped metric responses to one row per point."""
+    return _round(metrics.flatten(tables.metric_responses(spark, sf_dir)))
+
+
+def metric_rollup_15m(spark, sf_dir):
+    """S41 + A6 + P12: dedicated-pool metrics, 90 days, 15-minute grain."""
+    return _round(metrics.profile(tables.metric_points(spark, sf_dir), "dedicated"))
+
+
+def metric_rollup_1h(spark, sf_dir):
+    """S43 + A6 + P12: workspace metrics, 90 days, 1-hour grain."""
+    return _round(metrics.profile(tables.metric_points(spark, sf_dir), "workspace"))
+
+
+def metric_coarsen(spark, sf_dir):
+    """S42 from dumps: Spark-pool metric points flattened from 15-minute
+    responses and rolled up to the hour."""
+    pts = metrics.flatten(tables.metric_responses(spark, sf_dir))
+    pts = pts.filter(F.col("name").isin(*metrics.SPARK_POOL_METRICS))
+    return _round(metrics.coarsen(pts, "1 hour"))
+
+
+def union_databases(spark, sf_dir):
+    """One catalog scan per database, unioned with the database name."""
+    part = tables.table(spark, sf_dir, "part")
+
+    def scan(db: str):
+        n = int(db.split("_")[1])
+        return part.filter(F.col("p_partkey") % 3 == n).select(
+            F.col("p_brand").alias("table_schema"), F.col("p_name").alias("table_name"),
+            F.col("p_type").alias("table_type"))
+    return jdbc.union_databases(scan, ["db_0", "db_1", "db_2"])
+
+
+def query_statements(spark, sf_dir):
+    """S20 = J2 + F11: statistics joined to their batch texts, statement cut
+    out by offsets."""
+    return activity.query_statements(tables.statement_stats(spark, sf_dir),
+                                     tables.statement_texts(spark, sf_dir))
+
+
+def dataset_profile(spark, sf_dir):
+    """K6 / A4: row count of every driver table."""
+    return analysis.dataset_profile({t: tables.table(spark, sf_dir, t) for t in tables.TABLES})
+
+
 QUERIES = {
     "request_window": request_window,
     "latest_request_window": latest_request_window,
@@ -164,4 +251,15 @@ QUERIES = {
     "staged_roundtrip": staged_roundtrip,
     "step_skip": step_skip,
     "analyzer_views": analyzer_views,
+    "page_chain": page_chain,
+    "listing_flatten": listing_flatten,
+    "online_pools": online_pools,
+    "runs_by_day": runs_by_day,
+    "metric_flatten": metric_flatten,
+    "metric_rollup_15m": metric_rollup_15m,
+    "metric_rollup_1h": metric_rollup_1h,
+    "metric_coarsen": metric_coarsen,
+    "union_databases": union_databases,
+    "query_statements": query_statements,
+    "dataset_profile": dataset_profile,
 }

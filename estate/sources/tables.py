@@ -142,3 +142,117 @@ def sql_pools(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("DW"), ((F.col("s_suppkey") % 10 + 1) * 100).cast("string"), F.lit("c"))
         .alias("sku_name"),
     )
+
+
+def item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dumped listing pages (from part): three workspaces, parts spread over
+    them by key; page ``n`` of a workspace holds the parts with key in
+    ``[60(n-1), 60n)`` - at most 20.  Every page carries a continuation
+    token except page 30 of each chain."""
+    p = table(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    item = F.struct(
+        F.concat(F.lit("/items/"), key.cast("string")).alias("id"),
+        F.col("p_name").alias("name"),
+        F.col("p_type").alias("type"),
+        F.col("p_brand").alias("brand"),
+        F.col("p_size").alias("size"),
+        F.col("p_retailprice").alias("retail_price"),
+    )
+    pages = (p.select(F.concat(F.lit("ws_"), (key % 3).cast("string")).alias("workspace_name"),
+                      (F.floor(key / 60) + 1).cast("int").alias("page_no"), item.alias("item"))
+             .groupBy("workspace_name", "page_no")
+             .agg(F.collect_list("item").alias("value")))
+    return pages.select(
+        "workspace_name", F.lit("pipelines").alias("dataset"),
+        F.lit(None).cast("date").alias("day"), "page_no",
+        F.when(F.col("page_no") % 40 == 30, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("tok-"), F.col("page_no").cast("string")))
+        .alias("continuation_token"),
+        "value")
+
+
+def pool_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dumped ``sql_pools`` listing (from supplier), 20 pools per page, one
+    workspace; objects carry more fields than the listing keeps."""
+    s = table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey")
+    pool = F.struct(
+        F.concat(F.lit("/pools/"), key.cast("string")).alias("id"),
+        F.lower(F.regexp_replace("s_name", "#", "_")).alias("name"),
+        F.lit("Microsoft.Synapse/workspaces/sqlPools").alias("type"),
+        F.concat(F.lit("region-"), F.col("s_nationkey").cast("string")).alias("location"),
+        F.struct(F.concat(F.lit("DW"), ((key % 10 + 1) * 100).cast("string"), F.lit("c")).alias("name"),
+                 (key % 5).cast("int").alias("capacity")).alias("sku"),
+        F.lit("Succeeded").alias("provisioning_state"),
+        F.when(F.col("s_acctbal") > 0, F.lit("Online")).otherwise(F.lit("Paused")).alias("status"),
+        (F.lit("2020-01-01").cast("timestamp_ntz")
+         + F.make_dt_interval(days=(key % 365).cast("int"))).alias("creation_date"),
+        F.col("s_acctbal").alias("max_size_bytes"),
+    )
+    pages = (s.select((F.floor(key / 20) + 1).cast("int").alias("page_no"), pool.alias("pool"))
+             .groupBy("page_no").agg(F.collect_list("pool").alias("value")))
+    return pages.select(
+        F.lit("ws_0").alias("workspace_name"), F.lit("sql_pools").alias("dataset"),
+        F.lit(None).cast("date").alias("day"), "page_no",
+        F.concat(F.lit("tok-"), F.col("page_no").cast("string")).alias("continuation_token"),
+        "value")
+
+
+def pipeline_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat pipeline-run objects (one per order): run_id, pipeline_name,
+    status, last_updated (UTC wall clock, spread over the day)."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_orderkey").alias("run_id"),
+        F.concat(F.lit("pl_"), F.substring("o_orderpriority", 1, 1)).alias("pipeline_name"),
+        F.col("o_orderstatus").alias("status"),
+        (F.col("o_orderdate") + F.make_dt_interval(
+            secs=(F.col("o_orderkey") % 86400).cast("decimal(18,6)"))).alias("last_updated"),
+    )
+
+
+def metric_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw metric samples (one per event): resource_id, name, ts, value.
+    Names cycle through every profiled metric; error events carry a metric
+    no profile asks for."""
+    from estate.operators.metrics import DEDICATED_METRICS, SPARK_POOL_METRICS, WORKSPACE_METRICS
+    names = list(DEDICATED_METRICS + SPARK_POOL_METRICS + WORKSPACE_METRICS)
+    ev = table(spark, sf_dir, "events")
+    name = F.when(F.col("event_type") == "error", F.lit("UnlistedMetric")).otherwise(
+        F.element_at(F.array(*[F.lit(n) for n in names]),
+                     (F.col("user_id") % len(names) + 1).cast("int")))
+    return ev.select(
+        F.concat(F.lit("/pools/pool_"), (F.col("user_id") % 4).cast("string")).alias("resource_id"),
+        name.alias("name"), "ts", "value")
+
+
+def metric_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dumped metric responses: the service's 15-minute points of one
+    resource and metric, one response per day - at most 96 points each."""
+    from estate.operators.metrics import POINT_FIELDS, rollup
+    pts = rollup(metric_points(spark, sf_dir), "15 minutes")
+    per_day = (pts.groupBy("resource_id", "name", F.to_date("timestamp").alias("day"))
+               .agg(F.collect_list(F.struct(*POINT_FIELDS)).alias("data")))
+    return per_day.select("resource_id", "name",
+                          F.array(F.struct(F.col("data").alias("data"))).alias("timeseries"))
+
+
+def statement_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Query statistics (one per label row): sql_handle, offsets, last
+    execution time.  Some handles have no text row."""
+    lb = table(spark, sf_dir, "labels")
+    d = F.col("doc_id")
+    return lb.select(
+        d.alias("sql_handle"),
+        (2 * (d % 10)).cast("int").alias("statement_start_offset"),
+        F.when(F.col("toxic") == 1, F.lit(-1)).otherwise(2 * (d % 10 + 20)).cast("int")
+        .alias("statement_end_offset"),
+        (F.lit("2024-01-01").cast("timestamp_ntz")
+         + F.make_dt_interval(secs=d.cast("decimal(18,6)"))).alias("last_execution_time"),
+    )
+
+
+def statement_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch texts (one per document): sql_handle, text."""
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("sql_handle"), "text")
