@@ -16,23 +16,24 @@ from estate.operators.joins import join_small
 PAGE_KB = 8  # fixed value: size of one storage page in KB
 
 
-def request_window(requests: DataFrame) -> DataFrame:
+def request_window(requests: DataFrame, by: tuple[str, ...] = ("pool_name",)) -> DataFrame:
     """A2 + O1: per extract and pool, the captured span of request start
     times, its whole minutes and hours, and the number of requests; newest
-    extract first, then pool name."""
+    extract first, then pool name.  ``by`` may add keys (e.g. the workspace)."""
+    by = list(by)
     agg = (requests
-           .groupBy("extract_ts", "pool_name")
+           .groupBy("extract_ts", *by)
            .agg(F.min("start_time").alias("min_request_start_time"),
                 F.max("start_time").alias("max_start_time"),
                 F.count(F.lit(1)).alias("num_requests")))
     return (agg
-            .select("pool_name", "extract_ts", "min_request_start_time", "max_start_time",
+            .select(*by, "extract_ts", "min_request_start_time", "max_start_time",
                     whole_units("MINUTE", "min_request_start_time", "max_start_time")
                     .alias("extract_window_minutes"),
                     whole_units("HOUR", "min_request_start_time", "max_start_time")
                     .alias("extract_window_hours"),
                     "num_requests")
-            .orderBy(F.col("extract_ts").desc(), F.col("pool_name").asc()))
+            .orderBy(F.col("extract_ts").desc(), *[F.col(c).asc() for c in by]))
 
 
 def latest_request_window(requests: DataFrame) -> DataFrame:

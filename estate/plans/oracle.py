@@ -349,3 +349,55 @@ FROM stats s JOIN documents d ON d.doc_id = s.sql_handle""",
     "dataset_profile": " UNION ALL ".join(
         f"SELECT '{t}' AS dataset, count(*) AS row_count FROM {t}" for t in TABLES),
 })
+
+
+ORACLE.update({
+    "multi_workspace_window": r"""
+WITH raw AS (
+  SELECT event_id, concat('ws_', CAST(user_id % 3 AS VARCHAR)) AS workspace_name FROM events
+),
+""" + REQUESTS.strip() + "," + CLASSIFIED + r""",
+ws AS (
+  SELECT c.*, r.workspace_name FROM classified c JOIN raw r ON r.event_id = c.request_id
+),
+earlier AS (
+  SELECT * FROM ws WHERE day(start_time) < 5 + 5 * CAST(substr(pool_name, 6, 3) AS INTEGER)
+),
+marks AS (
+  SELECT workspace_name, pool_name, max(end_time) AS mark FROM earlier
+  GROUP BY workspace_name, pool_name
+),
+later AS (
+  SELECT w.* FROM ws w LEFT JOIN marks m
+    ON m.workspace_name = w.workspace_name AND m.pool_name = w.pool_name
+  WHERE m.mark IS NULL OR w.end_time > m.mark
+),
+staged AS (SELECT * FROM earlier UNION ALL SELECT * FROM later)
+SELECT workspace_name, pool_name, extract_ts,
+       min(start_time) AS min_request_start_time,
+       max(start_time) AS max_start_time,
+       date_sub('minute', min(start_time), max(start_time)) AS extract_window_minutes,
+       date_sub('hour', min(start_time), max(start_time)) AS extract_window_hours,
+       count(*) AS num_requests
+FROM staged
+GROUP BY workspace_name, extract_ts, pool_name""",
+
+    "serverless_sessions": _with(SESSIONS) + r""",
+typed AS (
+  SELECT s.*, o.o_orderstatus <> 'P' AS is_user_process,
+         CASE WHEN nullif(trim(regexp_extract(lower(login_name),
+                   '^(\w+.\w+.*)@(\w+).*(net|com|edu|org|gov)', 1)), '') IS NULL
+              THEN 'APP' ELSE 'USER' END AS login_user_type
+  FROM sessions s JOIN orders o ON o.o_orderkey = s.session_id
+  WHERE o.o_orderstatus <> 'P'
+)
+SELECT session_id, 'built-in' AS pool_name, client_id, is_user_process,
+       login_time AS last_request_start_time, login_user_type,
+       coalesce(nullif(trim(regexp_extract(login_name, '^(\w+)(.\w+.*)@(\w+).*', 1)), ''),
+                CASE WHEN login_user_type = 'USER' THEN 'otherUser' ELSE 'otherApp' END)
+         AS login_user,
+       sha256(coalesce(nullif(trim(regexp_extract(login_name, '^(\w+)(.\w+.*)@(\w+).*', 1)), ''),
+                CASE WHEN login_user_type = 'USER' THEN 'otherUser' ELSE 'otherApp' END))
+         AS login_user_sha2
+FROM typed""",
+})

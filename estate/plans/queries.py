@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estate.operators import analysis, filters, incremental, metrics, pages
-from estate.plans import catalog
+from estate.plans import catalog, pipeline
 from estate.session import fresh_root
 from estate.sources import activity, jdbc, staging, tables
 from estate.streaming import incremental as stream_inc
@@ -234,6 +234,24 @@ def dataset_profile(spark, sf_dir):
     return analysis.dataset_profile({t: tables.table(spark, sf_dir, t) for t in tables.TABLES})
 
 
+def multi_workspace_window(spark, sf_dir):
+    """U3 + T1 + A2: three workspaces profiled in one job, twice (an earlier
+    run, then a full one appending above each workspace-pool mark), then the
+    request window per workspace, extract and pool from the staged data."""
+    root = fresh_root(spark, "multi")
+    raw = tables.requests(spark, sf_dir, with_workspace=True)
+    pipeline.run_all(spark, root, pipeline.ProfileInputs(requests=_earlier_run(raw)))
+    pipeline.run_all(spark, root, pipeline.ProfileInputs(requests=raw))
+    staged = staging.read(spark, os.path.join(root, pipeline.DEDICATED), "session_requests")
+    return analysis.request_window(staged, by=("workspace_name", "pool_name"))
+
+
+def serverless_sessions(spark, sf_dir):
+    """S18 = P5 + F5-F7: user-process sessions of the built-in pool,
+    pseudonymised (the client id stays, as in the source)."""
+    return activity.serverless_sessions(tables.sessions(spark, sf_dir, serverless=True))
+
+
 QUERIES = {
     "request_window": request_window,
     "latest_request_window": latest_request_window,
@@ -262,4 +280,6 @@ QUERIES = {
     "union_databases": union_databases,
     "query_statements": query_statements,
     "dataset_profile": dataset_profile,
+    "multi_workspace_window": multi_workspace_window,
+    "serverless_sessions": serverless_sessions,
 }

@@ -31,7 +31,7 @@ def _pool(c: Column) -> Column:
     return F.concat(F.lit("pool_"), (c % 4).cast("string"))
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def requests(spark: SparkSession, sf_dir: str, with_workspace: bool = False) -> DataFrame:
     """Raw request rows (one per event): request_id, pool_name, start_time,
     end_time, command, extract_ts.  Commands cycle through statement shapes,
     some null, some with comments; one in eleven is still running."""
@@ -56,17 +56,22 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
                .otherwise(F.lit("select 1 -- tail")))
     end_time = F.when(eid % 11 == 0, F.lit(None).cast("timestamp_ntz")).otherwise(
         F.col("ts") + F.make_dt_interval(secs=(eid % 600).cast("decimal(18,6)")))
-    return ev.select(
-        eid.alias("request_id"),
-        _pool(F.col("user_id")).alias("pool_name"),
-        F.col("ts").alias("start_time"),
-        end_time.alias("end_time"),
-        command.alias("command"),
-        day_start("ts").alias("extract_ts"),
-    )
+    cols = _request_columns(command, end_time)
+    if with_workspace:   # three workspaces
+        cols.append(F.concat(F.lit("ws_"), (F.col("user_id") % 3).cast("string")).alias("workspace_name"))
+    return ev.select(*cols)
+
 
+def _request_columns(command: Column, end_time: Column) -> list[Column]:
+    return [F.col("event_id").alias("request_id"),
+            _pool(F.col("user_id")).alias("pool_name"),
+            F.col("ts").alias("start_time"),
+            end_time.alias("end_time"),
+            command.alias("command"),
+            day_start("ts").alias("extract_ts")]
 
-def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def sessions(spark: SparkSession, sf_dir: str, serverless: bool = False) -> DataFrame:
     """Raw session rows (one per order): session_id, pool_name, login_name,
     client_id, login_time.  Logins cycle through system, person, app, short
     and null shapes."""
@@ -79,11 +84,18 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(k == 3, F.lit("a@x.com"))
              .when(k == 4, F.lit(None).cast("string"))
              .otherwise(F.concat(F.lit("Jane.Doe"), ck.cast("string"), F.lit("@corp.org"))))
+    client = F.concat(F.lit("10.0."), (ck % 256).cast("string"), F.lit(":1433"))
+    if serverless:   # built-in pool; user-process flag and last request time
+        return o.select(F.col("o_orderkey").alias("session_id"),
+                        F.lit("built-in").alias("pool_name"), login.alias("login_name"),
+                        client.alias("client_id"),
+                        (F.col("o_orderstatus") != "P").alias("is_user_process"),
+                        F.col("o_orderdate").alias("last_request_start_time"))
     return o.select(
         F.col("o_orderkey").alias("session_id"),
         _pool(F.col("o_orderkey")).alias("pool_name"),
         login.alias("login_name"),
-        F.concat(F.lit("10.0."), (ck % 256).cast("string"), F.lit(":1433")).alias("client_id"),
+        client.alias("client_id"),
         F.col("o_orderdate").alias("login_time"),
     )
 
@@ -131,19 +143,6 @@ def service_objectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sql_pools(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pool listing rows (one per supplier): id, name, status, sku_name."""
-    s = table(spark, sf_dir, "supplier")
-    return s.select(
-        F.concat(F.lit("/pools/"), F.col("s_suppkey").cast("string")).alias("id"),
-        F.lower(F.regexp_replace("s_name", "#", "_")).alias("name"),
-        F.col("s_nationkey").alias("nation"),
-        F.when(F.col("s_acctbal") > 0, F.lit("Online")).otherwise(F.lit("Paused")).alias("status"),
-        F.concat(F.lit("DW"), ((F.col("s_suppkey") % 10 + 1) * 100).cast("string"), F.lit("c"))
-        .alias("sku_name"),
-    )
-
-
 def item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dumped listing pages (from part): three workspaces, parts spread over
     them by key; page ``n`` of a workspace holds the parts with key in
