@@ -75,14 +75,15 @@ def databases_by_collation(databases: DataFrame) -> DataFrame:
 
     Kept relational - one row per database with its collation and the size
     of its collation group - so no group is ever gathered into one value.
-    The per-collation counts come from a partial aggregate; the window-free
-    join back broadcasts them only within the row bound.
+    The per-collation counts come from a partial aggregate, are stored once
+    and joined back - broadcast only within the row bound.
     """
     counts = (databases.groupBy(F.col("collation_name").alias("_collation"))
               .agg(F.count(F.lit(1)).alias("databases_in_collation")))
     names = databases.select("collation_name", "name")
     joined = join_small(names, counts,
-                        F.col("collation_name").eqNullSafe(F.col("_collation")), "inner")
+                        F.col("collation_name").eqNullSafe(F.col("_collation")), "inner",
+                        materialize=True)
     return joined.select("collation_name", "name", "databases_in_collation")
 
 

@@ -80,7 +80,8 @@ def newer_than(new: DataFrame, col: str, marks: DataFrame | None,
             unseen = ~m if unseen is None else unseen & ~m
         cond = unseen if cond is None else cond | unseen
         return new.filter(cond)
-    joined = join_small(new, marks, list(mark_keys), "left", max_broadcast_rows)
+    joined = join_small(new, marks, list(mark_keys), "left", max_broadcast_rows,
+                        materialize=True)
     keep = F.col(MARK).isNull() | (F.col(col) > lower(F.col(MARK)))
     return joined.filter(keep).drop(MARK)
 

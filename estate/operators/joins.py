@@ -4,6 +4,12 @@ A side is broadcast only after counting it against a row bound (the count
 stops at ``max_rows + 1``).  Beyond the bound the join is a plain shuffle join,
 which AQE may still turn into a broadcast from runtime statistics or split
 when a key is skewed.
+
+When the small side is itself an aggregate over a large input (per-pool
+marks, per-chain page ends, per-collation counts), ``materialize=True``
+checkpoints it first - a reliable checkpoint in the shared folder, not a
+local one - so the size check and the join read the same stored rows instead
+of running the aggregation twice.
 """
 
 from __future__ import annotations
@@ -19,9 +25,20 @@ def fits_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     return small.limit(max_rows + 1).count() <= max_rows
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """``df`` computed once and stored in the session's checkpoint folder
+    (which :func:`estate.session.shared_dir` guarantees is set)."""
+    from estate.session import shared_dir
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+               materialize: bool = False) -> DataFrame:
     """``big.join(small)``, broadcasting ``small`` only if its size is bounded."""
+    if materialize:
+        small = materialized(small)
     if fits_broadcast(small, max_rows):
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

@@ -69,7 +69,8 @@ def reachable_pages(pages: DataFrame, chain: Sequence[str] = CHAIN,
             .filter(F.col("_first") == 1)
             .select(*[F.col(c).alias(f"_e_{c}") for c in chain],
                     F.least("_tokless", "_gap", F.lit(max_pages + 1)).alias("_end")))  # skips nulls
-    joined = join_small(pages, ends, _null_safe(chain, "_e_"), "inner", max_broadcast_rows)
+    joined = join_small(pages, ends, _null_safe(chain, "_e_"), "inner", max_broadcast_rows,
+                        materialize=True)
     return (joined.filter(F.col("page_no") <= F.col("_end"))
             .drop("_end", *[f"_e_{c}" for c in chain]))
 
