@@ -26,11 +26,17 @@ TRAN_END_WORDS = ("COMMIT", "ROLLBACK")
 # inside string literals; an unterminated "/*" is left alone.  The lazy form
 # keeps the Java matcher iterative on very long comments.
 _BLOCK_COMMENT = r"(?s)/\*.*?\*/"
+# Whitespace of the original line rule (Unicode whitespace, as Python's "\s"
+# on text), without the line feed: tab, VT, FF, CR, 0x1C-0x1F, space, NEL,
+# NBSP, U+1680, U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
+# Written with \x{..} escapes, which Java and RE2 (the DuckDB oracle) share.
+LINE_BLANKS = (r"[\t\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+               r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 # Line comment: a line ("\n"-separated) whose first non-blank characters are
 # "--" is blanked, its newline kept.  (?d) makes "\n" the only line
-# terminator, so "." also eats a "\r" before the "\n"; [^\S\n] keeps the
-# match from running back over earlier empty lines.
-_LINE_COMMENT = r"(?dm)^[^\S\n]*--.*"
+# terminator, so "." also eats a "\r" before the "\n"; the blank class has no
+# "\n", so the match never runs back over earlier empty lines.
+_LINE_COMMENT = r"(?dm)^" + LINE_BLANKS + r"*--.*"
 
 # First word anywhere; word + blanks + next token (not blank, comma or dot).
 _FIRST_WORD = r"(\w+)"

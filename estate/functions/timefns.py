@@ -21,7 +21,8 @@ def whole_units(unit: str, start: Column | str, end: Column | str) -> Column:
 def run_stamp(ts: _dt.datetime | None = None) -> Column:
     """one constant extract timestamp per run (reproducible when given)."""
     ts = ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    return F.lit(ts).cast("timestamp_ntz")
+    # Through text: a Python datetime literal would pass the client's zone.
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def day_start(ts: Column | str) -> Column:

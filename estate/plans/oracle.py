@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from estate.functions.sqltext import LINE_BLANKS
 from estate.operators.metrics import DEDICATED_METRICS, SPARK_POOL_METRICS, WORKSPACE_METRICS
 from estate.plans.queries import RUN_DATE, RUN_TZ
 from estate.sources.tables import TABLES
@@ -52,7 +53,7 @@ CLASSIFIED = r"""
 stripped AS (
   SELECT request_id, pool_name, start_time, end_time, extract_ts,
          regexp_replace(regexp_replace(command, '(?s)/\*.*?\*/', '', 'g'),
-                        '(?m)^[^\S\n]*--[^\n]*', '', 'g') AS command
+                        '(?m)^LINE_BLANKS*--[^\n]*', '', 'g') AS command
   FROM requests
   WHERE start_time IS NOT NULL AND command IS NOT NULL
 ),
@@ -75,6 +76,8 @@ classified AS (
   FROM worded
 )"""
 
+CLASSIFIED = CLASSIFIED.replace("LINE_BLANKS", LINE_BLANKS)
+
 SESSIONS = r"""
 sessions AS (
   SELECT o_orderkey AS session_id,

@@ -18,6 +18,9 @@ STRIP_CASES = [
     ("select '/*x*/'", "select ''"),
     ("select 1\n--end", "select 1\n"),
     ("/*" + "z" * 200_000 + "*/ok", "ok"),
+    ("\u00a0-- nbsp\nx", "\nx"),
+    ("\x1c\u3000--a\n\u2003 --b", "\n"),
+    ("\x0b--vt", ""),
     (None, None),
 ]
 
@@ -47,6 +50,17 @@ def test_strip_comments(spark):
         assert got[i] == want, STRIP_CASES[i][0][:40]
 
 
+def test_strip_matches_duckdb_oracle_pattern():
+    import duckdb
+    from estate.functions.sqltext import LINE_BLANKS
+    con = duckdb.connect()
+    for text, want in STRIP_CASES[:-1]:
+        got = con.execute(
+            "select regexp_replace(regexp_replace(?, '(?s)/\\*.*?\\*/', '', 'g'), "
+            f"'(?m)^{LINE_BLANKS}*--[^\\n]*', '', 'g')", [text]).fetchone()[0]
+        assert got == want, repr(text[:30])
+
+
 def test_words_and_types(spark):
     df = spark.createDataFrame([(i, c) for i, (c, *_) in enumerate(WORD_CASES)],
                                "i int, command string")
