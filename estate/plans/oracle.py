@@ -329,9 +329,10 @@ WHERE last_upd >= DATE '{_FIRST_DAY.isoformat()}' AND last_upd < DATE '{RUN_DATE
     "metric_rollup_1h": _rollup(_in_span(WORKSPACE_METRICS, 90), "1 hour"),
     "metric_coarsen": _rollup(f"name IN ({_names(SPARK_POOL_METRICS)})", "1 hour"),
 
-    "union_databases": " UNION ALL ".join(
-        f"SELECT p_brand AS table_schema, p_name AS table_name, p_type AS table_type, "
-        f"'db_{n}' AS table_catalog FROM part WHERE p_partkey % 3 = {n}" for n in range(3)),
+    "union_databases": r"""
+SELECT p_brand AS table_schema, p_name AS table_name, p_size AS table_size,
+       lower(p_type) AS table_catalog
+FROM part""",
 
     "query_statements": r"""
 WITH stats AS (

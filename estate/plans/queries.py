@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from estate.operators import analysis, filters, incremental, metrics, pages
 from estate.plans import catalog, pipeline
 from estate.session import fresh_root
-from estate.sources import activity, jdbc, staging, tables
+from estate.sources import activity, catalog_scans, jdbc, staging, tables
 from estate.streaming import incremental as stream_inc
 
 # Fixed extract time used where a query stamps rows (F9), so that results
@@ -211,15 +211,17 @@ def metric_coarsen(spark, sf_dir):
 
 
 def union_databases(spark, sf_dir):
-    """One catalog scan per database, unioned with the database name."""
+    """S4 + U1: list the databases (one per part type), then run one catalog
+    scan per database and union them with the database name."""
     part = tables.table(spark, sf_dir, "part")
+    catalog_rows = part.select(F.lower("p_type").alias("name")).distinct()
+    names = catalog_scans.database_names(catalog_rows)
 
     def scan(db: str):
-        n = int(db.split("_")[1])
-        return part.filter(F.col("p_partkey") % 3 == n).select(
+        return part.filter(F.lower("p_type") == db).select(
             F.col("p_brand").alias("table_schema"), F.col("p_name").alias("table_name"),
-            F.col("p_type").alias("table_type"))
-    return jdbc.union_databases(scan, ["db_0", "db_1", "db_2"])
+            F.col("p_size").alias("table_size"))
+    return jdbc.union_databases(scan, sorted(names))
 
 
 def query_statements(spark, sf_dir):
