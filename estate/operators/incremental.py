@@ -93,5 +93,6 @@ def keep_newest(df: DataFrame, key: Sequence[str], order_col: str) -> DataFrame:
     others = [c for c in df.columns if c not in key]
     packed = F.struct(*[F.col(c) for c in others])
     agg = (df.groupBy(*key)
-           .agg(F.max_by(packed, F.coalesce(F.col(order_col).cast("string"), F.lit(""))).alias("_row")))
+           .agg(F.max_by(packed, F.struct(F.col(order_col).isNotNull(), F.col(order_col)))
+                .alias("_row")))
     return agg.select(*key, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
