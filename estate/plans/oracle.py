@@ -144,6 +144,16 @@ later AS (SELECT {', '.join('c.' + x.strip() for x in CLASSIFIED_COLS.split(',')
 SELECT * FROM earlier UNION ALL SELECT * FROM later"""
 
 
+def _late(earlier: str, lateness: str) -> str:
+    return _with(REQUESTS, CLASSIFIED) + f""",
+earlier AS (SELECT {CLASSIFIED_COLS} FROM classified WHERE {earlier}),
+marks AS (SELECT pool_name AS k, max(end_time) AS mark FROM earlier GROUP BY pool_name),
+later AS (SELECT {', '.join('c.' + x.strip() for x in CLASSIFIED_COLS.split(','))}
+          FROM classified c LEFT JOIN marks m ON c.pool_name = m.k
+          WHERE m.mark IS NULL OR c.end_time > m.mark - INTERVAL {lateness})
+SELECT DISTINCT * FROM (SELECT * FROM earlier UNION ALL SELECT * FROM later)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
@@ -405,3 +415,8 @@ SELECT session_id, 'built-in' AS pool_name, client_id, is_user_process,
          AS login_user_sha2
 FROM typed""",
 })
+
+
+ORACLE["runs_staged"] = ORACLE["runs_by_day"]
+ORACLE["incremental_late"] = _late(
+    "day(start_time) < 5 + 5 * CAST(substr(pool_name, 6, 3) AS INTEGER)", "10 MINUTE")

@@ -12,6 +12,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from estate.operators import analysis, filters, incremental, metrics, pages
 from estate.plans import catalog, pipeline
@@ -182,6 +183,38 @@ def runs_by_day(spark, sf_dir):
                                   RUN_TZ, RUN_DATE, days=59)
 
 
+def runs_staged(spark, sf_dir):
+    """S35 + P10 + K3: the 59 run-history days staged as restartable day
+    partitions in one job; a second run finds every day done and writes
+    nothing; the staged runs are read back."""
+    root = fresh_root(spark, "runs")
+    runs = filters.day_partitions(tables.pipeline_runs(spark, sf_dir), "last_updated",
+                                  RUN_TZ, RUN_DATE, days=59)
+    days = filters.day_list(RUN_DATE, 59)
+    staging.write_partition_steps(spark, root, "pipeline_runs", runs, "last_upd", days)
+    again = staging.write_partition_steps(spark, root, "pipeline_runs", runs, "last_upd", days)
+    if again:
+        raise RuntimeError(f"day steps re-ran: {sorted(again)[:3]}")
+    return staging.read(spark, root, "pipeline_runs",
+                        partition_types={"last_upd": T.DateType()})
+
+
+def incremental_late(spark, sf_dir):
+    """T1 + T2: like ``incremental_requests`` but the mark is lowered by ten
+    minutes to pick up requests that finished late; re-read requests are
+    collapsed to their newest version per request id when reading."""
+    root = fresh_root(spark, "late")
+    raw = tables.requests(spark, sf_dir)
+    staging.write(activity.dedicated_requests(_earlier_run(raw)), root, "session_requests")
+    staged = staging.read(spark, root, "session_requests")
+    marks = incremental.high_water(staged, "end_time", ["pool_name"])
+    new = incremental.newer_than(activity.dedicated_requests(raw), "end_time", marks,
+                                 lateness="10 minutes")
+    staging.write(new, root, "session_requests")
+    return incremental.keep_newest(staging.read(spark, root, "session_requests"),
+                                   ["request_id"], "end_time")
+
+
 def _round(df, digits=4):
     return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c)
                        for c, t in df.dtypes])
@@ -284,4 +317,6 @@ QUERIES = {
     "dataset_profile": dataset_profile,
     "multi_workspace_window": multi_workspace_window,
     "serverless_sessions": serverless_sessions,
+    "runs_staged": runs_staged,
+    "incremental_late": incremental_late,
 }

@@ -168,6 +168,38 @@ def write_step(spark: SparkSession, root: str, dataset: str,
     return n
 
 
+def write_partition_steps(spark: SparkSession, root: str, dataset: str, df: DataFrame,
+                          partition_col: str, wanted: Iterable, fmt: str = "parquet") -> dict[str, int]:
+    """K3 for many partitions in one job: stage the rows of every wanted
+    partition value (e.g. the 59 days of run history) whose step is not done
+    yet, then mark each of them done with its row count.
+
+    Instead of one job per day, the pending values are cut from ``df`` with
+    one filter, written in a single partitioned write (dynamic overwrite, so
+    a half-written earlier attempt of the same day is replaced), and counted
+    per partition from the committed files.  Returns ``{partition: rows}``
+    for the partitions written now (empty when all were done).
+    """
+    labels = {f"{partition_col}={v}": v for v in wanted}
+    pending = pending_partitions(spark, root, dataset, labels)
+    if not pending:
+        return {}
+    values = [labels[p] for p in pending]
+    write(df.filter(F.col(partition_col).isin(values)), root, dataset, mode="overwrite",
+          partition_by=(partition_col,), fmt=fmt)
+    staged = read(spark, root, dataset, fmt=fmt)
+    counts = {p: 0 for p in pending}     # a wanted day without rows is done too
+    if staged is not None:
+        written = staged.filter(F.col(partition_col).isin([str(v) for v in values]))
+        for r in written.groupBy(partition_col).count().collect():   # one row per day
+            counts[f"{partition_col}={r[0]}"] = int(r[1])
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    rows = [(dataset, p, n, "done", now) for p, n in sorted(counts.items())]
+    (spark.createDataFrame(rows, STEP_SCHEMA).coalesce(1)
+     .write.mode("append").parquet(dataset_path(root, STEPS)))
+    return counts
+
+
 def to_json_lines(df: DataFrame) -> DataFrame:
     """one JSON text per row (the form the source's dumps use)."""
     return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value"))

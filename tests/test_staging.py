@@ -76,3 +76,15 @@ def test_analyzer_relations(spark, root):
     t = spark.table("estate_test_schema.dedicated_session_requests")
     assert t.count() == 3 and dict(t.dtypes)["pool_name"] == "string"
     assert t.filter(F.col("pool_name") == "007").count() == 2
+
+
+def test_partition_steps_in_one_job(spark, root):
+    df = _rows(spark).withColumn("last_upd", F.to_date("start_time"))
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)]
+    first = staging.write_partition_steps(spark, root, "runs", df.filter(F.col("request_id") < 3),
+                                          "last_upd", days[:1])
+    assert first == {"last_upd=2024-01-01": 2}
+    second = staging.write_partition_steps(spark, root, "runs", df, "last_upd", days)
+    assert second == {"last_upd=2024-01-02": 1, "last_upd=2024-01-03": 0}
+    assert staging.write_partition_steps(spark, root, "runs", df, "last_upd", days) == {}
+    assert staging.read(spark, root, "runs").count() == 3
