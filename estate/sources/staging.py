@@ -17,6 +17,7 @@ The root is a folder in shared storage (see :func:`estate.session.shared_dir`).
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import os
 from collections.abc import Callable, Iterable, Sequence
 
@@ -38,12 +39,55 @@ def dataset_path(root: str, dataset: str) -> str:
     return os.path.join(root, dataset)
 
 
+SCHEMA_FILE = "_estate_schema.json"
+
+
+def _fs(spark: SparkSession, path: str):
+    """(Hadoop FileSystem, Path) for ``path``; ``None`` when the session has
+    no JVM gateway (a Spark Connect client)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+    except Exception:   # no py4j gateway: Connect session
+        return None
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists in the (possibly remote) file system."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+    h = _fs(spark, path)
+    if h is not None:
+        return bool(h[0].exists(h[1]))
+    try:
+        spark.read.format("binaryFile").load(path).limit(0).collect()
+        return True
+    except Exception:
+        return False
+
+
+def _save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Keep the declared schema next to the data (a ``_`` file, which Spark
+    readers skip), so reads need no inference and empty datasets stay typed."""
+    h = _fs(spark, os.path.join(path, SCHEMA_FILE))
+    if h is None:
+        return
+    out = h[0].create(h[1], True)
+    try:
+        out.write(bytearray(schema.json().encode("utf-8")))
+    finally:
+        out.close()
+
+
+def _load_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    h = _fs(spark, os.path.join(path, SCHEMA_FILE))
+    if h is None or not h[0].exists(h[1]):
+        return None
+    stream = h[0].open(h[1])
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return T.StructType.fromJson(json.loads(text))
 
 
 def write(df: DataFrame, root: str, dataset: str, mode: str = "append",
@@ -60,13 +104,18 @@ def write(df: DataFrame, root: str, dataset: str, mode: str = "append",
     """
     obs = Observation(f"write_{dataset}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    path = dataset_path(root, dataset)
     (observed.write
      .mode(mode)
      .format(fmt)
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*partition_by)
-     .save(dataset_path(root, dataset)))
+     .save(path))
+    data = [f for f in df.schema.fields if f.name not in partition_by]
+    parts = [T.StructField(f.name, f.dataType, True) for c in partition_by
+             for f in df.schema.fields if f.name == c]
+    _save_schema(df.sparkSession, path, T.StructType(data + parts))
     return int(obs.get["rows"])
 
 
@@ -75,13 +124,19 @@ def read(spark: SparkSession, root: str, dataset: str, schema: T.StructType | No
     """Read a staged dataset with partition discovery; ``None`` when the
     dataset does not exist yet.
 
-    Partition columns are read as strings (or ``partition_types``), never
-    inferred, so ``pool_name=007`` stays ``'007'``.  With ``schema`` given no
-    file footer is inspected at all.
+    The schema is, in order of preference: ``schema``; the one recorded by
+    :func:`write`; the files' own, with partition columns read as strings
+    (or ``partition_types``), never inferred - so ``pool_name=007`` stays
+    ``'007'``.  A dataset whose writes produced no rows reads as empty.
     """
     path = dataset_path(root, dataset)
     if not _exists(spark, path):
         return None
+    if schema is None:
+        schema = _load_schema(spark, path)
+        if schema is not None and partition_types:
+            schema = T.StructType([T.StructField(f.name, partition_types.get(f.name, f.dataType),
+                                                 True) for f in schema.fields])
     if schema is None:
         probe = spark.read.format(fmt).load(path).schema
         part_cols = _partition_columns(spark, path)
@@ -95,9 +150,10 @@ def read(spark: SparkSession, root: str, dataset: str, schema: T.StructType | No
 
 def _partition_columns(spark: SparkSession, path: str) -> list[str]:
     """Names of the ``key=value`` folder levels under ``path``, outermost first."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    h = _fs(spark, path)
+    if h is None:
+        return []
+    fs, jpath = h
     cols: list[str] = []
     level = [jpath]
     while level:

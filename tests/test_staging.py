@@ -88,3 +88,10 @@ def test_partition_steps_in_one_job(spark, root):
     assert second == {"last_upd=2024-01-02": 1, "last_upd=2024-01-03": 0}
     assert staging.write_partition_steps(spark, root, "runs", df, "last_upd", days) == {}
     assert staging.read(spark, root, "runs").count() == 3
+
+
+def test_empty_write_reads_typed_empty(spark, root):
+    empty = spark.createDataFrame([], "a int, pool_name string")
+    assert staging.write(empty, root, "nothing") == 0
+    back = staging.read(spark, root, "nothing")
+    assert back.count() == 0 and dict(back.dtypes) == {"a": "int", "pool_name": "string"}
