@@ -116,15 +116,20 @@ def statement_slice(text: Column | str, start_offset: Column | str,
                     end_offset: Column | str) -> Column:
     """the statement inside a batch text given byte offsets.
 
-    Offsets count 2-byte characters; ``end_offset = -1`` means "to the end"
-    (the source uses the byte length of the text).  Integer division, 1-based
-    substring, clipped at the end of the text.
+    The source stores text as UTF-16 and gives offsets in bytes;
+    ``end_offset = -1`` means "to the end" (the byte length of the text).
+    Start byte ``start`` (integer-halved, so always a character boundary),
+    length ``(end - start) / 2 + 1`` characters, integer division, clipped at
+    the end.  Cutting the UTF-16 bytes keeps the offsets exact for characters
+    outside the Basic Multilingual Plane, which count as two units there.
     """
     text = F.col(text) if isinstance(text, str) else text
     start = F.col(start_offset) if isinstance(start_offset, str) else start_offset
     end = F.col(end_offset) if isinstance(end_offset, str) else end_offset
-    end_bytes = F.when(end == -1, F.length(text) * 2).otherwise(end)
+    utf16 = F.encode(text, "UTF-16LE")
+    end_bytes = F.when(end == -1, F.octet_length(utf16)).otherwise(end)
     # Integer division truncating toward zero, as the source engine does.
-    pos = (start / 2).cast("int") + 1
-    length = ((end_bytes - start) / 2).cast("int") + 1
-    return F.substring(text, pos, length)
+    first_unit = (start / 2).cast("int")
+    units = ((end_bytes - start) / 2).cast("int") + 1
+    cut = F.substring(utf16, first_unit * 2 + 1, F.greatest(units, F.lit(0)) * 2)
+    return F.when(text.isNotNull(), F.decode(cut, "UTF-16LE"))

@@ -89,6 +89,14 @@ def test_statement_slice(spark, start, end, want):
     assert df.select(statement_slice("t", "s", "e").alias("x")).first().x == want
 
 
+def test_statement_slice_counts_utf16_units(spark):
+    # U+1F600 is two UTF-16 units (4 bytes): "a", smiley, "b" = 8 bytes.
+    df = spark.createDataFrame([("a\U0001F600b; select 2", 10, -1), ("a\U0001F600b;", 0, 6),
+                                (None, 0, -1)], "t string, s int, e int")
+    got = [r.x for r in df.select(statement_slice("t", "s", "e").alias("x")).collect()]
+    assert got == [" select 2", "a\U0001F600b", None]
+
+
 def test_comment_strip_is_native(spark):
     df = spark.range(3).select(F.lit("-- a\nselect").alias("c"))
     plan = df.select(strip_comments("c"))._jdf.queryExecution().executedPlan().toString()
