@@ -77,7 +77,10 @@ def reachable_pages(pages: DataFrame, chain: Sequence[str] = CHAIN,
 
 def _null_safe(cols, prefix):
     """Join condition ``col <=> prefix+col`` for each column (chain keys such
-    as the day of a listing that is not per day may be null)."""
+    as the day of a listing that is not per day may be null).  A key that is
+    a literal on both sides folds away; if every key does, Spark plans a
+    broadcast nested-loop join against the few chain ends, which is still
+    one small broadcast row per chain."""
     cond = None
     for c in cols:
         eq = F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))

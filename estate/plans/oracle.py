@@ -303,7 +303,8 @@ FROM items i JOIN ends e ON i.workspace_name = e.workspace_name
 WHERE e.first_page = 1 AND i.page_no <= e.last_page""",
 
     "listing_flatten": r"""
-SELECT 'ws_0' AS workspace_name, concat('/pools/', CAST(s_suppkey AS VARCHAR)) AS id,
+SELECT concat('ws_', CAST(s_suppkey % 3 AS VARCHAR)) AS workspace_name,
+       concat('/pools/', CAST(s_suppkey AS VARCHAR)) AS id,
        lower(replace(s_name, '#', '_')) AS name,
        'Microsoft.Synapse/workspaces/sqlPools' AS type,
        concat('region-', CAST(s_nationkey AS VARCHAR)) AS location,

@@ -172,8 +172,9 @@ def item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pool_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dumped ``sql_pools`` listing (from supplier), 20 pools per page, one
-    workspace; objects carry more fields than the listing keeps."""
+    """Dumped ``sql_pools`` listings (from supplier) of three workspaces;
+    page ``n`` of a workspace holds the pools with key in ``[60(n-1), 60n)`` -
+    at most 20.  Objects carry more fields than the listing keeps."""
     s = table(spark, sf_dir, "supplier")
     key = F.col("s_suppkey")
     pool = F.struct(
@@ -189,10 +190,11 @@ def pool_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
          + F.make_dt_interval(days=(key % 365).cast("int"))).alias("creation_date"),
         F.col("s_acctbal").alias("max_size_bytes"),
     )
-    pages = (s.select((F.floor(key / 20) + 1).cast("int").alias("page_no"), pool.alias("pool"))
-             .groupBy("page_no").agg(F.collect_list("pool").alias("value")))
+    pages = (s.select(F.concat(F.lit("ws_"), (key % 3).cast("string")).alias("workspace_name"),
+                      (F.floor(key / 60) + 1).cast("int").alias("page_no"), pool.alias("pool"))
+             .groupBy("workspace_name", "page_no").agg(F.collect_list("pool").alias("value")))
     return pages.select(
-        F.lit("ws_0").alias("workspace_name"), F.lit("sql_pools").alias("dataset"),
+        "workspace_name", F.lit("sql_pools").alias("dataset"),
         F.lit(None).cast("date").alias("day"), "page_no",
         F.concat(F.lit("tok-"), F.col("page_no").cast("string")).alias("continuation_token"),
         "value")
