@@ -71,3 +71,19 @@ def test_profile_filters_names_and_span(spark):
     df = spark.createDataFrame(rows, "resource_id string, name string, ts timestamp_ntz, value double")
     got = metrics.profile(df, "dedicated").collect()
     assert [(r.name, r.total) for r in got] == [("CPUPercent", 1.0)]
+
+
+def test_json_dumps_roundtrip_through_operators(spark, root):
+    from estate import schemas
+    from estate.sources import dumps, tables
+    from conftest import SF_SMALL
+    pool_pages = tables.pool_pages(spark, SF_SMALL)
+    dumps.write_dump(pool_pages, f"{root}/pages")
+    back = dumps.read_pages(spark, f"{root}/pages", schemas.SQL_POOL)
+    a = pages.read_listing(back, "sql_pools").orderBy("id").collect()
+    b = pages.read_listing(pool_pages, "sql_pools").orderBy("id").collect()
+    assert a == b and len(a) > 0
+    resp = tables.metric_responses(spark, SF_SMALL)
+    dumps.write_dump(resp, f"{root}/metrics")
+    got = metrics.flatten(dumps.read_metric_responses(spark, f"{root}/metrics"))
+    assert got.count() == metrics.flatten(resp).count()
