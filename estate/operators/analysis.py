@@ -48,12 +48,13 @@ def command_mix(classified: DataFrame, type_col: str = "command_type") -> DataFr
             .agg(F.count(F.lit(1)).alias("num_requests")))
 
 
-def storage_by_node(partition_stats: DataFrame) -> DataFrame:
+def storage_by_node(partition_stats: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """A1: reserved and used space per node in MB, from page counts
-    (sum of pages times 8 KB, integer-divided by 1024)."""
+    (sum of pages times 8 KB, integer-divided by 1024); ``by`` adds keys such
+    as workspace and pool."""
     mb = lambda c: F.expr(f"(sum({c}) * {PAGE_KB}) div 1024")
     return (partition_stats
-            .groupBy(F.col("pdw_node_id").alias("node_id"))
+            .groupBy(*by, F.col("pdw_node_id").alias("node_id"))
             .agg(mb("reserved_page_count").alias("ReservedSpaceMB"),
                  mb("used_page_count").alias("UsedSpaceMB")))
 

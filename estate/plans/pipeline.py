@@ -1,10 +1,15 @@
-"""Profile runs: one workspace or many in one Spark job.
+"""Profile runs: one workspace or many in one Spark job per dataset.
 
 The reference runs the extract once per workspace (three at a time) and pool
 by pool.  Here workspaces, pools and days are columns: the raw relations of
-every workspace arrive as one DataFrame with a ``workspace_name`` column,
-each dataset is staged once, partitioned by workspace and pool (or day), and
-the staging steps make a re-run skip what already finished.
+every workspace arrive as one DataFrame with a ``workspace_name`` column
+(and ``pool_name`` for pool data), each dataset is staged once, partitioned
+by workspace and pool, and
+
+* catalog and storage snapshots replace only the partitions (workspace,
+  pool) present in the new data;
+* activity datasets append the rows above each (workspace, pool) mark;
+* listings and metrics are restartable steps, skipped when done.
 """
 
 from __future__ import annotations
@@ -15,7 +20,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from estate.operators import incremental, pages
+from estate.functions.sqltext import redact
+from estate.operators import analysis, incremental, metrics, pages
 from estate.sources import activity, staging
 
 # fixed values: group folders of the staged layout
@@ -24,17 +30,29 @@ SERVERLESS = "sqlpools-serverless"
 WORKSPACE = "workspace"
 METRICS = "monitoring_metrics"
 
+BY_POOL = ("workspace_name", "pool_name")
+KEYS = ["workspace_name", "pool_name"]
+
 
 @dataclass
 class ProfileInputs:
-    """Raw relations of a profile run; any may be missing.  Each carries a
-    ``workspace_name`` column (several workspaces at once) and, for pool
-    data, ``pool_name``."""
+    """Raw relations of a profile run; any may be missing."""
+    # dedicated pools
     requests: DataFrame | None = None
     sessions: DataFrame | None = None
+    catalog: dict[str, DataFrame] = field(default_factory=dict)   # tables, columns, views, routines
+    partition_stats: DataFrame | None = None
+    # serverless pool
+    serverless_sessions: DataFrame | None = None
+    serverless_requests: DataFrame | None = None
+    query_stats: DataFrame | None = None
+    sql_texts: DataFrame | None = None
+    requests_history: DataFrame | None = None
+    data_processed: DataFrame | None = None
+    databases: DataFrame | None = None
+    # workspace API dumps
     listing_dumps: DataFrame | None = None
     metric_responses: DataFrame | None = None
-    extra: dict = field(default_factory=dict)
 
 
 @dataclass
@@ -45,45 +63,89 @@ class ProfileSettings:
     run_ts: _dt.datetime | None = None
 
 
+def _marks(spark, root, dataset, col, scope):
+    staged = staging.read(spark, root, dataset)
+    return None if staged is None else incremental.high_water(staged, col, KEYS, scope=scope)
+
+
+def _append_new(spark, root, dataset, col, scope, build) -> int:
+    """Marks from what is staged, ``build(marks)`` keeps rows above them."""
+    df = build(_marks(spark, root, dataset, col, scope))
+    return staging.write(df, root, dataset, mode="append", partition_by=BY_POOL)
+
+
 def run_all(spark: SparkSession, root: str, inputs: ProfileInputs,
             settings: ProfileSettings | None = None) -> dict[str, int | None]:
     """Stage every available dataset for all workspaces under ``root``;
     return rows written per dataset (``None`` when a step was skipped)."""
     s = settings or ProfileSettings()
-    keys = ["workspace_name", "pool_name"]
-    by_pool = ("workspace_name", "pool_name")
+    scope = s.mark_scope
     out: dict[str, int | None] = {}
     ded = os.path.join(root, DEDICATED)
-
+    srv = os.path.join(root, SERVERLESS)
+
+    # -- dedicated pools: catalog and storage snapshots (overwrite per pool)
+    for name, df in inputs.catalog.items():
+        if s.redact_sql_text:
+            df = redact(df, "view_definition", "routine_definition")
+        out[name] = staging.write(df, ded, name, mode="overwrite", partition_by=BY_POOL)
+    if inputs.partition_stats is not None:
+        by = tuple(c for c in BY_POOL if c in inputs.partition_stats.columns)
+        info = activity.stamp(analysis.storage_by_node(inputs.partition_stats, by), s.run_ts)
+        out["storage_info"] = staging.write(info, ded, "storage_info", mode="overwrite",
+                                            partition_by=by)
+
+    # -- dedicated pools: activity (incremental append)
     if inputs.sessions is not None:
-        staged = staging.read(spark, ded, "sessions")
-        marks = None if staged is None else incremental.high_water(
-            staged, "login_time", keys, scope=s.mark_scope)
-        df = activity.dedicated_sessions(inputs.sessions, marks=marks, keys=keys,
-                                         run_ts=s.run_ts, keep_clear=s.keep_clear_login)
-        out["sessions"] = staging.write(df, ded, "sessions", partition_by=by_pool)
-
+        out["sessions"] = _append_new(spark, ded, "sessions", "login_time", scope,
+                                      lambda m: activity.dedicated_sessions(
+                                          inputs.sessions, marks=m, keys=KEYS, run_ts=s.run_ts,
+                                          keep_clear=s.keep_clear_login))
     if inputs.requests is not None:
-        staged = staging.read(spark, ded, "session_requests")
-        marks = None if staged is None else incremental.high_water(
-            staged, "end_time", keys, scope=s.mark_scope)
-        df = activity.dedicated_requests(inputs.requests, redact_text=s.redact_sql_text,
-                                         marks=marks, keys=keys, run_ts=s.run_ts)
-        out["session_requests"] = staging.write(df, ded, "session_requests", partition_by=by_pool)
-
+        out["session_requests"] = _append_new(spark, ded, "session_requests", "end_time", scope,
+                                              lambda m: activity.dedicated_requests(
+                                                  inputs.requests, redact_text=s.redact_sql_text,
+                                                  marks=m, keys=KEYS, run_ts=s.run_ts))
+
+    # -- serverless pool
+    if inputs.databases is not None:
+        out["databases"] = staging.write(inputs.databases, srv, "databases", mode="overwrite",
+                                         partition_by=BY_POOL)
+    if inputs.serverless_sessions is not None:
+        out["serverless_sessions"] = _append_new(
+            spark, srv, "sessions", "last_request_start_time", scope,
+            lambda m: activity.serverless_sessions(inputs.serverless_sessions, marks=m, keys=KEYS,
+                                                   keep_clear=s.keep_clear_login))
+    if inputs.serverless_requests is not None:
+        out["serverless_requests"] = _append_new(
+            spark, srv, "session_requests", "start_time", scope,
+            lambda m: activity.serverless_requests(inputs.serverless_requests, marks=m, keys=KEYS))
+    if inputs.query_stats is not None and inputs.sql_texts is not None:
+        out["query_stats"] = _append_new(
+            spark, srv, "query_stats", "last_execution_time", scope,
+            lambda m: activity.query_statements(inputs.query_stats, inputs.sql_texts,
+                                                marks=m, keys=KEYS))
+    if inputs.requests_history is not None:
+        out["requests_history"] = _append_new(
+            spark, srv, "requests_history", "end_time", scope,
+            lambda m: activity.requests_history(inputs.requests_history, marks=m, keys=KEYS))
+    if inputs.data_processed is not None:
+        out["data_processed"] = staging.write(activity.data_processed(inputs.data_processed),
+                                              srv, "data_processed", mode="overwrite",
+                                              partition_by=BY_POOL)
+
+    # -- workspace listings and metrics (restartable steps)
     if inputs.listing_dumps is not None:
         ws = os.path.join(root, WORKSPACE)
+        d = inputs.listing_dumps
         for dataset in pages.LISTINGS:
-            d = inputs.listing_dumps
             out[dataset] = staging.write_step(
-                spark, ws, dataset, lambda d=d, ds=dataset: pages.read_listing(d, ds),
+                spark, ws, dataset, lambda ds=dataset: pages.read_listing(d, ds),
                 partition_by=("workspace_name",))
-
     if inputs.metric_responses is not None:
-        from estate.operators import metrics
         mon = os.path.join(root, METRICS)
         out["metrics"] = staging.write_step(
             spark, mon, "dedicated_sql_pool_metrics",
-            lambda: metrics.flatten(inputs.metric_responses, carry=("workspace_name", "pool_name")),
-            partition_by=by_pool)
+            lambda: metrics.flatten(inputs.metric_responses, carry=BY_POOL + ("resource_id",)),
+            partition_by=BY_POOL)
     return out
