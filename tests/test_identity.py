@@ -46,3 +46,21 @@ def test_system_sessions_dropped(spark):
     df = spark.createDataFrame([("System",), ("mysystemuser",), ("bob@x.com",), (None,)],
                                "login_name string")
     assert [r.login_name for r in user_sessions(df).collect()] == ["bob@x.com"]
+
+
+def test_fast_person_test_equals_group_form(spark):
+    """The backtracking-light person test accepts exactly the strings the
+    fixed pattern's group form accepts."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from estate.functions.identity import login_user_type, login_user_type_by_group
+    rng = random.Random(7)
+    alphabet = list("ab_9.@- \\n\\r") + ["net", "com", "org", "gov", "edu", "NET", "\\u0085", "é"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14))) for _ in range(20000)]
+    texts += [l for l, *_ in LOGINS if l is not None]
+    df = spark.createDataFrame([(t,) for t in texts], "login_name string")
+    diff = df.filter(login_user_type("login_name") != login_user_type_by_group("login_name"))
+    assert diff.count() == 0, diff.limit(5).collect()
+    assert df.filter(login_user_type("login_name") == "USER").count() > 100
