@@ -20,3 +20,40 @@ def test_union_databases(spark):
     df = jdbc.union_databases(lambda db: spark.range(2).selectExpr("id"), ["x", "y"])
     assert sorted((r.table_catalog, r.id) for r in df.collect()) == [("x", 0), ("x", 1), ("y", 0), ("y", 1)]
     assert jdbc.union_databases(lambda db: spark.range(1), []) is None
+
+
+def test_catalog_scans_logic_without_a_database(spark, monkeypatch):
+    """S4-S8, S14-S17 on stand-in relations: the JDBC call is replaced by a
+    function returning DataFrames of the catalog views' columns."""
+    import datetime as dt
+
+    from estate.sources import catalog_scans
+
+    dbs = spark.createDataFrame(
+        [("master", 1, dt.datetime(2024, 1, 1), 0, "ONLINE", "Latin1_General_CI_AS"),
+         ("sales", 5, dt.datetime(2024, 1, 2), 0, "ONLINE", None),
+         ("default", 6, dt.datetime(2024, 1, 3), 0, "ONLINE", "X")],
+        "name string, database_id int, create_date timestamp, state int, state_desc string, "
+        "collation_name string")
+    seen = []
+
+    def fake_run_query(spark_, conn, relation):
+        seen.append(relation)
+        if relation == "sys.databases":
+            return dbs
+        db = relation.split(".")[0] if relation.count(".") == 2 else "pool"
+        return spark.createDataFrame([(db, "t1", "select 1")],
+                                     "table_catalog string, table_name string, view_definition string")
+
+    monkeypatch.setattr(catalog_scans, "run_query", fake_run_query)
+    conn = jdbc.PoolConnection(url="jdbc:none")
+    listed = catalog_scans.databases(spark, conn)
+    assert sorted(r.name for r in listed.collect()) == ["default", "sales"]
+    scope = catalog_scans.database_names(catalog_scans.databases_in_scope(listed))
+    assert scope == ["sales"]
+    views = catalog_scans.views(spark, conn, scope, redact_text=True).collect()
+    assert [(r.table_catalog, r.view_definition) for r in views] == [("sales", "[REDACTED]")]
+    assert "sales.information_schema.views" in seen
+    assert catalog_scans.tables(spark, conn).count() == 1          # dedicated: one database
+    assert "information_schema.tables" in seen
+    assert catalog_scans.routines(spark, conn, [], redact_text=True) is None
