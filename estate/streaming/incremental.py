@@ -38,6 +38,33 @@ def stage_new_rows(spark: SparkSession, batch: DataFrame, root: str, dataset: st
     return staging.write(new, root, dataset, mode="append", partition_by=partition_by)
 
 
+def start_stream(spark: SparkSession, source_dir: str, schema: T.StructType, root: str,
+                 dataset: str, mark_col: str, checkpoint: str, keys: Sequence[str] = ("pool_name",),
+                 transform: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None,
+                 partition_by: Sequence[str] = ("pool_name",), fmt: str = "parquet",
+                 max_files_per_trigger: int | None = None, every: str | None = None,
+                 on_batch: Callable[[int, int], None] | None = None):
+    """Start the incremental file stream and return the ``StreamingQuery``.
+
+    ``every=None`` processes what is available and stops
+    (``trigger(availableNow=True)``); ``every='1 hour'`` keeps running and
+    stages new snapshots at that cadence, like the hourly extract job.
+    ``on_batch(batch_id, rows)`` is called after each staged micro-batch.
+    """
+    def each(batch: DataFrame, batch_id: int) -> None:
+        n = stage_new_rows(spark, batch, root, dataset, mark_col, keys, transform, partition_by)
+        if on_batch:
+            on_batch(batch_id, n)
+
+    reader = spark.readStream.schema(schema).format(fmt)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    writer = (reader.load(source_dir).writeStream.foreachBatch(each)
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
+    return writer.start()
+
+
 def stream_new(spark: SparkSession, source_dir: str, schema: T.StructType, root: str,
                dataset: str, mark_col: str, checkpoint: str, keys: Sequence[str] = ("pool_name",),
                transform: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None,
@@ -46,19 +73,8 @@ def stream_new(spark: SparkSession, source_dir: str, schema: T.StructType, root:
     """Run the file stream over ``source_dir`` until everything available is
     processed; return the number of rows staged per micro-batch."""
     written: list[int] = []
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        written.append(stage_new_rows(spark, batch, root, dataset, mark_col, keys,
-                                      transform, partition_by))
-
-    reader = spark.readStream.schema(schema).format(fmt)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    query = (reader.load(source_dir)
-             .writeStream
-             .foreachBatch(each)
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True)
-             .start())
+    query = start_stream(spark, source_dir, schema, root, dataset, mark_col, checkpoint, keys,
+                         transform, partition_by, fmt, max_files_per_trigger,
+                         on_batch=lambda _bid, n: written.append(n))
     query.awaitTermination()
     return written

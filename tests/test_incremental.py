@@ -76,3 +76,19 @@ def test_stream_second_start_adds_nothing(spark, root):
     again = stream_new(spark, source, raw.schema, root, "reqs", "end_time", ckpt, transform=transform)
     assert sum(first) == activity.dedicated_requests(raw).count()
     assert again == []
+
+
+def test_stream_with_processing_time_trigger(spark, root):
+    from estate.streaming.incremental import start_stream
+    raw = tables.requests(spark, SF_SMALL)
+    source, ckpt = f"{root}/src", f"{root}/_ck"
+    raw.write.parquet(source)
+    rows = []
+    q = start_stream(spark, source, raw.schema, root, "reqs", "end_time", ckpt,
+                     transform=lambda b, m: activity.dedicated_requests(b, marks=m),
+                     every="1 second", on_batch=lambda bid, n: rows.append(n))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sum(rows) == activity.dedicated_requests(raw).count()

@@ -95,3 +95,10 @@ def test_empty_write_reads_typed_empty(spark, root):
     assert staging.write(empty, root, "nothing") == 0
     back = staging.read(spark, root, "nothing")
     assert back.count() == 0 and dict(back.dtypes) == {"a": "int", "pool_name": "string"}
+
+
+def test_json_lines(spark):
+    import json
+    df = spark.createDataFrame([(1, "a", None)], "id int, name string, note string")
+    line = staging.to_json_lines(df).first().value
+    assert json.loads(line) == {"id": 1, "name": "a"}
