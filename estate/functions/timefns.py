@@ -12,10 +12,32 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_UNIT_MICROS = {"MICROSECOND": 1, "MILLISECOND": 1_000, "SECOND": 1_000_000,
+                "MINUTE": 60_000_000, "HOUR": 3_600_000_000, "DAY": 86_400_000_000,
+                "WEEK": 604_800_000_000}
+
+
+def _wall_micros_sql(c: str) -> str:
+    """Microseconds since 1970-01-01 00:00 of a wall-clock timestamp, from its
+    date and time fields only - no time zone is involved."""
+    c = f"`{c}`"
+    return (f"(CAST(datediff(to_date({c}), DATE'1970-01-01') AS BIGINT) * 86400000000"
+            f" + CAST(hour({c}) AS BIGINT) * 3600000000 + CAST(minute({c}) AS BIGINT) * 60000000"
+            f" + CAST(date_part('SECOND', {c}) * 1000000 AS BIGINT))")
+
+
 def whole_units(unit: str, start: Column | str, end: Column | str) -> Column:
-    """number of whole ``unit`` elapsed from start to end (truncated),
-    not the number of unit boundaries crossed."""
-    return F.timestamp_diff(unit.upper(), _col(start), _col(end))
+    """number of whole ``unit`` elapsed from start to end (truncated
+    toward zero), not the number of unit boundaries crossed.
+
+    For timestamps without time zone given by column name, the difference is
+    taken on the wall clock from date and time fields with integer division,
+    so it never depends on the session time zone (no DST gap can shift it).
+    Columns are passed to Spark's ``timestamp_diff``."""
+    unit = unit.upper()
+    if isinstance(start, str) and isinstance(end, str) and unit in _UNIT_MICROS:
+        return F.expr(f"({_wall_micros_sql(end)} - {_wall_micros_sql(start)}) div {_UNIT_MICROS[unit]}")
+    return F.timestamp_diff(unit, _col(start), _col(end))
 
 
 def run_stamp(ts: _dt.datetime | None = None) -> Column:
@@ -26,8 +48,9 @@ def run_stamp(ts: _dt.datetime | None = None) -> Column:
 
 
 def day_start(ts: Column | str) -> Column:
-    """Midnight of the timestamp's day, kept as timestamp without time zone."""
-    return F.date_trunc("day", _col(ts)).cast("timestamp_ntz")
+    """Midnight of the timestamp's day, as timestamp without time zone (via
+    the calendar date, so no session time zone is involved)."""
+    return F.to_date(_col(ts)).cast("timestamp_ntz")
 
 
 def local_date(ts_utc: Column | str, tz: str) -> Column:

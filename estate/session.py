@@ -12,8 +12,10 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every estate job relies on.  All are SQL confs that can be changed
-# on a running session, so they are applied to sessions we did not build too.
+# Settings of the sessions estate builds itself.  Nothing in the library
+# depends on them for correctness (timestamps are zone-free, writes pass their
+# overwrite mode as an option), so sessions handed in by a caller are left as
+# they are.
 SQL_CONFS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -43,6 +45,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def apply_confs(spark: SparkSession) -> None:
+    """Apply :data:`SQL_CONFS` to a session estate built."""
     for key, value in SQL_CONFS.items():
         spark.conf.set(key, value)
 

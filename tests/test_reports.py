@@ -49,3 +49,21 @@ def test_service_tiers_both_join_paths(spark):
     for bound in (100, 0):   # broadcast within the bound, shuffle join beyond it
         got = sorted(tuple(r) for r in analysis.service_tiers(obj, dbs, max_broadcast_rows=bound).collect())
         assert got == [("a", "DW", "DW100c"), ("b", "DW", "DW200c")]
+
+
+def test_whole_units_ignore_session_zone_and_dst(spark):
+    """Wall-clock differences of timestamps without time zone do not change
+    with the session zone, even across (or inside) a DST gap."""
+    rows = [(1, "p", dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 3, 10)),
+            (2, "p", dt.datetime(2024, 3, 10, 3, 30, 0, 1), dt.datetime(2024, 3, 10))]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.createDataFrame(rows, "request_id int, pool_name string, "
+                                             "start_time timestamp_ntz, extract_ts timestamp_ntz")
+            r = analysis.request_window(df).first()
+            assert (r.extract_window_minutes, r.extract_window_hours) == (60, 1), tz
+            assert r.extract_ts == dt.datetime(2024, 3, 10)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
