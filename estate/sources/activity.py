@@ -10,7 +10,6 @@ Catalyst sends them to the source; against Parquet they prune row groups.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from estate.functions.identity import hash_client, pseudonymise_logins
 from estate.functions.sqltext import classify, redact, statement_slice

@@ -188,14 +188,14 @@ def step_done(spark: SparkSession, root: str, dataset: str, partition: str | Non
 def pending_partitions(spark: SparkSession, root: str, dataset: str,
                        partitions: Iterable[str]) -> list[str]:
     """K3: which of the wanted ``key=value`` partitions have no finished step.
-    A left anti join of the wanted list (small, built on the driver) against
-    the step table."""
-    wanted = spark.createDataFrame([(p,) for p in partitions], "partition string")
-    done = (steps(spark, root)
-            .filter((F.col("dataset") == dataset) & (F.col("status") == "done"))
-            .select("partition"))
-    return [r.partition for r in wanted.join(done, "partition", "left_anti")
-            .orderBy("partition").collect()]
+    Only the done steps among the wanted ones are read back, so what reaches
+    the driver is bounded by the wanted list."""
+    wanted = list(partitions)
+    done = {r.partition for r in steps(spark, root)
+            .filter((F.col("dataset") == dataset) & (F.col("status") == "done")
+                    & F.col("partition").isin(wanted))
+            .select("partition").distinct().collect()}
+    return sorted(p for p in wanted if p not in done)
 
 
 def _mark_done(spark: SparkSession, root: str, dataset: str, partition: str | None,
