@@ -92,16 +92,23 @@ def _load_schema(spark: SparkSession, path: str) -> T.StructType | None:
 
 def write(df: DataFrame, root: str, dataset: str, mode: str = "append",
           partition_by: Sequence[str] = ("pool_name",), fmt: str = "parquet",
-          max_records_per_file: int = 5_000_000) -> int:
+          max_records_per_file: int = 5_000_000, rebalance: bool = True) -> int:
     """K1: write ``df`` under ``root/dataset`` partitioned by ``partition_by``
     and return the number of rows written.
 
     ``overwrite`` replaces only the partitions present in ``df`` (dynamic
-    partition overwrite); ``append`` adds files.  No repartition before the
-    write: every task writes its own rows, so a pool holding a third of the
-    data is written by all tasks in parallel; ``maxRecordsPerFile`` bounds
-    file size.
+    partition overwrite); ``append`` adds files.
+
+    ``rebalance`` (default) shuffles rows by the partition columns with the
+    ``rebalance`` hint: AQE then splits the shuffle partition of a pool that
+    holds a large share of the rows over several tasks and coalesces small
+    ones, so each pool folder gets a few well-sized files instead of one
+    file per input task.  ``rebalance=False`` skips the shuffle (every task
+    writes its own rows - more, smaller files).  ``maxRecordsPerFile`` bounds
+    file size either way.
     """
+    if rebalance and partition_by:
+        df = df.hint("rebalance", *partition_by)
     obs = Observation(f"write_{dataset}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     path = dataset_path(root, dataset)

@@ -102,3 +102,18 @@ def test_json_lines(spark):
     df = spark.createDataFrame([(1, "a", None)], "id int, name string, note string")
     line = staging.to_json_lines(df).first().value
     assert json.loads(line) == {"id": 1, "name": "a"}
+
+
+def test_rebalanced_write_keeps_few_files_per_pool(spark, root):
+    import os
+    df = spark.range(4000).select((F.col("id") % 3).cast("string").alias("pool_name"),
+                                  F.col("id")).repartition(16)
+    staging.write(df, root, "many")
+    staging.write(df, root, "raw", rebalance=False)
+
+    def files(ds):
+        base = os.path.join(root, ds)
+        return max(len([f for f in os.listdir(os.path.join(base, d)) if f.endswith(".parquet")])
+                   for d in os.listdir(base) if d.startswith("pool_name="))
+    assert files("many") <= 2 < files("raw")
+    assert staging.read(spark, root, "many").count() == 4000
