@@ -19,9 +19,10 @@ DEFAULT_EXCLUDED_DATABASES = ("default",)  # fixed value: default exclusion list
 
 def project(df: DataFrame, keep: Iterable[str] = (), remove: Iterable[str] = ()) -> DataFrame:
     """Keep a column when (keep is empty or its lower-cased name is in
-    keep) and its lower-cased name is not in remove; original order."""
-    keep = [k.lower() for k in keep]
-    remove = [r.lower() for r in remove]
+    keep) and its lower-cased name is not in remove; original order.  The
+    lists are used as given, so their entries are expected in lower case."""
+    keep = list(keep)
+    remove = list(remove)
     cols = [c for c in df.columns
             if (not keep or c.lower() in keep) and c.lower() not in remove]
     return df.select(*[F.col(f"`{c}`") for c in cols])

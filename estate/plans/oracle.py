@@ -219,11 +219,13 @@ FROM named""",
     "storage_by_node": r"""
 SELECT CAST(l_suppkey % 60 AS INTEGER) AS node_id,
        CAST((sum(l_orderkey) * 8) // 1024 AS BIGINT) AS ReservedSpaceMB,
-       CAST((sum(l_partkey) * 8) // 1024 AS BIGINT) AS UsedSpaceMB
+       CAST((sum(l_partkey) * 8) // 1024 AS BIGINT) AS UsedSpaceMB,
+       TIMESTAMP '2024-02-01 06:00:00' AS extract_ts
 FROM lineitem GROUP BY 1""",
 
     "service_tiers": _with(DATABASES, OBJECTIVES) + r"""
-SELECT d.name AS "Database", o.edition AS "Edition", o.service_objective AS "Service Objective"
+SELECT d.name AS "Database", o.edition AS "Edition", o.service_objective AS "Service Objective",
+       TIMESTAMP '2024-02-01 06:00:00' AS extract_ts
 FROM objectives o JOIN databases d ON o.database_id = d.database_id""",
 
     "databases_by_collation": _with(DATABASES) + r"""

@@ -56,12 +56,14 @@ def session_pseudonymise(spark, sf_dir):
 
 
 def storage_by_node(spark, sf_dir):
-    return analysis.storage_by_node(tables.partition_stats(spark, sf_dir))
+    """S12 = A1 + F9: storage per node with the extract stamp."""
+    return activity.stamp(analysis.storage_by_node(tables.partition_stats(spark, sf_dir)), RUN_TS)
 
 
 def service_tiers(spark, sf_dir):
-    return analysis.service_tiers(tables.service_objectives(spark, sf_dir),
-                                  tables.databases(spark, sf_dir))
+    """S13 = J1 + F9: service tier of every database with the extract stamp."""
+    return activity.stamp(analysis.service_tiers(tables.service_objectives(spark, sf_dir),
+                                                 tables.databases(spark, sf_dir)), RUN_TS)
 
 
 def databases_by_collation(spark, sf_dir):

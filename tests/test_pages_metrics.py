@@ -27,8 +27,10 @@ def test_chain_stops_at_null_token_gap_and_cap(spark):
 
 def test_flatten_keep_remove(spark):
     df = spark.createDataFrame([_page("a", 1, None, 3)], PAGE_SCHEMA)
-    out = pages.flatten(df, keep=["ID", "name"], remove=["name"])
+    out = pages.flatten(df, keep=["id", "name"], remove=["name"])
     assert out.columns == ["workspace_name", "dataset", "id"] and out.count() == 3
+    # entries are compared with lower-cased field names as given
+    assert pages.flatten(df, keep=["ID", "extra"]).columns == ["workspace_name", "dataset", "extra"]
     assert pages.read_listing(df, "pipelines", keep=[]).columns[-3:] == ["id", "name", "extra"]
 
 
