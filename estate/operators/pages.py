@@ -8,9 +8,10 @@ workspaces, datasets and days at once:
 * a chain (one listing request: workspace, dataset, day) is followed from
   page 1 while the previous page carried a continuation token, up to the
   page cap - the reference loop fetches at most ``max_pages + 1`` pages;
-* the end of each chain is a grouped minimum (first page without a token,
-  first page whose successor is missing), joined back - no window, so a
-  chain holding a third of all pages is still spread over all tasks;
+* the end of each chain comes from one grouped pass (first page without a
+  token, end of the consecutive page numbers from 1 - a set bounded by the
+  page cap), joined back - no window, so a chain holding a third of all
+  pages is still read by all tasks;
 * objects are flattened with ``explode`` and projected with keep / remove
   lists on their field names.
 """
@@ -51,24 +52,28 @@ def reachable_pages(pages: DataFrame, chain: Sequence[str] = CHAIN,
     Page 1 is always read; page ``k + 1`` is read when page ``k`` has a
     token and ``k <= max_pages``; a page missing from the dump ends the
     chain.  So a chain's last page is the smallest of: its first page
-    without a token, its first page whose successor is absent, and
-    ``max_pages + 1``.  Chains without a page 1 yield nothing.
+    without a token, the end of its run of consecutive page numbers from 1,
+    and ``max_pages + 1``.  Chains without a page 1 yield nothing.
+
+    One grouped pass finds every chain's end: only page numbers up to
+    ``max_pages + 1`` can be read, so each chain's set of them is bounded by
+    that fixed cap (5,001 integers by default), and the consecutive run is
+    the number of positions ``i`` where the sorted set holds ``i``.  The
+    per-chain ends are stored once and joined back (broadcast within the
+    row bound).
     """
     chain = list(chain)
-    keyed = pages.select(*chain, "page_no")
-    succ = keyed.select(*[F.col(c).alias(f"_s_{c}") for c in chain],
-                        (F.col("page_no") - 1).alias("_s_page_no"))
-    no_successor = keyed.join(succ, _null_safe(chain + ["page_no"], "_s_"), "left_anti")
-    gaps = no_successor.groupBy(*chain).agg(F.min("page_no").alias("_gap"))
-    firsts = (pages.groupBy(*chain)
-              .agg(F.min("page_no").alias("_first"),
-                   F.min(F.when(F.col("continuation_token").isNull(), F.col("page_no")))
-                   .alias("_tokless")))
-    gaps = gaps.select(*[F.col(c).alias(f"_g_{c}") for c in chain], "_gap")
-    ends = (firsts.join(gaps, _null_safe(chain, "_g_"), "inner")
-            .filter(F.col("_first") == 1)
+    readable = pages.filter(F.col("page_no").between(1, max_pages + 1))
+    per_chain = (readable.groupBy(*chain)
+                 .agg(F.min(F.when(F.col("continuation_token").isNull(), F.col("page_no")))
+                      .alias("_tokless"),
+                      F.array_sort(F.collect_set("page_no")).alias("_nums")))
+    run = F.size(F.filter(F.sequence(F.lit(1), F.size("_nums")),
+                          lambda i: F.element_at("_nums", i) == i))
+    ends = (per_chain
             .select(*[F.col(c).alias(f"_e_{c}") for c in chain],
-                    F.least("_tokless", "_gap", F.lit(max_pages + 1)).alias("_end")))  # skips nulls
+                    F.least("_tokless", run).alias("_end"))      # least skips a null
+            .filter(F.col("_end") >= 1))
     joined = join_small(pages, ends, _null_safe(chain, "_e_"), "inner", max_broadcast_rows,
                         materialize=True)
     return (joined.filter(F.col("page_no") <= F.col("_end"))
