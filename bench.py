@@ -5,6 +5,8 @@
 Each query is planned afresh and run to completion into Spark's ``noop``
 sink (every row is computed, nothing is collected): one warm-up run, then
 the median of ``BENCH_RUNS`` timed runs.  Prints one JSON line.
+``BENCH_EVENT_LOG=<folder>`` also writes Spark's event log there (see
+``tools/stage_times.py``).
 """
 
 from __future__ import annotations
@@ -36,7 +38,10 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="estate-bench")
+    event_dir = os.environ.get("BENCH_EVENT_LOG")      # optional: a scratch folder
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="estate-bench",
+                        extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir}
+                        if event_dir else None)
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
     timings = {}

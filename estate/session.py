@@ -26,7 +26,7 @@ SQL_CONFS = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "estate") -> SparkSession:
+                app_name: str = "estate", extra: dict | None = None) -> SparkSession:
     """Build (or fetch) a session with the settings estate relies on."""
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -37,7 +37,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in SQL_CONFS.items():
+    for key, value in {**SQL_CONFS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     apply_confs(spark)
