@@ -308,7 +308,7 @@ WHERE e.first_page = 1 AND i.page_no <= e.last_page""",
 SELECT concat('ws_', CAST(s_suppkey % 3 AS VARCHAR)) AS workspace_name,
        concat('/pools/', CAST(s_suppkey AS VARCHAR)) AS id,
        lower(replace(s_name, '#', '_')) AS name,
-       'Microsoft.Synapse/workspaces/sqlPools' AS type,
+       'warehouse/sqlPools' AS type,
        concat('region-', CAST(s_nationkey AS VARCHAR)) AS location,
        concat('DW', CAST((s_suppkey % 10 + 1) * 100 AS VARCHAR), 'c') AS sku_name,
        CAST(s_suppkey % 5 AS INTEGER) AS sku_capacity,

@@ -1,7 +1,7 @@
 """Catalog scans of SQL pools.
 
 Each function reads one catalog relation through :mod:`estate.sources.jdbc`
-and applies the profiler's projection, filter or redaction as DataFrame
+and applies the extract's projection, filter or redaction as DataFrame
 operations (pushed to the source where possible).  A serverless pool holds
 many databases; its scans are one per database, unioned.
 """

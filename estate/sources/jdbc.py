@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# fixed values: connection defaults of the profiler settings
+# fixed values: connection defaults of the extract settings
 LOGIN_TIMEOUT_S = 30
 FETCH_SIZE = 1000
 

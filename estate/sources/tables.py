@@ -180,7 +180,7 @@ def pool_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pool = F.struct(
         F.concat(F.lit("/pools/"), key.cast("string")).alias("id"),
         F.lower(F.regexp_replace("s_name", "#", "_")).alias("name"),
-        F.lit("Microsoft.Synapse/workspaces/sqlPools").alias("type"),
+        F.lit("warehouse/sqlPools").alias("type"),
         F.concat(F.lit("region-"), F.col("s_nationkey").cast("string")).alias("location"),
         F.struct(F.concat(F.lit("DW"), ((key % 10 + 1) * 100).cast("string"), F.lit("c")).alias("name"),
                  (key % 5).cast("int").alias("capacity")).alias("sku"),
