@@ -28,6 +28,26 @@ def project(df: DataFrame, keep: Iterable[str] = (), remove: Iterable[str] = ())
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
+def as_variant(df: DataFrame, *columns: str) -> DataFrame:
+    """Free-form JSON text columns (API properties whose shape varies) as
+    ``VARIANT`` values, queried with ``variant_get`` / ``:`` paths."""
+    present = [c for c in columns if c in df.columns]
+    return df.withColumns({c: F.parse_json(F.col(c)) for c in present}) if present else df
+
+
+def normalise_names(df: DataFrame) -> DataFrame:
+    """Lower-case top-level column names; names that then collide (differ
+    only by case) get ``_2``, ``_3`` ... in column order.  Staged data thus
+    never needs a case-sensitive session."""
+    seen: dict[str, int] = {}
+    cols = []
+    for c in df.columns:
+        low = c.lower()
+        seen[low] = seen.get(low, 0) + 1
+        cols.append(F.col(f"`{c}`").alias(low if seen[low] == 1 else f"{low}_{seen[low]}"))
+    return df.select(*cols)
+
+
 def user_sessions(df: DataFrame, login_col: str = "login_name") -> DataFrame:
     """Drop sessions whose lower-cased login contains 'system' (and,
     as in the source, sessions without a login)."""

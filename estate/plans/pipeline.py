@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from estate.functions.sqltext import redact
-from estate.operators import analysis, incremental, metrics, pages
+from estate.operators import analysis, filters, incremental, metrics, pages
 from estate.sources import activity, staging
 
 # fixed values: group folders of the staged layout
@@ -140,7 +140,8 @@ def run_all(spark: SparkSession, root: str, inputs: ProfileInputs,
         d = inputs.listing_dumps
         for dataset in pages.LISTINGS:
             out[dataset] = staging.write_step(
-                spark, ws, dataset, lambda ds=dataset: pages.read_listing(d, ds),
+                spark, ws, dataset,
+                lambda ds=dataset: filters.normalise_names(pages.read_listing(d, ds)),
                 partition_by=("workspace_name",))
     if inputs.metric_responses is not None:
         mon = os.path.join(root, METRICS)

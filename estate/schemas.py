@@ -56,3 +56,17 @@ PIPELINE_RUN = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("last_updated", T.TimestampNTZType()),
 ])
+
+
+WORKSPACE_INFO = T.StructType([
+    T.StructField("id", T.StringType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("type", T.StringType()),
+    T.StructField("workspace_uid", T.StringType()),
+    T.StructField("location", T.StringType()),
+    T.StructField("provisioning_state", T.StringType()),
+    T.StructField("default_data_lake_storage", T.StringType()),        # JSON text
+    T.StructField("workspace_repository_configuration", T.StringType()),  # JSON text
+    T.StructField("purview_configuration", T.StringType()),            # JSON text
+    T.StructField("extra_properties", T.StringType()),                 # JSON text
+])

@@ -89,3 +89,18 @@ def test_json_dumps_roundtrip_through_operators(spark, root):
     dumps.write_dump(resp, f"{root}/metrics")
     got = metrics.flatten(dumps.read_metric_responses(spark, f"{root}/metrics"))
     assert got.count() == metrics.flatten(resp).count()
+
+
+def test_variant_properties_and_case_collisions(spark):
+    df = spark.createDataFrame([("w1", '{"tier": 3, "tags": ["a"]}')], "id string, extra_properties string")
+    v = filters.as_variant(df, "extra_properties", "absent")
+    assert dict(v.dtypes)["extra_properties"] == "variant"
+    assert v.select(F.expr("variant_get(extra_properties, '$.tier', 'int')").alias("t")).first().t == 3
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        clash = spark.createDataFrame([(1, 2, 3)], "`Name` int, `name` int, `Other` int")
+        out = filters.normalise_names(clash)
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", "false")
+    assert out.columns == ["name", "name_2", "other"]
+    assert tuple(out.first()) == (1, 2, 3)
