@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from estate.operators.analysis import dataset_profile
 from estate.sources import staging
 
 # fixed values: category name -> folder of the staged group
@@ -62,3 +63,19 @@ def register_views(spark: SparkSession, workspace_root: str, schema: str,
                 spark.sql(f"ALTER TABLE `{schema}`.`{name}` RECOVER PARTITIONS")
             made.append(f"{schema}.{name}")
     return made
+
+
+def profile_staged(spark: SparkSession, workspace_root: str,
+                   categories: dict[str, str] | None = None) -> DataFrame | None:
+    """K6 over staged data: the row count of every staged dataset, named
+    ``<category>_<dataset>`` like the analyzer relations (counts come from
+    Parquet footers where no filter applies).  ``None`` when nothing is
+    staged."""
+    frames = {}
+    for category, folder in (categories or CATEGORIES).items():
+        group_root = os.path.join(workspace_root, folder)
+        for dataset in _list_dirs(spark, group_root):
+            df = staging.read(spark, group_root, dataset)
+            if df is not None:
+                frames[f"{category}_{dataset}".replace("-", "_")] = df
+    return dataset_profile(frames) if frames else None

@@ -117,3 +117,11 @@ def test_rebalanced_write_keeps_few_files_per_pool(spark, root):
                    for d in os.listdir(base) if d.startswith("pool_name="))
     assert files("many") <= 2 < files("raw")
     assert staging.read(spark, root, "many").count() == 4000
+
+
+def test_profile_staged(spark, root):
+    staging.write(_rows(spark), f"{root}/sqlpools-dedicated", "session_requests")
+    staging.write(_rows(spark).limit(1), f"{root}/sqlpools-serverless", "sessions")
+    got = {r.dataset: r.row_count for r in catalog.profile_staged(spark, root).collect()}
+    assert got == {"dedicated_session_requests": 3, "serverless_sessions": 1}
+    assert catalog.profile_staged(spark, f"{root}/nothing") is None
