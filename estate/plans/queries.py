@@ -36,22 +36,29 @@ def request_window(spark, sf_dir):
 
 
 def latest_request_window(spark, sf_dir):
+    """O2: the request window of the latest extract, first pool."""
     return analysis.latest_request_window(staged_requests(spark, sf_dir))
 
 
 def command_classify(spark, sf_dir):
+    """S10 (P4 + F1-F4): started requests with comments stripped and the
+    statement words and type added."""
     return staged_requests(spark, sf_dir)
 
 
 def redacted_requests(spark, sf_dir):
+    """S10 + F10: as ``command_classify`` with the command text redacted
+    after classification."""
     return staged_requests(spark, sf_dir, redact_text=True)
 
 
 def command_mix(spark, sf_dir):
+    """Statement mix: requests per pool and statement type."""
     return analysis.command_mix(staged_requests(spark, sf_dir))
 
 
 def session_pseudonymise(spark, sf_dir):
+    """S9 (P3 + F5-F9): user sessions with pseudonymised login and client."""
     return activity.dedicated_sessions(tables.sessions(spark, sf_dir), run_ts=RUN_TS)
 
 
@@ -67,10 +74,12 @@ def service_tiers(spark, sf_dir):
 
 
 def databases_by_collation(spark, sf_dir):
+    """A5: databases in scope with their collation and its group size."""
     return analysis.databases_by_collation(databases_in_scope(spark, sf_dir))
 
 
 def databases_in_scope(spark, sf_dir):
+    """S4 + P2 + P7: databases without 'master' and the default exclusions."""
     dbs = filters.not_master(tables.databases(spark, sf_dir))
     return filters.in_scope(dbs, "name", exclude=filters.DEFAULT_EXCLUDED_DATABASES)
 
