@@ -27,11 +27,10 @@ CATEGORIES = {
 
 
 def _list_dirs(spark: SparkSession, path: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jpath):
+    h = staging._fs(spark, path)
+    if h is None or not h[0].exists(h[1]):
         return []
+    fs, jpath = h
     return sorted(st.getPath().getName() for st in fs.listStatus(jpath)
                   if st.isDirectory() and not st.getPath().getName().startswith(("_", ".")))
 

@@ -57,12 +57,17 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     dir).  Only when neither is set - local tests - is a fresh folder created
     and registered as the checkpoint dir, so that ``checkpoint()`` works too.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:        # Spark Connect client: no context; the conf must name the folder
+        sc = None
+    if sc is not None:
+        root = root or sc.getCheckpointDir()
     if not root:
         # Local runs only: the cluster always names a shared folder.
         root = tempfile.mkdtemp(prefix="estate-ckpt-", dir="/tmp")
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return os.path.join(root, *parts) if parts else root
 
