@@ -133,14 +133,21 @@ GROUP BY extract_ts, pool_name"""
 
 
 def _incremental(scope: str, earlier: str) -> str:
-    key = "pool_name" if scope == "key" else "1"
-    join = "LEFT JOIN marks m USING (pool_name)" if scope == "key" else "CROSS JOIN marks m"
+    cols = ", ".join("c." + x.strip() for x in CLASSIFIED_COLS.split(","))
+    if scope == "key":
+        later = f"""later AS (SELECT {cols}
+          FROM classified c LEFT JOIN marks m ON c.pool_name = m.k
+          WHERE m.mark IS NULL OR c.end_time > m.mark)"""
+        marks = "marks AS (SELECT pool_name AS k, max(end_time) AS mark FROM earlier GROUP BY pool_name),"
+    else:   # one mark over all pools, as a scalar subquery
+        later = f"""later AS (SELECT {cols} FROM classified c
+          WHERE (SELECT max(end_time) FROM earlier) IS NULL
+             OR c.end_time > (SELECT max(end_time) FROM earlier))"""
+        marks = ""
     return _with(REQUESTS, CLASSIFIED) + f""",
 earlier AS (SELECT {CLASSIFIED_COLS} FROM classified WHERE {earlier}),
-marks AS (SELECT {key} AS k, max(end_time) AS mark FROM earlier GROUP BY {key}),
-later AS (SELECT {', '.join('c.' + x.strip() for x in CLASSIFIED_COLS.split(','))}
-          FROM classified c {join.replace('USING (pool_name)', 'ON c.pool_name = m.k')}
-          WHERE m.mark IS NULL OR c.end_time > m.mark)
+{marks}
+{later}
 SELECT * FROM earlier UNION ALL SELECT * FROM later"""
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estate.operators import analysis, filters, incremental, metrics, pages
-from estate.plans import catalog, pipeline
+from estate.plans import catalog, run
 from estate.session import fresh_root
 from estate.sources import activity, catalog_scans, jdbc, staging, tables
 from estate.streaming import incremental as stream_inc
@@ -286,9 +286,9 @@ def multi_workspace_window(spark, sf_dir):
     request window per workspace, extract and pool from the staged data."""
     root = fresh_root(spark, "multi")
     raw = tables.requests(spark, sf_dir, with_workspace=True)
-    pipeline.run_all(spark, root, pipeline.ProfileInputs(requests=_earlier_run(raw)))
-    pipeline.run_all(spark, root, pipeline.ProfileInputs(requests=raw))
-    staged = staging.read(spark, os.path.join(root, pipeline.DEDICATED), "session_requests")
+    run.run_all(spark, root, run.ProfileInputs(requests=_earlier_run(raw)))
+    run.run_all(spark, root, run.ProfileInputs(requests=raw))
+    staged = staging.read(spark, os.path.join(root, run.DEDICATED), "session_requests")
     return analysis.request_window(staged, by=("workspace_name", "pool_name"))
 
 

@@ -3,7 +3,7 @@ re-replaces snapshots; serverless and dedicated groups side by side."""
 
 from pyspark.sql import functions as F
 
-from estate.plans import catalog, pipeline
+from estate.plans import catalog, run
 from estate.sources import staging, tables
 
 from conftest import SF_SMALL
@@ -19,18 +19,18 @@ def test_run_all_twice(spark, root):
     srv = _ws(tables.sessions(spark, SF_SMALL, serverless=True), "session_id")
     stats = (_ws(tables.partition_stats(spark, SF_SMALL), "pdw_node_id")
              .withColumn("pool_name", F.lit("pool_0")))
-    inputs = pipeline.ProfileInputs(requests=reqs, sessions=sess, serverless_sessions=srv,
+    inputs = run.ProfileInputs(requests=reqs, sessions=sess, serverless_sessions=srv,
                                     partition_stats=stats)
-    first = pipeline.run_all(spark, root, inputs)
+    first = run.run_all(spark, root, inputs)
     assert first["session_requests"] > 0 and first["sessions"] > 0
     assert first["serverless_sessions"] > 0 and first["storage_info"] > 0
-    again = pipeline.run_all(spark, root, inputs)
+    again = run.run_all(spark, root, inputs)
     assert again["session_requests"] == 0 and again["sessions"] == 0
     assert again["serverless_sessions"] == 0
-    ded = f"{root}/{pipeline.DEDICATED}"
+    ded = f"{root}/{run.DEDICATED}"
     staged = staging.read(spark, ded, "session_requests")
     assert staged.select("workspace_name").distinct().count() == 3
     assert staging.read(spark, ded, "storage_info").count() == first["storage_info"]
-    made = catalog.register_views(spark, root, "estate_pipeline_test")
-    assert "estate_pipeline_test.serverless_sessions" in made
-    assert "estate_pipeline_test.dedicated_storage_info" in made
+    made = catalog.register_views(spark, root, "estate_run_test")
+    assert "estate_run_test.serverless_sessions" in made
+    assert "estate_run_test.dedicated_storage_info" in made
