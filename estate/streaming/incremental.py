@@ -8,7 +8,10 @@ checkpoint remembers them), and ``foreachBatch`` stages every micro-batch's
 rows that lie above the per-pool high-water mark of what is already staged.
 
 The checkpoint and the staged data live in shared storage, so a restarted
-driver or a lost executor resumes from the last committed batch.
+driver or a lost executor resumes from the last committed batch.  A batch
+that is replayed after it already staged its rows (failure between the write
+and the checkpoint commit) recomputes the marks from the staged data and
+appends nothing: the mark makes the sink idempotent.
 """
 
 from __future__ import annotations

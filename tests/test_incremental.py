@@ -92,3 +92,10 @@ def test_stream_with_processing_time_trigger(spark, root):
     finally:
         q.stop()
     assert sum(rows) == activity.dedicated_requests(raw).count()
+
+
+def test_replayed_batch_appends_nothing(spark, root):
+    raw = _raw(spark)
+    first = stage_new_rows(spark, raw, root, "session_requests", "end_time")
+    replay = stage_new_rows(spark, raw, root, "session_requests", "end_time")
+    assert first == raw.count() and replay == 0
