@@ -99,3 +99,18 @@ def test_replayed_batch_appends_nothing(spark, root):
     first = stage_new_rows(spark, raw, root, "session_requests", "end_time")
     replay = stage_new_rows(spark, raw, root, "session_requests", "end_time")
     assert first == raw.count() and replay == 0
+
+
+def test_serverless_activity_filters(spark):
+    """Stamp only, or the strict mark on their column."""
+    rows = [(1, "built-in", dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 11)),
+            (2, "built-in", dt.datetime(2024, 1, 2, 10), dt.datetime(2024, 1, 2, 11))]
+    df = spark.createDataFrame(rows, "id long, pool_name string, start_time timestamp_ntz, "
+                                     "end_time timestamp_ntz")
+    marks = incremental.high_water(df.filter("id = 1"), "end_time")
+    assert [r.id for r in activity.requests_history(df, marks).collect()] == [2]
+    marks = incremental.high_water(df.filter("id = 1"), "start_time")
+    assert [r.id for r in activity.serverless_requests(df, marks).collect()] == [2]
+    assert activity.data_processed(df).count() == 2
+    stamped = activity.dedicated_query_stats(df, dt.datetime(2024, 2, 1))
+    assert {r.extract_ts for r in stamped.collect()} == {dt.datetime(2024, 2, 1)}

@@ -104,3 +104,8 @@ def test_variant_properties_and_case_collisions(spark):
         spark.conf.set("spark.sql.caseSensitive", "false")
     assert out.columns == ["name", "name_2", "other"]
     assert tuple(out.first()) == (1, 2, 3)
+
+
+def test_first_page_only(spark):
+    df = spark.createDataFrame([_page("a", 1, "t", 2), _page("a", 2, None, 3)], PAGE_SCHEMA)
+    assert pages.first_page(df, "pipelines").count() == 2
