@@ -430,3 +430,5 @@ FROM typed""",
 ORACLE["runs_staged"] = ORACLE["runs_by_day"]
 ORACLE["incremental_late"] = _late(
     "day(start_time) < 5 + 5 * CAST(substr(pool_name, 6, 3) AS INTEGER)", "10 MINUTE")
+
+ORACLE["staged_listings"] = ORACLE["listing_flatten"]

@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from estate.operators import analysis, filters, incremental, metrics, pages
 from estate.plans import catalog, run
 from estate.session import fresh_root
-from estate.sources import activity, catalog_scans, jdbc, staging, tables
+from estate import schemas
+from estate.sources import activity, catalog_scans, dumps, jdbc, staging, tables
 from estate.streaming import incremental as stream_inc
 
 # Fixed extract time used where a query stamps rows (F9), so that results
@@ -226,6 +227,23 @@ def incremental_late(spark, sf_dir):
                                    ["request_id"], "end_time")
 
 
+def staged_listings(spark, sf_dir):
+    """S24 + S38 + S39 + K2 from dump files: the pool listing is dumped as JSON
+    lines, read back with its declared schema, staged by the profile run as
+    a restartable step (chain cut, flatten, keep-list, names normalised) and
+    read from the staged folder."""
+    root = fresh_root(spark, "listings")
+    dump_dir = os.path.join(root, "_dumps", "sql_pools")
+    dumps.write_dump(tables.pool_pages(spark, sf_dir), dump_dir)
+    listing = dumps.read_pages(spark, dump_dir, schemas.SQL_POOL)
+    run.run_all(spark, root, run.ProfileInputs(listing_dumps=listing))
+    pools = staging.read(spark, os.path.join(root, run.WORKSPACE), "sql_pools")
+    return pools.select("workspace_name", "id", "name", "type", "location",
+                        F.col("sku.name").alias("sku_name"),
+                        F.col("sku.capacity").alias("sku_capacity"),
+                        "provisioning_state", "status", "creation_date")
+
+
 def _round(df, digits=4):
     return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c)
                        for c, t in df.dtypes])
@@ -330,4 +348,5 @@ QUERIES = {
     "serverless_sessions": serverless_sessions,
     "runs_staged": runs_staged,
     "incremental_late": incremental_late,
+    "staged_listings": staged_listings,
 }

@@ -30,6 +30,13 @@ SERVERLESS = "sqlpools-serverless"
 WORKSPACE = "workspace"
 METRICS = "monitoring_metrics"
 
+# fixed values: staged metric datasets and their partition columns
+METRIC_DATASETS = {
+    "workspace_level_metrics": ("workspace_name",),
+    "dedicated_sql_pool_metrics": ("workspace_name", "pool_name"),
+    "spark_pool_metrics": ("workspace_name", "pool_name"),
+}
+
 BY_POOL = ("workspace_name", "pool_name")
 KEYS = ["workspace_name", "pool_name"]
 
@@ -52,7 +59,8 @@ class ProfileInputs:
     databases: DataFrame | None = None
     # workspace API dumps
     listing_dumps: DataFrame | None = None
-    metric_responses: DataFrame | None = None
+    # metric dataset name -> dumped responses; names as in METRIC_DATASETS
+    metric_responses: dict[str, DataFrame] = field(default_factory=dict)
 
 
 @dataclass
@@ -138,15 +146,19 @@ def run_all(spark: SparkSession, root: str, inputs: ProfileInputs,
     if inputs.listing_dumps is not None:
         ws = os.path.join(root, WORKSPACE)
         d = inputs.listing_dumps
-        for dataset in pages.LISTINGS:
+        # which listings were dumped: at most one row per known dataset
+        present = {r.dataset for r in d.select("dataset").distinct()
+                   .limit(len(pages.LISTINGS) + len(pages.RUN_LISTINGS) + 1).collect()}
+        for dataset in [x for x in pages.LISTINGS if x in present]:
             out[dataset] = staging.write_step(
                 spark, ws, dataset,
                 lambda ds=dataset: filters.normalise_names(pages.read_listing(d, ds)),
                 partition_by=("workspace_name",))
-    if inputs.metric_responses is not None:
-        mon = os.path.join(root, METRICS)
-        out["metrics"] = staging.write_step(
-            spark, mon, "dedicated_sql_pool_metrics",
-            lambda: metrics.flatten(inputs.metric_responses, carry=BY_POOL + ("resource_id",)),
-            partition_by=BY_POOL)
+    mon = os.path.join(root, METRICS)
+    for dataset, responses in inputs.metric_responses.items():
+        by = METRIC_DATASETS[dataset]
+        out[dataset] = staging.write_step(
+            spark, mon, dataset,
+            lambda r=responses, b=by: metrics.flatten(r, carry=b + ("resource_id",)),
+            partition_by=by)
     return out

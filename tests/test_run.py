@@ -34,3 +34,17 @@ def test_run_all_twice(spark, root):
     made = catalog.register_views(spark, root, "estate_run_test")
     assert "estate_run_test.serverless_sessions" in made
     assert "estate_run_test.dedicated_storage_info" in made
+
+
+def test_run_all_stages_metric_datasets(spark, root):
+    resp = (tables.metric_responses(spark, SF_SMALL)
+            .withColumn("workspace_name", F.lit("ws_0"))
+            .withColumn("pool_name", F.regexp_extract("resource_id", "(pool_[0-9]+)", 1)))
+    out = run.run_all(spark, root, run.ProfileInputs(metric_responses={
+        "dedicated_sql_pool_metrics": resp, "workspace_level_metrics": resp}))
+    assert out["dedicated_sql_pool_metrics"] == out["workspace_level_metrics"] > 0
+    again = run.run_all(spark, root, run.ProfileInputs(metric_responses={
+        "dedicated_sql_pool_metrics": resp}))
+    assert again["dedicated_sql_pool_metrics"] is None          # step already done
+    made = catalog.register_views(spark, root, "estate_metrics_test")
+    assert "estate_metrics_test.metrics_dedicated_sql_pool_metrics" in made
