@@ -271,7 +271,8 @@ def _rollup(where: str, grain: str) -> str:
     return _with(POINTS) + f""",
 sel AS (SELECT * FROM points WHERE {where})
 SELECT resource_id, name, time_bucket(INTERVAL '{grain}', ts) AS "timestamp",
-       round(avg(value), 4) AS average, round(CAST(count(value) AS DOUBLE), 4) AS "count",
+       round(sum(value), 4) / CAST(count(value) AS DOUBLE) AS average,
+       CAST(count(value) AS DOUBLE) AS "count",
        round(max(value), 4) AS maximum, round(min(value), 4) AS minimum,
        round(sum(value), 4) AS total
 FROM sel

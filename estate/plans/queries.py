@@ -244,24 +244,33 @@ def staged_listings(spark, sf_dir):
                         "provisioning_state", "status", "creation_date")
 
 
-def _round(df, digits=4):
-    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c)
-                       for c, t in df.dtypes])
+def _report(points, digits=4):
+    """Metric points as reported: extremes and totals rounded to ``digits``
+    decimals, and the average derived from the rounded total
+    (``total / count``), so the three agree with each other and a value
+    lying exactly between two roundings cannot flip."""
+    total = F.round("total", digits)
+    return points.select(
+        *[c for c in points.columns if c not in ("average", "maximum", "minimum", "total")],
+        (total / F.col("count")).alias("average"),
+        F.round("maximum", digits).alias("maximum"),
+        F.round("minimum", digits).alias("minimum"),
+        total.alias("total"))
 
 
 def metric_flatten(spark, sf_dir):
     """Flatten dumped metric responses to one row per point."""
-    return _round(metrics.flatten(tables.metric_responses(spark, sf_dir)))
+    return _report(metrics.flatten(tables.metric_responses(spark, sf_dir)))
 
 
 def metric_rollup_15m(spark, sf_dir):
     """S41 + A6 + P12: dedicated-pool metrics, 90 days, 15-minute grain."""
-    return _round(metrics.profile(tables.metric_points(spark, sf_dir), "dedicated"))
+    return _report(metrics.profile(tables.metric_points(spark, sf_dir), "dedicated"))
 
 
 def metric_rollup_1h(spark, sf_dir):
     """S43 + A6 + P12: workspace metrics, 90 days, 1-hour grain."""
-    return _round(metrics.profile(tables.metric_points(spark, sf_dir), "workspace"))
+    return _report(metrics.profile(tables.metric_points(spark, sf_dir), "workspace"))
 
 
 def metric_coarsen(spark, sf_dir):
@@ -269,7 +278,7 @@ def metric_coarsen(spark, sf_dir):
     responses and rolled up to the hour."""
     pts = metrics.flatten(tables.metric_responses(spark, sf_dir))
     pts = pts.filter(F.col("name").isin(*metrics.SPARK_POOL_METRICS))
-    return _round(metrics.coarsen(pts, "1 hour"))
+    return _report(metrics.coarsen(pts, "1 hour"))
 
 
 def union_databases(spark, sf_dir):
