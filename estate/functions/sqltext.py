@@ -40,7 +40,13 @@ _LINE_COMMENT = r"(?dm)^" + LINE_BLANKS + r"*--.*"
 
 # First word anywhere; word + blanks + next token (not blank, comma or dot).
 _FIRST_WORD = r"(\w+)"
-_SECOND_WORD = r"(\w+)\s+([^\s,.]+)"
+SECOND_WORD_PATTERN = r"(\w+)\s+([^\s,.]+)"      # fixed value: the statement's pattern
+# Same matches, linear time: a match that starts inside a run of word
+# characters implies one at the run's start, which is leftmost, so starts
+# after a word character can be skipped.  Without the lookbehind a long
+# word (a blob without blanks) is rescanned from each of its positions -
+# quadratic in its length.
+_SECOND_WORD = r"(?<!\w)" + SECOND_WORD_PATTERN
 
 
 def strip_comments(c: Column | str) -> Column:

@@ -101,3 +101,20 @@ def test_comment_strip_is_native(spark):
     df = spark.range(3).select(F.lit("-- a\nselect").alias("c"))
     plan = df.select(strip_comments("c"))._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_second_word_lookbehind_is_equivalent_and_linear(spark):
+    import random
+    import time
+
+    from estate.functions.sqltext import SECOND_WORD_PATTERN, second_word
+    rng = random.Random(11)
+    alphabet = list("ab_9 ,.\\t\\n(;") + ["TRAN", "é"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 16))) for _ in range(20000)]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    plain = F.upper(F.regexp_extract("c", SECOND_WORD_PATTERN, 2))
+    assert df.filter(second_word("c") != plain).count() == 0
+    long_word = spark.createDataFrame([("x" * 200_000 + " y",), ("z" * 200_000,)], "c string")
+    t0 = time.time()
+    got = [r.w for r in long_word.select(second_word("c").alias("w")).collect()]
+    assert got == ["Y", ""] and time.time() - t0 < 30
