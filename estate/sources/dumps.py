@@ -13,20 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from estate import schemas
+from estate.sources.staging import TEXT_TIME_OPTIONS
 
 
 def read_pages(spark: SparkSession, path: str, item: T.StructType) -> DataFrame:
     """Page dumps (JSON lines) whose objects have schema ``item``."""
     return (spark.read.schema(schemas.page_dump(item))
-            .option("mode", "FAILFAST")
-            .json(path))
+            .option("mode", "FAILFAST").json(path))
 
 
 def read_metric_responses(spark: SparkSession, path: str) -> DataFrame:
     """Metric-response dumps (JSON lines)."""
-    return spark.read.schema(schemas.METRIC_RESPONSE).option("mode", "FAILFAST").json(path)
+    return (spark.read.schema(schemas.METRIC_RESPONSE)
+            .option("mode", "FAILFAST").json(path))
 
 
 def write_dump(df: DataFrame, path: str) -> None:
     """Store pages or responses as JSON lines (the dump format)."""
-    df.write.mode("append").json(path)
+    df.write.mode("append").options(**TEXT_TIME_OPTIONS).json(path)

@@ -41,6 +41,17 @@ def dataset_path(root: str, dataset: str) -> str:
 
 SCHEMA_FILE = "_estate_schema.json"
 
+# Text formats are written with microseconds (Spark's JSON default writes
+# milliseconds); reading needs no pattern.
+TEXT_TIME_OPTIONS = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+
+def _format_options(fmt: str) -> dict[str, str]:
+    return TEXT_TIME_OPTIONS if fmt in ("json", "csv") else {}
+
 
 def _fs(spark: SparkSession, path: str):
     """(Hadoop FileSystem, Path) for ``path``; ``None`` when the session has
@@ -115,6 +126,7 @@ def write(df: DataFrame, root: str, dataset: str, mode: str = "append",
     (observed.write
      .mode(mode)
      .format(fmt)
+     .options(**_format_options(fmt))
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*partition_by)
@@ -152,6 +164,7 @@ def read(spark: SparkSession, root: str, dataset: str, schema: T.StructType | No
             T.StructField(f.name, types.get(f.name, T.StringType()), True)
             if f.name in part_cols else f
             for f in probe.fields])
+    # Reads keep Spark's lenient ISO-8601 parsing (any fraction, zones).
     return spark.read.schema(schema).format(fmt).load(path)
 
 

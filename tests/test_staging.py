@@ -125,3 +125,10 @@ def test_profile_staged(spark, root):
     got = {r.dataset: r.row_count for r in catalog.profile_staged(spark, root).collect()}
     assert got == {"dedicated_session_requests": 3, "serverless_sessions": 1}
     assert catalog.profile_staged(spark, f"{root}/nothing") is None
+
+
+def test_json_keeps_microseconds(spark, root):
+    t = dt.datetime(2024, 1, 1, 10, 0, 0, 123456)
+    df = spark.createDataFrame([(1, "p", t)], "id int, pool_name string, t timestamp_ntz")
+    staging.write(df, root, "j", fmt="json")
+    assert staging.read(spark, root, "j", fmt="json").first().t == t
