@@ -132,3 +132,15 @@ def test_json_keeps_microseconds(spark, root):
     df = spark.createDataFrame([(1, "p", t)], "id int, pool_name string, t timestamp_ntz")
     staging.write(df, root, "j", fmt="json")
     assert staging.read(spark, root, "j", fmt="json").first().t == t
+
+
+def test_json_keeps_binary_and_decimal_types(spark, root):
+    from decimal import Decimal
+    df = spark.createDataFrame([(bytearray(b"\x01\x02\xff"), Decimal("12.345"), "p")],
+                               "sql_handle binary, amount decimal(10,3), pool_name string")
+    staging.write(df, root, "typed", fmt="json")
+    back = staging.read(spark, root, "typed", fmt="json")
+    assert dict(back.dtypes) == {"sql_handle": "binary", "amount": "decimal(10,3)",
+                                 "pool_name": "string"}
+    r = back.first()
+    assert (bytes(r.sql_handle), r.amount) == (b"\x01\x02\xff", Decimal("12.345"))
