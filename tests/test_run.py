@@ -48,3 +48,16 @@ def test_run_all_stages_metric_datasets(spark, root):
     assert again["dedicated_sql_pool_metrics"] is None          # step already done
     made = catalog.register_views(spark, root, "estate_metrics_test")
     assert "estate_metrics_test.metrics_dedicated_sql_pool_metrics" in made
+
+
+def test_catalog_snapshots_replace_only_their_pool(spark, root):
+    def views(pool, n):
+        return spark.createDataFrame([("ws_0", pool, f"v{i}", f"select {i}") for i in range(n)],
+                                     "workspace_name string, pool_name string, table_name string, "
+                                     "view_definition string")
+    run.run_all(spark, root, run.ProfileInputs(catalog={"views": views("p1", 3).unionByName(views("p2", 2))}))
+    settings = run.ProfileSettings(redact_sql_text=True)
+    run.run_all(spark, root, run.ProfileInputs(catalog={"views": views("p1", 1)}), settings)
+    got = staging.read(spark, f"{root}/{run.DEDICATED}", "views")
+    rows = sorted((r.pool_name, r.table_name, r.view_definition) for r in got.collect())
+    assert rows == [("p1", "v0", "[REDACTED]"), ("p2", "v0", "select 0"), ("p2", "v1", "select 1")]
