@@ -118,3 +118,24 @@ def test_second_word_lookbehind_is_equivalent_and_linear(spark):
     t0 = time.time()
     got = [r.w for r in long_word.select(second_word("c").alias("w")).collect()]
     assert got == ["Y", ""] and time.time() - t0 < 30
+
+
+def _strip_rule(text):
+    """F1 stated directly in Python: drop each block comment up to the first
+    closing mark, then blank every newline-separated line whose first
+    non-blank characters are '--' (Python's Unicode whitespace)."""
+    import re
+    text = re.sub(r"/\*.*?\*/", "", text, flags=re.S)
+    return "\n".join("" if re.match(r"\s*--", line) else line for line in text.split("\n"))
+
+
+def test_strip_comments_matches_the_rule_on_random_text(spark):
+    import random
+    rng = random.Random(5)
+    alphabet = ["/", "*", "-", "\n", "\r", " ", "\t", "a", "'", ";", "\u00a0", "\u2028",
+                "\x1c", "\x85", "\u3000", "\x0b", "--", "/*", "*/"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 24))) for _ in range(20000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, c string")
+    got = dict(df.select("i", strip_comments("c").alias("o")).collect())
+    bad = [(t, got[i], _strip_rule(t)) for i, t in enumerate(texts) if got[i] != _strip_rule(t)]
+    assert not bad, bad[:3]
