@@ -357,7 +357,7 @@ FROM part""",
 
     "query_statements": r"""
 WITH stats AS (
-  SELECT doc_id AS sql_handle,
+  SELECT CASE WHEN quality = 0 THEN -doc_id - 1 ELSE doc_id END AS sql_handle,
          CAST(2 * (doc_id % 10) AS INTEGER) AS statement_start_offset,
          CAST(CASE WHEN toxic = 1 THEN -1 ELSE 2 * (doc_id % 10 + 20) END AS INTEGER)
            AS statement_end_offset,

@@ -146,8 +146,8 @@ def service_objectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dumped listing pages (from part): three workspaces, parts spread over
     them by key; page ``n`` of a workspace holds the parts with key in
-    ``[60(n-1), 60n)`` - at most 20.  Every page carries a continuation
-    token except page 30 of each chain."""
+    ``[60(n-1), 60n)`` - at most 20.  Pages 30, 70, 110, ... carry no
+    continuation token, so a chain ends at page 30 at the latest."""
     p = table(spark, sf_dir, "part")
     key = F.col("p_partkey")
     item = F.struct(
@@ -241,11 +241,12 @@ def metric_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def statement_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query statistics (one per label row): sql_handle, offsets, last
-    execution time.  Some handles have no text row."""
+    execution time.  Rows of low-quality labels point at a handle that has
+    no batch text (a negative id), as statistics of evicted plans do."""
     lb = table(spark, sf_dir, "labels")
     d = F.col("doc_id")
     return lb.select(
-        d.alias("sql_handle"),
+        F.when(F.col("quality") == 0, -d - 1).otherwise(d).alias("sql_handle"),
         (2 * (d % 10)).cast("int").alias("statement_start_offset"),
         F.when(F.col("toxic") == 1, F.lit(-1)).otherwise(2 * (d % 10 + 20)).cast("int")
         .alias("statement_end_offset"),
