@@ -308,9 +308,10 @@ def dataset_profile(spark, sf_dir):
 
 
 def multi_workspace_window(spark, sf_dir):
-    """U3 + T1 + A2: three workspaces profiled in one job, twice (an earlier
-    run, then a full one appending above each workspace-pool mark), then the
-    request window per workspace, extract and pool from the staged data."""
+    """U3 + T1 + A2: three workspaces profiled together by one profile run,
+    twice (an earlier run, then a full one appending above each
+    workspace-pool mark), then the request window per workspace, extract and
+    pool from the staged data."""
     root = fresh_root(spark, "multi")
     raw = tables.requests(spark, sf_dir, with_workspace=True)
     run.run_all(spark, root, run.ProfileInputs(requests=_earlier_run(raw)))
