@@ -197,7 +197,7 @@ def runs_by_day(spark, sf_dir):
 
 def runs_staged(spark, sf_dir):
     """S35 + P10 + K3: the 59 run-history days staged as restartable day
-    partitions in one job; a second run finds every day done and writes
+    partitions in one write; a second run finds every day done and writes
     nothing; the staged runs are read back."""
     root = fresh_root(spark, "runs")
     runs = filters.day_partitions(tables.pipeline_runs(spark, sf_dir), "last_updated",

@@ -246,7 +246,7 @@ def write_step(spark: SparkSession, root: str, dataset: str,
 
 def write_partition_steps(spark: SparkSession, root: str, dataset: str, df: DataFrame,
                           partition_col: str, wanted: Iterable, fmt: str = "parquet") -> dict[str, int]:
-    """K3 for many partitions in one job: stage the rows of every wanted
+    """K3 for many partitions in one write: stage the rows of every wanted
     partition value (e.g. the 59 days of run history) whose step is not done
     yet, then mark each of them done with its row count.
 
