@@ -134,6 +134,14 @@ def write(df: DataFrame, root: str, dataset: str, mode: str = "append",
     data = [f for f in df.schema.fields if f.name not in partition_by]
     parts = [T.StructField(f.name, f.dataType, True) for c in partition_by
              for f in df.schema.fields if f.name == c]
+    if mode == "append":
+        # Earlier appends may carry columns this one lacks; keep them
+        # (read back as null for the new rows), as unionByName would.
+        earlier = _load_schema(df.sparkSession, path)
+        if earlier is not None:
+            names = {f.name for f in data + parts}
+            data += [T.StructField(f.name, f.dataType, True) for f in earlier.fields
+                     if f.name not in names]
     _save_schema(df.sparkSession, path, T.StructType(data + parts))
     return int(obs.get["rows"])
 

@@ -144,3 +144,14 @@ def test_json_keeps_binary_and_decimal_types(spark, root):
                                  "pool_name": "string"}
     r = back.first()
     assert (bytes(r.sql_handle), r.amount) == (b"\x01\x02\xff", Decimal("12.345"))
+
+
+def test_appends_with_different_columns_read_as_union(spark, root):
+    a = spark.createDataFrame([(1, "x", "p")], "id int, old_col string, pool_name string")
+    b = spark.createDataFrame([(2, 2.5, "p")], "id int, new_col double, pool_name string")
+    staging.write(a, root, "evolving")
+    staging.write(b, root, "evolving")
+    back = staging.read(spark, root, "evolving")
+    assert set(back.columns) == {"id", "old_col", "new_col", "pool_name"}
+    got = sorted((r.id, r.old_col, r.new_col) for r in back.collect())
+    assert got == [(1, "x", None), (2, None, 2.5)]
