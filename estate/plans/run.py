@@ -161,4 +161,6 @@ def run_all(spark: SparkSession, root: str, inputs: ProfileInputs,
             spark, mon, dataset,
             lambda r=responses, b=by: metrics.flatten(r, carry=b + ("resource_id",)),
             partition_by=by)
+    for group in (os.path.join(root, WORKSPACE), mon):
+        staging.compact_steps(spark, group)
     return out

@@ -284,6 +284,28 @@ def write_partition_steps(spark: SparkSession, root: str, dataset: str, df: Data
     return counts
 
 
+def _data_files(spark: SparkSession, path: str) -> int:
+    h = _fs(spark, path)
+    if h is None or not h[0].exists(h[1]):
+        return 0
+    return sum(1 for st in h[0].listStatus(h[1])
+               if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
+
+
+def compact_steps(spark: SparkSession, root: str, max_files: int = 256) -> bool:
+    """Rewrite the step table as one file once it holds more than
+    ``max_files`` files (each finished step appends one).  The rows are
+    first stored with a reliable ``checkpoint()`` - the overwrite then reads
+    the checkpoint, not the files it replaces.  Returns True if rewritten."""
+    path = dataset_path(root, STEPS)
+    if _data_files(spark, path) <= max_files:
+        return False
+    from estate.operators.joins import materialized
+    rows = materialized(steps(spark, root))
+    rows.coalesce(1).write.mode("overwrite").parquet(path)
+    return True
+
+
 def to_json_lines(df: DataFrame) -> DataFrame:
     """one JSON text per row (the form the source's dumps use)."""
     return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value"))

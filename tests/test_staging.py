@@ -155,3 +155,13 @@ def test_appends_with_different_columns_read_as_union(spark, root):
     assert set(back.columns) == {"id", "old_col", "new_col", "pool_name"}
     got = sorted((r.id, r.old_col, r.new_col) for r in back.collect())
     assert got == [(1, "x", None), (2, None, 2.5)]
+
+
+def test_compact_steps(spark, root):
+    for i in range(5):
+        staging.write_step(spark, root, f"ds{i}", lambda: _rows(spark), partition_by=())
+    assert staging._data_files(spark, f"{root}/_steps") == 5
+    assert staging.compact_steps(spark, root, max_files=3)
+    assert staging._data_files(spark, f"{root}/_steps") == 1
+    assert staging.steps(spark, root).count() == 5
+    assert staging.write_step(spark, root, "ds0", lambda: _rows(spark), partition_by=()) is None
