@@ -69,6 +69,7 @@ class ProfileSettings:
     keep_clear_login: bool = True
     mark_scope: str = "key"            # "global" reproduces one mark for all pools
     run_ts: _dt.datetime | None = None
+    compact_max_files: int | None = 64  # rewrite appended partitions past this many files
 
 
 def _marks(spark, root, dataset, col, scope):
@@ -76,12 +77,6 @@ def _marks(spark, root, dataset, col, scope):
     return None if staged is None else incremental.high_water(staged, col, KEYS, scope=scope)
 
 
-def _append_new(spark, root, dataset, col, scope, build) -> int:
-    """Marks from what is staged, ``build(marks)`` keeps rows above them."""
-    df = build(_marks(spark, root, dataset, col, scope))
-    return staging.write(df, root, dataset, mode="append", partition_by=BY_POOL)
-
-
 def run_all(spark: SparkSession, root: str, inputs: ProfileInputs,
             settings: ProfileSettings | None = None) -> dict[str, int | None]:
     """Stage every available dataset for all workspaces under ``root``;
@@ -103,40 +98,40 @@ def run_all(spark: SparkSession, root: str, inputs: ProfileInputs,
         out["storage_info"] = staging.write(info, ded, "storage_info", mode="overwrite",
                                             partition_by=by)
 
-    # -- dedicated pools: activity (incremental append)
-    if inputs.sessions is not None:
-        out["sessions"] = _append_new(spark, ded, "sessions", "login_time", scope,
-                                      lambda m: activity.dedicated_sessions(
-                                          inputs.sessions, marks=m, keys=KEYS, run_ts=s.run_ts,
-                                          keep_clear=s.keep_clear_login))
-    if inputs.requests is not None:
-        out["session_requests"] = _append_new(spark, ded, "session_requests", "end_time", scope,
-                                              lambda m: activity.dedicated_requests(
-                                                  inputs.requests, redact_text=s.redact_sql_text,
-                                                  marks=m, keys=KEYS, run_ts=s.run_ts))
-
-    # -- serverless pool
+    # -- activity (incremental append above each workspace-pool mark):
+    #    (output key, input, group folder, dataset, mark column, staged form)
+    activity_steps = [
+        ("sessions", inputs.sessions, ded, "sessions", "login_time",
+         lambda raw, m: activity.dedicated_sessions(raw, marks=m, keys=KEYS, run_ts=s.run_ts,
+                                                    keep_clear=s.keep_clear_login)),
+        ("session_requests", inputs.requests, ded, "session_requests", "end_time",
+         lambda raw, m: activity.dedicated_requests(raw, redact_text=s.redact_sql_text, marks=m,
+                                                    keys=KEYS, run_ts=s.run_ts)),
+        ("serverless_sessions", inputs.serverless_sessions, srv, "sessions",
+         "last_request_start_time",
+         lambda raw, m: activity.serverless_sessions(raw, marks=m, keys=KEYS,
+                                                     keep_clear=s.keep_clear_login)),
+        ("serverless_requests", inputs.serverless_requests, srv, "session_requests", "start_time",
+         lambda raw, m: activity.serverless_requests(raw, marks=m, keys=KEYS)),
+        ("query_stats", inputs.query_stats if inputs.sql_texts is not None else None, srv,
+         "query_stats", "last_execution_time",
+         lambda raw, m: activity.query_statements(raw, inputs.sql_texts, marks=m, keys=KEYS)),
+        ("requests_history", inputs.requests_history, srv, "requests_history", "end_time",
+         lambda raw, m: activity.requests_history(raw, marks=m, keys=KEYS)),
+    ]
+    appended = []
+    for key, raw, group, dataset, col, staged_form in activity_steps:
+        if raw is None:
+            continue
+        marks = _marks(spark, group, dataset, col, scope)
+        out[key] = staging.write(staged_form(raw, marks), group, dataset, mode="append",
+                                 partition_by=BY_POOL)
+        appended.append((group, dataset))
+
+    # -- serverless snapshots
     if inputs.databases is not None:
         out["databases"] = staging.write(inputs.databases, srv, "databases", mode="overwrite",
                                          partition_by=BY_POOL)
-    if inputs.serverless_sessions is not None:
-        out["serverless_sessions"] = _append_new(
-            spark, srv, "sessions", "last_request_start_time", scope,
-            lambda m: activity.serverless_sessions(inputs.serverless_sessions, marks=m, keys=KEYS,
-                                                   keep_clear=s.keep_clear_login))
-    if inputs.serverless_requests is not None:
-        out["serverless_requests"] = _append_new(
-            spark, srv, "session_requests", "start_time", scope,
-            lambda m: activity.serverless_requests(inputs.serverless_requests, marks=m, keys=KEYS))
-    if inputs.query_stats is not None and inputs.sql_texts is not None:
-        out["query_stats"] = _append_new(
-            spark, srv, "query_stats", "last_execution_time", scope,
-            lambda m: activity.query_statements(inputs.query_stats, inputs.sql_texts,
-                                                marks=m, keys=KEYS))
-    if inputs.requests_history is not None:
-        out["requests_history"] = _append_new(
-            spark, srv, "requests_history", "end_time", scope,
-            lambda m: activity.requests_history(inputs.requests_history, marks=m, keys=KEYS))
     if inputs.data_processed is not None:
         out["data_processed"] = staging.write(activity.data_processed(inputs.data_processed),
                                               srv, "data_processed", mode="overwrite",
@@ -163,4 +158,7 @@ def run_all(spark: SparkSession, root: str, inputs: ProfileInputs,
             partition_by=by)
     for group in (os.path.join(root, WORKSPACE), mon):
         staging.compact_steps(spark, group)
+    if s.compact_max_files:             # hourly appends: keep file counts bounded
+        for group_root, dataset in appended:
+            staging.compact(spark, group_root, dataset, max_files=s.compact_max_files)
     return out

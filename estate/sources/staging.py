@@ -306,6 +306,62 @@ def compact_steps(spark: SparkSession, root: str, max_files: int = 256) -> bool:
     return True
 
 
+def _leaf_partitions(spark: SparkSession, path: str) -> list[tuple[dict[str, str], int]]:
+    """(partition values, data-file count) of every leaf partition folder."""
+    h = _fs(spark, path)
+    if h is None or not h[0].exists(h[1]):
+        return []
+    fs, top = h
+    out, stack = [], [(top, {})]
+    while stack:
+        folder, values = stack.pop()
+        files, subdirs = 0, []
+        for st in fs.listStatus(folder):
+            name = st.getPath().getName()
+            if name.startswith(("_", ".")):
+                continue
+            if st.isDirectory() and "=" in name:
+                k, v = name.split("=", 1)
+                subdirs.append((st.getPath(), {**values, k: v}))
+            elif st.isFile():
+                files += 1
+        if subdirs:
+            stack.extend(subdirs)
+        elif values:
+            out.append((values, files))
+    return out
+
+
+def compact(spark: SparkSession, root: str, dataset: str, max_files: int = 64,
+            max_partitions_per_pass: int = 200) -> int:
+    """Rewrite the partitions of a staged dataset that have accumulated more
+    than ``max_files`` files (hourly appends add a few each run); returns
+    the number of partitions rewritten.
+
+    Only those partitions are read; their rows are stored once with a
+    reliable ``checkpoint()`` and written back with a rebalanced dynamic
+    overwrite, which replaces exactly those folders.  Run it when no append
+    to the same dataset is in progress."""
+    from estate.operators.joins import materialized
+    path = dataset_path(root, dataset)
+    heavy = [v for v, n in _leaf_partitions(spark, path) if n > max_files]
+    done = 0
+    while heavy:
+        batch, heavy = heavy[:max_partitions_per_pass], heavy[max_partitions_per_pass:]
+        cond = None
+        for values in batch:
+            one = None
+            for k, v in values.items():
+                eq = F.col(k).cast("string") == F.lit(v)
+                one = eq if one is None else one & eq
+            cond = one if cond is None else cond | one
+        cols = list(batch[0].keys())
+        rows = materialized(read(spark, root, dataset).filter(cond))
+        write(rows, root, dataset, mode="overwrite", partition_by=cols)
+        done += len(batch)
+    return done
+
+
 def to_json_lines(df: DataFrame) -> DataFrame:
     """one JSON text per row (the form the source's dumps use)."""
     return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value"))

@@ -165,3 +165,26 @@ def test_compact_steps(spark, root):
     assert staging._data_files(spark, f"{root}/_steps") == 1
     assert staging.steps(spark, root).count() == 5
     assert staging.write_step(spark, root, "ds0", lambda: _rows(spark), partition_by=()) is None
+
+
+def test_compact_rewrites_only_heavy_partitions(spark, root):
+    import os
+    base = spark.range(40).select(F.when(F.col("id") < 30, "hot").otherwise("cold").alias("pool_name"),
+                                  F.col("id"))
+    for i in range(6):     # six appends: six files in each pool folder
+        staging.write(base.filter(F.col("id") % 6 == i), root, "acts")
+    cold_before = sorted(os.listdir(f"{root}/acts/pool_name=cold"))
+    assert staging.compact(spark, root, "acts", max_files=3) == 2
+    hot = [f for f in os.listdir(f"{root}/acts/pool_name=hot") if f.endswith(".parquet")]
+    assert len(hot) == 1
+    assert staging.read(spark, root, "acts").count() == 40
+    assert staging.compact(spark, root, "acts", max_files=3) == 0
+    # a threshold above the cold pool's count leaves it untouched
+    staging.write(base.filter("pool_name = 'hot'"), root, "acts2")
+    staging.write(base.filter("pool_name = 'cold'"), root, "acts2")
+    for _ in range(3):
+        staging.write(base.filter("pool_name = 'hot'"), root, "acts2")
+    cold2 = sorted(os.listdir(f"{root}/acts2/pool_name=cold"))
+    assert staging.compact(spark, root, "acts2", max_files=2) == 1
+    assert sorted(os.listdir(f"{root}/acts2/pool_name=cold")) == cold2
+    assert cold_before  # cold folder existed in the first dataset
