@@ -114,3 +114,21 @@ def test_serverless_activity_filters(spark):
     assert activity.data_processed(df).count() == 2
     stamped = activity.dedicated_query_stats(df, dt.datetime(2024, 2, 1))
     assert {r.extract_ts for r in stamped.collect()} == {dt.datetime(2024, 2, 1)}
+
+
+def test_inline_and_join_marks_agree_on_random_marks(spark):
+    """Per-key marks as literal predicates and as a joined table select the
+    same rows, including keys without a mark and null marks."""
+    import random
+    rng = random.Random(9)
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, f"p{rng.randint(0, 7)}", base + dt.timedelta(minutes=rng.randint(0, 5000)))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, pool_name string, end_time timestamp_ntz")
+    marks = spark.createDataFrame(
+        [(f"p{k}", None if k == 3 else base + dt.timedelta(minutes=rng.randint(0, 5000)))
+         for k in range(6)],                                   # p6, p7 have no mark
+        f"pool_name string, {incremental.MARK} timestamp_ntz")
+    inline = {r.id for r in incremental.newer_than(df, "end_time", marks).collect()}
+    joined = {r.id for r in incremental.newer_than(df, "end_time", marks, max_inline_keys=0).collect()}
+    assert inline == joined and 0 < len(inline) < 3000

@@ -109,3 +109,33 @@ def test_variant_properties_and_case_collisions(spark):
 def test_first_page_only(spark):
     df = spark.createDataFrame([_page("a", 1, "t", 2), _page("a", 2, None, 3)], PAGE_SCHEMA)
     assert pages.first_page(df, "pipelines").count() == 2
+
+
+def _loop_reads(pages_by_no, max_pages):
+    """The continuation loop stated directly: read page 1, then the next
+    page while the last one had a token and at most ``max_pages`` pages were
+    read; a page absent from the dump ends the chain."""
+    read, k = [], 1
+    while k in pages_by_no:
+        read.append(k)
+        if pages_by_no[k] is None or len(read) > max_pages:
+            break
+        k += 1
+    return read
+
+
+def test_reachable_pages_matches_the_loop_on_random_dumps(spark):
+    import random
+    rng = random.Random(3)
+    for max_pages in (1, 3, 7):
+        rows, want = [], set()
+        for c in range(300):
+            nums = sorted(rng.sample(range(1, 13), rng.randint(0, 12)))
+            chain = {n: (None if rng.random() < 0.15 else f"t{n}") for n in nums}
+            ws = f"w{c}"
+            rows += [_page(ws, n, tok, 1) for n, tok in chain.items()]
+            want |= {(ws, n) for n in _loop_reads(chain, max_pages)}
+        df = spark.createDataFrame(rows, PAGE_SCHEMA)
+        got = {(r.workspace_name, r.page_no) for r in
+               pages.reachable_pages(df, max_pages=max_pages).select("workspace_name", "page_no").collect()}
+        assert got == want, (max_pages, sorted(got ^ want)[:5])
