@@ -34,6 +34,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = (builder
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               # checkpoints of materialized join sides are dropped once unused
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
