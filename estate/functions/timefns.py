@@ -57,3 +57,36 @@ def local_date(ts_utc: Column | str, tz: str) -> Column:
     """Calendar day of a UTC wall-clock timestamp in time zone ``tz``."""
     local = F.convert_timezone(F.lit("UTC"), F.lit(tz), _col(ts_utc).cast("timestamp_ntz"))
     return F.to_date(local)
+
+
+_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def wall_from_instant(ts: Column | str) -> Column:
+    """UTC wall clock (timestamp without time zone) of an instant
+    (``TIMESTAMP``), computed from its epoch microseconds - exact and
+    independent of the session time zone, even in a DST overlap."""
+    micros = F.unix_micros(_col(ts))
+    secs = (micros.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.expr(_EPOCH_NTZ) + F.make_dt_interval(secs=secs)
+
+
+def instant_from_wall(ts: Column | str) -> Column:
+    """The instant whose UTC wall clock is the given timestamp without time
+    zone (inverse of :func:`wall_from_instant`), also zone-free."""
+    wall = _col(ts)
+    micros = ((F.datediff(F.to_date(wall), F.lit("1970-01-01").cast("date")).cast("long")
+               * 86_400_000_000)
+              + F.hour(wall).cast("long") * 3_600_000_000
+              + F.minute(wall).cast("long") * 60_000_000
+              + (F.date_part(F.lit("SECOND"), wall) * 1_000_000).cast("long"))
+    return F.timestamp_micros(micros)
+
+
+def utc_wall_clock(df):
+    """Every top-level ``TIMESTAMP`` (instant) column as its UTC wall clock
+    (``TIMESTAMP_NTZ``); other columns unchanged.  API objects carry zoned
+    times; staged data keeps zone-free ones."""
+    from pyspark.sql import types as T
+    inst = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    return df.withColumns({c: wall_from_instant(F.col(f"`{c}`")) for c in inst}) if inst else df

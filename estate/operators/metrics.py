@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from estate.functions.timefns import utc_wall_clock
+
 # --- fixed values (must equal the reference's, stated here together) --------
 DEDICATED_METRICS = ("DWULimit", "DWUUsed", "DWUUsedPercent", "MemoryUsedPercent",
                      "CPUPercent", "Connections", "ActiveQueries")
@@ -37,11 +39,13 @@ POINT_FIELDS = ("timestamp", "average", "count", "maximum", "minimum", "total")
 def flatten(responses: DataFrame, carry: Sequence[str] = ("resource_id",)) -> DataFrame:
     """One row per point - ``name, timestamp, average, count, maximum,
     minimum, total`` (plus ``carry`` columns) - through two ``explode``s.
-    Series and points are never regrouped, so nothing crosses a shuffle."""
+    Series and points are never regrouped, so nothing crosses a shuffle.  A
+    zoned point time becomes UTC wall clock (timestamp without time zone)."""
     carry = [c for c in carry if c in responses.columns]
     series = responses.select(*carry, "name", F.explode("timeseries").alias("_ts"))
     points = series.select(*carry, "name", F.explode("_ts.data").alias("_p"))
-    return points.select(*carry, "name", *[F.col(f"_p.{f}").alias(f) for f in POINT_FIELDS])
+    return utc_wall_clock(
+        points.select(*carry, "name", *[F.col(f"_p.{f}").alias(f) for f in POINT_FIELDS]))
 
 
 def rollup(points: DataFrame, grain: str, ts_col: str = "ts", value_col: str = "value",

@@ -23,6 +23,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from estate.functions.timefns import utc_wall_clock
 from estate.operators.filters import project
 from estate.operators.joins import join_small
 
@@ -96,12 +97,13 @@ def _null_safe(cols, prefix):
 def flatten(pages: DataFrame, keep: Iterable[str] = (), remove: Iterable[str] = (),
             carry: Sequence[str] = ("workspace_name", "dataset")) -> DataFrame:
     """S39 + P1: one row per listed object, fields projected by keep / remove;
-    ``carry`` columns of the page are kept in front."""
+    ``carry`` columns of the page are kept in front.  Zoned times of the
+    objects become UTC wall clock (timestamp without time zone)."""
     carry = [c for c in carry if c in pages.columns]
     items = pages.select(*carry, F.explode("value").alias("_item")).select(*carry, "_item.*")
     item_cols = [c for c in items.columns if c not in carry]
     kept = project(items.select(*item_cols), keep, remove).columns
-    return items.select(*carry, *[F.col(f"`{c}`") for c in kept])
+    return utc_wall_clock(items.select(*carry, *[F.col(f"`{c}`") for c in kept]))
 
 
 def read_listing(dumps: DataFrame, dataset: str, keep: Iterable[str] | None = None,

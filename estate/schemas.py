@@ -6,8 +6,10 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# API responses carry zoned times ("...Z", "+02:00"): read as instants
+# (TIMESTAMP); the flatten operators stage them as UTC wall clock.
 METRIC_POINT = T.StructType([
-    T.StructField("timestamp", T.TimestampNTZType()),
+    T.StructField("timestamp", T.TimestampType()),
     T.StructField("average", T.DoubleType()),
     T.StructField("count", T.DoubleType()),
     T.StructField("maximum", T.DoubleType()),
@@ -47,14 +49,14 @@ SQL_POOL = T.StructType([
                                        T.StructField("capacity", T.IntegerType())])),
     T.StructField("provisioning_state", T.StringType()),
     T.StructField("status", T.StringType()),
-    T.StructField("creation_date", T.TimestampNTZType()),
+    T.StructField("creation_date", T.TimestampType()),
 ])
 
 PIPELINE_RUN = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("pipeline_name", T.StringType()),
     T.StructField("status", T.StringType()),
-    T.StructField("last_updated", T.TimestampNTZType()),
+    T.StructField("last_updated", T.TimestampType()),
 ])
 
 

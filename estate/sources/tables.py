@@ -15,7 +15,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate.functions.timefns import day_start
+from estate.functions.timefns import day_start, instant_from_wall
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -186,8 +186,8 @@ def pool_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                  (key % 5).cast("int").alias("capacity")).alias("sku"),
         F.lit("Succeeded").alias("provisioning_state"),
         F.when(F.col("s_acctbal") > 0, F.lit("Online")).otherwise(F.lit("Paused")).alias("status"),
-        (F.lit("2020-01-01").cast("timestamp_ntz")
-         + F.make_dt_interval(days=(key % 365).cast("int"))).alias("creation_date"),
+        instant_from_wall(F.lit("2020-01-01").cast("timestamp_ntz")
+                          + F.make_dt_interval(days=(key % 365).cast("int"))).alias("creation_date"),
         F.col("s_acctbal").alias("max_size_bytes"),
     )
     pages = (s.select(F.concat(F.lit("ws_"), (key % 3).cast("string")).alias("workspace_name"),
@@ -233,8 +233,10 @@ def metric_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     resource and metric, one response per day - at most 96 points each."""
     from estate.operators.metrics import POINT_FIELDS, rollup
     pts = rollup(metric_points(spark, sf_dir), "15 minutes")
+    point = F.struct(*[instant_from_wall("timestamp").alias("timestamp") if f == "timestamp"
+                       else F.col(f) for f in POINT_FIELDS])      # the service sends instants
     per_day = (pts.groupBy("resource_id", "name", F.to_date("timestamp").alias("day"))
-               .agg(F.collect_list(F.struct(*POINT_FIELDS)).alias("data")))
+               .agg(F.collect_list(point).alias("data")))
     return per_day.select("resource_id", "name",
                           F.array(F.struct(F.col("data").alias("data"))).alias("timeseries"))
 

@@ -139,3 +139,32 @@ def test_reachable_pages_matches_the_loop_on_random_dumps(spark):
         got = {(r.workspace_name, r.page_no) for r in
                pages.reachable_pages(df, max_pages=max_pages).select("workspace_name", "page_no").collect()}
         assert got == want, (max_pages, sorted(got ^ want)[:5])
+
+
+def test_zoned_dump_times_become_utc_wall_clock(spark, root):
+    """Dumped API objects carry zoned times; staged times are their UTC wall
+    clock whatever the session time zone."""
+    import json
+    import os
+
+    from estate import schemas
+    from estate.sources import dumps
+    os.makedirs(f"{root}/d")
+    objs = [{"id": "a", "name": "p1", "creation_date": "2024-03-10T10:30:00.5Z"},
+            {"id": "b", "name": "p2", "creation_date": "2024-03-10T12:30:00+02:00"},
+            {"id": "c", "name": "p3", "creation_date": "2024-11-03T01:30:00-07:00"}]
+    page = {"workspace_name": "w", "dataset": "sql_pools", "page_no": 1,
+            "continuation_token": None, "value": objs}
+    with open(f"{root}/d/p.json", "w") as f:
+        f.write(json.dumps(page) + "\n")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got = {r.id: r.creation_date for r in pages.read_listing(
+                dumps.read_pages(spark, f"{root}/d", schemas.SQL_POOL), "sql_pools").collect()}
+            assert got == {"a": dt.datetime(2024, 3, 10, 10, 30, 0, 500000),
+                           "b": dt.datetime(2024, 3, 10, 10, 30),
+                           "c": dt.datetime(2024, 11, 3, 8, 30)}, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
