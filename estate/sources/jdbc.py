@@ -34,8 +34,10 @@ class PoolConnection:
     extra: dict = field(default_factory=dict)
 
     def options(self) -> dict[str, str]:
+        # Source datetimes are server wall-clock values: read them as
+        # timestamps without time zone, so no session zone shifts them.
         opts = {"url": self.url, "fetchsize": str(self.fetch_size),
-                "loginTimeout": str(self.login_timeout_s)}
+                "loginTimeout": str(self.login_timeout_s), "preferTimestampNTZ": "true"}
         if self.user is not None:
             opts["user"] = self.user
         if self.password is not None:

@@ -14,6 +14,7 @@ def test_connection_options():
                             user="u", password="p")
     o = c.options()
     assert o["url"] == "jdbc:x://h;database=d" and o["fetchsize"] == "1000" and o["loginTimeout"] == "30"
+    assert o["preferTimestampNTZ"] == "true"
 
 
 def test_union_databases(spark):
