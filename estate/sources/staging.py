@@ -19,6 +19,7 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import os
+from urllib.parse import unquote
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -40,6 +41,7 @@ def dataset_path(root: str, dataset: str) -> str:
 
 
 SCHEMA_FILE = "_estate_schema.json"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"   # Spark's folder name for a null value
 
 # Text formats are written with microseconds (Spark's JSON default writes
 # milliseconds); reading needs no pattern.
@@ -352,7 +354,10 @@ def compact(spark: SparkSession, root: str, dataset: str, max_files: int = 64,
         for values in batch:
             one = None
             for k, v in values.items():
-                eq = F.col(k).cast("string") == F.lit(v)
+                if v == NULL_PARTITION:
+                    eq = F.col(k).isNull()
+                else:                      # folder names are escaped (%2F, %3D, ...)
+                    eq = F.col(k).cast("string") == F.lit(unquote(v))
                 one = eq if one is None else one & eq
             cond = one if cond is None else cond | one
         cols = list(batch[0].keys())

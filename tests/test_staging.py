@@ -188,3 +188,14 @@ def test_compact_rewrites_only_heavy_partitions(spark, root):
     assert staging.compact(spark, root, "acts2", max_files=2) == 1
     assert sorted(os.listdir(f"{root}/acts2/pool_name=cold")) == cold2
     assert cold_before  # cold folder existed in the first dataset
+
+
+def test_compact_handles_escaped_and_null_partition_values(spark, root):
+    df = spark.createDataFrame([("a/b=c", 1), (None, 2)], "pool_name string, id int")
+    for _ in range(4):
+        staging.write(df, root, "odd")
+    assert staging.compact(spark, root, "odd", max_files=2) == 2
+    back = staging.read(spark, root, "odd")
+    assert sorted((r.pool_name or "", r.id) for r in back.collect()) == \
+        [("", 2)] * 4 + [("a/b=c", 1)] * 4
+    assert all(n == 1 for _, n in staging._leaf_partitions(spark, f"{root}/odd"))
