@@ -67,3 +67,12 @@ def test_whole_units_ignore_session_zone_and_dst(spark):
             assert r.extract_ts == dt.datetime(2024, 3, 10)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_broadcast_bound_accounts_for_row_width(spark):
+    from estate.operators.joins import fits_broadcast, row_bytes
+    narrow = spark.range(1000).selectExpr("id", "cast(id as string) as name")
+    assert row_bytes(narrow.schema) == 8 + 64 + 8
+    assert fits_broadcast(narrow, max_rows=5000)
+    assert not fits_broadcast(narrow, max_rows=5000, max_bytes=80 * 500)   # 500 rows fit
+    assert not fits_broadcast(narrow, max_rows=999)
