@@ -210,6 +210,8 @@ def steps(spark: SparkSession, root: str) -> DataFrame:
 
 def step_done(spark: SparkSession, root: str, dataset: str, partition: str | None = None) -> bool:
     """K4: has this step (dataset, optional ``key=value`` partition) finished?"""
+    if not _exists(spark, dataset_path(root, STEPS)):      # nothing ever finished
+        return False
     st = steps(spark, root).filter((F.col("dataset") == dataset) & (F.col("status") == "done"))
     st = st.filter(F.col("partition").isNull() if partition is None else F.col("partition") == partition)
     return st.limit(1).count() > 0
@@ -221,6 +223,8 @@ def pending_partitions(spark: SparkSession, root: str, dataset: str,
     Only the done steps among the wanted ones are read back, so what reaches
     the driver is bounded by the wanted list."""
     wanted = list(partitions)
+    if not _exists(spark, dataset_path(root, STEPS)):      # nothing ever finished
+        return sorted(wanted)
     done = {r.partition for r in steps(spark, root)
             .filter((F.col("dataset") == dataset) & (F.col("status") == "done")
                     & F.col("partition").isin(wanted))
