@@ -342,7 +342,7 @@ d AS (
   SELECT *, CAST(timezone('{RUN_TZ}', timezone('UTC', last_updated)) AS DATE) AS last_upd
   FROM runs
 )
-SELECT run_id, pipeline_name, status, last_updated, last_upd FROM d
+SELECT run_id, pipeline_name, status, last_updated, CAST(last_upd AS TIMESTAMP) AS last_upd FROM d
 WHERE last_upd >= DATE '{_FIRST_DAY.isoformat()}' AND last_upd < DATE '{RUN_DATE.isoformat()}'""",
 
     "metric_flatten": _rollup("true", "15 minutes"),

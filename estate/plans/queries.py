@@ -190,9 +190,15 @@ RUN_TZ = "America/New_York"
 
 def runs_by_day(spark, sf_dir):
     """S35 + P10: pipeline runs of the 59 local days before the run date in
-    the workspace time zone, with the local day as ``last_upd``."""
-    return filters.day_partitions(tables.pipeline_runs(spark, sf_dir), "last_updated",
+    the workspace time zone, with the local day as ``last_upd`` (reported as
+    the day's midnight, a timestamp without time zone)."""
+    runs = filters.day_partitions(tables.pipeline_runs(spark, sf_dir), "last_updated",
                                   RUN_TZ, RUN_DATE, days=59)
+    return _day_as_midnight(runs)
+
+
+def _day_as_midnight(df, col="last_upd"):
+    return df.withColumn(col, F.col(col).cast("timestamp_ntz"))
 
 
 def runs_staged(spark, sf_dir):
@@ -207,8 +213,8 @@ def runs_staged(spark, sf_dir):
     again = staging.write_partition_steps(spark, root, "pipeline_runs", runs, "last_upd", days)
     if again:
         raise RuntimeError(f"day steps re-ran: {sorted(again)[:3]}")
-    return staging.read(spark, root, "pipeline_runs",
-                        partition_types={"last_upd": T.DateType()})
+    return _day_as_midnight(staging.read(spark, root, "pipeline_runs",
+                                         partition_types={"last_upd": T.DateType()}))
 
 
 def incremental_late(spark, sf_dir):
