@@ -61,3 +61,21 @@ def test_catalog_snapshots_replace_only_their_pool(spark, root):
     got = staging.read(spark, f"{root}/{run.DEDICATED}", "views")
     rows = sorted((r.pool_name, r.table_name, r.view_definition) for r in got.collect())
     assert rows == [("p1", "v0", "[REDACTED]"), ("p2", "v0", "select 0"), ("p2", "v1", "select 1")]
+
+
+def test_run_settings(spark, root):
+    reqs = tables.requests(spark, SF_SMALL, with_workspace=True)
+    sess = _ws(tables.sessions(spark, SF_SMALL), "session_id")
+    settings = run.ProfileSettings(redact_sql_text=True, keep_clear_login=False,
+                                   mark_scope="global")
+    early = reqs.filter(F.dayofmonth("start_time") < 10)
+    run.run_all(spark, root, run.ProfileInputs(requests=early, sessions=sess), settings)
+    out = run.run_all(spark, root, run.ProfileInputs(requests=reqs), settings)
+    ded = f"{root}/{run.DEDICATED}"
+    staged = staging.read(spark, ded, "session_requests")
+    assert {r.command for r in staged.select("command").distinct().collect()} == {"[REDACTED]"}
+    assert "login_user" not in staging.read(spark, ded, "sessions").columns
+    # one mark over all workspaces and pools: only rows after the global latest end
+    top = early.filter(F.col("end_time").isNotNull()).agg(F.max("end_time")).first()[0]
+    later = reqs.filter(F.col("command").isNotNull() & (F.col("end_time") > F.lit(top)))
+    assert out["session_requests"] == later.count()
