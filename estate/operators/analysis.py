@@ -16,16 +16,26 @@ from estate.operators.joins import join_small
 PAGE_KB = 8  # fixed value: size of one storage page in KB
 
 
-def request_window(requests: DataFrame, by: tuple[str, ...] = ("pool_name",)) -> DataFrame:
-    """A2 + O1: per extract and pool, the captured span of request start
-    times, its whole minutes and hours, and the number of requests; newest
-    extract first, then pool name.  ``by`` may add keys (e.g. the workspace)."""
-    by = list(by)
-    agg = (requests
-           .groupBy("extract_ts", *by)
-           .agg(F.min("start_time").alias("min_request_start_time"),
-                F.max("start_time").alias("max_start_time"),
-                F.count(F.lit(1)).alias("num_requests")))
+def request_window_parts(requests: DataFrame, by: tuple[str, ...] = ("pool_name",)) -> DataFrame:
+    """Partial A2: earliest and latest start time and row count per extract
+    and key.  These are mergeable, so partial rows of separate batches can be
+    combined later by :func:`merge_request_windows`."""
+    return (requests.groupBy("extract_ts", *by)
+            .agg(F.min("start_time").alias("min_request_start_time"),
+                 F.max("start_time").alias("max_start_time"),
+                 F.count(F.lit(1)).alias("num_requests")))
+
+
+def merge_request_windows(parts: DataFrame, by: tuple[str, ...] = ("pool_name",)) -> DataFrame:
+    """A2 + O1 from partial rows (one or many per extract and key)."""
+    merged = (parts.groupBy("extract_ts", *by)
+              .agg(F.min("min_request_start_time").alias("min_request_start_time"),
+                   F.max("max_start_time").alias("max_start_time"),
+                   F.sum("num_requests").alias("num_requests")))
+    return _finish_window(merged, list(by))
+
+
+def _finish_window(agg: DataFrame, by: list[str]) -> DataFrame:
     return (agg
             .select(*by, "extract_ts", "min_request_start_time", "max_start_time",
                     whole_units("MINUTE", "min_request_start_time", "max_start_time")
@@ -36,6 +46,13 @@ def request_window(requests: DataFrame, by: tuple[str, ...] = ("pool_name",)) ->
             .orderBy(F.col("extract_ts").desc(), *[F.col(c).asc() for c in by]))
 
 
+def request_window(requests: DataFrame, by: tuple[str, ...] = ("pool_name",)) -> DataFrame:
+    """A2 + O1: per extract and pool, the captured span of request start
+    times, its whole minutes and hours, and the number of requests; newest
+    extract first, then pool name.  ``by`` may add keys (e.g. the workspace)."""
+    return _finish_window(request_window_parts(requests, by), list(by))
+
+
 def latest_request_window(requests: DataFrame) -> DataFrame:
     """O2: the first row of the request window (latest extract, first pool).
     Spark plans order-by + limit as a top-k, one bounded heap per task."""

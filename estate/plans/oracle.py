@@ -433,3 +433,18 @@ ORACLE["incremental_late"] = _late(
     "day(start_time) < 5 + 5 * CAST(substr(pool_name, 6, 3) AS INTEGER)", "10 MINUTE")
 
 ORACLE["staged_listings"] = ORACLE["listing_flatten"]
+
+ORACLE["stream_request_window"] = _with(REQUESTS, CLASSIFIED) + """,
+earlier AS (SELECT * FROM classified WHERE day(start_time) < 15),
+marks AS (SELECT pool_name AS k, max(end_time) AS mark FROM earlier GROUP BY pool_name),
+later AS (SELECT c.* FROM classified c LEFT JOIN marks m ON c.pool_name = m.k
+          WHERE m.mark IS NULL OR c.end_time > m.mark),
+staged AS (SELECT * FROM earlier UNION ALL SELECT * FROM later)
+SELECT pool_name, extract_ts,
+       min(start_time) AS min_request_start_time,
+       max(start_time) AS max_start_time,
+       date_sub('minute', min(start_time), max(start_time)) AS extract_window_minutes,
+       date_sub('hour', min(start_time), max(start_time)) AS extract_window_hours,
+       count(*) AS num_requests
+FROM staged
+GROUP BY extract_ts, pool_name"""

@@ -129,6 +129,22 @@ def stream_requests(spark, sf_dir):
     return staging.read(spark, root, "session_requests")
 
 
+def stream_request_window(spark, sf_dir):
+    """T1 + A2 kept incrementally: the stream of ``stream_requests`` also
+    appends, per micro-batch, the partial request-window rows of the rows it
+    staged; the report merges those partials instead of rescanning every
+    staged request."""
+    root = fresh_root(spark, "stream-report")
+    source, ckpt = os.path.join(root, "source"), os.path.join(root, "_checkpoint")
+    raw = tables.requests(spark, sf_dir)
+    transform = lambda batch, marks: activity.dedicated_requests(batch, marks=marks)
+    for snapshot in (raw.filter(F.dayofmonth("start_time") < 15), raw):
+        snapshot.write.mode("append").parquet(source)
+        stream_inc.stream_new(spark, source, raw.schema, root, "session_requests", "end_time",
+                              ckpt, transform=transform, report="request_window_parts")
+    return analysis.merge_request_windows(staging.read(spark, root, "request_window_parts"))
+
+
 def staged_roundtrip(spark, sf_dir):
     """K1 + S44: stage the classified requests by pool and read them back."""
     root = fresh_root(spark, "roundtrip")
@@ -365,4 +381,5 @@ QUERIES = {
     "runs_staged": runs_staged,
     "incremental_late": incremental_late,
     "staged_listings": staged_listings,
+    "stream_request_window": stream_request_window,
 }

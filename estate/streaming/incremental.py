@@ -21,24 +21,40 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from estate.operators import incremental
+from estate.operators import analysis, incremental
 from estate.sources import staging
 
 
 def stage_new_rows(spark: SparkSession, batch: DataFrame, root: str, dataset: str,
                    mark_col: str, keys: Sequence[str] = ("pool_name",),
                    transform: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None,
-                   partition_by: Sequence[str] = ("pool_name",)) -> int:
+                   partition_by: Sequence[str] = ("pool_name",),
+                   report: str | None = None) -> int:
     """One incremental step (batch form of T1): marks from the staged data,
     keep rows above them, append.  ``transform(raw, marks)`` turns raw rows
-    into the staged form and applies the mark (default: mark filter only)."""
+    into the staged form and applies the mark (default: mark filter only).
+
+    With ``report`` (a dataset name), the partial request-window rows of the
+    rows staged now are appended to that dataset as well, so the report is
+    kept up to date from new rows only (see
+    :func:`estate.operators.analysis.merge_request_windows`); the new rows
+    are persisted for the two writes and released after them."""
     staged = staging.read(spark, root, dataset)
     marks = None if staged is None else incremental.high_water(staged, mark_col, keys)
     if transform is None:
         new = incremental.newer_than(batch, mark_col, marks, keys)
     else:
         new = transform(batch, marks)
-    return staging.write(new, root, dataset, mode="append", partition_by=partition_by)
+    if report is None:
+        return staging.write(new, root, dataset, mode="append", partition_by=partition_by)
+    new = new.persist()
+    try:
+        n = staging.write(new, root, dataset, mode="append", partition_by=partition_by)
+        staging.write(analysis.request_window_parts(new, tuple(keys)), root, report,
+                      mode="append", partition_by=())
+    finally:
+        new.unpersist()
+    return n
 
 
 def start_stream(spark: SparkSession, source_dir: str, schema: T.StructType, root: str,
@@ -46,7 +62,7 @@ def start_stream(spark: SparkSession, source_dir: str, schema: T.StructType, roo
                  transform: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None,
                  partition_by: Sequence[str] = ("pool_name",), fmt: str = "parquet",
                  max_files_per_trigger: int | None = None, every: str | None = None,
-                 on_batch: Callable[[int, int], None] | None = None):
+                 on_batch: Callable[[int, int], None] | None = None, report: str | None = None):
     """Start the incremental file stream and return the ``StreamingQuery``.
 
     ``every=None`` processes what is available and stops
@@ -55,7 +71,8 @@ def start_stream(spark: SparkSession, source_dir: str, schema: T.StructType, roo
     ``on_batch(batch_id, rows)`` is called after each staged micro-batch.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        n = stage_new_rows(spark, batch, root, dataset, mark_col, keys, transform, partition_by)
+        n = stage_new_rows(spark, batch, root, dataset, mark_col, keys, transform, partition_by,
+                           report)
         if on_batch:
             on_batch(batch_id, n)
 
@@ -72,12 +89,12 @@ def stream_new(spark: SparkSession, source_dir: str, schema: T.StructType, root:
                dataset: str, mark_col: str, checkpoint: str, keys: Sequence[str] = ("pool_name",),
                transform: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None,
                partition_by: Sequence[str] = ("pool_name",), fmt: str = "parquet",
-               max_files_per_trigger: int | None = None) -> list[int]:
+               max_files_per_trigger: int | None = None, report: str | None = None) -> list[int]:
     """Run the file stream over ``source_dir`` until everything available is
     processed; return the number of rows staged per micro-batch."""
     written: list[int] = []
     query = start_stream(spark, source_dir, schema, root, dataset, mark_col, checkpoint, keys,
                          transform, partition_by, fmt, max_files_per_trigger,
-                         on_batch=lambda _bid, n: written.append(n))
+                         on_batch=lambda _bid, n: written.append(n), report=report)
     query.awaitTermination()
     return written

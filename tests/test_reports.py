@@ -76,3 +76,16 @@ def test_broadcast_bound_accounts_for_row_width(spark):
     assert fits_broadcast(narrow, max_rows=5000)
     assert not fits_broadcast(narrow, max_rows=5000, max_bytes=80 * 500)   # 500 rows fit
     assert not fits_broadcast(narrow, max_rows=999)
+
+
+def test_merged_partial_windows_equal_one_pass(spark):
+    from pyspark.sql import functions as F
+
+    from estate.plans.queries import staged_requests
+    from conftest import SF_SMALL
+    reqs = staged_requests(spark, SF_SMALL)
+    a, b = reqs.filter(F.col("request_id") % 3 == 0), reqs.filter(F.col("request_id") % 3 != 0)
+    parts = analysis.request_window_parts(a).unionByName(analysis.request_window_parts(b))
+    merged = sorted(tuple(r) for r in analysis.merge_request_windows(parts).collect())
+    direct = sorted(tuple(r) for r in analysis.request_window(reqs).collect())
+    assert merged == direct and len(direct) > 0
