@@ -333,13 +333,18 @@ def multi_workspace_window(spark, sf_dir):
     """U3 + T1 + A2: three workspaces profiled together by one profile run,
     twice (an earlier run, then a full one appending above each
     workspace-pool mark), then the request window per workspace, extract and
-    pool from the staged data."""
+    pool from the staged data - checked against the report the runs kept
+    from their partial windows."""
     root = fresh_root(spark, "multi")
     raw = tables.requests(spark, sf_dir, with_workspace=True)
     run.run_all(spark, root, run.ProfileInputs(requests=_earlier_run(raw)))
     run.run_all(spark, root, run.ProfileInputs(requests=raw))
     staged = staging.read(spark, os.path.join(root, run.DEDICATED), "session_requests")
-    return analysis.request_window(staged, by=("workspace_name", "pool_name"))
+    report = analysis.request_window(staged, by=("workspace_name", "pool_name"))
+    kept = run.request_windows(spark, root)          # merged from per-run partials
+    if kept is None or kept.exceptAll(report).unionByName(report.exceptAll(kept)).limit(1).count():
+        raise RuntimeError("incremental request windows differ from the full recount")
+    return report
 
 
 def serverless_sessions(spark, sf_dir):

@@ -38,6 +38,7 @@ METRIC_DATASETS = {
 }
 
 BY_POOL = ("workspace_name", "pool_name")
+WINDOW_PARTS = "request_window_parts"   # partial A2 rows of each appended batch
 KEYS = ["workspace_name", "pool_name"]
 
 
@@ -77,6 +78,13 @@ def _marks(spark, root, dataset, col, scope):
     return None if staged is None else incremental.high_water(staged, col, KEYS, scope=scope)
 
 
+def request_windows(spark: SparkSession, root: str) -> DataFrame | None:
+    """A2 + O1 per workspace, extract and pool, merged from the partial rows
+    every run appended - no rescan of the staged requests."""
+    parts = staging.read(spark, os.path.join(root, DEDICATED), WINDOW_PARTS)
+    return None if parts is None else analysis.merge_request_windows(parts, BY_POOL)
+
+
 def run_all(spark: SparkSession, root: str, inputs: ProfileInputs,
             settings: ProfileSettings | None = None) -> dict[str, int | None]:
     """Stage every available dataset for all workspaces under ``root``;
@@ -124,8 +132,17 @@ def run_all(spark: SparkSession, root: str, inputs: ProfileInputs,
         if raw is None:
             continue
         marks = _marks(spark, group, dataset, col, scope)
-        out[key] = staging.write(staged_form(raw, marks), group, dataset, mode="append",
-                                 partition_by=BY_POOL)
+        new = staged_form(raw, marks)
+        if key != "session_requests":
+            out[key] = staging.write(new, group, dataset, mode="append", partition_by=BY_POOL)
+        else:   # A2 kept from the new rows only: append their partial windows too
+            new = new.persist()
+            try:
+                out[key] = staging.write(new, group, dataset, mode="append", partition_by=BY_POOL)
+                staging.write(analysis.request_window_parts(new, BY_POOL), group, WINDOW_PARTS,
+                              mode="append", partition_by=("workspace_name",))
+            finally:
+                new.unpersist()
         appended.append((group, dataset))
 
     # -- serverless snapshots
