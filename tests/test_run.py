@@ -79,3 +79,15 @@ def test_run_settings(spark, root):
     top = early.filter(F.col("end_time").isNotNull()).agg(F.max("end_time")).first()[0]
     later = reqs.filter(F.col("command").isNotNull() & (F.col("end_time") > F.lit(top)))
     assert out["session_requests"] == later.count()
+
+
+def test_kept_report_equals_full_recount(spark, root):
+    from estate.operators import analysis
+    reqs = tables.requests(spark, SF_SMALL, with_workspace=True)
+    run.run_all(spark, root, run.ProfileInputs(requests=reqs.filter(F.dayofmonth("start_time") < 12)))
+    run.run_all(spark, root, run.ProfileInputs(requests=reqs))
+    staged = staging.read(spark, f"{root}/{run.DEDICATED}", "session_requests")
+    full = analysis.request_window(staged, by=("workspace_name", "pool_name"))
+    kept = run.request_windows(spark, root)
+    assert kept.exceptAll(full).count() == 0 and full.exceptAll(kept).count() == 0
+    assert kept.count() > 0
