@@ -71,6 +71,7 @@ class ProfileSettings:
     mark_scope: str = "key"            # "global" reproduces one mark for all pools
     run_ts: _dt.datetime | None = None
     compact_max_files: int | None = 64  # rewrite appended partitions past this many files
+    keep_report: bool = True            # append partial request windows of each run
 
 
 def _marks(spark, root, dataset, col, scope):
@@ -78,9 +79,25 @@ def _marks(spark, root, dataset, col, scope):
     return None if staged is None else incremental.high_water(staged, col, KEYS, scope=scope)
 
 
+def _append_window_parts(spark, group, dataset, col, marks) -> None:
+    """A2 kept from the new rows only.  The rows this run appended are the
+    staged rows above the marks taken before the write (everything staged
+    earlier is at or below its mark), so they are read back through the same
+    pushed-down predicate - no cache, no second read of the source - and
+    their partial windows (a handful of rows) are appended.  The two appends
+    are separate commits: a run that fails between them leaves its rows
+    staged but not in the kept report; ``analysis.request_window`` over the
+    staged requests is the full recount (and rebuilds the report)."""
+    staged = staging.read(spark, group, dataset)
+    new = staged if marks is None else incremental.newer_than(staged, col, marks, KEYS)
+    staging.write(analysis.request_window_parts(new, BY_POOL), group, WINDOW_PARTS,
+                  mode="append", partition_by=(), rebalance=False)
+
+
 def request_windows(spark: SparkSession, root: str) -> DataFrame | None:
     """A2 + O1 per workspace, extract and pool, merged from the partial rows
-    every run appended - no rescan of the staged requests."""
+    every run appended - no rescan of the staged requests (see
+    :func:`_append_window_parts` for its failure caveat)."""
     parts = staging.read(spark, os.path.join(root, DEDICATED), WINDOW_PARTS)
     return None if parts is None else analysis.merge_request_windows(parts, BY_POOL)
 
@@ -132,17 +149,10 @@ def run_all(spark: SparkSession, root: str, inputs: ProfileInputs,
         if raw is None:
             continue
         marks = _marks(spark, group, dataset, col, scope)
-        new = staged_form(raw, marks)
-        if key != "session_requests":
-            out[key] = staging.write(new, group, dataset, mode="append", partition_by=BY_POOL)
-        else:   # A2 kept from the new rows only: append their partial windows too
-            new = new.persist()
-            try:
-                out[key] = staging.write(new, group, dataset, mode="append", partition_by=BY_POOL)
-                staging.write(analysis.request_window_parts(new, BY_POOL), group, WINDOW_PARTS,
-                              mode="append", partition_by=("workspace_name",))
-            finally:
-                new.unpersist()
+        out[key] = staging.write(staged_form(raw, marks), group, dataset, mode="append",
+                                 partition_by=BY_POOL)
+        if key == "session_requests" and s.keep_report:
+            _append_window_parts(spark, group, dataset, col, marks)
         appended.append((group, dataset))
 
     # -- serverless snapshots

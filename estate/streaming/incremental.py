@@ -37,23 +37,22 @@ def stage_new_rows(spark: SparkSession, batch: DataFrame, root: str, dataset: st
     With ``report`` (a dataset name), the partial request-window rows of the
     rows staged now are appended to that dataset as well, so the report is
     kept up to date from new rows only (see
-    :func:`estate.operators.analysis.merge_request_windows`); the new rows
-    are persisted for the two writes and released after them."""
+    :func:`estate.operators.analysis.merge_request_windows`)."""
     staged = staging.read(spark, root, dataset)
     marks = None if staged is None else incremental.high_water(staged, mark_col, keys)
     if transform is None:
         new = incremental.newer_than(batch, mark_col, marks, keys)
     else:
         new = transform(batch, marks)
-    if report is None:
-        return staging.write(new, root, dataset, mode="append", partition_by=partition_by)
-    new = new.persist()
-    try:
-        n = staging.write(new, root, dataset, mode="append", partition_by=partition_by)
-        staging.write(analysis.request_window_parts(new, tuple(keys)), root, report,
-                      mode="append", partition_by=())
-    finally:
-        new.unpersist()
+    n = staging.write(new, root, dataset, mode="append", partition_by=partition_by)
+    if report is not None:
+        # the rows just staged are the staged rows above the marks taken
+        # before the write; read them back through that predicate
+        fresh = staging.read(spark, root, dataset)
+        if marks is not None:
+            fresh = incremental.newer_than(fresh, mark_col, marks, keys)
+        staging.write(analysis.request_window_parts(fresh, tuple(keys)), root, report,
+                      mode="append", partition_by=(), rebalance=False)
     return n
 
 
