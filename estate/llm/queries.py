@@ -7,10 +7,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate.llm import secret_scan, token_counts, url_rules
+from estate.llm import byte_bpe, secret_scan, suffix_dedup, token_counts, url_rules, window_dedup
 from estate.llm._ship import table
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = byte_bpe.decode(byte_bpe.encode(docs, path), path)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(byte_bpe.ids_text(F.col("ids")), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("byte_bpe_50k.json"))
@@ -31,9 +40,22 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _listed(F.col("spans")).alias("spans"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = window_dedup.remove_earlier(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_rules.judge_urls(pages).select("page_id", "host", "path", "rule", "pattern", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op5_token_counts, op7_secret_scan, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op2_byte_bpe, op5_token_counts, op7_secret_scan, op8_suffix_dedup, op9_substring_dedup,
+                                    op10_url_filters)}
