@@ -7,10 +7,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate.llm import byte_bpe, secret_scan, suffix_dedup, token_counts, url_rules, window_dedup
+from estate.llm import byte_bpe, minhash_forest, secret_scan, suffix_dedup, token_counts, url_rules, window_dedup
 from estate.llm._ship import table
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -57,5 +61,5 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(pages).select("page_id", "host", "path", "rule", "pattern", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op5_token_counts, op7_secret_scan, op8_suffix_dedup, op9_substring_dedup,
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_byte_bpe, op5_token_counts, op7_secret_scan, op8_suffix_dedup, op9_substring_dedup,
                                     op10_url_filters)}
