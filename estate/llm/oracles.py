@@ -1,6 +1,14 @@
 """DuckDB SQL of the queries that SQL can express."""
 
 ORACLE = {
+    "op4_pivot_topk": """
+WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+""",
     "op10_url_filters": r"""
 WITH r(rule, host, path, verdict) AS (VALUES
   ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
