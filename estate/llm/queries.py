@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate.llm import byte_bpe, minhash_forest, pivot_topk, secret_scan, suffix_dedup, token_counts, url_rules, window_dedup
+from estate.llm import byte_bpe, minhash_forest, pivot_topk, secret_scan, suffix_dedup, token_counts, url_rules, weak_quality, window_dedup
 from estate.llm._ship import table
 
 
@@ -24,6 +24,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_topk.top_k(table(spark, sf_dir, "embeddings"), k=5, is_query=F.col("vec_id") % 50 == 0)
 
@@ -65,5 +69,5 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(pages).select("page_id", "host", "path", "rule", "pattern", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_byte_bpe, op4_pivot_topk, op5_token_counts, op7_secret_scan, op8_suffix_dedup, op9_substring_dedup,
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_byte_bpe, op3_weak_quality, op4_pivot_topk, op5_token_counts, op7_secret_scan, op8_suffix_dedup, op9_substring_dedup,
                                     op10_url_filters)}
