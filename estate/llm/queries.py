@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate.llm import byte_bpe, minhash_forest, pivot_topk, secret_scan, suffix_dedup, token_counts, url_rules, weak_quality, window_dedup
+from estate.llm import byte_bpe, decontaminate, minhash_forest, pivot_topk, secret_scan, suffix_dedup, token_counts, url_rules, weak_quality, window_dedup
 from estate.llm._ship import table
 
 
@@ -37,6 +37,13 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.filter(F.transform("leaks", lambda x: x["item_id"]), lambda i: i.isNotNull())))
+    return found.select("doc_id", items.alias("item_ids"), F.size("leaks").cast("long").alias("n_regions"),
+                        (F.size("leaks") > 0).alias("contaminated"))
+
+
 def _listed(spans) -> "F.Column":
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -69,5 +76,5 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(pages).select("page_id", "host", "path", "rule", "pattern", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_byte_bpe, op3_weak_quality, op4_pivot_topk, op5_token_counts, op7_secret_scan, op8_suffix_dedup, op9_substring_dedup,
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_byte_bpe, op3_weak_quality, op4_pivot_topk, op5_token_counts, op6_decontamination, op7_secret_scan, op8_suffix_dedup, op9_substring_dedup,
                                     op10_url_filters)}
