@@ -291,3 +291,16 @@ def _region_pairs(member: DataFrame, percent: int, least_depth: int) -> DataFram
         if rows.isEmpty():
             break
     return out.distinct()
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rule) -> DataFrame:
+    """``docs`` with one document of each component (the one with the smallest
+    id), with their columns; of rows that share its id the one with the smallest
+    text stays.  Rows without an id belong to no group and stay."""
+    ids = near_duplicates(docs, id_col, text_col, **rule).filter(f"kept AND `{id_col}` IS NOT NULL").select(id_col).distinct()
+    names = docs.columns
+    rest = docs.filter(F.col(f"`{id_col}`").isNotNull()).join(ids, id_col, "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in names])
+    order = F.struct(F.col(f"`{text_col}`"), F.xxhash64(*[F.col(f"`{c}`") for c in names]))
+    one = rest.groupBy(F.col(f"`{id_col}`").alias("_key")).agg(F.min_by(row, order).alias("_row")).select("_row.*")
+    return one.unionByName(docs.filter(F.col(f"`{id_col}`").isNull()))
