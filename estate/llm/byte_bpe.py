@@ -7,7 +7,7 @@ entry, with one hash, one displacement and one comparison.  Tier two, for
 misses: the pre-token's bytes form a doubly linked list and a heap holds the
 mergeable neighbours by (rank, position), so merges happen in the library's
 order in O(n log n).  Results of both tiers are remembered per worker in a
-bounded table.  Decoding gathers entry bytes with one vectorised take.
+bounded table of two generations.  Decoding gathers entry bytes with one vectorised take.
 
 Long texts are split into segments at single spaces between two non-space
 characters, where the pattern always starts a new pre-token, so the pre-tokens
@@ -46,7 +46,8 @@ from estate.llm._ship import ship
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 SEGMENT_CHARS = 256 * 1024
-TABLE_ENTRIES = 300_000
+SEGMENT_IDS = 256 * 1024         # ids decoded at once
+TABLE_ENTRIES = 200_000          # of each of two generations
 KEPT_BYTES = 48                  # longer pre-tokens are encoded but not remembered
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _MASK = (1 << 64) - 1
@@ -60,10 +61,13 @@ class PerfectHash:
     first, get the least displacement that sends all their keys to free slots;
     groups of one key get a free slot directly (stored as ``-slot - 1``)."""
 
-    def __init__(self, keys: list[bytes]):
+    def __init__(self, keys: list[bytes], seed: int = 0, shift: array | None = None):
+        """``seed`` and ``shift``: of a hash built before over the same keys."""
         self.n = n = len(keys)
-        self.seed = 0
-        while not self._build(keys):
+        self.groups = max(1, n // 2)
+        self.seed = seed
+        self.shift = shift
+        while self.shift is None and not self._build(keys):
             self.seed += 1
         self.keys = [b""] * n
         for k in keys:
@@ -71,8 +75,7 @@ class PerfectHash:
 
     def _build(self, keys: list[bytes]) -> bool:
         n = self.n
-        self.groups = max(1, n // 2)
-        self.shift = array("q", bytes(8 * self.groups))
+        shift = array("q", bytes(8 * self.groups))
         dealt: dict[int, list[int]] = {}
         for k in keys:
             h = xxhash.xxh3_64_intdigest(k, self.seed)
@@ -91,14 +94,15 @@ class PerfectHash:
                     break
             else:
                 return False
-            self.shift[g] = d
+            shift[g] = d
             for s in slots:
                 taken[s] = 1
         else:
-            return True
+            at = len(order)
         free = (i for i in range(n) if not taken[i])
         for g in order[at:]:
-            self.shift[g] = -next(free) - 1
+            shift[g] = -next(free) - 1
+        self.shift = shift
         return True
 
     def _place(self, h: int, d: int) -> int:
@@ -160,8 +164,7 @@ class Splitter:
     """The pre-token pattern as the library reads it: a fast form for texts of
     usual characters only, and the full form for all others."""
 
-    def __init__(self):
-        odd = _disagreements()
+    def __init__(self, odd: dict):
         groups = {name: f"[[{name}{_listed(more)}]" + (f"--[{_listed(fewer)}]]" if fewer else "]")
                   for name, (more, fewer) in odd.items()}
         space = groups[r"\s"]
@@ -195,12 +198,18 @@ class Splitter:
 
 
 class Vocabulary:
-    def __init__(self, path: str):
+    """One rank file, opened once per Python worker; ``prepared`` is what the
+    driver worked out (:func:`prepare`)."""
+
+    def __init__(self, path: str, prepared: tuple):
         self.ranks = read_ranks(path)
-        self.hash = PerfectHash(list(self.ranks))
+        seed, shift, odd = prepared
+        self.hash = PerfectHash(list(self.ranks), seed, shift)
         self.ids = [self.ranks[k] for k in self.hash.keys]      # id by slot
-        self.splitter = Splitter()
-        self.table: dict[str, tuple[int, ...]] = {}
+        self.odd = odd
+        self.splitter = None
+        self.new: dict[str, tuple[int, ...]] = {}               # results of pre-tokens, in two generations
+        self.old: dict[str, tuple[int, ...]] = {}
         size = max(self.ranks.values()) + 1
         words = [b"\xef\xbf\xbd"] * (size + 1)                     # the last stands for unknown ids
         for k, i in self.ranks.items():
@@ -213,6 +222,20 @@ class Vocabulary:
         gaps[list(self.ranks.values())] = False
         self.gaps = gaps
 
+    def _ready(self) -> None:
+        """What only encoding needs: the pattern, single bytes, and the rank of
+        every mergeable pair of entries."""
+        self.splitter = Splitter(self.odd)
+        get = self.ranks.get
+        self.bytes = [get(bytes([b])) for b in range(256)]
+        self.bits = self.unknown.bit_length()
+        self.pairs = {}
+        for word, rank in self.ranks.items():
+            for k in range(1, len(word)):
+                x, y = get(word[:k]), get(word[k:])
+                if x is not None and y is not None:
+                    self.pairs[x << self.bits | y] = rank
+
     def encode_piece(self, piece: str) -> tuple[int, ...]:
         raw = piece.encode()
         slot = self.hash.find(raw)
@@ -221,47 +244,48 @@ class Vocabulary:
     def merge(self, raw: bytes) -> list[int]:
         """Lowest rank first, leftmost among equals, until nothing merges.
 
-        ``nxt[i]`` is where the part that starts at ``i`` ends (0: no part
-        starts there any more), ``prv[i]`` where the part before it starts; a
-        heap item packs rank, start and end of two neighbours."""
-        get, push, pop, n = self.ranks.get, heapq.heappush, heapq.heappop, len(raw)
-        bits = n.bit_length()
-        low, high = (1 << bits) - 1, 2 * bits
+        ``ids[i]`` is the entry that starts at byte ``i``, ``nxt`` and ``prv``
+        link the starts; a heap item packs a rank and the start of the left of
+        two neighbours, and is out of date if they no longer merge to it."""
+        get, push, pop, n, bits = self.pairs.get, heapq.heappush, heapq.heappop, len(raw), self.bits
+        single, wide = self.bytes, n.bit_length()
+        ids, low = [single[b] for b in raw], (1 << wide) - 1
         nxt, prv = list(range(1, n + 1)), list(range(-1, n))
-        heap = [r << high | i << bits | i + 2 for i in range(n - 1) if (r := get(raw[i:i + 2])) is not None]
+        heap = [r << wide | i for i, (x, y) in enumerate(zip(ids, ids[1:])) if (r := get(x << bits | y)) is not None]
         heapq.heapify(heap)
+        ids.append(-1)
         while heap:
             x = pop(heap)
-            e, i = x & low, x >> bits & low
+            i, r = x & low, x >> wide
             j = nxt[i]
-            if not 0 < j < n or nxt[j] != e:
-                continue                           # one of the two has changed since
-            nxt[i], nxt[j], prv[e] = e, 0, i
-            if e < n and (r := get(raw[i:nxt[e]])) is not None:
-                push(heap, r << high | i << bits | nxt[e])
+            if ids[i] < 0 or j >= n or get(ids[i] << bits | ids[j]) != r:
+                continue
+            e = nxt[j]
+            ids[i], ids[j] = r, -1
+            nxt[i], prv[e] = e, i
+            if e < n and (s := get(r << bits | ids[e])) is not None:
+                push(heap, s << wide | i)
             p = prv[i]
-            if p >= 0 and (r := get(raw[p:e])) is not None:
-                push(heap, r << high | p << bits | e)
-        out, i = [], 0
-        while i < n:
-            out.append(get(raw[i:nxt[i]]))
-            i = nxt[i]
-        return out
+            if p >= 0 and (s := get(ids[p] << bits | r)) is not None:
+                push(heap, s << wide | p)
+        return [x for x in ids if x >= 0]
 
     def encode(self, text: str) -> array:
+        if self.splitter is None:
+            self._ready()
         ids = array("i")
         for part in self.splitter.segments(text):
             pieces = self.splitter.split(part)
-            if len(self.table) > TABLE_ENTRIES:
-                self.table.clear()
-            table, long = self.table, []
-            for p in set(pieces).difference(table):
-                table[p] = self.encode_piece(p)
+            if len(self.new) > TABLE_ENTRIES:
+                self.old, self.new = self.new, {}
+            new, old, long = self.new, self.old, []
+            for p in set(pieces).difference(new):
+                new[p] = old.get(p) or self.encode_piece(p)
                 if len(p) > KEPT_BYTES:
                     long.append(p)
-            ids.extend(chain.from_iterable(map(table.__getitem__, pieces)))
+            ids.extend(chain.from_iterable(map(new.__getitem__, pieces)))
             for p in long:
-                del table[p]
+                del new[p]
         return ids
 
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -274,9 +298,21 @@ class Vocabulary:
         return self.blob[at], n
 
 
-def vocabulary(path: str) -> Vocabulary:
+_prepared: dict = {}
+
+
+def prepare(path: str) -> tuple:
+    """The displacements of the perfect hash and the characters on which the
+    libraries disagree: worked out once on the driver, of the vocabulary's size."""
+    if path not in _prepared:
+        h = PerfectHash(list(read_ranks(path)))
+        _prepared[path] = (h.seed, h.shift, _disagreements())
+    return _prepared[path]
+
+
+def vocabulary(path: str, prepared: tuple) -> Vocabulary:
     if path not in _open:
-        _open[path] = Vocabulary(path)
+        _open[path] = Vocabulary(path, prepared)
     return _open[path]
 
 
@@ -284,10 +320,11 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "i
     """``docs`` with the token ids of ``text_col`` in ``out_col``
     (array<int>); ``path``: a rank file at the same place on every executor."""
     ship(docs.sparkSession)
+    prepared = docs.sparkSession.sparkContext.broadcast(prepare(path))
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def ids(texts: pa.Array) -> pa.Array:
-        v = vocabulary(path)
+        v = vocabulary(path, prepared.value)
         values, offsets = array("i"), [0]
         for t in texts:
             t = t.as_py()
@@ -301,18 +338,23 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "i
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with the bytes of ``ids_col`` in ``out_col`` (binary)."""
     ship(df.sparkSession)
+    prepared = df.sparkSession.sparkContext.broadcast(prepare(path))
 
     @F.arrow_udf(T.BinaryType())
     def decoded(ids: pa.Array) -> pa.Array:
-        v = vocabulary(path)
-        values = pc.fill_null(pc.list_flatten(ids), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        data, n = v.decode(values)
-        per_id = np.concatenate([[0], np.cumsum(n)])
+        v = vocabulary(path, prepared.value)
         sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-        ends = per_id[np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)]
-        raw = data.tobytes()
-        return pa.array([None if null else raw[a:b] for null, a, b in
-                         zip(pc.is_null(ids).to_pylist(), ends[:-1], ends[1:])], pa.binary())
+        total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        out, i = [], 0
+        while i < len(ids):                        # a bounded number of ids at once, or one row
+            j = max(i + 1, int(np.searchsorted(total, total[i] + SEGMENT_IDS, "right")) - 1)
+            part = ids.slice(i, j - i)
+            data, n = v.decode(pc.fill_null(pc.list_flatten(part), -1).to_numpy(zero_copy_only=False))
+            ends = np.concatenate([[0], np.cumsum(n)])[total[i:j + 1] - total[i]]
+            raw = data.tobytes()
+            out += [None if null else raw[x:y] for null, x, y in zip(pc.is_null(part).to_pylist(), ends[:-1], ends[1:])]
+            i = j
+        return pa.array(out, pa.binary())
     return df.withColumn(out_col, decoded(F.col(f"`{ids_col}`").cast("array<int>")))
 
 

@@ -20,7 +20,9 @@ def library():
 
 @pytest.fixture(scope="module")
 def vocab():
-    return byte_bpe.vocabulary(PATH)
+    v = byte_bpe.Vocabulary(PATH, byte_bpe.prepare(PATH))
+    v.encode("")
+    return v
 
 
 def test_pattern_is_the_public_one():
