@@ -46,8 +46,10 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that are no longer
-    referenced (its cleaner acts when the driver collects garbage)."""
+    referenced: its cleaner acts when the driver collects garbage, and the
+    session keeps its last execution, so a small one takes that place first."""
     import gc
+    spark.range(1).collect()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

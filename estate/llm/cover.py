@@ -167,10 +167,13 @@ def _gaps(at: np.ndarray, first: np.ndarray) -> bytes:
     return zlib.compress(bytes([np.dtype(kind).itemsize]) + d.astype(kind).tobytes(), 1)
 
 
-def _places(data: bytes, counts: np.ndarray) -> np.ndarray:
+def _differences(data: bytes) -> np.ndarray:
     raw = zlib.decompress(data)
-    d = np.frombuffer(raw[1:], f"u{raw[0]}")
-    total = np.cumsum(d.astype(np.int64))
+    return np.frombuffer(raw[1:], f"u{raw[0]}").astype(np.int64)
+
+
+def _places(data: bytes, counts: np.ndarray) -> np.ndarray:
+    total = np.cumsum(_differences(data))
     ends = np.cumsum(counts)
     before = np.concatenate([[0], total[ends[:-1] - 1]]) if len(counts) else total[:0]
     return total - np.repeat(before, counts)
@@ -289,18 +292,57 @@ def _sample(plan: Plan, buckets: int):
     return run
 
 
-def _sample_reply(plan: Plan):
-    schema = pa.schema([("id", pa.int64()), ("bucket", pa.int32()), ("names", pa.binary())])
-
+REPLY = "part int, k1 binary, k2 binary, sizes binary, data binary"
+REPLY_SCHEMA = pa.schema([("part", pa.int32()), *[(c, pa.binary()) for c in ("k1", "k2", "sizes", "data")]])
+MERGED_SCHEMA = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("found", pa.list_(pa.binary()))])
+
+
+def _answer(k1: np.ndarray, k2: np.ndarray, data: list[bytes], parts: int) -> pa.Table:
+    """What a bucket has to say to each document (``k1, k2``), packed by parts
+    of the documents."""
+    part = (mixed(k1.astype(np.uint64) ^ mixed(k2.astype(np.uint64))) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
+    rows = {c: [] for c in REPLY_SCHEMA.names}
+    for at in np.split(order, cuts[1:]) if len(order) else []:
+        mine = [data[i] for i in at]
+        rows["part"].append(int(part[at[0]]))
+        rows["k1"].append(k1[at].tobytes())
+        rows["k2"].append(k2[at].tobytes())
+        rows["sizes"].append(np.array([len(x) for x in mine], np.uint32).tobytes())
+        rows["data"].append(b"".join(mine))
+    return pa.table([pa.array(rows[f.name], f.type) for f in REPLY_SCHEMA], schema=REPLY_SCHEMA)
+
+
+def _merged(t: pa.Table) -> pa.Table:
+    """One row for each document of a part, with what all buckets said."""
+    told: dict[tuple[int, int], list[bytes]] = {}
+    for k1, k2, sizes, data in zip(*(t[c].to_pylist() for c in ("k1", "k2", "sizes", "data"))):
+        at = 0
+        for a, b, n in zip(np.frombuffer(k1, np.int64).tolist(), np.frombuffer(k2, np.int64).tolist(),
+                           np.frombuffer(sizes, np.uint32).tolist()):
+            told.setdefault((a, b), []).append(data[at:at + n])
+            at += n
+    return pa.table([pa.array([k[0] for k in told], pa.int64()), pa.array([k[1] for k in told], pa.int64()),
+                     pa.array(list(told.values()), pa.list_(pa.binary()))], schema=MERGED_SCHEMA)
+
+
+def _collected(entries: DataFrame, answer, parts: int, label: str) -> DataFrame:
+    """``k1, k2, found``: every bucket's answers, merged for each document."""
+    said = entries.groupBy("bucket").applyInArrow(answer, REPLY)
+    return stored(said.groupBy("part").applyInArrow(_merged, "k1 long, k2 long, found array<binary>"), label)
+
+
+def _sample_reply(plan: Plan, parts: int):
     def run(t: pa.Table) -> pa.Table:
-        bucket = t["bucket"][0].as_py()
+        bucket = np.array([t["bucket"][0].as_py()], np.uint32).tobytes()
         b = Bucket(t, np.uint32)
         hit = b.repeated(plan.earlier, False)
         row, names = b.row[hit], b.names[hit]
         cuts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])[:len(row)])
-        return pa.table([pa.array(b.ids[row[cuts]], pa.int64()), pa.array([bucket] * len(cuts), pa.int32()),
-                         pa.array([np.unique(x).tobytes() for x in np.split(names, cuts[1:])] if len(cuts) else [], pa.binary())],
-                        schema=schema)
+        data = [bucket + np.unique(x).tobytes() for x in np.split(names, cuts[1:])] if len(cuts) else []
+        ids = b.ids[row[cuts]]
+        return _answer(ids, np.zeros_like(ids), data, parts)
     return run
 
 
@@ -316,8 +358,8 @@ def _windows(plan: Plan, buckets: int, out_buckets: int):
             hit = np.zeros(len(code), bool)
             cuts = np.searchsorted(doc, np.arange(len(docs)))
             for d, found in enumerate(batch.column(4).to_pylist()):
-                told = np.concatenate([np.frombuffer(x["names"], np.uint32).astype(np.uint64)
-                                       | (np.uint64(x["bucket"]) << np.uint64(32)) for x in found])
+                lists = [np.frombuffer(x, np.uint32).astype(np.uint64) for x in found]
+                told = np.concatenate([x[1:] | (x[0] << np.uint64(32)) for x in lists])
                 hit[cuts[d]:cuts[d + 1]] = np.isin(code[cuts[d]:cuts[d + 1]], told)
             doc, place = doc[hit], place[hit]
             last = docs[1:][doc] - plan.window                  # last start that fits
@@ -337,19 +379,14 @@ def _windows(plan: Plan, buckets: int, out_buckets: int):
     return run
 
 
-def _window_reply(plan: Plan):
-    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int32()), ("places", pa.binary())])
-
+def _window_reply(plan: Plan, parts: int):
     def run(t: pa.Table) -> pa.Table:
         b = Bucket(t, np.uint64)
         hit = b.repeated(plan.earlier, True)
         row, place = b.row[hit], b.places[hit]
         cuts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])[:len(row)])
-        parts = np.split(place, cuts[1:]) if len(cuts) else []
-        who = row[cuts]
-        return pa.table([pa.array(b.k1[who], pa.int64()), pa.array(b.k2[who], pa.int64()),
-                         pa.array([len(p) for p in parts], pa.int32()),
-                         pa.array([_gaps(p, np.array([0])) for p in parts], pa.binary())], schema=schema)
+        data = [_gaps(x, np.array([0])) for x in np.split(place, cuts[1:])] if len(cuts) else []
+        return _answer(b.k1[row[cuts]], b.k2[row[cuts]], data, parts)
     return run
 
 
@@ -362,10 +399,10 @@ def covered(starts: np.ndarray, window: int) -> list[tuple[int, int]]:
                     (starts[np.concatenate([gap, [len(starts) - 1]])] + window).tolist()))
 
 
-def starts_of(found: list[dict] | None) -> np.ndarray:
+def starts_of(found: list[bytes] | None) -> np.ndarray:
     if not found:
         return np.zeros(0, np.int64)
-    return np.sort(np.concatenate([_places(f["places"], np.array([f["n"]])) for f in found]))
+    return np.sort(np.concatenate([np.cumsum(_differences(f)) for f in found]))
 
 
 def repeated_windows(docs: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataFrame:
@@ -378,28 +415,22 @@ def repeated_windows(docs: DataFrame, plan: Plan, id_col: str, text_col: str) ->
     classes = stored(keyed.groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.min("id").alias("least_id"),
                                                    F.first(F.octet_length("text")).cast("long").alias("n")), "cover-classes")
     total = classes.agg(F.sum(F.col("n") * F.least("copies", F.lit(2)))).first()[0] or 0
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     symbols = total / 6 if plan.words else total
-    buckets = max(parts, math.ceil(symbols * (plan.q + 1) / plan.period * 6 / BUCKET_BYTES))
+    buckets = max(1, math.ceil(symbols * (plan.q + 1) / plan.period * 6 / BUCKET_BYTES))
 
     long = keyed.filter(F.octet_length("text") >= plan.window)
     entries = long.select("id", "text", "k1", "k2").mapInArrow(_sample(plan, buckets), ENTRIES)
-    reply = stored(entries.groupBy("bucket").applyInArrow(_sample_reply(plan), "id long, bucket int, names binary"),
-                   "cover-sample")
+    told = _collected(entries, _sample_reply(plan, buckets), buckets, "cover-sample").select(F.col("k1").alias("id"), "found")
     release(spark)
 
-    told = reply.groupBy("id").agg(F.collect_list(F.struct("bucket", "names")).alias("told"))
-    hits = reply.agg(F.sum(F.octet_length("names")) / 4).first()[0] or 0
-    reach = hits * plan.period / (plan.q + 1) * 3 / 2
-    out_buckets = max(parts, math.ceil(reach * 12 / BUCKET_BYTES))
-    # a null id stands as the largest number in the replies
+    hits = told.agg(F.sum(F.aggregate("found", F.lit(0), lambda n, x: n + F.octet_length(x))) / 4).first()[0] or 0
+    buckets_2 = max(1, math.ceil(hits * plan.period / (plan.q + 1) * 12 / BUCKET_BYTES))
+    # a null id stands as the largest number in the answers
     near = (long.withColumn("id", F.coalesce("id", F.lit(2 ** 63 - 1))).join(told, "id")
-            .select("id", "text", "k1", "k2", "told"))
-    windows = near.mapInArrow(_windows(plan, buckets, out_buckets), ENTRIES)
-    found = stored(windows.groupBy("bucket").applyInArrow(_window_reply(plan), "k1 long, k2 long, n int, places binary"),
-                   "cover-windows")
+            .select("id", "text", "k1", "k2", "found"))
+    windows = near.mapInArrow(_windows(plan, buckets, buckets_2), ENTRIES)
+    runs = _collected(windows, _window_reply(plan, buckets_2), buckets_2, "cover-windows")
     release(spark)
 
-    runs = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("n", "places")).alias("found"))
     verdict = classes.join(runs, ["k1", "k2"], "left").select("k1", "k2", "copies", "least_id", "found")
     return keyed.join(verdict, ["k1", "k2"], "left").select("id", "text", "copies", "least_id", "found")
