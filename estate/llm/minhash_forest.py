@@ -11,8 +11,9 @@ Candidates come from the longest common prefixes in the sorted orders:
 1. *neighbours*: every tree is range-sorted by prefix and class (ties are split
    by class, so a prefix shared by very many classes still spreads over tasks),
    and neighbours that share at least ``least_depth`` hashes are candidates.
-   A class checks its best neighbour of all trees first, and the links found
-   join classes to provisional components.
+   A class checks its best neighbour of all trees first; the links found join
+   classes to provisional components, and then the neighbours of different
+   components are checked.
 2. *regions*: a prefix region that still spans several components is compared
    further: with at most ``REGION`` classes all its pairs of different
    components are candidates; a larger region goes on to longer prefixes, its
@@ -40,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from estate.llm._ship import release, ship, slices, stored, string_parts
-from estate.llm.components import components
+from estate.llm.components import components, extended
 from estate.llm.cover import Rolling, _BYTE, mixed, word_bounds
 
 TREES = 16
@@ -124,14 +125,16 @@ def _shared(a: bytes, b: bytes) -> int:
     return k
 
 
-def _neighbours(least_depth: int, close):
-    """Pairs of neighbours in a sorted partition, and its two ends."""
-    names = ["kind", "tree", "prefix", "id", "n", "other", "depth"]
+CUT = "kind int, tree int, prefix binary, id long, n long, other long, other_n long, depth int"
+CUT_TYPES = (pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
+
+
+def _neighbours(least_depth: int):
+    """Pairs of neighbours in a sorted partition (kind -1), and its two ends."""
+    names = [c.split()[0] for c in CUT.split(", ")]
 
     def batch(rows):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary(), pa.int64(),
-                                                         pa.int64(), pa.int64(), pa.int32()))], names=names)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), CUT_TYPES)], names=names)
 
     def run(batches):
         last, rows = None, []
@@ -139,33 +142,34 @@ def _neighbours(least_depth: int, close):
             for now in zip(*(b.column(i).to_pylist() for i in range(5))):
                 part, tree, prefix, i, n = now
                 if last is None:
-                    rows.append((2 * part, tree, prefix, i, n, None, None))
-                elif last[1] == tree and close(last[4], n):
+                    rows.append((2 * part, tree, prefix, i, n, None, None, None))
+                elif last[1] == tree:
                     k = _shared(last[2], prefix)
                     if k >= least_depth:
-                        rows.append((-1, None, None, i, None, last[3], k))
+                        rows.append((-1, None, None, i, n, last[3], last[4], k))
                 last = now
             if len(rows) > 50_000:
                 yield batch(rows)
                 rows = []
         if last is not None:
-            rows.append((2 * last[0] + 1, last[1], last[2], last[3], last[4], None, None))
+            rows.append((2 * last[0] + 1, last[1], last[2], last[3], last[4], None, None, None))
         if rows:
             yield batch(rows)
     return run
 
 
-def _ends(cut: DataFrame, least_depth: int, percent: int) -> DataFrame:
-    """Neighbours that lie in different partitions: a partition's last row and
-    the next one's first (two rows for each partition)."""
+def _adjacent(cut: DataFrame, least_depth: int) -> DataFrame:
+    """All neighbours ``id, n, other, other_n, depth``; those in different
+    partitions come from a partition's last row and the next one's first (two
+    rows for each partition)."""
     from pyspark.sql import Window
     ends = cut.filter("kind >= 0").select("kind", "tree", "prefix", "id", "n")
     w = Window.orderBy("kind")
-    prior = {c: F.lag(c).over(w).alias(f"p_{c}") for c in ("kind", "tree", "prefix", "id", "n")}
+    prior = {c: F.lag(c).over(w).alias(f"p_{c}") for c in ("tree", "prefix", "id", "n")}
     pairs = ends.select("*", *prior.values()).filter((F.col("kind") % 2 == 0) & (F.col("tree") == F.col("p_tree")))
     same = F.col("prefix").substr(1, 2 * least_depth) == F.col("p_prefix").substr(1, 2 * least_depth)
-    return (pairs.filter(same & _sizes_fit("n", "p_n", percent) & (F.col("id") != F.col("p_id")))
-            .select("id", F.col("p_id").alias("other"), F.lit(least_depth).alias("depth")))
+    across = pairs.filter(same).select("id", "n", F.col("p_id").alias("other"), F.col("p_n").alias("other_n"), F.lit(least_depth).alias("depth"))
+    return (cut.filter("kind < 0").select("id", "n", "other", "other_n", "depth").unionByName(across).filter("id <> other"))
 
 
 def _sizes_fit(a: str, b: str, percent: int) -> Column:
@@ -199,6 +203,13 @@ def _linked(pairs: DataFrame, texts: DataFrame, width: int, fold_case: bool, per
             .mapInArrow(_confirm(width, fold_case, percent), "a long, b long"))
 
 
+def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs whose ends lie in different components."""
+    for c in ("a", "b"):
+        pairs = pairs.join(comp.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}")), c, "left")
+    return pairs.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                     percent: int = 80, fold_case: bool = True, least_depth: int = LEVELS[0]) -> DataFrame:
     """``id, n_shingles, component_id, kept`` of every row; documents are
@@ -216,39 +227,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                   .alias("tree", "prefix")), "minhash-trees")
 
     # 1. neighbours in every sorted order
-    def close(a, b):
-        return min(a, b) * 100 >= max(a, b) * percent
     order = ["tree", "prefix", "id"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cut = stored(entries.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                  .select(F.spark_partition_id().alias("part"), "tree", "prefix", "id", "n")
-                 .mapInArrow(_neighbours(least_depth, close), "kind int, tree int, prefix binary, id long, n long, other long, depth int"),
-                 "minhash-neighbours")
-    near = (cut.filter("kind < 0 AND id <> other").select("id", "other", "depth")
-            .unionByName(_ends(cut, least_depth, percent)))
-    both = near.unionByName(near.select(F.col("other").alias("id"), F.col("id").alias("other"), "depth"))
-    best = (both.groupBy("id").agg(F.max(F.struct("depth", (-F.col("other")).alias("neg"))).alias("m"))
-            .select(F.greatest("id", -F.col("m.neg")).alias("a"), F.least("id", -F.col("m.neg")).alias("b")).distinct())
-    best = stored(best, "minhash-best")
-    texts = base.filter("id IS NOT NULL")
+                 .mapInArrow(_neighbours(least_depth), CUT), "minhash-neighbours")
+    beside = _adjacent(cut, least_depth)
+    # only classes that share a region with another one can ever be compared
+    some = beside.select("id").unionByName(beside.select(F.col("other").alias("id"))).distinct()
+    texts = stored(base.join(some, "id", "left_semi"), "minhash-texts")
+    near = beside.filter(_sizes_fit("n", "other_n", percent))
+    both = near.select("id", "other", "depth").unionByName(near.select(F.col("other").alias("id"), F.col("id").alias("other"), "depth"))
+    best = stored(both.groupBy("id").agg(F.max(F.struct("depth", (-F.col("other")).alias("neg"))).alias("m"))
+                  .select(F.greatest("id", -F.col("m.neg")).alias("a"), F.least("id", -F.col("m.neg")).alias("b")).distinct(), "minhash-best")
     first = stored(_linked(best, texts, width, fold_case, percent), "minhash-links")
     release(spark)
-    comp = components(first)
+    comp = stored(components(first), "minhash-components")
+    pairs = stored(near.select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct(), "minhash-near")
+    apart = _apart(pairs.join(best, ["a", "b"], "left_anti"), comp)
+    second = stored(_linked(apart, texts, width, fold_case, percent), "minhash-links")
+    release(spark)
+    comp = stored(extended(comp, second), "minhash-components")
 
-    # 2. neighbours and regions that span components
+    # 2. regions that span components
     member = entries.join(comp, entries.id == comp.node, "left").select(
         "id", "n", "tree", "prefix", F.coalesce("component", "id").alias("comp"))
-    member = stored(member, "minhash-members")
-    rest = _region_pairs(member, percent, least_depth)
-    label = comp.select("node", "component")
-    apart = (near.select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct()
-             .join(label.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
-             .join(label.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-             .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-    more = stored(apart.unionByName(rest).distinct().join(best, ["a", "b"], "left_anti"), "minhash-candidates")
-    second = stored(_linked(more, texts, width, fold_case, percent), "minhash-links")
+    rest = stored(_region_pairs(member, percent, least_depth).join(pairs, ["a", "b"], "left_anti"), "minhash-candidates")
+    third = stored(_linked(rest, texts, width, fold_case, percent), "minhash-links")
     release(spark)
-    final = stored(components(first.unionByName(second).unionByName(_versions(signed, rep))), "minhash-components")
+    final = stored(extended(comp, third.unionByName(_versions(signed, rep))), "minhash-components")
 
     # every row: its class, the class's representative, the representative's component
     classes = (rep.join(final.withColumnRenamed("node", "rep"), "rep", "left")
