@@ -127,7 +127,9 @@ def statement_slice(text: Column | str, start_offset: Column | str,
     Start byte ``start`` (integer-halved, so always a character boundary),
     length ``(end - start) / 2 + 1`` characters, integer division, clipped at
     the end.  Cutting the UTF-16 bytes keeps the offsets exact for characters
-    outside the Basic Multilingual Plane, which count as two units there.
+    outside the Basic Multilingual Plane, which count as two units there; half
+    of such a character at either end of the cut becomes U+FFFD, so no offset
+    fails the query.
     """
     text = F.col(text) if isinstance(text, str) else text
     start = F.col(start_offset) if isinstance(start_offset, str) else start_offset
@@ -138,4 +140,14 @@ def statement_slice(text: Column | str, start_offset: Column | str,
     first_unit = (start / 2).cast("int")
     units = ((end_bytes - start) / 2).cast("int") + 1
     cut = F.substring(utf16, first_unit * 2 + 1, F.greatest(units, F.lit(0)) * 2)
-    return F.when(text.isNotNull(), F.decode(cut, "UTF-16LE"))
+    # high byte of the first and last unit: DC-DF is the second half of a pair, D8-DB the first
+    size = F.octet_length(cut)
+    first, last = F.hex(F.substring(cut, 2, 1)), F.hex(F.substring(cut, size, 1))
+    lone_head = (size >= 2) & first.between("DC", "DF")
+    lone_tail = (size >= 2) & last.between("D8", "DB")
+    unknown = F.unhex(F.lit("FDFF"))
+    empty = F.unhex(F.lit(""))
+    middle = F.substring(cut, F.when(lone_head, 3).otherwise(1),
+                         size - F.when(lone_head, 2).otherwise(0) - F.when(lone_tail, 2).otherwise(0))
+    whole = F.concat(F.when(lone_head, unknown).otherwise(empty), middle, F.when(lone_tail, unknown).otherwise(empty))
+    return F.when(text.isNotNull(), F.decode(whole, "UTF-16LE"))

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estate.functions.timefns import whole_units
-from estate.operators.joins import join_small
 
 PAGE_KB = 8  # fixed value: size of one storage page in KB
 
@@ -76,13 +75,12 @@ def storage_by_node(partition_stats: DataFrame, by: tuple[str, ...] = ()) -> Dat
                  mb("used_page_count").alias("UsedSpaceMB")))
 
 
-def service_tiers(objectives: DataFrame, databases: DataFrame,
-                  max_broadcast_rows: int = 100_000) -> DataFrame:
+def service_tiers(objectives: DataFrame, databases: DataFrame) -> DataFrame:
     """Inner join of service objectives to databases on database_id,
-    reported as Database, Edition, Service Objective.  The database side is
-    broadcast only when its row count is within the bound."""
+    reported as Database, Edition, Service Objective.  Spark picks the join
+    from the sizes it measures."""
     dbs = databases.select("database_id", F.col("name").alias("Database"))
-    joined = join_small(objectives, dbs, "database_id", "inner", max_broadcast_rows)
+    joined = objectives.join(dbs, "database_id", "inner")
     return joined.select("Database",
                          F.col("edition").alias("Edition"),
                          F.col("service_objective").alias("Service Objective"))
@@ -93,15 +91,13 @@ def databases_by_collation(databases: DataFrame) -> DataFrame:
 
     Kept relational - one row per database with its collation and the size
     of its collation group - so no group is ever gathered into one value.
-    The per-collation counts come from a partial aggregate, are stored once
-    and joined back - broadcast only within the row bound.
+    The per-collation counts come from a partial aggregate and are joined
+    back; Spark picks the join from the sizes it measures.
     """
     counts = (databases.groupBy(F.col("collation_name").alias("_collation"))
               .agg(F.count(F.lit(1)).alias("databases_in_collation")))
     names = databases.select("collation_name", "name")
-    joined = join_small(names, counts,
-                        F.col("collation_name").eqNullSafe(F.col("_collation")), "inner",
-                        materialize=True)
+    joined = names.join(counts, F.col("collation_name").eqNullSafe(F.col("_collation")), "inner")
     return joined.select("collation_name", "name", "databases_in_collation")
 
 

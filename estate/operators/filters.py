@@ -18,14 +18,14 @@ DEFAULT_EXCLUDED_DATABASES = ("default",)  # fixed value: default exclusion list
 
 
 def project(df: DataFrame, keep: Iterable[str] = (), remove: Iterable[str] = ()) -> DataFrame:
-    """Keep a column when (keep is empty or its lower-cased name is in
-    keep) and its lower-cased name is not in remove; original order.  The
-    lists are used as given, so their entries are expected in lower case."""
-    keep = list(keep)
-    remove = list(remove)
-    cols = [c for c in df.columns
-            if (not keep or c.lower() in keep) and c.lower() not in remove]
-    return df.select(*[F.col(f"`{c}`") for c in cols])
+    """The columns named in ``keep`` (all, if it is empty) without those in
+    ``remove``, in their original order.  Names are compared in lower case
+    against the lists as given, so entries are expected in lower case."""
+    wanted, unwanted = frozenset(keep), frozenset(remove)
+    by_name = {name: name.lower() for name in df.columns}
+    if wanted:
+        by_name = {name: low for name, low in by_name.items() if low in wanted}
+    return df.select(*[F.col(f"`{name}`") for name, low in by_name.items() if low not in unwanted])
 
 
 def as_variant(df: DataFrame, *columns: str) -> DataFrame:

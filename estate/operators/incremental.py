@@ -4,31 +4,19 @@ The mark is computed per key (by default per workspace and pool) as a grouped
 maximum over the staged data - a partial aggregate, one small row per key.
 New rows are kept when strictly above their key's mark; keys without a mark
 keep everything (the predicate is omitted, as on a first run).  The marks
-table is joined back, broadcast only within a checked row bound.
+table, one row per key, is joined back.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estate.operators.joins import join_small
-
 MARK = "_hw_mark"
 
 
-def _lit_like(value, dtype) -> Column:
-    """A literal of the column's own type; datetimes go through their text
-    form so no client-side time zone is applied to them."""
-    if isinstance(value, (_dt.datetime, _dt.date)):
-        return F.lit(value.isoformat(sep=" ") if isinstance(value, _dt.datetime)
-                     else value.isoformat()).cast(dtype)
-    return F.lit(value).cast(dtype)
-
-
 def high_water(staged: DataFrame, col: str, keys: Sequence[str] = ("pool_name",),
                scope: str = "key") -> DataFrame:
     """A3: the maximum of ``col`` per key (``scope='key'``) or over the whole
@@ -40,50 +28,45 @@ def high_water(staged: DataFrame, col: str, keys: Sequence[str] = ("pool_name",)
 
 
 def newer_than(new: DataFrame, col: str, marks: DataFrame | None,
-               keys: Sequence[str] = ("pool_name",), lateness: str | None = None,
-               max_inline_keys: int = 200, max_broadcast_rows: int = 100_000) -> DataFrame:
+               keys: Sequence[str] = ("pool_name",), lateness: str | None = None) -> DataFrame:
     """Rows with ``col`` strictly above their key's mark.
 
     ``marks`` comes from :func:`high_water`; ``None`` means no previous run.
-    With at most ``max_inline_keys`` marks (checked by a bounded count) the
-    marks become literal predicates - ``(pool = 'a' AND t > x) OR ...`` - which
-    Catalyst pushes into the scan (Parquet row-group skipping, or the JDBC
-    source's WHERE clause).  Beyond that bound the marks are joined back.
-    ``lateness`` (an interval string such as ``'10 minutes'``) lowers the mark
-    to re-read rows that finished late (T2); duplicates that this creates are
-    removed with :func:`keep_newest`.
+    The marks are joined back null-safely (a null key has its own mark; a key
+    without one keeps everything), whatever their number; Spark broadcasts
+    them if they turn out small.  ``lateness`` (an interval string such as
+    ``'10 minutes'``) lowers the mark to re-read rows that finished late (T2);
+    :func:`not_staged` removes the rows that this reads again.
     """
     if marks is None:
         return new
-    lower = (lambda m: m - F.expr(f"INTERVAL {lateness}")) if lateness else (lambda m: m)
     mark_keys = [c for c in marks.columns if c != MARK]
-    bounded = marks.limit(max_inline_keys + 1).collect()
-    types = {f.name: f.dataType for f in new.schema.fields}
-    if len(bounded) <= max_inline_keys:
-        if not mark_keys:                                   # one global mark
-            value = bounded[0][MARK] if bounded else None
-            return new if value is None else new.filter(F.col(col) > lower(_lit_like(value, types[col])))
-        cond, seen = None, []
-        for row in bounded:
-            key_match = None
-            for k in mark_keys:
-                eq = F.col(k).eqNullSafe(_lit_like(row[k], types[k]))
-                key_match = eq if key_match is None else key_match & eq
-            seen.append(key_match)
-            if row[MARK] is None:
-                this = key_match
-            else:
-                this = key_match & (F.col(col) > lower(_lit_like(row[MARK], types[col])))
-            cond = this if cond is None else cond | this
-        unseen = None
-        for m in seen:
-            unseen = ~m if unseen is None else unseen & ~m
-        cond = unseen if cond is None else cond | unseen
-        return new.filter(cond)
-    joined = join_small(new, marks, list(mark_keys), "left", max_broadcast_rows,
-                        materialize=True)
-    keep = F.col(MARK).isNull() | (F.col(col) > lower(F.col(MARK)))
-    return joined.filter(keep).drop(MARK)
+    small = marks.select(*[F.col(c).alias(f"_m_{c}") for c in mark_keys], MARK)
+    cond = F.lit(True)
+    for c in mark_keys:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_m_{c}"))
+    mark = F.col(MARK) - F.expr(f"INTERVAL {lateness}") if lateness else F.col(MARK)
+    joined = new.join(small, cond, "left") if mark_keys else new.crossJoin(F.broadcast(small))  # one global row
+    return joined.filter(F.col(MARK).isNull() | (F.col(col) > mark)).drop(MARK, *[f"_m_{c}" for c in mark_keys])
+
+
+def not_staged(new: DataFrame, staged: DataFrame | None, col: str, marks: DataFrame | None,
+               key: Sequence[str], keys: Sequence[str] = ("pool_name",), lateness: str | None = None) -> DataFrame:
+    """The rows of ``new`` that are not staged yet in the same version.
+
+    Only staged rows inside the lateness window can be read again, so the
+    anti-join looks at those alone (their key, ``col`` and the mark columns), not
+    at all staged history.  A request that was running when staged and has
+    finished since has another ``col`` and is kept as its newer version.
+    """
+    if staged is None or marks is None:
+        return new
+    seen = newer_than(staged.select(*dict.fromkeys([*key, *keys, col])), col, marks, keys, lateness)
+    cond = F.lit(True)
+    for c in (*key, col):
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
+    seen = seen.select(*[F.col(c).alias(f"_s_{c}") for c in (*key, col)])
+    return new.join(seen, cond, "left_anti")
 
 
 def keep_newest(df: DataFrame, key: Sequence[str], order_col: str) -> DataFrame:

@@ -1,73 +1,14 @@
-"""Join helpers with an explicit size check before broadcasting.
-
-A side is broadcast only after counting it against a bound: at most
-``max_rows`` rows and at most as many rows as fit a byte budget at the
-schema's estimated row width (the count stops at the bound + 1).  Beyond the bound the join is a plain shuffle join,
-which AQE may still turn into a broadcast from runtime statistics or split
-when a key is skewed.
-
-When the small side is itself an aggregate over a large input (per-pool
-marks, per-chain page ends, per-collation counts), ``materialize=True``
-checkpoints it first - a reliable checkpoint in the shared folder, not a
-local one - so the size check and the join read the same stored rows instead
-of running the aggregation twice.
-"""
+"""Storing a relation once, in the cluster's shared checkpoint folder."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-DEFAULT_MAX_BROADCAST_ROWS = 100_000
-DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def row_bytes(dt: T.DataType) -> int:
-    """A generous width estimate of one value (strings and binaries 64 bytes,
-    collections four elements) used to turn the byte budget into rows."""
-    if isinstance(dt, T.StructType):
-        return sum(row_bytes(f.dataType) for f in dt.fields) + 8
-    if isinstance(dt, T.ArrayType):
-        return 16 + 4 * row_bytes(dt.elementType)
-    if isinstance(dt, T.MapType):
-        return 16 + 4 * (row_bytes(dt.keyType) + row_bytes(dt.valueType))
-    if isinstance(dt, (T.StringType, T.BinaryType, T.VariantType)):
-        return 64
-    if isinstance(dt, (T.BooleanType, T.ByteType)):
-        return 1
-    if isinstance(dt, (T.ShortType,)):
-        return 2
-    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(dt, T.DecimalType):
-        return 16
-    return 8
-
-
-def fits_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    """True when ``small`` has at most ``max_rows`` rows and at most as many
-    as fit ``max_bytes`` at the estimated row width (the count stops at the
-    bound + 1, so it never scans more than needed)."""
-    bound = max(0, min(max_rows, max_bytes // max(1, row_bytes(small.schema))))
-    return small.limit(bound + 1).count() <= bound
 
 
 def materialized(df: DataFrame) -> DataFrame:
-    """``df`` computed once and stored in the session's checkpoint folder
-    (which :func:`estate.session.shared_dir` guarantees is set)."""
+    """``df`` computed once and stored with a reliable checkpoint in the
+    session's checkpoint folder (which :func:`estate.session.shared_dir`
+    guarantees is set)."""
     from estate.session import shared_dir
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-               materialize: bool = False) -> DataFrame:
-    """``big.join(small)``, broadcasting ``small`` only if its size is bounded."""
-    if materialize:
-        small = materialized(small)
-    if fits_broadcast(small, max_rows):
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)

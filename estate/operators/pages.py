@@ -6,12 +6,10 @@ Every step is set-based and runs on executors for any number of
 workspaces, datasets and days at once:
 
 * a chain (one listing request: workspace, dataset, day) is followed from
-  page 1 while the previous page carried a continuation token, up to the
-  page cap - the reference loop fetches at most ``max_pages + 1`` pages;
-* the end of each chain comes from one grouped pass (first page without a
-  token, end of the consecutive page numbers from 1 - a set bounded by the
-  page cap), joined back - no window, so a chain holding a third of all
-  pages is still read by all tasks;
+  page 1 while the previous page carried a continuation token;
+* the end of each chain comes from an anti-join and a grouped minimum,
+  joined back - no window, so a chain holding a third of all pages is still
+  read by all tasks;
 * objects are flattened with ``explode`` and projected with keep / remove
   lists on their field names.
 """
@@ -25,10 +23,9 @@ from pyspark.sql import functions as F
 
 from estate.functions.timefns import utc_wall_clock
 from estate.operators.filters import project
-from estate.operators.joins import join_small
 
 CHAIN = ("workspace_name", "dataset", "day")
-MAX_PAGES = 5000          # fixed value: page cap of the listing loop
+MAX_PAGES = 5000          # fixed value: the source's page cap on run history (not applied to dumps by default)
 
 # fixed values: default field keep-lists of the listings that have one
 DEFAULT_KEEP = {
@@ -47,46 +44,42 @@ RUN_LISTINGS = ("pipeline_runs", "trigger_runs")
 
 
 def reachable_pages(pages: DataFrame, chain: Sequence[str] = CHAIN,
-                    max_pages: int = MAX_PAGES, max_broadcast_rows: int = 100_000) -> DataFrame:
+                    max_pages: int | None = None) -> DataFrame:
     """The pages the continuation loop would have read.
 
     Page 1 is always read; page ``k + 1`` is read when page ``k`` has a
-    token and ``k <= max_pages``; a page missing from the dump ends the
-    chain.  So a chain's last page is the smallest of: its first page
-    without a token, the end of its run of consecutive page numbers from 1,
-    and ``max_pages + 1``.  Chains without a page 1 yield nothing.
-
-    One grouped pass finds every chain's end: only page numbers up to
-    ``max_pages + 1`` can be read, so each chain's set of them is bounded by
-    that fixed cap (5,001 integers by default), and the consecutive run is
-    the number of positions ``i`` where the sorted set holds ``i``.  The
-    per-chain ends are stored once and joined back (broadcast within the
-    row bound).
+    token (neither null nor empty); a page missing from the dump ends the
+    chain.  So a chain's last page is the smaller of its first page without a
+    token and its first page whose successor is missing.  Chains without a
+    page 1 yield nothing.  ``max_pages`` (run history only: the reference
+    loop fetches at most ``max_pages + 1`` pages of it) cuts longer chains;
+    by default nothing is cut.
+
+    Pages without a successor come from an anti-join on ``page_no + 1``, and
+    the end of a chain is a grouped minimum, so no chain is gathered anywhere,
+    however long; the ends are joined back.
     """
     chain = list(chain)
-    readable = pages.filter(F.col("page_no").between(1, max_pages + 1))
-    per_chain = (readable.groupBy(*chain)
-                 .agg(F.min(F.when(F.col("continuation_token").isNull(), F.col("page_no")))
-                      .alias("_tokless"),
-                      F.array_sort(F.collect_set("page_no")).alias("_nums")))
-    run = F.size(F.filter(F.sequence(F.lit(1), F.size("_nums")),
-                          lambda i: F.element_at("_nums", i) == i))
-    ends = (per_chain
-            .select(*[F.col(c).alias(f"_e_{c}") for c in chain],
-                    F.least("_tokless", run).alias("_end"))      # least skips a null
-            .filter(F.col("_end") >= 1))
-    joined = join_small(pages, ends, _null_safe(chain, "_e_"), "inner", max_broadcast_rows,
-                        materialize=True)
-    return (joined.filter(F.col("page_no") <= F.col("_end"))
+    keys = pages.select(*chain, "page_no", "continuation_token")
+    before = keys.select(*[F.col(c).alias(f"_e_{c}") for c in chain],
+                         (F.col("page_no") - 1).alias("_prior")).distinct()
+    last = keys.join(before, _null_safe(chain, "_e_") & (F.col("page_no") == F.col("_prior")), "left_anti")
+    ended = keys.filter(F.coalesce("continuation_token", F.lit("")) == "")
+    stops = last.unionByName(ended).select(*chain, "page_no", F.lit(False).alias("_opens"))
+    opens = keys.filter("page_no = 1").select(*chain, F.lit(None).cast("int").alias("page_no"), F.lit(True).alias("_opens"))
+    end = F.min(F.when(F.col("page_no") >= 1, F.col("page_no")))
+    ends = (stops.unionByName(opens).groupBy(*chain).agg(end.alias("_end"), F.max("_opens").alias("_open"))
+            .filter("_open").select(*[F.col(c).alias(f"_e_{c}") for c in chain],
+                                    (F.least("_end", F.lit(max_pages + 1)) if max_pages is not None
+                                     else F.col("_end")).alias("_end")))
+    joined = pages.join(ends, _null_safe(chain, "_e_"), "inner")
+    return (joined.filter(F.col("page_no").between(1, F.col("_end")))
             .drop("_end", *[f"_e_{c}" for c in chain]))
 
 
 def _null_safe(cols, prefix):
     """Join condition ``col <=> prefix+col`` for each column (chain keys such
-    as the day of a listing that is not per day may be null).  A key that is
-    a literal on both sides folds away; if every key does, Spark plans a
-    broadcast nested-loop join against the few chain ends, which is still
-    one small broadcast row per chain."""
+    as the day of a listing that is not per day may be null)."""
     cond = None
     for c in cols:
         eq = F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
@@ -107,16 +100,17 @@ def flatten(pages: DataFrame, keep: Iterable[str] = (), remove: Iterable[str] =
 
 
 def read_listing(dumps: DataFrame, dataset: str, keep: Iterable[str] | None = None,
-                 remove: Iterable[str] = (), max_pages: int = MAX_PAGES) -> DataFrame:
-    """The objects of one listing dataset, with its default keep-list."""
+                 remove: Iterable[str] = ()) -> DataFrame:
+    """The objects of one listing dataset, with its default keep-list;
+    listings are read to the end of their chain, without a page cap."""
     keep = DEFAULT_KEEP.get(dataset, []) if keep is None else list(keep)
-    pages = reachable_pages(dumps.filter(F.col("dataset") == dataset), max_pages=max_pages)
+    pages = reachable_pages(dumps.filter(F.col("dataset") == dataset))
     return flatten(pages, keep, remove)
 
 
 def runs(dumps: DataFrame, dataset: str, days: Iterable | None = None,
          keep: Iterable[str] = (), remove: Iterable[str] = (),
-         max_pages: int = MAX_PAGES) -> DataFrame:
+         max_pages: int | None = None) -> DataFrame:
     """Pipeline or trigger runs, one chain per requested day; the
     chain's day becomes the ``last_upd`` partition column.  ``days`` limits
     the chains read (e.g. from :func:`estate.operators.filters.day_list`)."""

@@ -151,16 +151,6 @@ earlier AS (SELECT {CLASSIFIED_COLS} FROM classified WHERE {earlier}),
 SELECT * FROM earlier UNION ALL SELECT * FROM later"""
 
 
-def _late(earlier: str, lateness: str) -> str:
-    return _with(REQUESTS, CLASSIFIED) + f""",
-earlier AS (SELECT {CLASSIFIED_COLS} FROM classified WHERE {earlier}),
-marks AS (SELECT pool_name AS k, max(end_time) AS mark FROM earlier GROUP BY pool_name),
-later AS (SELECT {', '.join('c.' + x.strip() for x in CLASSIFIED_COLS.split(','))}
-          FROM classified c LEFT JOIN marks m ON c.pool_name = m.k
-          WHERE m.mark IS NULL OR c.end_time > m.mark - INTERVAL {lateness})
-SELECT DISTINCT * FROM (SELECT * FROM earlier UNION ALL SELECT * FROM later)"""
-
-
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
@@ -290,28 +280,50 @@ ORACLE.update({
     "page_chain": r"""
 WITH items AS (
   SELECT concat('ws_', CAST(p_partkey % 3 AS VARCHAR)) AS workspace_name,
-         CAST(floor(p_partkey / 60) + 1 AS INTEGER) AS page_no,
+         p_partkey // 1800 AS num,
+         CAST(((p_partkey % 1800) // 60) + 1 AS INTEGER) AS page_no,
          concat('/items/', CAST(p_partkey AS VARCHAR)) AS id,
          p_name AS name, p_type AS type, p_brand AS brand, p_size AS size
   FROM part
 ),
 pages AS (
-  SELECT DISTINCT workspace_name, page_no,
-         CASE WHEN page_no % 40 = 30 THEN NULL ELSE 'tok' END AS tok
+  SELECT DISTINCT workspace_name, num, page_no,
+         NOT ((num % 2 = 0 AND page_no = 25) OR (num % 3 = 0 AND page_no = 20)) AS more
   FROM items
 ),
 ends AS (
-  SELECT p.workspace_name, min(p.page_no) AS first_page,
-         least(coalesce(min(CASE WHEN p.tok IS NULL THEN p.page_no END), 2147483647),
-               min(CASE WHEN s.page_no IS NULL THEN p.page_no END), 5001) AS last_page
+  SELECT p.workspace_name, p.num, min(p.page_no) AS first_page,
+         min(CASE WHEN s.page_no IS NULL OR NOT p.more THEN p.page_no END) AS last_page
   FROM pages p LEFT JOIN pages s
-    ON s.workspace_name = p.workspace_name AND s.page_no = p.page_no + 1
-  GROUP BY p.workspace_name
+    ON s.workspace_name = p.workspace_name AND s.num = p.num AND s.page_no = p.page_no + 1
+  GROUP BY p.workspace_name, p.num
 )
-SELECT i.workspace_name, i.page_no, i.id, i.name, i.type, i.brand, i.size
-FROM items i JOIN ends e ON i.workspace_name = e.workspace_name
+SELECT i.workspace_name, CAST(DATE '2024-01-01' + CAST(i.num AS INTEGER) AS TIMESTAMP) AS day, i.page_no,
+       i.id, i.name, i.type, i.brand, i.size
+FROM items i JOIN ends e ON i.workspace_name = e.workspace_name AND i.num = e.num
 WHERE e.first_page = 1 AND i.page_no <= e.last_page""",
 
+    "first_pages": r"""
+SELECT concat('ws_', CAST(p_partkey % 3 AS VARCHAR)) AS workspace_name,
+       concat('/items/', CAST(p_partkey AS VARCHAR)) AS id, p_name AS name, p_size AS size
+FROM part WHERE p_partkey % 1800 < 60""",
+
+    "run_history": f"""
+SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'pipeline_runs' ELSE 'trigger_runs' END AS dataset,
+       concat('ws_', CAST(o_custkey % 3 AS VARCHAR)) AS workspace_name,
+       CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS last_upd, CAST(o_orderkey AS VARCHAR) AS run_id,
+       concat('pl_', substr(o_orderpriority, 1, 1)) AS pipeline_name, o_orderstatus AS status
+FROM orders
+WHERE CAST(o_orderdate AS DATE) >= DATE '{_FIRST_DAY.isoformat()}' AND CAST(o_orderdate AS DATE) < DATE '{RUN_DATE.isoformat()}'""",
+
+    "request_json": _with(REQUESTS, CLASSIFIED) + r"""
+SELECT concat('{"request_id":', request_id, ',"pool_name":"', pool_name, '"',
+              CASE WHEN command_type IS NULL THEN '' ELSE concat(',"command_type":"', command_type, '"') END,
+              '}') AS value
+FROM classified""",
+
+    "metric_spark_15m": _rollup(_in_span(SPARK_POOL_METRICS, 90), "15 minutes"),
+
     "listing_flatten": r"""
 SELECT concat('ws_', CAST(s_suppkey % 3 AS VARCHAR)) AS workspace_name,
        concat('/pools/', CAST(s_suppkey AS VARCHAR)) AS id,
@@ -429,9 +441,18 @@ FROM typed""",
 
 
 ORACLE["runs_staged"] = ORACLE["runs_by_day"]
-ORACLE["incremental_late"] = _late(
-    "day(start_time) < 5 + 5 * CAST(substr(pool_name, 6, 3) AS INTEGER)", "10 MINUTE")
+ORACLE["incremental_late"] = _with(REQUESTS, CLASSIFIED) + f""",
+earlier AS (SELECT * REPLACE (CASE WHEN request_id % 7 = 3 THEN NULL ELSE end_time END AS end_time)
+            FROM classified WHERE day(start_time) < 5 + 5 * CAST(substr(pool_name, 6, 3) AS INTEGER)),
+marks AS (SELECT pool_name AS k, max(end_time) AS mark FROM earlier GROUP BY pool_name),
+later AS (SELECT c.* FROM classified c LEFT JOIN marks m ON c.pool_name = m.k
+          WHERE m.mark IS NULL OR c.end_time > m.mark - INTERVAL 10 MINUTE),
+staged AS (SELECT * FROM earlier UNION ALL SELECT * FROM later)
+SELECT {CLASSIFIED_COLS} FROM staged
+QUALIFY row_number() OVER (PARTITION BY pool_name, request_id
+                           ORDER BY end_time IS NULL, end_time DESC) = 1"""
 
+ORACLE["listings_by_workspace"] = ORACLE["listing_flatten"]
 ORACLE["staged_listings"] = ORACLE["listing_flatten"]
 
 ORACLE["stream_request_window"] = _with(REQUESTS, CLASSIFIED) + """,

@@ -18,7 +18,7 @@ from estate import schemas
 from estate.operators import analysis, filters, incremental, metrics, pages
 from estate.plans import catalog, run
 from estate.session import fresh_root
-from estate.sources import activity, catalog_scans, dumps, jdbc, staging, tables
+from estate.sources import activity, dumps, jdbc, staging, tables
 from estate.streaming import incremental as stream_inc
 
 # Fixed extract time used where a query stamps rows (F9), so that results
@@ -177,11 +177,17 @@ def analyzer_views(spark, sf_dir):
 
 
 def page_chain(spark, sf_dir):
-    """S38 + S39 + P1: follow each workspace's page chain, flatten the
-    objects, drop the price field."""
+    """S38 + S39 + P1: follow the page chains of every workspace and day,
+    flatten the objects, drop the price field."""
     reached = pages.reachable_pages(tables.item_pages(spark, sf_dir))
-    out = pages.flatten(reached, remove=["retail_price"], carry=("workspace_name", "page_no"))
-    return out
+    out = pages.flatten(reached, remove=["retail_price"], carry=("workspace_name", "day", "page_no"))
+    return _day_as_midnight(out, "day")
+
+
+def first_pages(spark, sf_dir):
+    """The objects of page 1 of every chain (the older single request)."""
+    out = pages.first_page(tables.item_pages(spark, sf_dir), "pipelines", keep=["id", "name", "size"])
+    return out.drop("dataset")
 
 
 def listing_flatten(spark, sf_dir):
@@ -234,19 +240,23 @@ def runs_staged(spark, sf_dir):
 
 
 def incremental_late(spark, sf_dir):
-    """T1 + T2: like ``incremental_requests`` but the mark is lowered by ten
-    minutes to pick up requests that finished late; re-read requests are
-    collapsed to their newest version per request id when reading."""
+    """T1 + T2: like ``incremental_requests``, but one request in seven was
+    still running in the earlier run and has finished since; the mark is lowered
+    by ten minutes to pick up what finished late, rows already staged in the
+    same version are left out, and a request staged twice shows its newest
+    version (per pool and request)."""
     root = fresh_root(spark, "late")
     raw = tables.requests(spark, sf_dir)
-    staging.write(activity.dedicated_requests(_earlier_run(raw)), root, "session_requests")
+    running = F.when(F.col("request_id") % 7 == 3, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("end_time"))
+    staging.write(activity.dedicated_requests(_earlier_run(raw).withColumn("end_time", running)), root, "session_requests")
     staged = staging.read(spark, root, "session_requests")
     marks = incremental.high_water(staged, "end_time", ["pool_name"])
-    new = incremental.newer_than(activity.dedicated_requests(raw), "end_time", marks,
-                                 lateness="10 minutes")
+    late = "10 minutes"
+    new = incremental.newer_than(activity.dedicated_requests(raw), "end_time", marks, lateness=late)
+    new = incremental.not_staged(new, staged, "end_time", marks, ["pool_name", "request_id"], lateness=late)
     staging.write(new, root, "session_requests")
     return incremental.keep_newest(staging.read(spark, root, "session_requests"),
-                                   ["request_id"], "end_time")
+                                   ["pool_name", "request_id"], "end_time")
 
 
 def staged_listings(spark, sf_dir):
@@ -304,17 +314,55 @@ def metric_coarsen(spark, sf_dir):
 
 
 def union_databases(spark, sf_dir):
-    """S4 + U1: list the databases (one per part type), then run one catalog
-    scan per database and union them with the database name."""
+    """S4 + U1: the catalog rows of all listed databases (one per part type)
+    with the database name, from one scan."""
     part = tables.table(spark, sf_dir, "part")
-    catalog_rows = part.select(F.lower("p_type").alias("name")).distinct()
-    names = catalog_scans.database_names(catalog_rows)
+    rows = part.select(F.lower("p_type").alias("table_catalog"), F.col("p_brand").alias("table_schema"),
+                       F.col("p_name").alias("table_name"), F.col("p_size").alias("table_size"))
+    listed = part.select(F.lower("p_type").alias("name")).distinct()
+    return jdbc.scan_databases(rows, listed)
+
+
+def listings_by_workspace(spark, sf_dir):
+    """K2 + U3: the pool listing staged by two profile runs, the first of one
+    workspace, the second of all three: a step for each workspace."""
+    root = fresh_root(spark, "listings-ws")
+    dump = tables.pool_pages(spark, sf_dir)
+    others = dump.withColumn("dataset", F.concat(F.lit("other_"), F.col("page_no").cast("string")))
+    for part in (dump.filter("workspace_name = 'ws_0'"), dump.unionByName(others)):
+        run.run_all(spark, root, run.ProfileInputs(listing_dumps=part))
+    pools = staging.read(spark, os.path.join(root, run.WORKSPACE), "sql_pools")
+    return pools.select("workspace_name", "id", "name", "type", "location",
+                        F.col("sku.name").alias("sku_name"),
+                        F.col("sku.capacity").alias("sku_capacity"),
+                        "provisioning_state", "status", "creation_date")
+
+
+def run_history(spark, sf_dir):
+    """S35 + S36 + K3 from a profile run: pipeline and trigger runs of the 59
+    run-history days staged by workspace and day, the first run with one
+    workspace, the second with all."""
+    root = fresh_root(spark, "run-history")
+    asked = F.col("day").isin(filters.day_list(RUN_DATE, 59))
+    dumps = {d: tables.run_pages(spark, sf_dir, d).filter(asked) for d in pages.RUN_LISTINGS}
+    for only in ("workspace_name = 'ws_0'", "true"):
+        run.run_all(spark, root, run.ProfileInputs(listing_dumps={d: x.filter(only) for d, x in dumps.items()}))
+    days = {"last_upd": T.DateType()}
+    staged = [staging.read(spark, os.path.join(root, run.WORKSPACE), d, partition_types=days)
+              .select(F.lit(d).alias("dataset"), "workspace_name", "last_upd", "run_id", "pipeline_name", "status")
+              for d in pages.RUN_LISTINGS]
+    return _day_as_midnight(staged[0].unionByName(staged[1]))
+
+
+def metric_spark_15m(spark, sf_dir):
+    """S42 + A6 + P12: Spark-pool metrics, 90 days, 15-minute grain."""
+    return _report(metrics.profile(tables.metric_points(spark, sf_dir), "spark"))
+
 
-    def scan(db: str):
-        return part.filter(F.lower("p_type") == db).select(
-            F.col("p_brand").alias("table_schema"), F.col("p_name").alias("table_name"),
-            F.col("p_size").alias("table_size"))
-    return jdbc.union_databases(scan, sorted(names))
+def request_json(spark, sf_dir):
+    """one JSON text per request (id, pool and statement type)."""
+    rows = staged_requests(spark, sf_dir).select("request_id", "pool_name", "command_type")
+    return staging.to_json_lines(rows)
 
 
 def query_statements(spark, sf_dir):
@@ -382,4 +430,9 @@ QUERIES = {
     "incremental_late": incremental_late,
     "staged_listings": staged_listings,
     "stream_request_window": stream_request_window,
+    "first_pages": first_pages,
+    "listings_by_workspace": listings_by_workspace,
+    "run_history": run_history,
+    "metric_spark_15m": metric_spark_15m,
+    "request_json": request_json,
 }

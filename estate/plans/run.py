@@ -6,19 +6,24 @@ every workspace arrive as one DataFrame with a ``workspace_name`` column
 (and ``pool_name`` for pool data), each dataset is staged once, partitioned
 by workspace and pool, and
 
-* catalog and storage snapshots replace only the partitions (workspace,
-  pool) present in the new data;
-* activity datasets append the rows above each (workspace, pool) mark;
-* listings and metrics are restartable steps, skipped when done.
+* catalog and storage snapshots replace the partitions (workspace, pool) of
+  the pools in the run, also those that have no rows any more;
+* activity datasets append the rows above each (workspace, pool) mark; the new
+  rows are written once as a batch, and both the staged rows and the kept
+  report come from it;
+* listings, run history and metrics are restartable steps, one for each
+  workspace (and day, or pool), skipped when done.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import os
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from estate.functions.sqltext import redact
 from estate.operators import analysis, filters, incremental, metrics, pages
@@ -49,6 +54,7 @@ class ProfileInputs:
     requests: DataFrame | None = None
     sessions: DataFrame | None = None
     catalog: dict[str, DataFrame] = field(default_factory=dict)   # tables, columns, views, routines
+    pools: DataFrame | None = None      # workspace_name, pool_name of the pools in the run (default: those with rows)
     partition_stats: DataFrame | None = None
     # serverless pool
     serverless_sessions: DataFrame | None = None
@@ -58,8 +64,9 @@ class ProfileInputs:
     requests_history: DataFrame | None = None
     data_processed: DataFrame | None = None
     databases: DataFrame | None = None
-    # workspace API dumps
-    listing_dumps: DataFrame | None = None
+    serverless_catalog: dict[str, DataFrame] = field(default_factory=dict)   # with table_catalog
+    # workspace API dumps: one DataFrame for all, or one per dataset (each with its own item schema)
+    listing_dumps: DataFrame | dict[str, DataFrame] | None = None
     # metric dataset name -> dumped responses; names as in METRIC_DATASETS
     metric_responses: dict[str, DataFrame] = field(default_factory=dict)
 
@@ -71,7 +78,11 @@ class ProfileSettings:
     mark_scope: str = "key"            # "global" reproduces one mark for all pools
     run_ts: _dt.datetime | None = None
     compact_max_files: int | None = 64  # rewrite appended partitions past this many files
-    keep_report: bool = True            # append partial request windows of each run
+    keep_report: bool = True            # keep partial request windows of each run
+    lateness: str | None = None         # e.g. '10 minutes': re-read requests that finished late (T2)
+    include_databases: tuple = ()       # scope of the serverless catalog and database list (P7)
+    exclude_databases: tuple = ()
+    pool_allow_list: tuple = ()         # pools to profile; empty: all (P8)
 
 
 def _marks(spark, root, dataset, col, scope):
@@ -79,44 +90,72 @@ def _marks(spark, root, dataset, col, scope):
     return None if staged is None else incremental.high_water(staged, col, KEYS, scope=scope)
 
 
-def _append_window_parts(spark, group, dataset, col, marks) -> None:
-    """A2 kept from the new rows only.  The rows this run appended are the
-    staged rows above the marks taken before the write (everything staged
-    earlier is at or below its mark), so they are read back through the same
-    pushed-down predicate - no cache, no second read of the source - and
-    their partial windows (a handful of rows) are appended.  The two appends
-    are separate commits: a run that fails between them leaves its rows
-    staged but not in the kept report; ``analysis.request_window`` over the
-    staged requests is the full recount (and rebuilds the report)."""
-    staged = staging.read(spark, group, dataset)
-    new = staged if marks is None else incremental.newer_than(staged, col, marks, KEYS)
-    staging.write(analysis.request_window_parts(new, BY_POOL), group, WINDOW_PARTS,
-                  mode="append", partition_by=(), rebalance=False)
-
-
 def request_windows(spark: SparkSession, root: str) -> DataFrame | None:
     """A2 + O1 per workspace, extract and pool, merged from the partial rows
-    every run appended - no rescan of the staged requests (see
-    :func:`_append_window_parts` for its failure caveat)."""
+    every run staged - no rescan of the staged requests."""
     parts = staging.read(spark, os.path.join(root, DEDICATED), WINDOW_PARTS)
     return None if parts is None else analysis.merge_request_windows(parts, BY_POOL)
 
 
+def _snapshots(out, frames: dict[str, DataFrame], group: str, pools: DataFrame | None, redact_text: bool) -> None:
+    """Catalog relations of one group, replaced for every pool in the run."""
+    if pools is None and frames:
+        keys = [df.select(*KEYS) for df in frames.values()]
+        pools = keys[0]
+        for k in keys[1:]:
+            pools = pools.unionByName(k)
+    for name, df in frames.items():
+        if redact_text:
+            df = redact(df, "view_definition", "routine_definition")
+        key = name if group.endswith(DEDICATED) else f"serverless_{name}"
+        out[key] = staging.replace_partitions(df, group, name, BY_POOL, pools)
+
+
+def _append(spark, out, key, raw, group, dataset, col, staged_form, s: "ProfileSettings", run_id: str) -> None:
+    """One incremental dataset: the rows above the marks as a batch, the staged
+    rows and the kept report from that batch."""
+    marks = _marks(spark, group, dataset, col, s.mark_scope)
+    if s.lateness and marks is not None:
+        lowered = marks.withColumn(incremental.MARK, F.col(incremental.MARK) - F.expr(f"INTERVAL {s.lateness}"))
+        new = staged_form(raw, lowered)
+        if "request_id" in new.columns:
+            new = incremental.not_staged(new, staging.read(spark, group, dataset), col, marks,
+                                         [*KEYS, "request_id"], KEYS, s.lateness)
+    else:
+        new = staged_form(raw, marks)
+    rows, folder = staging.batch(new, group, f"{dataset}-{run_id}")
+    out[key] = staging.write(rows, group, dataset, mode="append", partition_by=BY_POOL)
+    if key == "session_requests" and s.keep_report:
+        parts = analysis.request_window_parts(rows, BY_POOL).withColumn("run_id", F.lit(run_id))
+        staging.write(parts, group, WINDOW_PARTS, mode="overwrite", partition_by=("run_id",), rebalance=False)
+    staging.remove(spark, folder)
+
+
+def _listing(dumps, dataset: str) -> DataFrame | None:
+    if isinstance(dumps, dict):
+        return dumps.get(dataset)
+    return dumps.filter(F.col("dataset") == dataset)
+
+
 def run_all(spark: SparkSession, root: str, inputs: ProfileInputs,
             settings: ProfileSettings | None = None) -> dict[str, int | None]:
     """Stage every available dataset for all workspaces under ``root``;
     return rows written per dataset (``None`` when a step was skipped)."""
     s = settings or ProfileSettings()
-    scope = s.mark_scope
     out: dict[str, int | None] = {}
     ded = os.path.join(root, DEDICATED)
     srv = os.path.join(root, SERVERLESS)
 
-    # -- dedicated pools: catalog and storage snapshots (overwrite per pool)
-    for name, df in inputs.catalog.items():
-        if s.redact_sql_text:
-            df = redact(df, "view_definition", "routine_definition")
-        out[name] = staging.write(df, ded, name, mode="overwrite", partition_by=BY_POOL)
+    run_id = uuid.uuid4().hex[:12]
+    if s.pool_allow_list:
+        inputs = replace(inputs, **{n: filters.in_scope(getattr(inputs, n), "pool_name", s.pool_allow_list)
+                                    for n in ("requests", "sessions", "partition_stats", "pools")
+                                    if getattr(inputs, n) is not None},
+                         catalog={n: filters.in_scope(df, "pool_name", s.pool_allow_list)
+                                  for n, df in inputs.catalog.items()})
+
+    # -- dedicated pools: catalog and storage snapshots (replaced per pool)
+    _snapshots(out, inputs.catalog, ded, inputs.pools, s.redact_sql_text)
     if inputs.partition_stats is not None:
         by = tuple(c for c in BY_POOL if c in inputs.partition_stats.columns)
         info = activity.stamp(analysis.storage_by_node(inputs.partition_stats, by), s.run_ts)
@@ -146,43 +185,43 @@ def run_all(spark: SparkSession, root: str, inputs: ProfileInputs,
     ]
     appended = []
     for key, raw, group, dataset, col, staged_form in activity_steps:
-        if raw is None:
-            continue
-        marks = _marks(spark, group, dataset, col, scope)
-        out[key] = staging.write(staged_form(raw, marks), group, dataset, mode="append",
-                                 partition_by=BY_POOL)
-        if key == "session_requests" and s.keep_report:
-            _append_window_parts(spark, group, dataset, col, marks)
-        appended.append((group, dataset))
+        if raw is not None:
+            _append(spark, out, key, raw, group, dataset, col, staged_form, s, run_id)
+            appended.append((group, dataset))
 
     # -- serverless snapshots
+    scope = {"include": s.include_databases, "exclude": s.exclude_databases}
+    _snapshots(out, {n: filters.in_scope(df, "table_catalog", **scope) for n, df in inputs.serverless_catalog.items()},
+               srv, inputs.pools, s.redact_sql_text)
     if inputs.databases is not None:
-        out["databases"] = staging.write(inputs.databases, srv, "databases", mode="overwrite",
+        out["databases"] = staging.write(filters.in_scope(inputs.databases, "name", **scope), srv, "databases", mode="overwrite",
                                          partition_by=BY_POOL)
     if inputs.data_processed is not None:
         out["data_processed"] = staging.write(activity.data_processed(inputs.data_processed),
                                               srv, "data_processed", mode="overwrite",
                                               partition_by=BY_POOL)
 
-    # -- workspace listings and metrics (restartable steps)
-    if inputs.listing_dumps is not None:
-        ws = os.path.join(root, WORKSPACE)
-        d = inputs.listing_dumps
-        # which listings were dumped: at most one row per known dataset
-        present = {r.dataset for r in d.select("dataset").distinct()
-                   .limit(len(pages.LISTINGS) + len(pages.RUN_LISTINGS) + 1).collect()}
+    # -- workspace listings, run history and metrics: a restartable step for
+    #    each workspace, workspace and day, or workspace and pool
+    ws, d = os.path.join(root, WORKSPACE), inputs.listing_dumps
+    if d is not None:
+        known = [*pages.LISTINGS, *pages.RUN_LISTINGS]
+        present = set(d) if isinstance(d, dict) else {
+            r.dataset for r in d.select("dataset").filter(F.col("dataset").isin(known)).distinct().collect()}
         for dataset in [x for x in pages.LISTINGS if x in present]:
-            out[dataset] = staging.write_step(
-                spark, ws, dataset,
-                lambda ds=dataset: filters.normalise_names(pages.read_listing(d, ds)),
-                partition_by=("workspace_name",))
+            dump = _listing(d, dataset)
+            rows = filters.normalise_names(pages.read_listing(dump, dataset))
+            out[dataset] = staging.write_keyed_step(spark, ws, dataset, rows, ("workspace_name",), dump)
+        for dataset in [x for x in pages.RUN_LISTINGS if x in present]:
+            dump = _listing(d, dataset)
+            rows = filters.normalise_names(pages.runs(dump, dataset))
+            out[dataset] = staging.write_keyed_step(spark, ws, dataset, rows, ("workspace_name", "last_upd"),
+                                                    dump.withColumnRenamed("day", "last_upd"))
     mon = os.path.join(root, METRICS)
     for dataset, responses in inputs.metric_responses.items():
         by = METRIC_DATASETS[dataset]
-        out[dataset] = staging.write_step(
-            spark, mon, dataset,
-            lambda r=responses, b=by: metrics.flatten(r, carry=b + ("resource_id",)),
-            partition_by=by)
+        out[dataset] = staging.write_keyed_step(spark, mon, dataset,
+                                                metrics.flatten(responses, carry=by + ("resource_id",)), by, responses)
     for group in (os.path.join(root, WORKSPACE), mon):
         staging.compact_steps(spark, group)
     if s.compact_max_files:             # hourly appends: keep file counts bounded

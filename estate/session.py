@@ -67,7 +67,10 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if sc is not None:
         root = root or sc.getCheckpointDir()
     if not root:
-        # Local runs only: the cluster always names a shared folder.
+        # Local runs only: executors of a cluster would not share this folder.
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="estate-ckpt-", dir="/tmp")
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)

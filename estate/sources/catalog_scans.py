@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from estate.functions.sqltext import redact
 from estate.operators import filters
-from estate.sources.jdbc import PoolConnection, run_query, union_databases
+from estate.sources.jdbc import PoolConnection, quoted, run_query, union_databases
 
 # fixed values: columns of the database listing
 DATABASE_COLUMNS = ("name", "database_id", "create_date", "state", "state_desc", "collation_name")
@@ -29,7 +29,7 @@ def databases(spark: SparkSession, conn: PoolConnection) -> DataFrame:
 def _catalog(spark, conn, view: str, dbs: Iterable[str] | None) -> DataFrame | None:
     if dbs is None:   # dedicated pool: one database per connection
         return run_query(spark, conn, f"information_schema.{view}")
-    return union_databases(lambda db: run_query(spark, conn, f"{db}.information_schema.{view}"),
+    return union_databases(lambda db: run_query(spark, conn, f"{quoted(db)}.information_schema.{view}"),
                            dbs, label=None)
 
 
@@ -75,13 +75,10 @@ def databases_in_scope(dbs: DataFrame, include: Iterable[str] = (),
     return filters.in_scope(dbs, "name", include, exclude)
 
 
-def database_names(dbs: DataFrame, max_databases: int = 10_000) -> list[str]:
-    """Names of the databases to scan one by one (a catalog listing, checked
-    against a bound before it is brought to the driver)."""
-    rows = dbs.select("name").limit(max_databases + 1).collect()
-    if len(rows) > max_databases:
-        raise ValueError(f"more than {max_databases} databases in scope")
-    return [r.name for r in rows]
+def database_names(dbs: DataFrame) -> list[str]:
+    """Names of the databases to scan over their own connections, in order (the
+    databases of one server; each becomes one JDBC load of the driver's plan)."""
+    return sorted(r.name for r in dbs.select("name").distinct().collect())
 
 
 __all__ = ["databases", "tables", "columns", "views", "routines", "storage_partition_stats",

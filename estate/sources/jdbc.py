@@ -27,7 +27,7 @@ class PoolConnection:
     """Where and how to reach one SQL pool database."""
     url: str
     user: str | None = None
-    password: str | None = None
+    password: str | None = field(default=None, repr=False)
     driver: str | None = None
     fetch_size: int = FETCH_SIZE
     login_timeout_s: int = LOGIN_TIMEOUT_S
@@ -76,18 +76,18 @@ def read_table(spark: SparkSession, conn: PoolConnection, table: str,
     return r.load()
 
 
-def set_query(template: str, databases: Iterable[str]) -> str:
-    """U1 (text form): one branch per database, positional UNION ALL, wrapped
-    as a derived table for ``dbtable``."""
-    branches = [template.format(db) for db in databases]
-    return "(\n" + "\nunion all\n".join(branches) + "\n) as set_query"
+def quoted(name: str) -> str:
+    """An identifier in brackets, safe inside SQL text."""
+    return "[" + name.replace("]", "]]") + "]"
 
 
 def union_databases(per_database: Callable[[str], DataFrame], databases: Iterable[str],
                     label: str | None = "table_catalog") -> DataFrame | None:
-    """U1 / X3 (DataFrame form): one scan per database, unioned by name; the
-    scans run as parallel partitions of one job.  ``label`` adds the
-    database name as a column.  ``None`` when no database is in scope."""
+    """One scan per database, for sources that answer for one database
+    at a time (a JDBC connection); a relation that holds all databases is one
+    scan instead (:func:`scan_databases`).  The branches are united by position,
+    as ``UNION ALL`` does; ``label`` adds the database name as a column.  ``None``
+    when no database is in scope."""
     frames = []
     for db in databases:
         df = per_database(db)
@@ -96,4 +96,13 @@ def union_databases(per_database: Callable[[str], DataFrame], databases: Iterabl
         frames.append(df)
     if not frames:
         return None
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return reduce(lambda a, b: a.union(b), frames)
+
+
+def scan_databases(relation: DataFrame, databases: DataFrame, name: str = "name",
+                   label: str = "table_catalog") -> DataFrame:
+    """U1 over one relation that carries its database in column ``label``: one
+    scan, kept to the databases in ``databases`` (column ``name``) by a join,
+    whatever their number; no name passes through the driver."""
+    wanted = databases.select(F.col(name).alias("_db")).distinct()
+    return relation.join(wanted, F.col(label) == F.col("_db"), "left_semi")

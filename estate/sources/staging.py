@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 STEPS = "_steps"
 STEP_SCHEMA = T.StructType([
@@ -74,8 +75,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("binaryFile").load(path).limit(0).collect()
         return True
-    except Exception:
-        return False
+    except AnalysisException as e:      # anything else is not "absent" and must be seen
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def _save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -136,9 +139,10 @@ def write(df: DataFrame, root: str, dataset: str, mode: str = "append",
     data = [f for f in df.schema.fields if f.name not in partition_by]
     parts = [T.StructField(f.name, f.dataType, True) for c in partition_by
              for f in df.schema.fields if f.name == c]
-    if mode == "append":
-        # Earlier appends may carry columns this one lacks; keep them
-        # (read back as null for the new rows), as unionByName would.
+    if mode == "append" or partition_by:
+        # Earlier writes (and the partitions that a dynamic overwrite
+        # leaves alone) may carry columns this one lacks; keep them (read back
+        # as null for the new rows), as unionByName would.
         earlier = _load_schema(df.sparkSession, path)
         if earlier is not None:
             names = {f.name for f in data + parts}
@@ -275,6 +279,7 @@ def write_partition_steps(spark: SparkSession, root: str, dataset: str, df: Data
     if not pending:
         return {}
     values = [labels[p] for p in pending]
+    clear_partitions(spark, root, dataset, [{partition_col: v} for v in values])   # of an unfinished attempt
     write(df.filter(F.col(partition_col).isin(values)), root, dataset, mode="overwrite",
           partition_by=(partition_col,), fmt=fmt)
     staged = read(spark, root, dataset, fmt=fmt)
@@ -290,6 +295,100 @@ def write_partition_steps(spark: SparkSession, root: str, dataset: str, df: Data
     return counts
 
 
+def _partition_label(keys: Sequence[str]):
+    """``k=v/k=v`` of a row's keys (the label of its step)."""
+    one = [F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit(NULL_PARTITION))) for k in keys]
+    return F.concat_ws("/", *one)
+
+
+def clear_partitions(spark: SparkSession, root: str, dataset: str, partitions: Iterable[dict]) -> int:
+    """Delete the folders of the given partitions (``{column: value}`` each, in
+    the dataset's partition order); returns how many there were."""
+    h = _fs(spark, dataset_path(root, dataset))
+    if h is None:
+        return 0
+    fs, top = h
+    if not fs.exists(top):
+        return 0
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    gone = 0
+    for values in partitions:
+        folder = top
+        for k, v in values.items():
+            folder = path_of(folder, name(k, None if v is None else str(v)))
+        if fs.exists(folder):
+            gone += bool(fs.delete(folder, True))
+    return gone
+
+
+def _counts(spark, root, dataset, keys, labels: list[str]) -> dict[str, int]:
+    """Row counts of the labelled partitions (one row each), from their files."""
+    staged = read(spark, root, dataset)
+    if staged is None:
+        return {}
+    rows = staged.withColumn("_label", _partition_label(keys)).filter(F.col("_label").isin(labels))
+    return {r[0]: int(r[1]) for r in rows.groupBy("_label").count().collect()}
+
+
+def replace_partitions(df: DataFrame, root: str, dataset: str, keys: Sequence[str], wanted: DataFrame) -> int:
+    """A snapshot of the partitions in ``wanted`` (distinct ``keys``): those in
+    ``df`` are replaced, and those without rows in the new snapshot are cleared,
+    so nothing of an older snapshot stays.  Returns the rows written."""
+    spark = df.sparkSession
+    path = dataset_path(root, dataset)
+    parts = [r.asDict() for r in wanted.select(*keys).distinct().collect()]     # one per pool in the run
+    have = {tuple(r) for r in df.select(*keys).distinct().collect()}
+    n = write(df, root, dataset, mode="overwrite", partition_by=keys)
+    if _exists(spark, path):
+        clear_partitions(spark, root, dataset, [w for w in parts if tuple(w[k] for k in keys) not in have])
+    return n
+
+
+def write_keyed_step(spark: SparkSession, root: str, dataset: str, df: DataFrame, keys: Sequence[str],
+                     wanted: DataFrame) -> int | None:
+    """K2 / K3 with one step per workspace (and pool, or day): stage the rows of
+    every wanted key whose step isn't done, in one write, and mark each done.
+
+    ``wanted`` holds the keys that were asked for, rows or not: a key without
+    rows is done too, and whatever an unfinished earlier attempt left of it is
+    cleared.  Returns the rows written, ``None`` if all steps were done.
+    """
+    asked = wanted.select(*keys).distinct().withColumn("_label", _partition_label(keys))
+    done = steps(spark, root).filter((F.col("dataset") == dataset) & (F.col("status") == "done"))
+    rows = asked.join(done.select(F.col("partition").alias("_label")), "_label", "left_anti").collect()
+    if not rows:                                    # rows: one per workspace, pool or day
+        return None
+    labels = [r["_label"] for r in rows]
+    parts = [{k: r[k] for k in keys} for r in rows]
+    # what an unfinished attempt left: the overwrite would keep keys without rows now
+    clear_partitions(spark, root, dataset, parts)
+    write(df.withColumn("_label", _partition_label(keys)).filter(F.col("_label").isin(labels)).drop("_label"),
+          root, dataset, mode="overwrite", partition_by=keys)
+    counts = _counts(spark, root, dataset, keys, labels)
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    marked = [(dataset, x, counts.get(x, 0), "done", now) for x in sorted(labels)]
+    (spark.createDataFrame(marked, STEP_SCHEMA).coalesce(1)
+     .write.mode("append").parquet(dataset_path(root, STEPS)))
+    return sum(counts.values())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own (a batch that has been staged)."""
+    h = _fs(spark, path)
+    if h is not None and h[0].exists(h[1]):
+        h[0].delete(h[1], True)
+
+
+def batch(df: DataFrame, root: str, label: str) -> tuple[DataFrame, str]:
+    """``df`` written once under ``root/_batches/label`` (replacing an earlier
+    attempt) and read back: what is staged, reported and counted from it is
+    exactly the same rows.  Returns the rows and the folder, for :func:`remove`."""
+    path = os.path.join(root, "_batches", label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def _data_files(spark: SparkSession, path: str) -> int:
     h = _fs(spark, path)
     if h is None or not h[0].exists(h[1]):

@@ -144,10 +144,11 @@ def service_objectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dumped listing pages (from part): three workspaces, parts spread over
-    them by key; page ``n`` of a workspace holds the parts with key in
-    ``[60(n-1), 60n)`` - at most 20.  Pages 30, 70, 110, ... carry no
-    continuation token, so a chain ends at page 30 at the latest."""
+    """Dumped listing pages (from part): three workspaces, one chain per
+    workspace and day (1,800 keys a day), so the number of chains grows with the
+    table; page ``n`` of a chain holds the parts with key in ``[60(n-1), 60n)``
+    of the day - at most 20.  Page 25 of every second day carries no
+    continuation token, page 20 of every third an empty one."""
     p = table(spark, sf_dir, "part")
     key = F.col("p_partkey")
     item = F.struct(
@@ -158,17 +159,34 @@ def item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").alias("size"),
         F.col("p_retailprice").alias("retail_price"),
     )
+    number = F.floor(key / 1800).cast("int")
     pages = (p.select(F.concat(F.lit("ws_"), (key % 3).cast("string")).alias("workspace_name"),
-                      (F.floor(key / 60) + 1).cast("int").alias("page_no"), item.alias("item"))
-             .groupBy("workspace_name", "page_no")
+                      number.alias("_number"), (F.floor((key % 1800) / 60) + 1).cast("int").alias("page_no"),
+                      item.alias("item"))
+             .groupBy("workspace_name", "_number", "page_no")
              .agg(F.collect_list("item").alias("value")))
+    token = (F.when((F.col("_number") % 2 == 0) & (F.col("page_no") == 25), F.lit(None).cast("string"))
+             .when((F.col("_number") % 3 == 0) & (F.col("page_no") == 20), F.lit(""))
+             .otherwise(F.concat(F.lit("tok-"), F.col("page_no").cast("string"))))
     return pages.select(
         "workspace_name", F.lit("pipelines").alias("dataset"),
-        F.lit(None).cast("date").alias("day"), "page_no",
-        F.when(F.col("page_no") % 40 == 30, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("tok-"), F.col("page_no").cast("string")))
-        .alias("continuation_token"),
-        "value")
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("_number")).alias("day"), "page_no",
+        token.alias("continuation_token"), "value")
+
+
+def run_pages(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
+    """Dumped run-history pages (from orders): three workspaces, one chain of
+    one page per workspace and order day; even keys are pipeline runs, odd ones
+    trigger runs."""
+    o = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 2 == (0 if dataset == "pipeline_runs" else 1))
+    run = F.struct(F.col("o_orderkey").cast("string").alias("run_id"),
+                   F.concat(F.lit("pl_"), F.substring("o_orderpriority", 1, 1)).alias("pipeline_name"),
+                   F.col("o_orderstatus").alias("status"))
+    return (o.groupBy(F.concat(F.lit("ws_"), (F.col("o_custkey") % 3).cast("string")).alias("workspace_name"),
+                      F.to_date("o_orderdate").alias("day"))
+            .agg(F.collect_list(run).alias("value"))
+            .select("workspace_name", F.lit(dataset).alias("dataset"), "day", F.lit(1).alias("page_no"),
+                    F.lit(None).cast("string").alias("continuation_token"), "value"))
 
 
 def pool_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

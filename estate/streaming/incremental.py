@@ -11,48 +11,61 @@ The checkpoint and the staged data live in shared storage, so a restarted
 driver or a lost executor resumes from the last committed batch.  A batch
 that is replayed after it already staged its rows (failure between the write
 and the checkpoint commit) recomputes the marks from the staged data and
-appends nothing: the mark makes the sink idempotent.
+appends nothing above them again; requests of a pool without any finished
+request (no mark) are staged again, as in the source, and the report counts
+them as staged.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estate.operators import analysis, incremental
 from estate.sources import staging
 
 
+def current_marks(spark: SparkSession, root: str, dataset: str, mark_col: str,
+                  keys: Sequence[str] = ("pool_name",)) -> DataFrame | None:
+    staged = staging.read(spark, root, dataset)
+    return None if staged is None else incremental.high_water(staged, mark_col, keys)
+
+
 def stage_new_rows(spark: SparkSession, batch: DataFrame, root: str, dataset: str,
                    mark_col: str, keys: Sequence[str] = ("pool_name",),
                    transform: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None,
                    partition_by: Sequence[str] = ("pool_name",),
-                   report: str | None = None) -> int:
-    """One incremental step (batch form of T1): marks from the staged data,
-    keep rows above them, append.  ``transform(raw, marks)`` turns raw rows
-    into the staged form and applies the mark (default: mark filter only).
-
-    With ``report`` (a dataset name), the partial request-window rows of the
-    rows staged now are appended to that dataset as well, so the report is
-    kept up to date from new rows only (see
+                   report: str | None = None, batch_id: str | None = None,
+                   marks: DataFrame | None = None, fixed_marks: bool = False) -> int:
+    """One incremental step (batch form of T1): marks from the staged data (or
+    the given ones, with ``fixed_marks``), keep rows above them, append.
+    ``transform(raw, marks)`` turns raw rows into the staged form and applies the
+    mark (default: mark filter only).
+
+    The new rows are written once as a batch; staged rows and, with ``report`` (a
+    dataset name), the partial request-window rows come from it.  The partials
+    are keyed by ``batch_id`` and replaced when a batch is replayed, so the
+    report counts exactly what was staged (see
     :func:`estate.operators.analysis.merge_request_windows`)."""
-    staged = staging.read(spark, root, dataset)
-    marks = None if staged is None else incremental.high_water(staged, mark_col, keys)
+    if not fixed_marks:
+        marks = current_marks(spark, root, dataset, mark_col, keys)
     if transform is None:
         new = incremental.newer_than(batch, mark_col, marks, keys)
     else:
         new = transform(batch, marks)
-    n = staging.write(new, root, dataset, mode="append", partition_by=partition_by)
+    label = batch_id if batch_id is not None else uuid.uuid4().hex[:12]
+    rows, folder = staging.batch(new, root, f"{dataset}-{label}")
     if report is not None:
-        # the rows just staged are the staged rows above the marks taken
-        # before the write; read them back through that predicate
-        fresh = staging.read(spark, root, dataset)
-        if marks is not None:
-            fresh = incremental.newer_than(fresh, mark_col, marks, keys)
-        staging.write(analysis.request_window_parts(fresh, tuple(keys)), root, report,
-                      mode="append", partition_by=(), rebalance=False)
+        # before the rows: a batch without new rows (a replay of one that was
+        # staged) has no partials and leaves those of the first attempt alone
+        parts = analysis.request_window_parts(rows, tuple(keys)).withColumn("batch_id", F.lit(label))
+        staging.write(parts, root, report, mode="overwrite", partition_by=("batch_id",), rebalance=False)
+    n = staging.write(rows, root, dataset, mode="append", partition_by=partition_by)
+    staging.remove(spark, folder)
     return n
 
 
@@ -67,11 +80,21 @@ def start_stream(spark: SparkSession, source_dir: str, schema: T.StructType, roo
     ``every=None`` processes what is available and stops
     (``trigger(availableNow=True)``); ``every='1 hour'`` keeps running and
     stages new snapshots at that cadence, like the hourly extract job.
+    ``max_files_per_trigger`` cuts the available snapshot into several
+    micro-batches; the marks are then those from before the snapshot for all
+    of them (kept beside the checkpoint until the snapshot is done, also
+    across a restart), as the first micro-batch's rows must not hide later
+    files.  It needs ``every=None``, where the snapshot is known.
     ``on_batch(batch_id, rows)`` is called after each staged micro-batch.
     """
+    if max_files_per_trigger and every is not None:
+        raise ValueError("max_files_per_trigger needs every=None: a running stream can't tell snapshots apart")
+    fixed = bool(max_files_per_trigger)
+    marks = _snapshot_marks(spark, root, dataset, mark_col, keys, checkpoint) if fixed else None
+
     def each(batch: DataFrame, batch_id: int) -> None:
         n = stage_new_rows(spark, batch, root, dataset, mark_col, keys, transform, partition_by,
-                           report)
+                           report, f"{batch_id:08d}", marks, fixed)
         if on_batch:
             on_batch(batch_id, n)
 
@@ -84,6 +107,21 @@ def start_stream(spark: SparkSession, source_dir: str, schema: T.StructType, roo
     return writer.start()
 
 
+def _marks_folder(checkpoint: str) -> str:
+    return checkpoint.rstrip("/") + "_marks"
+
+
+def _snapshot_marks(spark, root, dataset, mark_col, keys, checkpoint) -> DataFrame | None:
+    """The marks from before the snapshot; a first run stores an empty table."""
+    folder = _marks_folder(checkpoint)
+    if not staging._exists(spark, folder):
+        marks = current_marks(spark, root, dataset, mark_col, keys)
+        if marks is None:
+            return None                      # nothing staged yet: everything is new
+        marks.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def stream_new(spark: SparkSession, source_dir: str, schema: T.StructType, root: str,
                dataset: str, mark_col: str, checkpoint: str, keys: Sequence[str] = ("pool_name",),
                transform: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None,
@@ -96,4 +134,5 @@ def stream_new(spark: SparkSession, source_dir: str, schema: T.StructType, root:
                          transform, partition_by, fmt, max_files_per_trigger,
                          on_batch=lambda _bid, n: written.append(n), report=report)
     query.awaitTermination()
+    staging.remove(spark, _marks_folder(checkpoint))     # this snapshot is done
     return written

@@ -26,21 +26,45 @@ def test_slices_equal_full_load(spark, root):
     assert got.select("request_id").distinct().count() == raw.count()
 
 
-def test_inline_and_join_paths_agree(spark):
+def test_null_keys_and_zoned_marks(spark):
+    """A null key has its own mark, and TIMESTAMP marks mean their instant."""
+    rows = [(1, None, dt.datetime(2024, 1, 1, 9)), (2, None, dt.datetime(2024, 1, 1, 11)),
+            (3, "p", dt.datetime(2024, 1, 1, 9)), (4, "q", dt.datetime(2024, 1, 1, 9))]
+    for kind in ("timestamp_ntz", "timestamp"):
+        df = spark.createDataFrame(rows, f"id long, pool_name string, end_time {kind}")
+        marks = spark.createDataFrame([(None, dt.datetime(2024, 1, 1, 10)), ("p", dt.datetime(2024, 1, 1, 9)), ("r", None)],
+                                      f"pool_name string, {incremental.MARK} {kind}")
+        for more in (0, 400):          # whatever the number of marks
+            extra = spark.range(more).selectExpr("concat('x', id) AS pool_name", f"CAST(NULL AS {kind}) AS {incremental.MARK}")
+            got = incremental.newer_than(df, "end_time", marks.unionByName(extra))
+            assert sorted(r.id for r in got.collect()) == [2, 4]
+
+
+def test_lateness_leaves_staged_versions_out(spark):
+    t = lambda m: dt.datetime(2024, 1, 1, 10, m)
+    schema = "pool_name string, request_id long, end_time timestamp_ntz"
+    staged = spark.createDataFrame([("p", 1, t(0)), ("p", 2, None), ("q", 1, t(5)), ("p", 9, t(20))], schema)
+    raw = spark.createDataFrame([("p", 1, t(0)), ("p", 2, t(18)), ("q", 1, t(5)), ("p", 9, t(20)), ("p", 10, t(21)), ("p", 11, t(16))], schema)
+    marks = incremental.high_water(staged, "end_time")
+    new = incremental.newer_than(raw, "end_time", marks, lateness="10 minutes")
+    new = incremental.not_staged(new, staged, "end_time", marks, ["pool_name", "request_id"], lateness="10 minutes")
+    assert sorted((r.pool_name, r.request_id) for r in new.collect()) == [("p", 2), ("p", 10), ("p", 11)]
+
+
+def test_many_micro_batches_stage_the_whole_snapshot(spark, root):
     raw = _raw(spark)
-    marks = incremental.high_water(raw.filter(F.dayofmonth("start_time") < 10), "end_time")
-    a = incremental.newer_than(raw, "end_time", marks)
-    b = incremental.newer_than(raw, "end_time", marks, max_inline_keys=0)
-    assert sorted(r.request_id for r in a.collect()) == sorted(r.request_id for r in b.collect())
-
-
-def test_inline_marks_are_pushed_to_scan(spark, root):
-    staging.write(_raw(spark), root, "session_requests")
-    staged = staging.read(spark, root, "session_requests")
-    marks = incremental.high_water(staged.filter(F.dayofmonth("start_time") < 10), "end_time")
-    plan = incremental.newer_than(staged, "end_time", marks)._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "PushedFilters" in plan and "end_time" in plan.split("PushedFilters")[1][:400]
+    source, ckpt = f"{root}/source", f"{root}/_ckpt"
+    half = raw.filter(F.dayofmonth("start_time") < 12)
+    for snapshot in (half, raw):
+        snapshot.repartition(5).write.mode("append").parquet(source)
+        stream_new(spark, source, raw.schema, root, "reqs", "end_time", ckpt, max_files_per_trigger=1, report="parts")
+    staged = staging.read(spark, root, "reqs")
+    assert staged.count() == half.count() + raw.join(
+        half.groupBy("pool_name").agg(F.max("end_time").alias("m")), "pool_name", "left").filter("m IS NULL OR end_time > m").count()
+    from estate.operators import analysis
+    kept = analysis.merge_request_windows(staging.read(spark, root, "parts"))
+    full = analysis.request_window(staged)
+    assert kept.exceptAll(full).count() == 0 and full.exceptAll(kept).count() == 0
 
 
 def test_global_mark(spark):
@@ -114,21 +138,3 @@ def test_serverless_activity_filters(spark):
     assert activity.data_processed(df).count() == 2
     stamped = activity.dedicated_query_stats(df, dt.datetime(2024, 2, 1))
     assert {r.extract_ts for r in stamped.collect()} == {dt.datetime(2024, 2, 1)}
-
-
-def test_inline_and_join_marks_agree_on_random_marks(spark):
-    """Per-key marks as literal predicates and as a joined table select the
-    same rows, including keys without a mark and null marks."""
-    import random
-    rng = random.Random(9)
-    base = dt.datetime(2024, 1, 1)
-    rows = [(i, f"p{rng.randint(0, 7)}", base + dt.timedelta(minutes=rng.randint(0, 5000)))
-            for i in range(3000)]
-    df = spark.createDataFrame(rows, "id long, pool_name string, end_time timestamp_ntz")
-    marks = spark.createDataFrame(
-        [(f"p{k}", None if k == 3 else base + dt.timedelta(minutes=rng.randint(0, 5000)))
-         for k in range(6)],                                   # p6, p7 have no mark
-        f"pool_name string, {incremental.MARK} timestamp_ntz")
-    inline = {r.id for r in incremental.newer_than(df, "end_time", marks).collect()}
-    joined = {r.id for r in incremental.newer_than(df, "end_time", marks, max_inline_keys=0).collect()}
-    assert inline == joined and 0 < len(inline) < 3000

@@ -3,10 +3,16 @@
 from estate.sources import jdbc
 
 
-def test_set_query_text():
-    q = jdbc.set_query("select * from {}.information_schema.tables", ["a", "b"])
-    assert q == ("(\nselect * from a.information_schema.tables\nunion all\n"
-                 "select * from b.information_schema.tables\n) as set_query")
+def test_quoted_names_and_hidden_password():
+    assert jdbc.quoted("a]b") == "[a]]b]"
+    assert "secret" not in repr(jdbc.PoolConnection(url="jdbc:x", password="secret"))
+
+
+def test_one_scan_keeps_listed_databases(spark):
+    rows = spark.createDataFrame([("x", 1), ("y", 2), ("z", 3), (None, 4)], "table_catalog string, id long")
+    names = spark.createDataFrame([("x",), ("z",), ("z",), (None,)], "name string")
+    got = jdbc.scan_databases(rows, names)
+    assert sorted((r.table_catalog, r.id) for r in got.collect()) == [("x", 1), ("z", 3)]
 
 
 def test_connection_options():
@@ -42,7 +48,7 @@ def test_catalog_scans_logic_without_a_database(spark, monkeypatch):
         seen.append(relation)
         if relation == "sys.databases":
             return dbs
-        db = relation.split(".")[0] if relation.count(".") == 2 else "pool"
+        db = relation.split(".")[0].strip("[]") if relation.count(".") == 2 else "pool"
         return spark.createDataFrame([(db, "t1", "select 1")],
                                      "table_catalog string, table_name string, view_definition string")
 
@@ -54,7 +60,7 @@ def test_catalog_scans_logic_without_a_database(spark, monkeypatch):
     assert scope == ["sales"]
     views = catalog_scans.views(spark, conn, scope, redact_text=True).collect()
     assert [(r.table_catalog, r.view_definition) for r in views] == [("sales", "[REDACTED]")]
-    assert "sales.information_schema.views" in seen
+    assert "[sales].information_schema.views" in seen
     assert catalog_scans.tables(spark, conn).count() == 1          # dedicated: one database
     assert "information_schema.tables" in seen
     assert catalog_scans.routines(spark, conn, [], redact_text=True) is None

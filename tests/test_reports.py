@@ -42,13 +42,12 @@ def test_databases_by_collation_null_group(spark):
     assert got == {"a": (None, 2), "b": (None, 2), "c": ("X", 1)}
 
 
-def test_service_tiers_both_join_paths(spark):
+def test_service_tiers(spark):
     obj = spark.createDataFrame([(1, "DW", "DW100c"), (2, "DW", "DW200c"), (9, "DW", "x")],
                                 "database_id long, edition string, service_objective string")
     dbs = spark.createDataFrame([(1, "a"), (2, "b")], "database_id long, name string")
-    for bound in (100, 0):   # broadcast within the bound, shuffle join beyond it
-        got = sorted(tuple(r) for r in analysis.service_tiers(obj, dbs, max_broadcast_rows=bound).collect())
-        assert got == [("a", "DW", "DW100c"), ("b", "DW", "DW200c")]
+    got = sorted(tuple(r) for r in analysis.service_tiers(obj, dbs).collect())
+    assert got == [("a", "DW", "DW100c"), ("b", "DW", "DW200c")]
 
 
 def test_whole_units_ignore_session_zone_and_dst(spark):
@@ -69,15 +68,6 @@ def test_whole_units_ignore_session_zone_and_dst(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
-def test_broadcast_bound_accounts_for_row_width(spark):
-    from estate.operators.joins import fits_broadcast, row_bytes
-    narrow = spark.range(1000).selectExpr("id", "cast(id as string) as name")
-    assert row_bytes(narrow.schema) == 8 + 64 + 8
-    assert fits_broadcast(narrow, max_rows=5000)
-    assert not fits_broadcast(narrow, max_rows=5000, max_bytes=80 * 500)   # 500 rows fit
-    assert not fits_broadcast(narrow, max_rows=999)
-
-
 def test_merged_partial_windows_equal_one_pass(spark):
     from pyspark.sql import functions as F
 

@@ -91,3 +91,37 @@ def test_kept_report_equals_full_recount(spark, root):
     kept = run.request_windows(spark, root)
     assert kept.exceptAll(full).count() == 0 and full.exceptAll(kept).count() == 0
     assert kept.count() > 0
+
+
+def test_second_workspace_and_emptied_pool(spark, root):
+    """Steps are per workspace and pool; a pool without rows any more is cleared."""
+    def views(*pools):
+        return spark.createDataFrame([("ws_0", p, f"v{i}", "select 1") for p in pools for i in range(2)],
+                                     "workspace_name string, pool_name string, table_name string, view_definition string")
+    pools = spark.createDataFrame([("ws_0", "a"), ("ws_0", "b")], "workspace_name string, pool_name string")
+    run.run_all(spark, root, run.ProfileInputs(catalog={"views": views("a", "b")}, pools=pools))
+    run.run_all(spark, root, run.ProfileInputs(catalog={"views": views("a").drop("view_definition")}, pools=pools))
+    got = staging.read(spark, f"{root}/{run.DEDICATED}", "views")
+    assert {r.pool_name for r in got.collect()} == {"a"} and "view_definition" in got.columns
+    resp = tables.metric_responses(spark, SF_SMALL).withColumn("workspace_name", F.lit("ws_0"))
+    pool = F.regexp_extract("resource_id", "(pool_[0-9]+)", 1)
+    resp = resp.withColumn("pool_name", pool)
+    name = "dedicated_sql_pool_metrics"
+    first = run.run_all(spark, root, run.ProfileInputs(metric_responses={name: resp.filter("pool_name = 'pool_0'")}))
+    second = run.run_all(spark, root, run.ProfileInputs(metric_responses={name: resp}))
+    staged = staging.read(spark, f"{root}/{run.METRICS}", name)
+    assert first[name] + second[name] == staged.count() and staged.select("pool_name").distinct().count() == 4
+
+
+def test_running_rows_in_the_kept_report(spark, root):
+    from estate.operators import analysis
+    reqs = tables.requests(spark, SF_SMALL, with_workspace=True).withColumn(
+        "end_time", F.when(F.col("pool_name") != "pool_1", F.col("end_time")))
+    for _ in range(2):
+        run.run_all(spark, root, run.ProfileInputs(requests=reqs), run.ProfileSettings(lateness="10 minutes"))
+    staged = staging.read(spark, f"{root}/{run.DEDICATED}", "session_requests")
+    full = analysis.request_window(staged, by=("workspace_name", "pool_name"))
+    kept = run.request_windows(spark, root)
+    assert kept.exceptAll(full).count() == 0 and full.exceptAll(kept).count() == 0
+    done = staged.filter("end_time IS NOT NULL")
+    assert done.count() == done.select("workspace_name", "pool_name", "request_id").distinct().count()

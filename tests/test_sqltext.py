@@ -139,3 +139,17 @@ def test_strip_comments_matches_the_rule_on_random_text(spark):
     got = dict(df.select("i", strip_comments("c").alias("o")).collect())
     bad = [(t, got[i], _strip_rule(t)) for i, t in enumerate(texts) if got[i] != _strip_rule(t)]
     assert not bad, bad[:3]
+
+
+def test_statement_slice_inside_a_pair(spark):
+    """Half of a character outside the BMP becomes U+FFFD, the query goes on."""
+    from estate.functions.sqltext import statement_slice
+    text = "a\U0001F600b\U0001F601c"
+    units = text.encode("utf-16-le")
+    rows = [(text, 2 * i, 2 * j) for i in range(7) for j in range(i, 8)] + [(None, 0, 2), ("", 0, -1)]
+    df = spark.createDataFrame(rows, "t string, s int, e int")
+    got = df.select(statement_slice("t", "s", "e").alias("x")).collect()
+    for (t, i, j), r in zip(rows, got):
+        if t:
+            assert r.x == units[i:j + 2].decode("utf-16-le", "replace").replace("\ufffd\ufffd", "\ufffd"), (i, j)
+    assert got[-2].x is None and got[-1].x == ""
