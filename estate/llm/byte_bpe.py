@@ -47,10 +47,11 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 SEGMENT_CHARS = 256 * 1024
 SEGMENT_IDS = 256 * 1024         # ids decoded at once
-TABLE_ENTRIES = 200_000          # of each of two generations
+TABLE_ENTRIES = 350_000          # of each of two generations
 KEPT_BYTES = 48                  # longer pre-tokens are encoded but not remembered
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
-_MASK = (1 << 64) - 1
+_TURN, _SPREAD, _HIGH = 0x9E3779B1, 0x85EBCA77, (1 << 30) - 1
+_hash = xxhash.xxh32_intdigest
 _open: dict = {}
 
 
@@ -69,6 +70,7 @@ class PerfectHash:
         self.shift = shift
         while self.shift is None and not self._build(keys):
             self.seed += 1
+        self.turn = [d * _TURN for d in range(max(self.shift, default=0) + 1)]
         self.keys = [b""] * n
         for k in keys:
             self.keys[self.slot(k)] = k
@@ -78,7 +80,7 @@ class PerfectHash:
         shift = array("q", bytes(8 * self.groups))
         dealt: dict[int, list[int]] = {}
         for k in keys:
-            h = xxhash.xxh3_64_intdigest(k, self.seed)
+            h = _hash(k, self.seed)
             dealt.setdefault(h % self.groups, []).append(h)
         taken = bytearray(n)
         order = sorted(dealt, key=lambda g: -len(dealt[g]))
@@ -106,16 +108,19 @@ class PerfectHash:
         return True
 
     def _place(self, h: int, d: int) -> int:
-        return (((h ^ (d * 0x9E3779B97F4A7C15)) * 0xD6E8FEB86659FD93 & _MASK) >> 24) % self.n
+        return ((h ^ d * _TURN) * _SPREAD >> 24 & _HIGH) % self.n
 
     def slot(self, key: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(key, self.seed)
+        h = _hash(key, self.seed)
         d = self.shift[h % self.groups]
         return -d - 1 if d < 0 else self._place(h, d)
 
     def find(self, key: bytes) -> int:
         """The key's slot, or -1 if it isn't one of the keys."""
-        s = self.slot(key)
+        h = _hash(key, self.seed)
+        d = self.shift[h % self.groups]
+        # the same place as `slot`, written out: this runs for every new pre-token
+        s = -d - 1 if d < 0 else ((h ^ self.turn[d]) * _SPREAD >> 24 & _HIGH) % self.n
         return s if self.keys[s] == key else -1
 
 
@@ -208,8 +213,8 @@ class Vocabulary:
         self.ids = [self.ranks[k] for k in self.hash.keys]      # id by slot
         self.odd = odd
         self.splitter = None
-        self.new: dict[str, tuple[int, ...]] = {}               # results of pre-tokens, in two generations
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.new: dict[str, bytes] = {}                         # ids of pre-tokens, in two generations
+        self.old: dict[str, bytes] = {}
         size = max(self.ranks.values()) + 1
         words = [b"\xef\xbf\xbd"] * (size + 1)                     # the last stands for unknown ids
         for k, i in self.ranks.items():
@@ -236,38 +241,50 @@ class Vocabulary:
                 if x is not None and y is not None:
                     self.pairs[x << self.bits | y] = rank
 
-    def encode_piece(self, piece: str) -> tuple[int, ...]:
+    def encode_piece(self, piece: str) -> bytes:
+        """The ids of one pre-token, 4 bytes each."""
         raw = piece.encode()
         slot = self.hash.find(raw)
-        return (self.ids[slot],) if slot >= 0 else tuple(self.merge(raw))
+        return array("i", (self.ids[slot],) if slot >= 0 else self.merge(raw)).tobytes()
 
     def merge(self, raw: bytes) -> list[int]:
         """Lowest rank first, leftmost among equals, until nothing merges.
 
         ``ids[i]`` is the entry that starts at byte ``i``, ``nxt`` and ``prv``
-        link the starts; a heap item packs a rank and the start of the left of
-        two neighbours, and is out of date if they no longer merge to it."""
+        link the starts, ``rank[i]`` is what the entry would merge to with the
+        next one; a heap item packs that rank and the start, and is out of date
+        if the rank has changed."""
         get, push, pop, n, bits = self.pairs.get, heapq.heappush, heapq.heappop, len(raw), self.bits
         single, wide = self.bytes, n.bit_length()
-        ids, low = [single[b] for b in raw], (1 << wide) - 1
+        low, ids = (1 << wide) - 1, [single[b] for b in raw]
         nxt, prv = list(range(1, n + 1)), list(range(-1, n))
-        heap = [r << wide | i for i, (x, y) in enumerate(zip(ids, ids[1:])) if (r := get(x << bits | y)) is not None]
+        rank = [get(x << bits | y, -1) for x, y in zip(ids, ids[1:])]
+        rank.append(-1)
+        heap = [r << wide | i for i, r in enumerate(rank) if r >= 0]
         heapq.heapify(heap)
-        ids.append(-1)
         while heap:
             x = pop(heap)
-            i, r = x & low, x >> wide
-            j = nxt[i]
-            if ids[i] < 0 or j >= n or get(ids[i] << bits | ids[j]) != r:
+            i = x & low
+            r = x >> wide
+            if rank[i] != r:
                 continue
+            j = nxt[i]
             e = nxt[j]
-            ids[i], ids[j] = r, -1
-            nxt[i], prv[e] = e, i
-            if e < n and (s := get(r << bits | ids[e])) is not None:
-                push(heap, s << wide | i)
+            ids[i] = r
+            ids[j] = rank[j] = -1
+            nxt[i] = e
+            if e < n:
+                prv[e] = i
+                rank[i] = s = get(r << bits | ids[e], -1)
+                if s >= 0:
+                    push(heap, s << wide | i)
+            else:
+                rank[i] = -1
             p = prv[i]
-            if p >= 0 and (s := get(ids[p] << bits | r)) is not None:
-                push(heap, s << wide | p)
+            if p >= 0:
+                rank[p] = s = get(ids[p] << bits | r, -1)
+                if s >= 0:
+                    push(heap, s << wide | p)
         return [x for x in ids if x >= 0]
 
     def encode(self, text: str) -> array:
@@ -279,11 +296,18 @@ class Vocabulary:
             if len(self.new) > TABLE_ENTRIES:
                 self.old, self.new = self.new, {}
             new, old, long = self.new, self.old, []
-            for p in set(pieces).difference(new):
-                new[p] = old.get(p) or self.encode_piece(p)
-                if len(p) > KEPT_BYTES:
-                    long.append(p)
-            ids.extend(chain.from_iterable(map(new.__getitem__, pieces)))
+            found = list(map(new.get, pieces))
+            if None in found:
+                for k, x in enumerate(found):
+                    if x is None:
+                        p = pieces[k]
+                        x = new.get(p)             # it may have come up before in this part
+                        if x is None:
+                            new[p] = x = old.get(p) or self.encode_piece(p)
+                            if len(p) > KEPT_BYTES:
+                                long.append(p)
+                        found[k] = x
+            ids.frombytes(b"".join(found))
             for p in long:
                 del new[p]
         return ids
