@@ -9,10 +9,21 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from estate.functions.sqltext import LINE_BLANKS
-from estate.operators.metrics import DEDICATED_METRICS, SPARK_POOL_METRICS, WORKSPACE_METRICS
-from estate.plans.queries import RUN_DATE, RUN_TZ
-from estate.sources.tables import TABLES
+# -- fixed values, written out here so that a wrong constant of the engine shows
+LINE_BLANKS = (r"[\t\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+               r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+DEDICATED_METRICS = ("DWULimit", "DWUUsed", "DWUUsedPercent", "MemoryUsedPercent",
+                     "CPUPercent", "Connections", "ActiveQueries")
+SPARK_POOL_METRICS = ("BigDataPoolApplicationsEnded", "BigDataPoolAllocatedCores",
+                      "BigDataPoolAllocatedMemory", "BigDataPoolApplicationsActive")
+WORKSPACE_METRICS = ("IntegrationActivityRunsEnded", "IntegrationPipelineRunsEnded",
+                     "IntegrationTriggerRunsEnded", "BuiltinSqlPoolDataProcessedBytes",
+                     "BuiltinSqlPoolLoginAttempts", "BuiltinSqlPoolRequestsEnded")
+RUN_DATE = _dt.date(2001, 6, 15)
+RUN_TZ = "America/New_York"
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+# --
 
 
 def _names(names) -> str:
