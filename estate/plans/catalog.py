@@ -2,10 +2,8 @@
 
 ``register_views`` creates the schema if needed and, for each category folder
 present under the workspace root, one ``<category>_<dataset>`` relation per
-dataset folder.  Each is an external table over the staged Parquet folder
-with the schema read from the files (partition columns as strings), so
-queries on it get partition pruning and pushdown, and nothing depends on
-schema inference at creation time.
+dataset folder: a view over the staged folder with the recorded column types,
+so queries on it see what is in the folder when they run.
 """
 
 from __future__ import annotations
@@ -35,32 +33,70 @@ def _list_dirs(spark: SparkSession, path: str) -> list[str]:
                   if st.isDirectory() and not st.getPath().getName().startswith(("_", ".")))
 
 
+def _folder_value(column: str) -> str:
+    """SQL for the text of a partition value, from the file's path: a folder
+    scan would infer a number from ``007``."""
+    raw = f"regexp_extract(_metadata.file_path, '/{column}=([^/]*)/', 1)"
+    for _ in range(2):                   # the path is a URI, the folder name is escaped in it
+        raw = f"url_decode(replace({raw}, '+', '%2B'))"
+    return f"nullif({raw}, '{staging.NULL_PARTITION}')"
+
+
+def _file_format(spark: SparkSession, path: str) -> str | None:
+    """Format of a staged folder's files by their suffix; ``None`` without files."""
+    h = staging._fs(spark, path)
+    if h is None:
+        return None
+    files = h[0].listFiles(h[1], True)
+    while files.hasNext():
+        found = files.next().getPath()
+        name = found.getName()
+        if not name.startswith(("_", ".")):
+            if ".json" in name:
+                return "json"
+            if ".parquet" in name:
+                return "parquet"
+    return None
+
+
+def _view_sql(spark: SparkSession, group_root: str, dataset: str) -> str | None:
+    df = staging.read(spark, group_root, dataset)
+    if df is None:
+        return None
+    path = staging.dataset_path(group_root, dataset)
+    fmt = _file_format(spark, path)
+    folders = staging._partition_columns(spark, path)
+
+    def value(f) -> str:
+        if fmt is None:
+            return "NULL"
+        if f.name in folders and f.dataType.simpleString() == "string":
+            return _folder_value(f.name)
+        return f"`{f.name}`"
+    cols = ", ".join(f"CAST({value(f)} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema.fields)
+    if fmt is None:                      # nothing staged yet: the typed empty relation
+        return f"SELECT {cols} WHERE false"
+    return f"SELECT {cols} FROM {fmt}.`{path}`"
+
+
 def register_views(spark: SparkSession, workspace_root: str, schema: str,
                    categories: dict[str, str] | None = None) -> list[str]:
     """K5: create ``schema`` and a view per staged dataset; absent categories
-    are skipped.  Returns the qualified view names."""
+    are skipped.  Returns the qualified view names.
+
+    A view reads its folder anew in each query, so pools staged later appear by
+    themselves; it is replaced in one step.  Its column types are those recorded
+    with the dataset, and it works over Parquet and JSON folders alike."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
     made = []
     for category, folder in (categories or CATEGORIES).items():
         group_root = os.path.join(workspace_root, folder)
         for dataset in _list_dirs(spark, group_root):
-            df = staging.read(spark, group_root, dataset)
-            if df is None:
-                continue
-            name = f"{category}_{dataset}".replace("-", "_")
-            parts = staging._partition_columns(spark, staging.dataset_path(group_root, dataset))
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-            part_sql = (" PARTITIONED BY (" + ", ".join(f"`{p}`" for p in parts) + ")"
-                        if parts else "")
-            path = staging.dataset_path(group_root, dataset).replace("'", "\\'")
-            # An external table over the folder with the declared schema: the
-            # data stays where it is, partition columns keep their types.
-            spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
-            spark.sql(f"CREATE TABLE `{schema}`.`{name}` ({cols}) USING parquet"
-                      f"{part_sql} LOCATION '{path}'")
-            if parts:
-                spark.sql(f"ALTER TABLE `{schema}`.`{name}` RECOVER PARTITIONS")
-            made.append(f"{schema}.{name}")
+            sql = _view_sql(spark, group_root, dataset)
+            if sql is not None:
+                name = f"{category}_{dataset}".replace("-", "_")
+                spark.sql(f"CREATE OR REPLACE VIEW `{schema}`.`{name}` AS {sql}")
+                made.append(f"{schema}.{name}")
     return made
 
 

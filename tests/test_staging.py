@@ -199,3 +199,23 @@ def test_compact_handles_escaped_and_null_partition_values(spark, root):
     assert sorted((r.pool_name or "", r.id) for r in back.collect()) == \
         [("", 2)] * 4 + [("a/b=c", 1)] * 4
     assert all(n == 1 for _, n in staging._leaf_partitions(spark, f"{root}/odd"))
+
+
+def test_views_follow_the_folder(spark, root):
+    """A pool staged after registration shows; types stay; JSON folders work."""
+    import os
+    group = os.path.join(root, catalog.CATEGORIES["dedicated"])
+    make = lambda pool, n: spark.createDataFrame([(pool, n, dt.datetime(2024, 1, 1, 0, 0, 0, 7))], "pool_name string, n int, at timestamp_ntz")
+    for name, fmt in (("plain", "parquet"), ("texts", "json")):
+        staging.write(make("007", 1), group, name, fmt=fmt)
+    made = catalog.register_views(spark, root, "estate_follow_test")
+    assert made == ["estate_follow_test.dedicated_plain", "estate_follow_test.dedicated_texts"]
+    for name, fmt in (("plain", "parquet"), ("texts", "json")):
+        staging.write(make("8", 2).withColumn("extra", F.lit("x")), group, name, fmt=fmt)
+        rows = spark.table(f"estate_follow_test.dedicated_{name}").orderBy("n").collect()
+        assert [tuple(r) for r in rows] == [(1, dt.datetime(2024, 1, 1, 0, 0, 0, 7), "007"), (2, dt.datetime(2024, 1, 1, 0, 0, 0, 7), "8")]
+    odd = ["a/b", "x+y z", "50%", None]
+    for v in odd:
+        staging.write(make(v, 3), group, "plain")
+    got = {r.pool_name for r in spark.table("estate_follow_test.dedicated_plain").filter("n = 3").collect()}
+    assert got == set(odd)
