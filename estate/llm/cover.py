@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from estate.llm._ship import release, ship, slices, stored, string_parts
 
 SLICE_BYTES = 2 * 1024 * 1024        # of text named at once
-BUCKET_BYTES = 24 * 1024 * 1024      # of names sorted at once
+BUCKET_BYTES = 12 * 1024 * 1024      # of names sorted at once (the sort holds about ten times that)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _powers: dict = {}
@@ -214,13 +214,13 @@ class Bucket:
         names = cat("names", dtype)
         places = None
         if any(len(x) for x in t["places"].to_pylist()):
-            places = np.concatenate([_places(p, np.frombuffer(c, np.uint32).astype(np.int64))
+            places = np.concatenate([_places(p, np.frombuffer(c, np.uint32).astype(np.int64)).astype(np.uint32)
                                      for p, c in zip(t["places"].to_pylist(), t["counts"].to_pylist())])
         order = np.lexsort((ids, k2, k1))             # equal texts together, smallest id first
         a, b = k1[order], k2[order]
         keep = np.zeros(len(order), bool)
         keep[order[np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[:len(order)]]] = True
-        row = np.repeat(np.arange(len(ids)), counts)
+        row = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
         held = keep[row]
         self.row, self.names = row[held], names[held]
         self.places = None if places is None else places[held]
@@ -385,7 +385,7 @@ def _window_reply(plan: Plan, parts: int):
         hit = b.repeated(plan.earlier, True)
         row, place = b.row[hit], b.places[hit]
         cuts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])[:len(row)])
-        data = [_gaps(x, np.array([0])) for x in np.split(place, cuts[1:])] if len(cuts) else []
+        data = [_gaps(x.astype(np.int64), np.array([0])) for x in np.split(place, cuts[1:])] if len(cuts) else []
         return _answer(b.k1[row[cuts]], b.k2[row[cuts]], data, parts)
     return run
 
