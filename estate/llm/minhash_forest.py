@@ -14,12 +14,13 @@ Candidates come from the longest common prefixes in the sorted orders:
    A class checks its best neighbour of all trees first; the links found join
    classes to provisional components, and then the neighbours of different
    components are checked.
-2. *regions*: a prefix region that still spans several components is compared
-   further: with at most ``REGION`` classes all its pairs of different
-   components are candidates; a larger region goes on to longer prefixes, its
-   own adaptive depth; at full depth, where the signatures agree in a whole
-   order, the classes outside the region's main component are compared with all
-   of the region, whatever its size.
+2. *regions*: classes that share ``least_depth`` hashes with one of another
+   component are all joined, whatever the size of their region, by an exact
+   prefix filter: each set is put in order of its shingles' frequency among
+   these classes, rarest first, and a pair that is similar enough shares a
+   shingle within the first few of both.  A bitmap of each set bounds how much a
+   pair can have in common before it is built.  Both only drop pairs that can't
+   be similar enough.
 
 All candidates are confirmed on the full shingle sets.  Pairs whose set sizes
 alone rule the similarity out are never built.  Components are computed over
@@ -46,8 +47,10 @@ from estate.llm.cover import Rolling, _BYTE, mixed, word_bounds
 
 TREES = 16
 DEPTH = 4             # hashes that a tree has to itself; it reads on into the others' blocks
-LEVELS = (4, 6, 8, 12, 16)
-REGION = 32
+LEAST_DEPTH = 4       # hashes that make a region
+DEEPEST = 16          # hashes that an order is sorted by
+BITMAP = 1024         # bits of a set's bitmap
+DEALT = 512           # classes of one shingle that a task joins with all others
 SLICE_BYTES = 2 * 1024 * 1024
 HASHES = TREES * DEPTH
 _SEEDS = mixed(np.arange(1, HASHES + 1, dtype=np.uint64))
@@ -111,7 +114,7 @@ def _signed(width: int, fold_case: bool):
 def _tree(sig: Column, tree: int) -> Column:
     """The signature as tree ``tree`` reads it: rotated by its block, cut to
     the deepest level."""
-    start, length = 2 * DEPTH * tree, 2 * max(LEVELS)
+    start, length = 2 * DEPTH * tree, 2 * DEEPEST
     return F.substring(F.concat(sig, sig), start + 1, length)
 
 
@@ -211,7 +214,7 @@ def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                    percent: int = 80, fold_case: bool = True, least_depth: int = LEVELS[0]) -> DataFrame:
+                    percent: int = 80, fold_case: bool = True, least_depth: int = LEAST_DEPTH) -> DataFrame:
     """``id, n_shingles, component_id, kept`` of every row; documents are
     linked where 100 * intersection >= ``percent`` * union of their sets."""
     spark = docs.sparkSession
@@ -252,7 +255,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # 2. regions that span components
     member = entries.join(comp, entries.id == comp.node, "left").select(
         "id", "n", "tree", "prefix", F.coalesce("component", "id").alias("comp"))
-    rest = stored(_region_pairs(member, percent, least_depth).join(pairs, ["a", "b"], "left_anti"), "minhash-candidates")
+    found = _region_pairs(member, texts, width, fold_case, percent, least_depth)
+    rest = stored(found.join(pairs, ["a", "b"], "left_anti"), "minhash-candidates")
     third = stored(_linked(rest, texts, width, fold_case, percent), "minhash-links")
     release(spark)
     final = stored(extended(comp, third.unionByName(_versions(signed, rep))), "minhash-components")
@@ -275,28 +279,84 @@ def _versions(signed: DataFrame, rep: DataFrame) -> DataFrame:
     return rows.join(shared, "id").filter("rep <> b").select(F.col("rep").alias("a"), "b")
 
 
-def _region_pairs(member: DataFrame, percent: int, least_depth: int) -> DataFrame:
-    """Pairs ``(a, b)`` of different components within regions of shared
-    prefixes, at each region's own depth."""
-    levels = [least_depth, *[x for x in LEVELS if x > least_depth]]
-    rows, out = member, None
-    for depth in levels:
-        rows = rows.withColumn("region", F.substring("prefix", 1, 2 * depth))
-        sizes = (rows.groupBy("tree", "region").agg(F.count("*").alias("size"), F.min("comp").alias("lo"),
-                                                    F.max("comp").alias("hi")).filter("lo < hi"))
-        # only regions that span components go on
-        rows = stored(rows.join(sizes.drop("hi"), ["tree", "region"]), "minhash-regions")
-        small = rows if depth == levels[-1] else rows.filter(F.col("size") <= REGION)
-        # one side: all of the region; the other: classes outside its first component
-        some = (small.filter("comp <> lo").select("tree", "region", F.col("id").alias("o_id"), F.col("n").alias("o_n"),
-                                                  F.col("comp").alias("o_comp")))
-        pairs = (small.select("tree", "region", "id", "n", "comp").join(some, ["tree", "region"])
-                 .filter((F.col("comp") != F.col("o_comp")) & _sizes_fit("n", "o_n", percent))
-                 .select(F.greatest("id", "o_id").alias("a"), F.least("id", "o_id").alias("b")))
-        out = pairs if out is None else out.unionByName(pairs)
-        rows = rows.filter(F.col("size") > REGION).drop("region", "size", "lo")
-        if rows.isEmpty():
-            break
+def _region_pairs(member: DataFrame, texts: DataFrame, width: int, fold_case: bool, percent: int,
+                  least_depth: int) -> DataFrame:
+    """Candidate pairs ``(a, b)`` of different components that share a region."""
+    rows = member.withColumn("region", F.substring("prefix", 1, 2 * least_depth))
+    spans = rows.groupBy("tree", "region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+    left = stored(rows.join(spans, ["tree", "region"], "left_semi").select("id", "comp").distinct(), "minhash-regions")
+    return _prefix_pairs(left, texts, width, fold_case, percent)
+
+
+WORDS = [f"w{k}" for k in range(BITMAP // 64)]
+
+
+def bitmaps(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each set the parity of its shingles in ``BITMAP`` buckets, in words of
+    64 bits.  A shingle in one of two sets flips one bit, so their bitmaps
+    differ in no more bits than the sets in shingles."""
+    bucket = (mixed(h) >> np.uint64(32)).astype(np.int64) % BITMAP
+    out = np.empty((len(at) - 1, len(WORDS)), np.int64)
+    for lo in range(0, len(out), 1024):
+        hi = min(len(out), lo + 1024)
+        place = np.repeat(np.arange(hi - lo), np.diff(at[lo:hi + 1])) * BITMAP + bucket[at[lo]:at[hi]]
+        odd = (np.bincount(place, minlength=(hi - lo) * BITMAP) & 1).astype(bool)
+        out[lo:hi] = np.packbits(odd).view(np.int64).reshape(hi - lo, len(WORDS))
+    return out
+
+
+def _sets(width: int, fold_case: bool):
+    def run(batches):
+        for b in slices(batches, SLICE_BYTES):
+            raw, off = string_parts(b.column(1))
+            h, at = shingles(raw, off, width, fold_case)
+            rows = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h.view(np.int64)))
+            bits = bitmaps(h, at)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(at), pa.int64()), rows, *map(pa.array, bits.T.copy())],
+                                             names=["id", "n", "set", *WORDS])
+    return run
+
+
+def _prefix_pairs(left: DataFrame, texts: DataFrame, width: int, fold_case: bool, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different components among the classes ``id, comp``
+    that can be similar enough.
+
+    Sets of ``n <= m`` shingles need ``o = ceil(percent (n + m) / (100 +
+    percent))`` in common, so in one order of all shingles the first ``n - o +
+    1`` of one and ``m - o + 1`` of the other meet.  ``o`` is least at ``m = n``
+    for the smaller set, and at least ``percent`` of the larger one; from the
+    first common shingle on, both must have ``o`` left, and the sets, so also
+    their bitmaps, may differ by ``n + m - 2 o``."""
+    from pyspark.sql import Window
+    sets = stored(texts.join(left, "id", "left_semi").select("id", "text")
+                  .mapInArrow(_sets(width, fold_case), f"id long, n long, set array<long>, {', '.join(f'{w} long' for w in WORDS)}")
+                  .withColumn("row", F.xxhash64("set")).dropDuplicates(["id", "row"]), "minhash-sets")   # an id may have several texts
+    each = sets.select("id", "row", "n", F.explode("set").alias("g"))
+    often = sets.select(F.explode("set").alias("g")).groupBy("g").agg(F.count("*").alias("often"))
+    order = Window.partitionBy("id", "row").orderBy("often", "g")
+    first = each.join(often, "g").withColumn("at", F.row_number().over(order) - 1).drop("often")
+    # a shingle that only one component has in front joins nothing
+    first = stored(first.filter(f"at <= n - ({percent} * n + 99) div 100").join(left, "id"), "minhash-prefixes")
+    per = first.groupBy("g", "comp").agg(F.count("*").alias("size"))
+    spans = (per.groupBy("g").agg(F.max(F.struct("size", "comp")).alias("main"), F.sum("size").alias("size"), F.count("*").alias("comps"))
+             .filter("comps > 1").select("g", F.col("main.comp").alias("main"), F.ceil(F.col("size") / DEALT).cast("int").alias("deals")))
+    first = stored(first.join(spans, "g").join(sets.drop("set", "n"), ["id", "row"]).drop("row"), "minhash-prefixes")
+    small = (first.filter(f"at <= n - ({2 * percent} * n + {99 + percent}) div {100 + percent}")
+             .withColumn("deal", F.pmod(F.xxhash64("id"), F.col("deals"))).drop("deals"))
+    large = (first.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).drop("deals")
+             .withColumnsRenamed({c: f"o_{c}" for c in ("id", "comp", "n", "at", "main", *WORDS)}))
+    differ = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"o_{w}"))) for w in WORDS), F.lit(0))
+    both = F.expr(f"({percent} * (n + o_n) + {99 + percent}) div {100 + percent}")
+    fits = ((F.col("n") <= F.col("o_n")) & (F.col("comp") != F.col("o_comp")) & _sizes_fit("n", "o_n", percent)
+            & (F.least(F.col("n") - F.col("at"), F.col("o_n") - F.col("o_at")) >= both)
+            & (differ <= F.col("n") + F.col("o_n") - 2 * both))
+    # members of a shingle's main component are only joined with the others
+    out = None
+    for one, other in ((small.filter("comp <> main"), large), (small.filter("comp = main"), large.filter("o_comp <> o_main"))):
+        one = one.withColumnsRenamed({"g": "a_g", "deal": "a_deal"})
+        met = one.join(other, (F.col("a_g") == F.col("g")) & (F.col("a_deal") == F.col("deal")) & fits)
+        met = met.select(F.greatest("id", "o_id").alias("a"), F.least("id", "o_id").alias("b"))
+        out = met if out is None else out.unionByName(met)
     return out.distinct()
 
 

@@ -116,3 +116,43 @@ def test_components(spark):
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: root(x) for x in up}
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def crowd(n, seed):
+    """``n`` texts at similarity 0.75-0.84 to each other, and close copies of
+    some of them just above 0.85; and all similarities, by one matrix product."""
+    import numpy as np
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(240)]
+
+    def changed(words, spots):
+        words = list(words)
+        for k in spots:
+            words[k] = f"x{rng.randrange(10 ** 9)}"
+        return words
+    texts = [changed(base, rng.sample(range(5, 235), rng.choice((4, 5)))) for _ in range(n)]
+    texts += [changed(t, (30 + 3 * k, 90, 130, 170, 200, 210)[:rng.choice((4, 5, 6))]) for k, t in enumerate(texts[:60])]
+    sets = [shingle_set(" ".join(t), 3) for t in texts]
+    place = {g: k for k, g in enumerate(sorted(set().union(*sets)))}
+    m = np.zeros((len(sets), len(place)), np.float32)
+    for k, s in enumerate(sets):
+        m[k, [place[g] for g in s]] = 1
+    both, sizes = m @ m.T, m.sum(1)
+    near = 100 * both >= 85 * (sizes[:, None] + sizes - both)
+    return [" ".join(t) for t in texts], np.argwhere(np.triu(near, 1))
+
+
+def test_pairs_in_a_crowd(spark):
+    """Close pairs among thousands of others that are nearly as close: their
+    regions are all crowded, and every pair counts."""
+    texts, near = crowd(2500, 3)
+    want = {tuple(x) for x in near.tolist()}
+    assert len(want) >= 40
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.component_id for r in minhash_forest.near_duplicates(df, width=3, percent=85).collect()}
+    assert not [p for p in want if got[p[0]] != got[p[1]]]
+    up = {i: i for i in range(len(texts))}
+    for a, b in sorted(want):
+        p, q = sorted((up[a], up[b]))
+        up = {i: p if r == q else r for i, r in up.items()}
+    assert got == up
