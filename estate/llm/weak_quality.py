@@ -9,9 +9,11 @@ most documents.
    rows, whatever the size of the corpus.
 2. *Expectation-maximisation* over the pattern counts estimates each labeller's
    confusion (how it votes given the truth) and the posterior of each pattern.
-3. *Scorer*: documents with a confident posterior, up to ``TRAIN_ROWS`` in hash
-   order of their ids and half of them bad where there are enough, train a
-   logistic regression over hashed words and style features.
+3. *Scorer*: documents with a confident posterior, up to ``TRAIN_ROWS``, half of
+   them bad where there are enough and spread over all vote patterns, train a
+   logistic regression over hashed words and style features.  First those with
+   a human label train one that is one more labeller of the others; then all of
+   them train the scorer, at any size.
 4. Every document is scored over its whole text; it is rejected where either
    probability reaches ``THRESHOLD``.
 
@@ -41,7 +43,6 @@ TRAIN_ROWS = 12_000              # documents the scorer is fitted on, at most
 THRESHOLD = 0.5
 CONFIDENT = 0.9
 HUMAN_RIGHT = 0.999              # share of human labels taken to be right
-MANY_JUDGED = 1000               # good documents with human labels that are enough to train on alone
 TELLING = 3.0                    # standard errors
 DECAY = {"low": 1e-4, "toxic": 3e-5}
 SLICE_BYTES = 2 * 1024 * 1024
@@ -159,7 +160,7 @@ def _feature_rows(batches):
     for b in slices(batches, SLICE_BYTES):
         f, at = Described(*string_parts(b.column(1))).features()
         rows = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(f))
-        yield pa.RecordBatch.from_arrays([*b.columns[2:], rows], names=["p_low", "p_toxic", "features"])
+        yield pa.RecordBatch.from_arrays([*b.columns[2:], rows], names=["p_low", "p_toxic", "weight", "said_low", "said_toxic", "features"])
 
 
 def _score_udf(model: np.ndarray, bias: np.ndarray):
@@ -254,8 +255,7 @@ def _posteriors(votes: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict]:
     said = {"low": F.when(F.col("quality") == 0, "1").when(F.col("quality") == 1, "0").otherwise("2"),
             "toxic": F.when(F.col("toxic_label") == 1, "1").when(F.col("toxic_label") == 0, "0").otherwise("2")}
     rows = (votes.join(human, votes.id == human.doc_id, "left")
-            .select("id", (F.col("quality").isNotNull() & F.col("toxic_label").isNotNull()).alias("judged"),
-                    *[F.concat(F.col(t), said[t]).alias(t) for t in TASKS]))
+            .select("id", *[F.concat(F.col(t), said[t]).alias(t) for t in TASKS]))
     found = {}
     for t in TASKS:
         tally = rows.groupBy(t).count().collect()             # at most 3^labellers rows
@@ -269,6 +269,42 @@ def _posteriors(votes: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict]:
     return rows, found
 
 
+def quotas(counts: np.ndarray, total: int) -> np.ndarray:
+    """``total`` dealt over strata of the given sizes: the same to each, and
+    what small ones leave over to the others."""
+    level, order = 0.0, np.sort(counts)
+    for k, c in enumerate(order):
+        level = total / (len(order) - k)
+        if c >= level:
+            break
+        total -= c
+        level = c
+    return np.minimum(counts, level)
+
+
+def _sample(rows: DataFrame) -> DataFrame:
+    """Bad and good documents with a confident posterior in either task, half of ``TRAIN_ROWS``
+    of each at most, spread over all vote patterns and in hash order of their
+    ids within each.  The human labeller's vote is part of the pattern, so at
+    any size labelled and unlabelled documents train the scorer together."""
+    spark = rows.sparkSession
+    sure = rows.filter((F.col("p_low") >= CONFIDENT) | (F.col("p_low") <= 1 - CONFIDENT)
+                       | (F.col("p_toxic") >= CONFIDENT) | (F.col("p_toxic") <= 1 - CONFIDENT))
+    bad = (F.col("p_low") >= 0.5) | (F.col("p_toxic") >= 0.5)
+    strata = sure.groupBy(*TASKS, bad.alias("bad")).count().collect()    # at most 3^labellers rows
+    half, share, picked = TRAIN_ROWS // 2, [], []
+    for x in (True, False):
+        mine = [r for r in strata if r.bad == x]
+        n = np.array([r["count"] for r in mine], float)
+        share += [(*(r[t] for t in TASKS), float(f)) for r, f in zip(mine, quotas(n, half) / np.maximum(n, 1))]
+    known = spark.createDataFrame(share, f"{', '.join(f'{t} string' for t in TASKS)}, share double")
+    some = sure.join(F.broadcast(known), list(TASKS)).filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    for x in (bad, ~bad):
+        picked.append(some.filter(x).orderBy(F.xxhash64(F.xxhash64("id")), "id").limit(half))
+    return picked[0].unionByName(picked[1]).dropDuplicates(["id"]).select(
+        "id", "p_low", "p_toxic", (1 / F.col("share")).alias("weight"), *[(~F.col(t).endswith(str(ABSTAIN))).alias(f"said_{t}") for t in TASKS])
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
     """``(model, bias, confusions)`` fitted on the corpus."""
     spark = docs.sparkSession
@@ -277,35 +313,49 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     votes = stored(base.mapInArrow(_vote_rows, "id long, low string, toxic string"), "quality-votes")
     rows, confusions = _posteriors(votes, labels)
-    rows = stored(rows.select("id", "p_low", "p_toxic", "judged").filter("id IS NOT NULL"), "quality-posteriors")
-    # bad and good documents with confident posteriors, each in hash order of
-    # their ids; those with a human label first, as no heuristic sees everything
-    sure = rows.filter(((F.col("p_low") >= CONFIDENT) | (F.col("p_low") <= 1 - CONFIDENT))
-                       & ((F.col("p_toxic") >= CONFIDENT) | (F.col("p_toxic") <= 1 - CONFIDENT)))
-    bad = (F.col("p_low") >= 0.5) | (F.col("p_toxic") >= 0.5)
-    half = TRAIN_ROWS // 2
-    picked = [sure.filter(x).orderBy(F.col("judged").desc(), F.xxhash64("id"), "id").limit(half) for x in (bad, ~bad)]
-    if picked[0].filter("judged").count() == half or picked[1].filter("judged").count() >= MANY_JUDGED:
-        picked = [x.filter("judged") for x in picked]     # enough labels: train on labelled rows alone
-    sample = picked[0].unionByName(picked[1]).dropDuplicates(["id"]).drop("judged")
+    rows = stored(rows.select("id", *TASKS, "p_low", "p_toxic").filter("id IS NOT NULL"), "quality-posteriors")
+    sample = _sample(rows)
     # the sample is bounded, so it is the side to send to every task
-    chosen = base.join(F.broadcast(sample), "id").select("id", "text", "p_low", "p_toxic")
-    got = chosen.mapInArrow(_feature_rows, "p_low double, p_toxic double, features array<int>").toArrow()
+    chosen = base.join(F.broadcast(sample), "id").select("id", "text", "p_low", "p_toxic", "weight", "said_low", "said_toxic")
+    got = chosen.mapInArrow(_feature_rows, "p_low double, p_toxic double, weight double, said_low boolean, said_toxic boolean, features array<int>").toArrow()
     feats = got["features"].combine_chunks()
     f = feats.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     at = np.concatenate([[0], np.cumsum(feats.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-    share = rows.agg(*[F.avg(f"p_{t}").alias(t) for t in TASKS]).first()
+    weight = got["weight"].to_numpy()        # documents that a training row stands for
     model, bias = [], []
     for t in TASKS:
         p = got[f"p_{t}"].to_numpy()
-        w, c = fit(f, at, p, decay=DECAY[t])
-        if len(p):                          # half of the sample is bad: back to the corpus's share
-            c += _logit(share[t]) - _logit(p.mean())
+        said = got[f"said_{t}"].to_numpy(zero_copy_only=False).astype(bool) if len(p) else np.zeros(0, bool)
+        sure = (p >= CONFIDENT) | (p <= 1 - CONFIDENT)
+        if said.any():
+            p = _seen_by_words(f, at, p, said, DECAY[t])
+        w, c = fit(*_part(f, at, sure), p[sure], decay=DECAY[t])
+        if sure.any():                      # half of the sample is bad: back to the corpus's share
+            c += _logit(np.average(p, weights=weight)) - _logit(p[sure].mean())
         model.append(w)
         bias.append(c)
     return np.array(model, np.float32), np.array(bias), confusions
 
 
+def _part(f: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The features of some rows, and their offsets among them."""
+    n = np.diff(at)
+    return f[np.repeat(rows, n)], np.concatenate([[0], np.cumsum(n[rows])]).astype(np.int64)
+
+
+def _seen_by_words(f: np.ndarray, at: np.ndarray, p: np.ndarray, said: np.ndarray, decay: float) -> np.ndarray:
+    """The posteriors after one more labeller has spoken on the documents
+    without a human label: a scorer fitted on those that have one.  It sees what
+    no heuristic has a rule for, and heuristics see kinds that no human label
+    shows, so the worse of both counts; with one class of human labels it is
+    silent."""
+    w, c = fit(*_part(f, at, said), p[said], decay=decay)
+    if not w.any():
+        return p
+    heard = 1 / (1 + np.exp(-np.clip(_row_sums(w, f, at) + c, -30, 30)))
+    return np.where(said, p, np.maximum(p, heard))
+
+
 def _logit(p: float) -> float:
     p = min(max(float(p), 1e-4), 1 - 1e-4)
     return float(np.log(p / (1 - p)))

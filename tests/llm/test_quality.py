@@ -62,3 +62,20 @@ def test_odd_rows(spark):
     none = weak_quality.keep_good(docs.limit(0), labels)
     assert none.collect() == []
     assert weak_quality.keep_good(docs, labels.limit(0)).count() > 0
+
+
+def test_labellers_shape_the_scorer_at_any_size(spark):
+    """With many human labels, a kind that only heuristics see is learned too,
+    and so is one that only human labels show."""
+    rng = np.random.default_rng(2)
+    vocab = ["".join(rng.choice(list("abdeghiklmnoprstu"), 6)) for _ in range(300)]
+    prose = lambda n: " ".join(rng.choice(vocab, n)) + "."
+    good = [(i, prose(30)) for i in range(1300)]
+    shown = [(2000 + i, f"{prose(15)} zorgle {prose(15)}") for i in range(120)]
+    seen = [(3000 + i, f"{prose(15)} you stupid scum {prose(15)}") for i in range(120)]
+    docs = spark.createDataFrame(good + shown + seen, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i, _ in good[:1200]] + [(i, 1, 1) for i, _ in shown[:80]],
+                                   "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.keep for r in weak_quality.score_documents(docs, labels).collect()}
+    kept = [np.mean([got[i] for i, _ in part]) for part in (good, shown, seen)]
+    assert kept[0] > 0.97 and kept[1] < 0.05 and kept[2] < 0.05, kept
