@@ -44,6 +44,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete the stage table that :func:`stored` returned as ``df``; nothing
+    may read it any more."""
+    spark = df.sparkSession
+    for f in df.inputFiles()[:1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f).getParent()
+        if "/estate-llm/" in path.toString():
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that are no longer
     referenced: its cleaner acts when the driver collects garbage, and the

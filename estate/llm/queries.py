@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estate.llm import byte_bpe, decontaminate, minhash_forest, pivot_topk, secret_scan, suffix_dedup, token_counts, url_rules, weak_quality, window_dedup
+from estate.llm import (byte_bpe, decontaminate, minhash_forest, piece_bpe, pivot_topk, ranked_search, secret_scan, suffix_dedup, token_counts,
+                        url_rules, vector_codes, weak_quality, window_dedup)
 from estate.llm._ship import table
 
 
@@ -76,5 +77,27 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(pages).select("page_id", "host", "path", "rule", "pattern", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_byte_bpe, op3_weak_quality, op4_pivot_topk, op5_token_counts, op6_decontamination, op7_secret_scan, op8_suffix_dedup, op9_substring_dedup,
-                                    op10_url_filters)}
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = piece_bpe.decode(piece_bpe.encode(docs, path).drop("text"), path)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(piece_bpe.ids_text(F.col("ids")), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"),
+                        piece_bpe.covered(F.col("starts"), F.col("ends")).alias("span_bytes"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = vector_codes.compress(table(spark, sf_dir, "embeddings"), keep=("label",))
+    rows = vector_codes.with_group_error(codes.rows, "label")
+    return rows.select("vec_id", vector_codes.code_text("codes").alias("code"), "error", "label_error",
+                       F.lit(vector_codes.codebooks_sha256(codes)).alias("codebooks_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_byte_bpe, op3_weak_quality, op4_pivot_topk, op5_token_counts,
+                                    op6_decontamination, op7_secret_scan, op8_suffix_dedup, op9_substring_dedup,
+                                    op10_url_filters, op11_ranked_search, op12_sentencepiece, op13_vector_codes)}
