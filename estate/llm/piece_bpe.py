@@ -3,13 +3,15 @@
 A text is normalised by the model's compiled character map: at every position
 the longest key of the map that is a prefix of the rest is replaced, all other
 characters are copied.  Along with the normalised text goes its alignment, the
-source byte that each normalised byte came from, so the byte span in the
-original text of every piece is two lookups: ``starts`` and ``ends`` cut the
-text's UTF-8 bytes.  A space that the model puts in front has an empty source;
-of a character that falls back to its bytes, the last byte's piece has the span.
-
-Pieces are then merged by score (best first, leftmost among equals) with a heap
-over linked characters.  A merge never reaches across a space mark that follows
+source byte that each normalised byte came from, so the byte spans in the
+original text of all pieces are one lookup: piece ``k`` covers the bytes from
+``cuts[k]`` to ``cuts[k + 1]`` of the text's UTF-8.  A space that the model puts in
+front has an empty source; of a character that falls back to its bytes, the last
+byte's piece has the span.
+
+Pieces are then merged by score (best first, leftmost among equals): in short
+segments by looking for the best pair, in long ones with a heap over linked
+characters.  A merge never reaches across a space mark that follows
 a character after which no piece of the vocabulary holds one, so a text falls
 into segments, and the pieces of a segment are remembered per worker in a
 bounded table of two generations.  Long texts are normalised and encoded in
@@ -35,6 +37,7 @@ import heapq
 import re
 import string
 import struct
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -49,12 +52,15 @@ MARK = "▁"                       # stands for a space in pieces
 SLICE_BYTES = 4 * 1024 * 1024    # of texts encoded at once, or one text
 SEGMENT_CHARS = 256 * 1024       # of one text normalised at once
 SLICE_IDS = 1024 * 1024          # ids decoded at once, or one row
-TABLE_ENTRIES = 300_000          # of each of two generations
+TABLE_ENTRIES = 350_000          # of each of two generations
+SHORT = 64                       # characters of a segment merged without a heap
 KEPT_CHARS = 48                  # longer segments are encoded but not remembered
 _CUT = re.compile(r"(?<=[0-9A-Za-z]) (?=[0-9A-Za-z])")
 _ENDS = string.digits + string.ascii_letters
 _MARK_BYTES = len(MARK.encode())
 _LOST = "�".encode()
+_NONE = 1 << 62
+_BITS = 22                       # of an id, also of characters that are no piece
 # fixed values: kinds of pieces in a model file
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 _open: dict = {}
@@ -187,8 +193,36 @@ class Model:
                     and not any(c in glued for c in _ENDS))
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        # characters that are no piece get ids of their own behind the pieces'
+        self.single = {p: i for p, i in self.ids.items() if len(p) == 1}
+        self.packed = [self._pack(p, i) for i, p in enumerate(self.pieces)]
+        self.pairs = {}                                # two neighbours -> order and id of what they make
+        for p, i in self.ids.items():
+            for k in range(1, len(p)):
+                a, b = (self.ids.get(x, -1) if len(x) > 1 else self._char(x) for x in (p[:k], p[k:]))
+                if a >= 0 and b >= 0:
+                    self.pairs[a << _BITS | b] = self.order[p] << _BITS | i
+        self.two = {p: self.order[p] << _BITS | i for p, i in self.ids.items() if len(p) == 2}
+        seen: set[int] = set()
+        self.tied = {o for o in self.order.values() if o in seen or seen.add(o)}
         self._decoder()
 
+    def _pack(self, piece: str, i: int) -> bytes:
+        """Pairs (id, normalised bytes) of a piece, 4 bytes each."""
+        raw = piece.encode()
+        if i != self.unknown or not self.fallback:
+            return struct.pack("<2i", i, len(raw))
+        out = [x for b in raw for x in (self.bytes[b], 0)]
+        out[-1:] = [len(raw)]
+        return struct.pack(f"<{len(out)}i", *out)
+
+    def _char(self, c: str) -> int:
+        i = self.single.get(c)
+        if i is None:
+            self.single[c] = i = len(self.packed)
+            self.packed.append(self._pack(c, self.unknown))
+        return i
+
     # -- normalisation ------------------------------------------------------
 
     def parts(self, text: str):
@@ -331,36 +365,45 @@ class Model:
 
     def encode_segment(self, text: str) -> bytes:
         """Pairs (id, normalised bytes), 4 bytes each."""
-        out = []
-        for p in self.merge(text):
-            i = self.ids.get(p, self.unknown)
-            raw = p.encode()
-            if i == self.unknown and self.fallback:
-                for b in raw[:-1]:
-                    out += (self.bytes[b], 0)
-                out += (self.bytes[raw[-1]], len(raw))
-            else:
-                out += (i, len(raw))
-        return np.array(out, np.int32).tobytes()
+        if len(text) <= SHORT and not (self.user and self.user.search(text)):
+            ids = self._short(text)
+            if ids is not None:
+                return b"".join(map(self.packed.__getitem__, ids))
+        return b"".join([self._pack(p, self.ids.get(p, self.unknown)) for p in self.merge(text)])
+
+    def _short(self, text: str) -> list[int] | None:
+        """Ids of the merged text; None if pairs of one score compete."""
+        get = self.pairs.get
+        ids = list(map(self.single.get, text))
+        if None in ids:
+            ids = [self._char(c) for c in text]
+        best = [x or _NONE for x in map(self.two.get, map(add, text, text[1:]))]
+        while best:
+            x = min(best)
+            if x == _NONE:
+                break
+            if x >> _BITS in self.tied:
+                return None
+            i = best.index(x)
+            ids[i] = x = x & (1 << _BITS) - 1
+            del ids[i + 1], best[i]
+            if i:
+                best[i - 1] = get(ids[i - 1] << _BITS | x, _NONE)
+            if i < len(best):
+                best[i] = get(x << _BITS | ids[i + 1], _NONE)
+        return ids
 
     def _paired(self, segments: list[str]) -> np.ndarray:
         if len(self.new) > TABLE_ENTRIES:
             self.old, self.new = self.new, {}
         new, old, long = self.new, self.old, []
-        found = list(map(new.get, segments))
-        if None in found:
-            for k, x in enumerate(found):
-                if x is None:
-                    s = segments[k]
-                    x = new.get(s)                 # it may have come up before in this part
-                    if x is None:
-                        new[s] = x = old.get(s) or self.encode_segment(s)
-                        if len(s) > KEPT_CHARS:
-                            long.append(s)
-                    found[k] = x
-        pairs = np.frombuffer(b"".join(found), np.int32).reshape(-1, 2)
-        for s in long:
-            del new[s]
+        for x in set(segments).difference(new):
+            new[x] = old.get(x) or self.encode_segment(x)
+            if len(x) > KEPT_CHARS:
+                long.append(x)
+        pairs = np.frombuffer(b"".join(map(new.__getitem__, segments)), np.int32).reshape(-1, 2)
+        for x in long:
+            del new[x]
         if not self.fallback and len(pairs) > 1:       # unknown characters side by side are one piece
             lost = pairs[:, 0] == self.unknown
             begin = ~(lost & np.concatenate([[False], lost[:-1]]))
@@ -368,9 +411,9 @@ class Model:
             pairs = np.column_stack([pairs[at, 0], np.add.reduceat(pairs[:, 1], at)])
         return pairs
 
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``ids, starts, ends``; spans are bytes of the text's UTF-8."""
-        ids, starts, ends, base = [], [], [], 0
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and the cuts between their spans, bytes of the text's UTF-8."""
+        ids, cuts, base = [], [], 0
         for part, first, last in self.parts(text):
             done, source = self.normalise(part, first, last)
             if self.plain and first and "  " not in part and part[0] != " " and part[-1] != " " and MARK not in part \
@@ -379,14 +422,12 @@ class Model:
             else:
                 segments = self.segments(done.decode()) if done else []
             pairs = self._paired(segments)
-            end = np.cumsum(pairs[:, 1])
             ids.append(pairs[:, 0])
-            ends.append(source[end] + base)
-            starts.append(source[end - pairs[:, 1]] + base)
+            if not cuts:
+                cuts.append(source[:1])
+            cuts.append(source[np.cumsum(pairs[:, 1])] + base)
             base += len(part.encode())
-        if len(ids) == 1:
-            return ids[0], starts[0], ends[0]
-        return np.concatenate(ids), np.concatenate(starts), np.concatenate(ends)
+        return np.concatenate(ids), np.concatenate(cuts)
 
     # -- decoding -----------------------------------------------------------
 
@@ -485,28 +526,30 @@ def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "ids", start_col: str = "starts",
-           end_col: str = "ends") -> DataFrame:
-    """``docs`` with the piece ids of ``text_col`` and the byte span in the text
-    of each (three arrays of int); ``path``: a model file at the same place on
-    every executor."""
+def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "ids", cuts_col: str = "cuts",
+           decoded_col: str | None = None) -> DataFrame:
+    """``docs`` with the piece ids of ``text_col`` and the cuts between their byte
+    spans in the text (arrays of int; a text has one cut more than pieces);
+    ``path``: a model file at the same place on every executor.  With
+    ``decoded_col`` the ids are decoded in the same pass."""
     ship(docs.sparkSession)
     ints = T.ArrayType(T.IntegerType())
-    kept, schema = _with(docs, [T.StructField(c, ints) for c in (out_col, start_col, end_col)])
+    kept, schema = _with(docs, [T.StructField(c, ints) for c in (out_col, cuts_col)]
+                         + ([T.StructField(decoded_col, T.StringType())] if decoded_col is not None else []))
 
     def run(batches):
-        m = model(path)
+        m, none = model(path), np.zeros(0, np.int32)
         for b in slices(batches, SLICE_BYTES, 0):
-            offsets, columns = [0], ([], [], [])
-            for t in b.column(0):
-                t = t.as_py()
-                coded = m.encode(t) if t else None
-                if coded:
-                    for column, x in zip(columns, coded):
-                        column.append(x.astype(np.int32))
-                offsets.append(offsets[-1] + (len(coded[0]) if coded else 0))
-            at = pa.array(offsets, pa.int32())
-            made = [pa.ListArray.from_arrays(at, pa.array(np.concatenate([*c, np.zeros(0, np.int32)]))) for c in columns]
+            coded = [m.encode(t) if t else (none, np.zeros(1, np.int64)) for t in b.column(0).to_pylist()]
+            made = []
+            for column in zip(*coded):
+                at = np.cumsum([0, *map(len, column)])
+                flat = np.concatenate(column).astype(np.int32)
+                made.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat)))
+                if decoded_col is not None and len(made) == 1:
+                    texts = pa.array(m.decode(flat, at), pa.string())
+            if decoded_col is not None:
+                made.append(texts)
             yield pa.RecordBatch.from_arrays([*b.columns[1:], *made], names=schema.names)
     return (docs.select(_quoted(text_col).cast("string").alias("_text"), *map(_quoted, kept))
             .mapInArrow(run, schema))
@@ -541,7 +584,6 @@ def ids_text(ids: Column) -> Column:
     return F.array_join(ids.cast("array<string>"), ",")
 
 
-def covered(starts: Column, ends: Column) -> Column:
-    """Bytes of the text that lie in a piece's span."""
-    return F.aggregate(F.zip_with(starts, ends, lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"),
-                       lambda s, x: s + x)
+def covered(cuts: Column) -> Column:
+    """Bytes of the text from the first piece's span to the last one's."""
+    return (F.element_at(cuts, -1) - F.element_at(cuts, 1)).cast("long")

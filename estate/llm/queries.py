@@ -83,12 +83,11 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    coded = piece_bpe.decode(piece_bpe.encode(docs, path).drop("text"), path)
+    coded = piece_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, decoded_col="decoded")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(piece_bpe.ids_text(F.col("ids")), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"),
-                        piece_bpe.covered(F.col("starts"), F.col("ends")).alias("span_bytes"))
+                        piece_bpe.covered(F.col("cuts")).alias("span_bytes"))
 
 
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,9 +55,9 @@ def test_equals_library(kind, part, monkeypatch):
     theirs, ours = sentencepiece.SentencePieceProcessor(model_proto=raw), piece_bpe.Model(raw)
     rng = random.Random(3)
     for t in texts(600, part):
-        ids, starts, ends = ours.encode(t) if t else (np.zeros(0, np.int64),) * 3
+        ids, cuts = ours.encode(t) if t else (np.zeros(0, np.int64), np.zeros(1, np.int64))
         pieces = theirs.encode(t, return_type="proto").pieces
-        assert (ids.tolist(), list(zip(starts.tolist(), ends.tolist()))) == ([p.id for p in pieces], [(p.begin, p.end) for p in pieces]), t
+        assert (ids.tolist(), list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))) == ([p.id for p in pieces], [(p.begin, p.end) for p in pieces]), t
         some = [rng.choice([rng.randint(0, 31999), rng.randint(0, 260), 28705, 259, 260]) for _ in range(rng.randint(0, 8))]
         for want in (ids.tolist(), some):
             assert ours.decode(np.array(want, np.int64), np.array([0, len(want)])) == [theirs.decode(want)]
@@ -82,18 +82,19 @@ def test_refuses_other_models():
 
 def test_frame(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=PATH)
-    long = "word " * 120_000 + "é" * 30_000 + " " * 50
+    long = "word " * 120_000 + "é" * 30_000 + "漢" * 100 + " " * 50
     rows = [(1, "Hello  world", 5), (1, "Hello  world", 5), (2, None, 6), (3, "", 7), (4, long, 8), (None, " 漢鼟 ", 9)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int").repartition(2)
     coded = piece_bpe.encode(df, PATH)
-    assert coded.columns == ["doc_id", "text", "ids", "starts", "ends"]
+    assert coded.columns == ["doc_id", "text", "ids", "cuts"]
     out = piece_bpe.decode(coded, PATH).collect()
+    assert sorted(map(str, out)) == sorted(map(str, piece_bpe.encode(df, PATH, decoded_col="decoded").collect()))
     assert len(out) == len(rows)
     for r in out:
         want = sp.encode(r.text or "")
         assert r.ids == want and r.decoded == sp.decode(want)
         raw = (r.text or "").encode()
-        assert b"".join(raw[a:b] for a, b in zip(r.starts, r.ends)) == raw
+        assert b"".join(raw[a:b] for a, b in zip(r.cuts, r.cuts[1:])) == raw
     assert piece_bpe.encode(df.limit(0), PATH).collect() == []
     odd = spark.createDataFrame([(None,), ([0, 1, 2, None, 99999, 300],), ([],)], "ids array<int>")
     assert [r.decoded for r in piece_bpe.decode(odd, PATH).collect()] == [None, " ⁇ \ufffd\ufffd" + sp.id_to_piece(300).replace("▁", " "), ""]
