@@ -25,13 +25,17 @@ def request_window_parts(requests: DataFrame, by: tuple[str, ...] = ("pool_name"
                  F.count(F.lit(1)).alias("num_requests")))
 
 
+def merge_window_parts(parts: DataFrame, by: tuple[str, ...] = ("pool_name",)) -> DataFrame:
+    """Partial rows of many batches as one partial row per extract and key."""
+    return (parts.groupBy("extract_ts", *by)
+            .agg(F.min("min_request_start_time").alias("min_request_start_time"),
+                 F.max("max_start_time").alias("max_start_time"),
+                 F.sum("num_requests").alias("num_requests")))
+
+
 def merge_request_windows(parts: DataFrame, by: tuple[str, ...] = ("pool_name",)) -> DataFrame:
     """A2 + O1 from partial rows (one or many per extract and key)."""
-    merged = (parts.groupBy("extract_ts", *by)
-              .agg(F.min("min_request_start_time").alias("min_request_start_time"),
-                   F.max("max_start_time").alias("max_start_time"),
-                   F.sum("num_requests").alias("num_requests")))
-    return _finish_window(merged, list(by))
+    return _finish_window(merge_window_parts(parts, by), list(by))
 
 
 def _finish_window(agg: DataFrame, by: list[str]) -> DataFrame:

@@ -3,7 +3,9 @@
 ``register_views`` creates the schema if needed and, for each category folder
 present under the workspace root, one ``<category>_<dataset>`` relation per
 dataset folder: a view over the staged folder with the recorded column types,
-so queries on it see what is in the folder when they run.
+so queries on it see what is in the folder when they run.  Partition columns are
+Spark's own, so filters on them prune folders (``PartitionFilters``); datasets
+written in batches show their committed batches.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from estate.operators.analysis import dataset_profile
-from estate.sources import staging
+from estate.sources import batches, staging
 
 # fixed values: category name -> folder of the staged group
 CATEGORIES = {
@@ -29,17 +31,8 @@ def _list_dirs(spark: SparkSession, path: str) -> list[str]:
     if h is None or not h[0].exists(h[1]):
         return []
     fs, jpath = h
-    return sorted(st.getPath().getName() for st in fs.listStatus(jpath)
-                  if st.isDirectory() and not st.getPath().getName().startswith(("_", ".")))
-
-
-def _folder_value(column: str) -> str:
-    """SQL for the text of a partition value, from the file's path: a folder
-    scan would infer a number from ``007``."""
-    raw = f"regexp_extract(_metadata.file_path, '/{column}=([^/]*)/', 1)"
-    for _ in range(2):                   # the path is a URI, the folder name is escaped in it
-        raw = f"url_decode(replace({raw}, '+', '%2B'))"
-    return f"nullif({raw}, '{staging.NULL_PARTITION}')"
+    return sorted(n for n in (st.getPath().getName() for st in fs.listStatus(jpath) if st.isDirectory())
+                  if not n.startswith(("_", ".")) and not n.endswith(batches.MARKS))
 
 
 def _file_format(spark: SparkSession, path: str) -> str | None:
@@ -65,18 +58,15 @@ def _view_sql(spark: SparkSession, group_root: str, dataset: str) -> str | None:
         return None
     path = staging.dataset_path(group_root, dataset)
     fmt = _file_format(spark, path)
-    folders = staging._partition_columns(spark, path)
-
-    def value(f) -> str:
-        if fmt is None:
-            return "NULL"
-        if f.name in folders and f.dataType.simpleString() == "string":
-            return _folder_value(f.name)
-        return f"`{f.name}`"
-    cols = ", ".join(f"CAST({value(f)} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema.fields)
-    if fmt is None:                      # nothing staged yet: the typed empty relation
+    log = os.path.join(group_root, batches.COMMITS)
+    batched = staging.BATCH in staging._partition_columns(spark, path)
+    if fmt is None or batched and not staging._exists(spark, log):      # nothing staged yet: the typed empty relation
+        cols = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema.fields)
         return f"SELECT {cols} WHERE false"
-    return f"SELECT {cols} FROM {fmt}.`{path}`"
+    cols = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema.fields)
+    live = (f" WHERE {staging.BATCH} IN (SELECT batch_id FROM parquet.`{log}` WHERE dataset = '{dataset}'"
+            " GROUP BY batch_id HAVING NOT max(action = 'drop'))")
+    return f"SELECT {cols} FROM {fmt}.`{path}`" + (live if batched else "")
 
 
 def register_views(spark: SparkSession, workspace_root: str, schema: str,
@@ -86,7 +76,11 @@ def register_views(spark: SparkSession, workspace_root: str, schema: str,
 
     A view reads its folder anew in each query, so pools staged later appear by
     themselves; it is replaced in one step.  Its column types are those recorded
-    with the dataset, and it works over Parquet and JSON folders alike."""
+    with the dataset, and it works over Parquet and JSON folders alike.  Views keep
+    the settings they were made with: they are made in a session of their own that
+    takes folder values as text, so ``007`` isn't read as a number."""
+    spark = spark.newSession()
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
     made = []
     for category, folder in (categories or CATEGORIES).items():

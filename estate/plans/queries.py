@@ -18,7 +18,7 @@ from estate import schemas
 from estate.operators import analysis, filters, incremental, metrics, pages
 from estate.plans import catalog, run
 from estate.session import fresh_root
-from estate.sources import activity, dumps, jdbc, staging, tables
+from estate.sources import activity, batches, dumps, jdbc, staging, tables
 from estate.streaming import incremental as stream_inc
 
 # Fixed extract time used where a query stamps rows (F9), so that results
@@ -95,16 +95,17 @@ def _earlier_run(raw: DataFrame) -> DataFrame:
 def _incremental(spark, sf_dir, scope):
     root = fresh_root(spark, f"incremental-{scope}")
     raw = tables.requests(spark, sf_dir)
-    staging.write(activity.dedicated_requests(_earlier_run(raw)), root, "session_requests")
-    staged = staging.read(spark, root, "session_requests")
-    marks = incremental.high_water(staged, "end_time", ["pool_name"], scope=scope)
-    staging.write(activity.dedicated_requests(raw, marks=marks), root, "session_requests")
+    for seen in (_earlier_run(raw), raw):
+        marks = batches.marks(spark, root, "session_requests", "end_time", ["pool_name"], scope)
+        batches.append(spark, root, "session_requests", activity.dedicated_requests(seen, marks=marks),
+                       "end_time", ["pool_name"], ["pool_name"])
     return staging.read(spark, root, "session_requests")
 
 
 def incremental_requests(spark, sf_dir):
     """T1 with a mark per pool: stage an earlier run, then append the rows
-    of a full run whose end_time lies above their pool's mark."""
+    of a full run whose end_time lies above their pool's mark.  Marks come from
+    the marks log that each batch adds to."""
     return _incremental(spark, sf_dir, "key")
 
 
@@ -248,13 +249,14 @@ def incremental_late(spark, sf_dir):
     root = fresh_root(spark, "late")
     raw = tables.requests(spark, sf_dir)
     running = F.when(F.col("request_id") % 7 == 3, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("end_time"))
-    staging.write(activity.dedicated_requests(_earlier_run(raw).withColumn("end_time", running)), root, "session_requests")
+    append = lambda df: batches.append(spark, root, "session_requests", df, "end_time", ["pool_name"], ["pool_name"])
+    append(activity.dedicated_requests(_earlier_run(raw).withColumn("end_time", running)))
     staged = staging.read(spark, root, "session_requests")
-    marks = incremental.high_water(staged, "end_time", ["pool_name"])
+    marks = batches.marks(spark, root, "session_requests", "end_time", ["pool_name"])
     late = "10 minutes"
     new = incremental.newer_than(activity.dedicated_requests(raw), "end_time", marks, lateness=late)
     new = incremental.not_staged(new, staged, "end_time", marks, ["pool_name", "request_id"], lateness=late)
-    staging.write(new, root, "session_requests")
+    append(new)
     return incremental.keep_newest(staging.read(spark, root, "session_requests"),
                                    ["pool_name", "request_id"], "end_time")
 

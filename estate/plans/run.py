@@ -8,9 +8,8 @@ by workspace and pool, and
 
 * catalog and storage snapshots replace the partitions (workspace, pool) of
   the pools in the run, also those that have no rows any more;
-* activity datasets append the rows above each (workspace, pool) mark; the new
-  rows are written once as a batch, and both the staged rows and the kept
-  report come from it;
+* activity datasets append the rows above each (workspace, pool) mark as a batch
+  whose rows, marks and report partials become visible in one commit;
 * listings, run history and metrics are restartable steps, one for each
   workspace (and day, or pool), skipped when done.
 """
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 
 from estate.functions.sqltext import redact
 from estate.operators import analysis, filters, incremental, metrics, pages
-from estate.sources import activity, staging
+from estate.sources import activity, batches, staging
 
 # fixed values: group folders of the staged layout
 DEDICATED = "sqlpools-dedicated"
@@ -77,7 +76,7 @@ class ProfileSettings:
     keep_clear_login: bool = True
     mark_scope: str = "key"            # "global" reproduces one mark for all pools
     run_ts: _dt.datetime | None = None
-    compact_max_files: int | None = 64  # rewrite appended partitions past this many files
+    compact_max_batches: int | None = 64    # merge the small batches of a dataset past this many
     keep_report: bool = True            # keep partial request windows of each run
     lateness: str | None = None         # e.g. '10 minutes': re-read requests that finished late (T2)
     include_databases: tuple = ()       # scope of the serverless catalog and database list (P7)
@@ -85,11 +84,6 @@ class ProfileSettings:
     pool_allow_list: tuple = ()         # pools to profile; empty: all (P8)
 
 
-def _marks(spark, root, dataset, col, scope):
-    staged = staging.read(spark, root, dataset)
-    return None if staged is None else incremental.high_water(staged, col, KEYS, scope=scope)
-
-
 def request_windows(spark: SparkSession, root: str) -> DataFrame | None:
     """A2 + O1 per workspace, extract and pool, merged from the partial rows
     every run staged - no rescan of the staged requests."""
@@ -112,9 +106,9 @@ def _snapshots(out, frames: dict[str, DataFrame], group: str, pools: DataFrame |
 
 
 def _append(spark, out, key, raw, group, dataset, col, staged_form, s: "ProfileSettings", run_id: str) -> None:
-    """One incremental dataset: the rows above the marks as a batch, the staged
-    rows and the kept report from that batch."""
-    marks = _marks(spark, group, dataset, col, s.mark_scope)
+    """One incremental dataset: the rows above the marks as one batch, with its
+    marks and, for dedicated requests, the partials of the kept report."""
+    marks = batches.marks(spark, group, dataset, col, KEYS, s.mark_scope)
     if s.lateness and marks is not None:
         lowered = marks.withColumn(incremental.MARK, F.col(incremental.MARK) - F.expr(f"INTERVAL {s.lateness}"))
         new = staged_form(raw, lowered)
@@ -123,12 +117,17 @@ def _append(spark, out, key, raw, group, dataset, col, staged_form, s: "ProfileS
                                          [*KEYS, "request_id"], KEYS, s.lateness)
     else:
         new = staged_form(raw, marks)
-    rows, folder = staging.batch(new, group, f"{dataset}-{run_id}")
-    out[key] = staging.write(rows, group, dataset, mode="append", partition_by=BY_POOL)
-    if key == "session_requests" and s.keep_report:
-        parts = analysis.request_window_parts(rows, BY_POOL).withColumn("run_id", F.lit(run_id))
-        staging.write(parts, group, WINDOW_PARTS, mode="overwrite", partition_by=("run_id",), rebalance=False)
-    staging.remove(spark, folder)
+    reports = {WINDOW_PARTS: lambda rows: analysis.request_window_parts(rows, BY_POOL)} \
+        if key == "session_requests" and s.keep_report else {}
+    out[key] = batches.append(spark, group, dataset, new, col, KEYS, BY_POOL, run_id, reports)
+
+
+def _compact(spark, group: str, dataset: str, max_batches: int) -> None:
+    batches.compact(spark, group, dataset, max_batches, BY_POOL)
+    batches.compact(spark, group, dataset + batches.MARKS, max_batches, merge=batches.merged_marks(KEYS))
+    if dataset == "session_requests" and group.endswith(DEDICATED):
+        batches.compact(spark, group, WINDOW_PARTS, max_batches, merge=lambda df: analysis.merge_window_parts(df, BY_POOL))
+    batches.compact_log(spark, group)
 
 
 def _listing(dumps, dataset: str) -> DataFrame | None:
@@ -224,7 +223,7 @@ def run_all(spark: SparkSession, root: str, inputs: ProfileInputs,
                                                 metrics.flatten(responses, carry=by + ("resource_id",)), by, responses)
     for group in (os.path.join(root, WORKSPACE), mon):
         staging.compact_steps(spark, group)
-    if s.compact_max_files:             # hourly appends: keep file counts bounded
+    if s.compact_max_batches:           # hourly appends: keep batches and files bounded
         for group_root, dataset in appended:
-            staging.compact(spark, group_root, dataset, max_files=s.compact_max_files)
+            _compact(spark, group_root, dataset, s.compact_max_batches)
     return out

@@ -12,6 +12,8 @@ The root is a folder in shared storage (see :func:`estate.session.shared_dir`).
 * A step is done when the ``_steps`` dataset holds a row for it; the row is
   appended only after the data write committed.  Re-running a done step
   writes nothing.
+* Datasets that grow by appends are written in batches
+  (:mod:`estate.sources.batches`); reads see the committed batches only.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 STEPS = "_steps"
+BATCH = "estate_batch"           # partition column of datasets written in batches (see batches.py)
 STEP_SCHEMA = T.StructType([
     T.StructField("dataset", T.StringType(), False),
     T.StructField("partition", T.StringType(), True),
@@ -95,15 +98,20 @@ def _save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 
 def _load_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    h = _fs(spark, os.path.join(path, SCHEMA_FILE))
+    text = _read_text(spark, os.path.join(path, SCHEMA_FILE))
+    return None if text is None else T.StructType.fromJson(json.loads(text))
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, ``None`` if it doesn't exist."""
+    h = _fs(spark, path)
     if h is None or not h[0].exists(h[1]):
         return None
     stream = h[0].open(h[1])
     try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    return T.StructType.fromJson(json.loads(text))
 
 
 def write(df: DataFrame, root: str, dataset: str, mode: str = "append",
@@ -179,7 +187,27 @@ def read(spark: SparkSession, root: str, dataset: str, schema: T.StructType | No
             if f.name in part_cols else f
             for f in probe.fields])
     # Reads keep Spark's lenient ISO-8601 parsing (any fraction, zones).
-    return spark.read.schema(schema).format(fmt).load(path)
+    df = spark.read.schema(schema).format(fmt).load(path)
+    if BATCH in schema.names:
+        from estate.sources import batches
+        return _of_batches(df, list(batches.live(spark, root, dataset)))
+    return df
+
+
+def _of_batches(df: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """Rows of the given batches (a partition filter), without the batch column."""
+    return df.filter(F.col(BATCH).isin(list(ids)) if ids else F.lit(False)).drop(BATCH)
+
+
+def read_batches(spark: SparkSession, root: str, dataset: str, ids: Sequence[str]) -> DataFrame:
+    """Rows of named batches of a dataset, committed or not; their folders alone
+    are listed."""
+    path = dataset_path(root, dataset)
+    schema = _load_schema(spark, path)
+    folders = [f for f in (os.path.join(path, f"{BATCH}={i}") for i in ids) if _exists(spark, f)]
+    if not folders:                  # a batch without rows has no folder
+        return spark.createDataFrame([], schema).drop(BATCH)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders).drop(BATCH)
 
 
 def _partition_columns(spark: SparkSession, path: str) -> list[str]:
@@ -374,21 +402,12 @@ def write_keyed_step(spark: SparkSession, root: str, dataset: str, df: DataFrame
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of this library's own (a batch that has been staged)."""
+    """Delete a folder of this library's own (such as a failed batch's)."""
     h = _fs(spark, path)
     if h is not None and h[0].exists(h[1]):
         h[0].delete(h[1], True)
 
 
-def batch(df: DataFrame, root: str, label: str) -> tuple[DataFrame, str]:
-    """``df`` written once under ``root/_batches/label`` (replacing an earlier
-    attempt) and read back: what is staged, reported and counted from it is
-    exactly the same rows.  Returns the rows and the folder, for :func:`remove`."""
-    path = os.path.join(root, "_batches", label)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
 def _data_files(spark: SparkSession, path: str) -> int:
     h = _fs(spark, path)
     if h is None or not h[0].exists(h[1]):

@@ -8,17 +8,17 @@ checkpoint remembers them), and ``foreachBatch`` stages every micro-batch's
 rows that lie above the per-pool high-water mark of what is already staged.
 
 The checkpoint and the staged data live in shared storage, so a restarted
-driver or a lost executor resumes from the last committed batch.  A batch
-that is replayed after it already staged its rows (failure between the write
-and the checkpoint commit) recomputes the marks from the staged data and
-appends nothing above them again; requests of a pool without any finished
-request (no mark) are staged again, as in the source, and the report counts
-them as staged.
+driver or a lost executor resumes from the last committed batch.  A micro-batch is
+one batch of :mod:`estate.sources.batches`, named after the stream and its number:
+rows, marks and report partials become visible in one commit, and a micro-batch
+that is replayed after that (failure before the checkpoint's own commit) finds its
+name in the log and writes nothing.
 """
 
 from __future__ import annotations
 
-import uuid
+import json
+import os
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,13 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estate.operators import analysis, incremental
-from estate.sources import staging
-
-
-def current_marks(spark: SparkSession, root: str, dataset: str, mark_col: str,
-                  keys: Sequence[str] = ("pool_name",)) -> DataFrame | None:
-    staged = staging.read(spark, root, dataset)
-    return None if staged is None else incremental.high_water(staged, mark_col, keys)
+from estate.sources import batches, staging
 
 
 def stage_new_rows(spark: SparkSession, batch: DataFrame, root: str, dataset: str,
@@ -41,32 +35,25 @@ def stage_new_rows(spark: SparkSession, batch: DataFrame, root: str, dataset: st
                    partition_by: Sequence[str] = ("pool_name",),
                    report: str | None = None, batch_id: str | None = None,
                    marks: DataFrame | None = None, fixed_marks: bool = False) -> int:
-    """One incremental step (batch form of T1): marks from the staged data (or
-    the given ones, with ``fixed_marks``), keep rows above them, append.
+    """One incremental step (batch form of T1): marks from the marks log (or the
+    given ones, with ``fixed_marks``), keep rows above them, append.
     ``transform(raw, marks)`` turns raw rows into the staged form and applies the
     mark (default: mark filter only).
 
-    The new rows are written once as a batch; staged rows and, with ``report`` (a
-    dataset name), the partial request-window rows come from it.  The partials
-    are keyed by ``batch_id`` and replaced when a batch is replayed, so the
-    report counts exactly what was staged (see
-    :func:`estate.operators.analysis.merge_request_windows`)."""
+    The new rows, their marks and, with ``report`` (a dataset name), the partial
+    request-window rows made of them are committed together
+    (:func:`estate.sources.batches.append`), so the report counts exactly what was
+    staged; a ``batch_id`` that is committed already writes nothing."""
     if not fixed_marks:
-        marks = current_marks(spark, root, dataset, mark_col, keys)
-    if transform is None:
-        new = incremental.newer_than(batch, mark_col, marks, keys)
-    else:
-        new = transform(batch, marks)
-    label = batch_id if batch_id is not None else uuid.uuid4().hex[:12]
-    rows, folder = staging.batch(new, root, f"{dataset}-{label}")
-    if report is not None:
-        # before the rows: a batch without new rows (a replay of one that was
-        # staged) has no partials and leaves those of the first attempt alone
-        parts = analysis.request_window_parts(rows, tuple(keys)).withColumn("batch_id", F.lit(label))
-        staging.write(parts, root, report, mode="overwrite", partition_by=("batch_id",), rebalance=False)
-    n = staging.write(rows, root, dataset, mode="append", partition_by=partition_by)
-    staging.remove(spark, folder)
-    return n
+        marks = batches.marks(spark, root, dataset, mark_col, keys)
+    new = incremental.newer_than(batch, mark_col, marks, keys) if transform is None else transform(batch, marks)
+    reports = {report: lambda rows: analysis.request_window_parts(rows, tuple(keys))} if report else {}
+    return batches.append(spark, root, dataset, new, mark_col, keys, partition_by, batch_id, reports)
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the stream's checkpoint keeps (it survives restarts)."""
+    return json.loads(staging._read_text(spark, os.path.join(checkpoint, "metadata")))["id"]
 
 
 def start_stream(spark: SparkSession, source_dir: str, schema: T.StructType, root: str,
@@ -94,7 +81,7 @@ def start_stream(spark: SparkSession, source_dir: str, schema: T.StructType, roo
 
     def each(batch: DataFrame, batch_id: int) -> None:
         n = stage_new_rows(spark, batch, root, dataset, mark_col, keys, transform, partition_by,
-                           report, f"{batch_id:08d}", marks, fixed)
+                           report, f"{_stream_id(spark, checkpoint)}-{batch_id:08d}", marks, fixed)
         if on_batch:
             on_batch(batch_id, n)
 
@@ -115,7 +102,7 @@ def _snapshot_marks(spark, root, dataset, mark_col, keys, checkpoint) -> DataFra
     """The marks from before the snapshot; a first run stores an empty table."""
     folder = _marks_folder(checkpoint)
     if not staging._exists(spark, folder):
-        marks = current_marks(spark, root, dataset, mark_col, keys)
+        marks = batches.marks(spark, root, dataset, mark_col, keys)
         if marks is None:
             return None                      # nothing staged yet: everything is new
         marks.write.parquet(folder)
