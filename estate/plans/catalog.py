@@ -76,11 +76,8 @@ def register_views(spark: SparkSession, workspace_root: str, schema: str,
 
     A view reads its folder anew in each query, so pools staged later appear by
     themselves; it is replaced in one step.  Its column types are those recorded
-    with the dataset, and it works over Parquet and JSON folders alike.  Views keep
-    the settings they were made with: they are made in a session of their own that
-    takes folder values as text, so ``007`` isn't read as a number."""
-    spark = spark.newSession()
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    with the dataset (folder values stay text, see ``staging._mark_text_folders``),
+    and it works over Parquet and JSON folders alike."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
     made = []
     for category, folder in (categories or CATEGORIES).items():

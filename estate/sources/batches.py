@@ -133,6 +133,9 @@ def append(spark: SparkSession, root: str, dataset: str, df: DataFrame, mark_col
     rows that ``reports`` (dataset name -> function of the batch's rows) make of
     them, committed together.  A batch whose id is committed already writes
     nothing and returns its rows' number."""
+    schema = staging._load_schema(spark, os.path.join(root, dataset))
+    if schema is not None and BATCH not in schema.names:
+        raise ValueError(f"{dataset} was staged without batches: stage it anew under another root")
     done = live(spark, root, dataset)
     if batch_id in done:
         return done[batch_id]
@@ -154,7 +157,7 @@ def clean(spark: SparkSession, root: str, datasets: Sequence[str]) -> int:
         h = staging._fs(spark, os.path.join(root, dataset))
         if h is None or not h[0].exists(h[1]):
             continue
-        kept = set(live(spark, root, dataset))
+        kept = {*live(spark, root, dataset), staging.TEXT_MARK}
         for st in h[0].listStatus(h[1]):
             name = st.getPath().getName()
             if name.startswith(BATCH + "=") and name.split("=", 1)[1] not in kept:

@@ -46,6 +46,7 @@ def dataset_path(root: str, dataset: str) -> str:
 
 SCHEMA_FILE = "_estate_schema.json"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"   # Spark's folder name for a null value
+TEXT_MARK = "~text"                             # value of a folder without rows
 
 # Text formats are written with microseconds (Spark's JSON default writes
 # milliseconds); reading needs no pattern.
@@ -157,9 +158,21 @@ def write(df: DataFrame, root: str, dataset: str, mode: str = "append",
             data += [T.StructField(f.name, f.dataType, True) for f in earlier.fields
                      if f.name not in names]
     _save_schema(df.sparkSession, path, T.StructType(data + parts))
+    _mark_text_folders(df.sparkSession, path, T.StructType(data), parts, fmt)
     return int(obs.get["rows"])
 
 
+def _mark_text_folders(spark: SparkSession, path: str, data: T.StructType, parts: list[T.StructField], fmt: str) -> None:
+    """A partition folder without rows whose text values are no numbers: readers
+    that discover partition types from the folders (the analyzer's views) then
+    take ``007`` as text, whatever values the dataset has."""
+    if not any(isinstance(f.dataType, T.StringType) for f in parts):
+        return
+    folder = os.path.join(path, *[f"{f.name}={TEXT_MARK if isinstance(f.dataType, T.StringType) else NULL_PARTITION}" for f in parts])
+    if not _exists(spark, folder):
+        spark.createDataFrame([], data).coalesce(1).write.mode("overwrite").format(fmt).save(folder)
+
+
 def read(spark: SparkSession, root: str, dataset: str, schema: T.StructType | None = None,
          fmt: str = "parquet", partition_types: dict[str, T.DataType] | None = None) -> DataFrame | None:
     """Read a staged dataset with partition discovery; ``None`` when the
