@@ -118,6 +118,9 @@ def redact(df, *columns: str):
     return df.withColumns({c: F.lit(REDACTED) for c in present})
 
 
+_BEYOND_BMP = r"[\x{10000}-\x{10FFFF}]"
+
+
 def statement_slice(text: Column | str, start_offset: Column | str,
                     end_offset: Column | str) -> Column:
     """the statement inside a batch text given byte offsets.
@@ -129,7 +132,7 @@ def statement_slice(text: Column | str, start_offset: Column | str,
     the end.  Cutting the UTF-16 bytes keeps the offsets exact for characters
     outside the Basic Multilingual Plane, which count as two units there; half
     of such a character at either end of the cut becomes U+FFFD, so no offset
-    fails the query.
+    fails the query.  Texts without such characters are cut by characters.
     """
     text = F.col(text) if isinstance(text, str) else text
     start = F.col(start_offset) if isinstance(start_offset, str) else start_offset
@@ -150,4 +153,7 @@ def statement_slice(text: Column | str, start_offset: Column | str,
     middle = F.substring(cut, F.when(lone_head, 3).otherwise(1),
                          size - F.when(lone_head, 2).otherwise(0) - F.when(lone_tail, 2).otherwise(0))
     whole = F.concat(F.when(lone_head, unknown).otherwise(empty), middle, F.when(lone_tail, unknown).otherwise(empty))
-    return F.when(text.isNotNull(), F.decode(whole, "UTF-16LE"))
+    plain = ~text.rlike(_BEYOND_BMP) & (start >= 0)
+    plain_units = ((F.when(end == -1, F.char_length(text) * 2).otherwise(end) - start) / 2).cast("int") + 1
+    return (F.when(plain, text.substr(first_unit + 1, F.greatest(plain_units, F.lit(0))))
+            .when(text.isNotNull(), F.decode(whole, "UTF-16LE")))

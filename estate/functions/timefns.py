@@ -53,9 +53,11 @@ def day_start(ts: Column | str) -> Column:
     return F.to_date(_col(ts)).cast("timestamp_ntz")
 
 
-def local_date(ts_utc: Column | str, tz: str) -> Column:
-    """Calendar day of a UTC wall-clock timestamp in time zone ``tz``."""
-    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), _col(ts_utc).cast("timestamp_ntz"))
+def local_date(ts_utc: Column | str, tz: str | Column) -> Column:
+    """Calendar day of a UTC wall-clock timestamp in time zone ``tz`` (a name, or a
+    column of names)."""
+    zone = F.lit(tz) if isinstance(tz, str) else tz
+    local = F.convert_timezone(F.lit("UTC"), zone, _col(ts_utc).cast("timestamp_ntz"))
     return F.to_date(local)
 
 

@@ -7,8 +7,9 @@ shuffle.  No report collects a group into a list.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from estate.functions.timefns import whole_units
 
@@ -114,3 +115,37 @@ def dataset_profile(datasets: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+PREVIEW_ROWS = 16
+
+
+def dataset_preview(datasets: dict[str, DataFrame | tuple[DataFrame, Column]], rows: int = PREVIEW_ROWS) -> DataFrame:
+    """K6: the row count of every dataset and up to ``rows`` of its rows, from one
+    scan each: ``dataset, row_count, preview_hash, preview`` (JSON), one row per
+    preview row (one with nulls for an empty dataset).
+
+    Every row is dealt by its hash to one of ``rows`` classes, and each class keeps
+    its count and the row of the smallest hash: a sample that doesn't depend on how
+    the rows lie, mergeable, and never larger than ``rows`` rows in any task.  A
+    dataset may come with its own hash text (a column of hex digits)."""
+    parts = []
+    for name, df in datasets.items():
+        df, order = df if isinstance(df, tuple) else (df, None)
+        if order is None:
+            plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+            order = F.lpad(F.hex(F.xxhash64(*plain)), 16, "0")
+        held = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), order.alias("_hash"))
+        dealt = F.conv(F.substring("_hash", 1, 4), 16, 10).cast("int") % rows
+        # the sketch makes the aggregate an object hash aggregate: without it rows would be sorted by class
+        best = held.groupBy(dealt.alias("_class")).agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_hash").alias("preview_hash"), F.min_by("_row", "_hash").alias("_row"),
+            F.hll_sketch_agg("_hash", F.lit(8)).alias("_distinct"))
+        total = best.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
+                         F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("_distinct")), F.lit(0)).alias("distinct_rows"),
+                         F.collect_list(F.struct("preview_hash", F.to_json("_row").alias("preview"))).alias("_kept"))   # `rows` at most
+        parts.append(total.select(F.lit(name).alias("dataset"), "row_count", "distinct_rows", F.inline_outer("_kept")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -92,16 +92,37 @@ def day_list(run_date: _dt.date, days: int = 59) -> list[_dt.date]:
     return [run_date - _dt.timedelta(days=i) for i in range(1, days + 1)]
 
 
-def day_partitions(df: DataFrame, ts_col: str, tz: str, run_date, days: int = 59,
+def day_partitions(df: DataFrame, ts_col: str, tz, run_date, days: int = 59,
                    out_col: str = "last_upd") -> DataFrame:
     """P10: rows last updated on one of the ``days`` local days before
     ``run_date`` (yesterday back, today excluded) in time zone ``tz``; the
     local day becomes the partition column ``out_col``.
 
-    ``run_date`` is a date or a date Column (e.g. derived from the data).
+    ``run_date`` is a date or a date Column (e.g. derived from the data), ``tz`` a
+    zone name or a Column of names.
     """
     day = local_date(ts_col, tz)
     run = F.lit(run_date) if not hasattr(run_date, "alias") else run_date
     first = F.date_sub(run, days)
     return (df.withColumn(out_col, day)
             .filter((F.col(out_col) >= first) & (F.col(out_col) < run)))
+
+
+def local_windows(zones: DataFrame, run_utc: _dt.datetime, days: int = 59, key: str = "workspace_name",
+                  zone: str = "time_zone") -> DataFrame:
+    """P10 for many workspaces: per workspace the ``days`` local days before the
+    day that ``run_utc`` (UTC wall clock) falls on in its time zone, as
+    ``first_day`` (included) and ``run_day`` (excluded).  Workspaces of different
+    zones may be on different days.  A null zone counts as UTC; of a workspace
+    listed twice one zone (the smaller) counts."""
+    run_day = local_date(F.lit(run_utc.isoformat(sep=" ")), F.col("_zone"))
+    return (zones.groupBy(key).agg(F.coalesce(F.min(zone), F.lit("UTC")).alias("_zone"))
+            .select(key, F.col("_zone").alias(zone), F.date_sub(run_day, days).alias("first_day"), run_day.alias("run_day")))
+
+
+def in_local_window(df: DataFrame, windows: DataFrame, day: str, key: str = "workspace_name") -> DataFrame:
+    """Rows whose local day lies in their workspace's window; workspaces without a
+    window have none.  The windows, one row per workspace, are joined."""
+    bounds = windows.select(F.col(key).alias("_w_key"), "first_day", "run_day")
+    inside = F.col(key).eqNullSafe(F.col("_w_key")) & (F.col(day) >= F.col("first_day")) & (F.col(day) < F.col("run_day"))
+    return df.join(bounds, inside, "left_semi")

@@ -25,7 +25,6 @@ from estate.functions.timefns import utc_wall_clock
 from estate.operators.filters import project
 
 CHAIN = ("workspace_name", "dataset", "day")
-MAX_PAGES = 5000          # fixed value: the source's page cap on run history (not applied to dumps by default)
 
 # fixed values: default field keep-lists of the listings that have one
 DEFAULT_KEEP = {
@@ -108,6 +107,59 @@ def read_listing(dumps: DataFrame, dataset: str, keep: Iterable[str] | None = No
     return flatten(pages, keep, remove)
 
 
+# kinds of values that JSON has, and the column type for each mixture
+_NUMBERS = {"BIGINT", "DECIMAL", "DOUBLE"}
+
+
+def _column_type(kinds: set[str]) -> str:
+    kinds = kinds - {"VOID"}
+    if len(kinds) == 1:
+        return {"BIGINT": "bigint", "DECIMAL": "double", "DOUBLE": "double", "BOOLEAN": "boolean"}.get(*kinds, "string")
+    return "double" if kinds and kinds <= _NUMBERS else "string"
+
+
+def listing_fields(dumps: DataFrame) -> dict[str, dict[str, str]]:
+    """The fields of each dataset's objects and a column type for each, over all
+    pages and workspaces (``value``: array of VARIANT).
+
+    Objects drift: fields are missing, added and retyped between workspaces.  All
+    top-level fields are kept; whole numbers are ``bigint``, mixtures of numbers
+    ``double``, and whatever differs otherwise, objects and lists ``string`` (JSON
+    text for the latter).  One grouped pass; one row per dataset, field and kind
+    reaches the driver."""
+    items = dumps.select("dataset", F.explode("value").alias("_item"))
+    fields = items.lateralJoin(dumps.sparkSession.tvf.variant_explode(F.col("_item").outer()))
+    kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
+    out: dict[str, dict[str, set]] = {}
+    for r in fields.filter(F.col("key").isNotNull()).select("dataset", "key", kind.alias("kind")).distinct().collect():
+        out.setdefault(r.dataset, {}).setdefault(r.key, set()).add(r.kind)
+    return {d: {k: _column_type(v) for k, v in sorted(f.items())} for d, f in out.items()}
+
+
+def _path(field: str) -> str:
+    return f'$["{field}"]' if "'" in field else f"$['{field}']"
+
+
+def read_drifting(dumps: DataFrame, dataset: str, fields: dict[str, str], keep: Iterable[str] | None = None,
+                  remove: Iterable[str] = (), carry: Sequence[str] = ("workspace_name", "dataset")) -> DataFrame:
+    """S23-S34 over objects of drifting shape: typed columns of the given fields
+    (:func:`listing_fields`), null where an object lacks one; default keep-lists,
+    keep and remove lists as in :func:`flatten`."""
+    keep = DEFAULT_KEEP.get(dataset, []) if keep is None else list(keep)
+    wanted, unwanted = frozenset(keep), frozenset(remove)
+    names = [f for f in fields if (not wanted or f.lower() in wanted) and f.lower() not in unwanted]
+    carry = [c for c in carry if c in dumps.columns]
+    names = [f for f in names if f not in carry]
+    pages = reachable_pages(dumps.filter(F.col("dataset") == dataset))
+    return (pages.select(*carry, F.explode("value").alias("_item"))
+            .select(*carry, *[F.try_variant_get("_item", _path(f), fields[f]).alias(f) for f in names]))
+
+
+def drifts(dumps: DataFrame) -> bool:
+    """Whether a dump's objects are VARIANT values."""
+    return dumps.schema["value"].dataType.simpleString() == "array<variant>"
+
+
 def runs(dumps: DataFrame, dataset: str, days: Iterable | None = None,
          keep: Iterable[str] = (), remove: Iterable[str] = (),
          max_pages: int | None = None) -> DataFrame:

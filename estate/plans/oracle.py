@@ -480,3 +480,114 @@ SELECT pool_name, extract_ts,
        count(*) AS num_requests
 FROM staged
 GROUP BY extract_ts, pool_name"""
+
+
+LISTINGS = ("workspace_info", "sql_pools", "spark_pools", "linked_services", "dataflows", "pipelines", "spark_jobs",
+            "notebooks", "sql_scripts", "triggers", "libraries", "datasets")
+# fields that the keep-lists leave of these listings; the others keep all
+_KEPT = {"workspace_info": ("id", "name", "type"), "sql_pools": ("id", "name", "type", "sku")}
+
+
+def _drifting() -> str:
+    """Per listing and field: values, types and the greatest value as text."""
+    value = {"id": "concat('/x/', CAST(p_partkey AS VARCHAR))", "name": "p_name", "type": "p_type",
+             "sku": "concat('{\"brand\":\"', p_brand, '\",\"sizes\":[', CAST(p_size AS VARCHAR), ']}')",
+             "size": "CASE WHEN ws = 1 THEN NULL ELSE CAST(p_size AS VARCHAR) END",
+             "extra": "CASE WHEN ws = 2 THEN CAST(p_size > 25 AS VARCHAR) END"}
+    kind = {"extra": "boolean"}
+    one = [f"""SELECT '{d}' AS dataset, concat('ws_', CAST(ws AS VARCHAR)) AS workspace_name, '{f}' AS field,
+  '{kind.get(f, "string")}' AS type, count(*) AS num_recs, count({v}) AS num_values, max({v}) AS greatest
+FROM items WHERE d = {i} GROUP BY ws"""
+           for i, d in enumerate(LISTINGS) for f, v in value.items() if d not in _KEPT or f in _KEPT[d]]
+    return ("WITH items AS (SELECT *, p_partkey % 12 AS d, (p_partkey // 12) % 3 AS ws FROM part)\n" + "\nUNION ALL\n".join(one))
+
+
+ORACLE.update({
+    # the loop, token by token
+    "linked_page_chain": r"""
+WITH RECURSIVE items AS (
+  SELECT concat('ws_', CAST(p_partkey % 3 AS VARCHAR)) AS ws, p_partkey // 1800 AS num,
+         CAST(((p_partkey % 1800) // 60) + 1 AS INTEGER) AS n, concat('/items/', CAST(p_partkey AS VARCHAR)) AS id,
+         p_name AS name, p_size AS size
+  FROM part
+),
+named AS (SELECT DISTINCT ws, num, n, md5(concat(ws, '-', num, '-', n)) AS tok, md5(concat(ws, '-', num, '-', n + 1)) AS nxt,
+                 md5(concat(ws, '-', num, '-', 3)) AS third FROM items),
+pages AS (
+  SELECT ws, num, n, CASE WHEN n = 1 THEN NULL ELSE tok END AS asked,
+         CASE WHEN num % 5 = 1 AND n = 28 THEN third WHEN num % 5 = 2 AND n = 10 THEN 'gone'
+              WHEN num % 2 = 0 AND n = 25 OR num % 3 = 0 AND n = 20 THEN NULL ELSE nxt END AS answer
+  FROM named
+),
+walk(ws, num, n, answer, no, seen) AS (
+  SELECT ws, num, n, answer, 1, [n] FROM pages WHERE asked IS NULL
+  UNION ALL
+  SELECT p.ws, p.num, p.n, p.answer, w.no + 1, list_append(w.seen, p.n)
+  FROM walk w JOIN pages p ON p.ws = w.ws AND p.num = w.num AND p.asked = w.answer
+  WHERE NOT list_contains(w.seen, p.n)
+)
+SELECT i.ws AS workspace_name, CAST(DATE '2024-01-01' + CAST(i.num AS INTEGER) AS TIMESTAMP) AS day,
+       CAST(w.no AS INTEGER) AS page_no, i.id, i.name, i.size
+FROM items i JOIN walk w ON i.ws = w.ws AND i.num = w.num AND i.n = w.n""",
+    "drifting_listings": _drifting(),
+    "union_by_collation": r"""
+SELECT CAST(c_custkey AS VARCHAR) AS object, c_name AS label, n_name AS table_catalog, r_name AS collation_name
+FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""",
+    "zoned_run_history": r"""
+WITH runs AS (
+  SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'pipeline_runs' ELSE 'trigger_runs' END AS dataset,
+         concat('ws_', CAST(o_custkey % 3 AS VARCHAR)) AS workspace_name, CAST(o_orderkey AS VARCHAR) AS run_id,
+         o_orderstatus AS status, o_orderdate + to_seconds(CAST(o_orderkey % 86400 AS BIGINT)) AS last_updated,
+         CASE o_custkey % 3 WHEN 0 THEN 'America/New_York' WHEN 1 THEN 'Europe/Berlin' ELSE 'Asia/Kolkata' END AS zone
+  FROM orders
+),
+d AS (
+  SELECT *, CAST(timezone(zone, timezone('UTC', last_updated)) AS DATE) AS day,
+         CAST(timezone(zone, timezone('UTC', TIMESTAMP '2001-04-21 02:30:00')) AS DATE) AS run_day
+  FROM runs
+)
+SELECT dataset, workspace_name, CAST(day AS TIMESTAMP) AS last_upd, run_id, status, last_updated FROM d
+WHERE day >= run_day - 59 AND day < run_day""",
+    "stream_late_requests": _with(REQUESTS, CLASSIFIED) + f""",
+first AS (SELECT * REPLACE (CASE WHEN request_id % 7 = 3 THEN NULL ELSE end_time END AS end_time)
+          FROM classified WHERE day(start_time) < 15),
+marks AS (SELECT pool_name AS k, max(end_time) AS mark FROM first GROUP BY pool_name),
+later AS (SELECT c.* FROM classified c LEFT JOIN marks m ON c.pool_name = m.k
+          WHERE c.end_time IS NOT NULL AND (m.mark IS NULL OR c.end_time > m.mark
+                OR (c.pool_name, c.request_id) IN (SELECT (pool_name, request_id) FROM first WHERE end_time IS NULL)))
+SELECT {CLASSIFIED_COLS} FROM first WHERE end_time IS NOT NULL
+UNION ALL SELECT {CLASSIFIED_COLS} FROM later
+UNION ALL SELECT {CLASSIFIED_COLS} FROM classified WHERE end_time IS NULL""",
+    "dataset_preview": " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset, CAST(sum(count(*)) OVER () AS BIGINT) AS row_count, min(md5(CAST({k} AS VARCHAR))) AS preview_hash, "
+        f"CAST(arg_min({k}, md5(CAST({k} AS VARCHAR))) AS BIGINT) AS preview_key FROM {t} GROUP BY substr(md5(CAST({k} AS VARCHAR)), 4, 1)"
+        for t, k in (("customer", "c_custkey"), ("documents", "doc_id"), ("events", "event_id"), ("orders", "o_orderkey"),
+                     ("part", "p_partkey"), ("supplier", "s_suppkey"))),
+    "allowed_pools": r"""
+SELECT concat('/pools/', CAST(s_suppkey AS VARCHAR)) AS id, lower(replace(s_name, '#', '_')) AS name, 'Online' AS status
+FROM supplier WHERE s_acctbal > 0
+  AND lower(replace(s_name, '#', '_')) IN (SELECT printf('supplier_%09d', n) FROM range(3, 40, 3) t(n))""",
+    "metric_span": r"""
+WITH sel AS (SELECT concat('/ws/', CAST(o_custkey % 3 AS VARCHAR)) AS resource_id, 'IntegrationActivityRunsEnded' AS name,
+                    o_orderdate AS ts, o_totalprice AS value FROM orders
+             WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 90 DAY)
+SELECT resource_id, name, time_bucket(INTERVAL '1 hour', ts) AS "timestamp",
+       round(sum(value), 4) / CAST(count(value) AS DOUBLE) AS average, CAST(count(value) AS DOUBLE) AS "count",
+       round(max(value), 4) AS maximum, round(min(value), 4) AS minimum, round(sum(value), 4) AS total
+FROM sel GROUP BY resource_id, name, time_bucket(INTERVAL '1 hour', ts)""",
+    "node_query_stats": r"""
+SELECT CAST(l_suppkey % 60 AS INTEGER) AS pdw_node_id, l_orderkey AS query_hash, CAST(l_linenumber AS INTEGER) AS execution_count,
+       TIMESTAMP '2024-02-01 06:00:00' AS extract_ts FROM lineitem""",
+    "serverless_activity": _with(REQUESTS) + r""",
+r AS (SELECT concat('ws_', CAST(user_id % 3 AS VARCHAR)) AS workspace_name, q.* FROM requests q JOIN events e ON e.event_id = q.request_id),
+first AS (SELECT * FROM r WHERE day(start_time) < 12),
+m AS (SELECT workspace_name AS w, max(start_time) AS by_start, max(end_time) AS by_end FROM first GROUP BY workspace_name),
+rows AS (
+  SELECT 'session_requests' AS dataset, first.* FROM first UNION ALL SELECT 'requests_history', first.* FROM first
+  UNION ALL SELECT 'session_requests', r.* FROM r LEFT JOIN m ON m.w = r.workspace_name WHERE by_start IS NULL OR start_time > by_start
+  UNION ALL SELECT 'requests_history', r.* FROM r LEFT JOIN m ON m.w = r.workspace_name WHERE by_end IS NULL OR end_time > by_end
+)
+SELECT dataset, workspace_name, request_id, start_time, end_time, CAST(NULL AS BIGINT) AS data_processed_mb FROM rows
+UNION ALL
+SELECT 'data_processed', workspace_name, NULL, NULL, NULL, count(*) * 10 FROM r GROUP BY workspace_name""",
+})

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estate import schemas
-from estate.operators import analysis, filters, incremental, metrics, pages
+from estate.operators import analysis, chains, filters, incremental, metrics, pages
 from estate.plans import catalog, run
 from estate.session import fresh_root
 from estate.sources import activity, batches, dumps, jdbc, staging, tables
@@ -398,6 +398,126 @@ def serverless_sessions(spark, sf_dir):
     return activity.serverless_sessions(tables.sessions(spark, sf_dir, serverless=True))
 
 
+def linked_page_chain(spark, sf_dir):
+    """S38 + S39: pages that know tokens only, followed from the page that was
+    asked for without one; their objects with the page's place in its chain."""
+    reached = chains.linked_pages(tables.token_pages(spark, sf_dir))
+    return _day_as_midnight(pages.flatten(reached, keep=["id", "name", "size"], carry=("workspace_name", "day", "page_no")), "day")
+
+
+def drifting_listings(spark, sf_dir):
+    """S23-S34 + K2: all twelve listings, whose objects differ in shape between
+    workspaces, staged by a profile run with columns typed over all of them; per
+    dataset, workspace and field the column type, its values and the greatest."""
+    root = fresh_root(spark, "drifting")
+    run.run_all(spark, root, run.ProfileInputs(listing_dumps=tables.listing_dumps(spark, sf_dir)))
+    out = []
+    for dataset in pages.LISTINGS:
+        df = staging.read(spark, os.path.join(root, run.WORKSPACE), dataset)
+        if df is not None:
+            types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+            fields = F.array(*[F.struct(F.lit(c).alias("field"), F.lit(t).alias("type"), F.col(c).cast("string").alias("v"))
+                               for c, t in types.items() if c not in ("workspace_name", "dataset")])
+            out.append(df.select(F.lit(dataset).alias("dataset"), "workspace_name", F.inline(fields))
+                       .groupBy("dataset", "workspace_name", "field", "type")
+                       .agg(F.count(F.lit(1)).alias("num_recs"), F.count("v").alias("num_values"), F.max("v").alias("greatest")))
+    return jdbc.union_by_position(out)
+
+
+def union_by_collation(spark, sf_dir):
+    """U1 + X3 + A5: the catalog views of all databases of a server, which differ in
+    column names and types, united per collation by position."""
+    listed, view = tables.sql_databases(spark, sf_dir)
+    return jdbc.union_by_collation(view, listed)
+
+
+ZONED_RUN = _dt.datetime(2001, 4, 21, 2, 30)      # the day before in New York; both 2001 clock changes lie in the span
+
+
+def zoned_run_history(spark, sf_dir):
+    """S35 + S36 + P10 + U3: pipeline and trigger runs of three workspaces in three
+    time zones, staged by profile runs that cut each one's history to its own 59
+    local days."""
+    root = fresh_root(spark, "zoned")
+    dumps = {d: tables.zoned_run_pages(spark, sf_dir, d) for d in pages.RUN_LISTINGS}
+    settings = run.ProfileSettings(run_ts=ZONED_RUN)
+    for only in ("workspace_name <> 'ws_2'", "true"):
+        run.run_all(spark, root, run.ProfileInputs(listing_dumps={d: x.filter(only) for d, x in dumps.items()},
+                                                   zones=tables.zones(spark)), settings)
+    staged = [staging.read(spark, os.path.join(root, run.WORKSPACE), d, partition_types={"last_upd": T.DateType()})
+              .select(F.lit(d).alias("dataset"), "workspace_name", "last_upd", "run_id", "status", "last_updated")
+              for d in pages.RUN_LISTINGS]
+    return _day_as_midnight(staged[0].unionByName(staged[1]))
+
+
+def stream_late_requests(spark, sf_dir):
+    """T2 on the stream: in the first snapshot one request in seven still runs; the
+    second shows them finished, some below the mark.  Every request once: finished
+    ones, and those that still run."""
+    root = fresh_root(spark, "stream-late")
+    source, ckpt = os.path.join(root, "source"), os.path.join(root, "_checkpoint")
+    raw = tables.requests(spark, sf_dir)
+    running = F.when(F.col("request_id") % 7 == 3, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("end_time"))
+    transform = lambda batch, marks: activity.dedicated_requests(batch, marks=marks)
+    for snapshot in (raw.filter(F.dayofmonth("start_time") < 15).withColumn("end_time", running), raw):
+        snapshot.write.mode("append").parquet(source)
+        stream_inc.stream_new(spark, source, raw.schema, root, "session_requests", "end_time", ckpt,
+                              transform=transform, request_key=["pool_name", "request_id"])
+    return stream_inc.current(spark, root, "session_requests")
+
+
+def dataset_preview(spark, sf_dir):
+    """K6: row count and sixteen rows of each table with a key, from one scan each."""
+    keys = {"customer": "c_custkey", "documents": "doc_id", "events": "event_id", "orders": "o_orderkey",
+            "part": "p_partkey", "supplier": "s_suppkey"}
+    found = analysis.dataset_preview({t: (tables.table(spark, sf_dir, t).select(k), F.md5(F.col(k).cast("string"))) for t, k in keys.items()})
+    return found.select("dataset", "row_count", "preview_hash", F.regexp_extract("preview", ":(-?[0-9]+)", 1).cast("long").alias("preview_key"))
+
+
+def allowed_pools(spark, sf_dir):
+    """P8 + P9 with an allow-list: the listed pools that are online."""
+    pools = pages.read_listing(tables.pool_pages(spark, sf_dir), "sql_pools")
+    listed = [f"supplier_{n:09d}" for n in range(0, 40, 3)]
+    return filters.online(filters.in_scope(pools, "name", include=listed, exclude=listed[:1])).select("id", "name", "status")
+
+
+def metric_span(spark, sf_dir):
+    """P12 + A6 over years of samples (order totals as a workspace metric): the
+    last 90 days at the 1-hour grain."""
+    o = tables.table(spark, sf_dir, "orders")
+    points = o.select(F.concat(F.lit("/ws/"), (F.col("o_custkey") % 3).cast("string")).alias("resource_id"),
+                      F.lit(metrics.WORKSPACE_METRICS[0]).alias("name"),
+                      F.col("o_orderdate").alias("ts"), F.col("o_totalprice").alias("value"))
+    return _report(metrics.profile(points, "workspace"))
+
+
+def node_query_stats(spark, sf_dir):
+    """Node query statistics (one per line item) with the extract stamp."""
+    li = tables.table(spark, sf_dir, "lineitem")
+    raw = li.select((F.col("l_suppkey") % 60).cast("int").alias("pdw_node_id"), F.col("l_orderkey").alias("query_hash"),
+                    F.col("l_linenumber").cast("int").alias("execution_count"))
+    return activity.dedicated_query_stats(raw, RUN_TS)
+
+
+def serverless_activity(spark, sf_dir):
+    """S19 + S21 + S22: requests, request history and data processed of the
+    serverless pool, staged by two profile runs, the second appending above the
+    marks of start (requests) and end (history)."""
+    root = fresh_root(spark, "serverless")
+    raw = tables.requests(spark, sf_dir, with_workspace=True).drop("command", "extract_ts").withColumn("pool_name", F.lit("built-in"))
+    processed = raw.groupBy("workspace_name", "pool_name").agg((F.count(F.lit(1)) * 10).alias("data_processed_mb"))
+    for seen in (raw.filter(F.dayofmonth("start_time") < 12), raw):
+        run.run_all(spark, root, run.ProfileInputs(serverless_requests=seen, requests_history=seen, data_processed=processed))
+    group = os.path.join(root, run.SERVERLESS)
+    rows = [staging.read(spark, group, d).select(F.lit(d).alias("dataset"), "workspace_name", "request_id", "start_time", "end_time",
+                                                 F.lit(None).cast("long").alias("data_processed_mb"))
+            for d in ("session_requests", "requests_history")]
+    total = staging.read(spark, group, "data_processed").select(
+        F.lit("data_processed").alias("dataset"), "workspace_name", F.lit(None).cast("long").alias("request_id"),
+        F.lit(None).cast("timestamp_ntz").alias("start_time"), F.lit(None).cast("timestamp_ntz").alias("end_time"), "data_processed_mb")
+    return rows[0].unionByName(rows[1]).unionByName(total)
+
+
 QUERIES = {
     "request_window": request_window,
     "latest_request_window": latest_request_window,
@@ -437,4 +557,14 @@ QUERIES = {
     "run_history": run_history,
     "metric_spark_15m": metric_spark_15m,
     "request_json": request_json,
+    "linked_page_chain": linked_page_chain,
+    "drifting_listings": drifting_listings,
+    "union_by_collation": union_by_collation,
+    "zoned_run_history": zoned_run_history,
+    "stream_late_requests": stream_late_requests,
+    "dataset_preview": dataset_preview,
+    "allowed_pools": allowed_pools,
+    "metric_span": metric_span,
+    "node_query_stats": node_query_stats,
+    "serverless_activity": serverless_activity,
 }

@@ -66,6 +66,7 @@ class ProfileInputs:
     serverless_catalog: dict[str, DataFrame] = field(default_factory=dict)   # with table_catalog
     # workspace API dumps: one DataFrame for all, or one per dataset (each with its own item schema)
     listing_dumps: DataFrame | dict[str, DataFrame] | None = None
+    zones: DataFrame | None = None      # workspace_name, time_zone: run history is cut to each one's local days
     # metric dataset name -> dumped responses; names as in METRIC_DATASETS
     metric_responses: dict[str, DataFrame] = field(default_factory=dict)
 
@@ -76,6 +77,7 @@ class ProfileSettings:
     keep_clear_login: bool = True
     mark_scope: str = "key"            # "global" reproduces one mark for all pools
     run_ts: _dt.datetime | None = None
+    history_days: int = 59              # local days of run history before the run's day (with zones)
     compact_max_batches: int | None = 64    # merge the small batches of a dataset past this many
     keep_report: bool = True            # keep partial request windows of each run
     lateness: str | None = None         # e.g. '10 minutes': re-read requests that finished late (T2)
@@ -130,6 +132,15 @@ def _compact(spark, group: str, dataset: str, max_batches: int) -> None:
     batches.compact_log(spark, group)
 
 
+def _asked_days(dump: DataFrame, zones: DataFrame | None, s: "ProfileSettings") -> DataFrame:
+    """Run-history pages of the local days that a run asks for (P10): in each
+    workspace's zone, those before the day on which the run takes place there."""
+    if zones is None:
+        return dump
+    now = s.run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    return filters.in_local_window(dump, filters.local_windows(zones, now, s.history_days), "day")
+
+
 def _listing(dumps, dataset: str) -> DataFrame | None:
     if isinstance(dumps, dict):
         return dumps.get(dataset)
@@ -207,12 +218,15 @@ def run_all(spark: SparkSession, root: str, inputs: ProfileInputs,
         known = [*pages.LISTINGS, *pages.RUN_LISTINGS]
         present = set(d) if isinstance(d, dict) else {
             r.dataset for r in d.select("dataset").filter(F.col("dataset").isin(known)).distinct().collect()}
+        fields = pages.listing_fields(d) if not isinstance(d, dict) and pages.drifts(d) else None
         for dataset in [x for x in pages.LISTINGS if x in present]:
             dump = _listing(d, dataset)
-            rows = filters.normalise_names(pages.read_listing(dump, dataset))
+            rows = (pages.read_listing(dump, dataset) if not pages.drifts(dump) else
+                    pages.read_drifting(dump, dataset, (fields or pages.listing_fields(dump)).get(dataset, {})))
+            rows = filters.normalise_names(rows)
             out[dataset] = staging.write_keyed_step(spark, ws, dataset, rows, ("workspace_name",), dump)
         for dataset in [x for x in pages.RUN_LISTINGS if x in present]:
-            dump = _listing(d, dataset)
+            dump = _asked_days(_listing(d, dataset), inputs.zones, s)
             rows = filters.normalise_names(pages.runs(dump, dataset))
             out[dataset] = staging.write_keyed_step(spark, ws, dataset, rows, ("workspace_name", "last_upd"),
                                                     dump.withColumnRenamed("day", "last_upd"))

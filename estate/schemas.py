@@ -28,7 +28,7 @@ METRIC_RESPONSE = T.StructType([
 ])
 
 
-def page_dump(item: T.StructType) -> T.StructType:
+def page_dump(item: T.DataType) -> T.StructType:
     """One dumped listing page whose objects have schema ``item``."""
     return T.StructType([
         T.StructField("workspace_name", T.StringType()),
@@ -40,6 +40,11 @@ def page_dump(item: T.StructType) -> T.StructType:
     ])
 
 
+def drifting_dump() -> T.StructType:
+    """One dumped listing page whose objects have no fixed shape."""
+    return page_dump(T.VariantType())
+
+
 SQL_POOL = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("name", T.StringType()),

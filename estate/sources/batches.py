@@ -128,24 +128,29 @@ def marks(spark: SparkSession, root: str, dataset: str, col: str, keys: Sequence
 
 def append(spark: SparkSession, root: str, dataset: str, df: DataFrame, mark_col: str, keys: Sequence[str],
            partition_by: Sequence[str], batch_id: str | None = None,
-           reports: dict[str, Callable[[DataFrame], DataFrame]] | None = None) -> int:
+           reports: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
+           state: dict[str, DataFrame] | None = None) -> int:
     """One batch of an incremental dataset: its rows, its marks and the report
     rows that ``reports`` (dataset name -> function of the batch's rows) make of
-    them, committed together.  A batch whose id is committed already writes
-    nothing and returns its rows' number."""
+    them, committed together.  ``state`` datasets hold the rows of the last batch
+    only: the commit that adds them drops their earlier batches.  A batch whose id
+    is committed already writes nothing and returns its rows' number."""
     schema = staging._load_schema(spark, os.path.join(root, dataset))
     if schema is not None and BATCH not in schema.names:
         raise ValueError(f"{dataset} was staged without batches: stage it anew under another root")
     done = live(spark, root, dataset)
     if batch_id in done:
         return done[batch_id]
-    clean(spark, root, [dataset, dataset + MARKS, *(reports or {})])
+    clean(spark, root, [dataset, dataset + MARKS, *(reports or {}), *(state or {})])
     batch = Batch(spark, root, batch_id)
     n = batch.write(df, dataset, partition_by)
     batch.write_marks(dataset, mark_col, keys)
     for name, made in (reports or {}).items():
         batch.write(made(batch.rows(dataset)), name)
-    batch.commit()
+    old = {name: list(live(spark, root, name)) for name in state or {}}
+    for name, df in (state or {}).items():
+        batch.write(df, name)
+    batch.commit(drop=old)
     return n
 
 

@@ -22,6 +22,13 @@ def read_pages(spark: SparkSession, path: str, item: T.StructType) -> DataFrame:
             .option("mode", "FAILFAST").json(path))
 
 
+def read_drifting_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Page dumps (JSON lines) whose objects are read as VARIANT values: listings
+    whose fields differ between workspaces (:func:`estate.operators.pages.listing_fields`)."""
+    return (spark.read.schema(schemas.drifting_dump())
+            .option("mode", "FAILFAST").json(path))
+
+
 def read_metric_responses(spark: SparkSession, path: str) -> DataFrame:
     """Metric-response dumps (JSON lines)."""
     return (spark.read.schema(schemas.METRIC_RESPONSE)

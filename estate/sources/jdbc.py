@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # fixed values: connection defaults of the extract settings
 LOGIN_TIMEOUT_S = 30
@@ -99,6 +100,60 @@ def union_databases(per_database: Callable[[str], DataFrame], databases: Iterabl
     return reduce(lambda a, b: a.union(b), frames)
 
 
+def _common_type(types: list[T.DataType]) -> T.DataType:
+    """The least type that holds all of them: one type stays, whole numbers widen,
+    numbers of several kinds become double (decimals and whole numbers a wide
+    decimal), dates and timestamps a timestamp, everything else text."""
+    kinds = [t for t in dict.fromkeys(types) if not isinstance(t, T.NullType)]
+    if len(kinds) <= 1:
+        return kinds[0] if kinds else T.StringType()
+    if all(isinstance(t, T.IntegralType) for t in kinds):
+        order = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+        return max(kinds, key=lambda t: order.index(type(t)))
+    if all(isinstance(t, T.NumericType) for t in kinds):
+        if any(isinstance(t, T.FractionalType) and not isinstance(t, T.DecimalType) for t in kinds):
+            return T.DoubleType()
+        scale = max(t.scale for t in kinds if isinstance(t, T.DecimalType))
+        return T.DecimalType(38, scale)
+    if all(isinstance(t, (T.DateType, T.TimestampNTZType)) for t in kinds):
+        return T.TimestampNTZType()
+    return T.StringType()
+
+
+def union_by_position(frames: list[DataFrame]) -> DataFrame:
+    """``UNION ALL`` of frames that differ in names and types: columns meet by
+    position, under the first frame's names, each cast to the least common type of
+    its position.  The branches form one balanced tree, so a plan over many
+    databases stays ``log2`` deep."""
+    width = {len(f.columns) for f in frames}
+    if len(width) != 1:
+        raise ValueError(f"UNION ALL needs equally many columns, not {sorted(width)}")
+    names = frames[0].columns
+    types = [_common_type([f.schema.fields[i].dataType for f in frames]) for i in range(len(names))]
+    level = [f.toDF(*[f"_c{i}" for i in range(len(names))]) for f in frames]
+    level = [f.select(*[F.col(f"_c{i}").cast(t).alias(n) for i, (t, n) in enumerate(zip(types, names))]) for f in level]
+    while len(level) > 1:
+        level = [a[0] if len(a) == 1 else a[0].union(a[1]) for a in (level[i:i + 2] for i in range(0, len(level), 2))]
+    return level[0]
+
+
+def union_by_collation(per_database: Callable[[str], DataFrame], databases: Iterable[tuple[str, str | None]],
+                       label: str = "table_catalog", collation: str = "collation_name") -> DataFrame | None:
+    """U1 / X3 / A5 as the source unites its catalog views: one union per collation
+    (texts of different collations can't meet in one statement), each branch
+    labelled with its database, and the groups united with their collation as a
+    column.  ``databases``: (name, collation) pairs of one server, null collations
+    being a group; ``None`` when there are none."""
+    groups: dict[str | None, list[DataFrame]] = {}
+    for name, group in databases:
+        branch = per_database(name)
+        groups.setdefault(group, []).append(branch.withColumn(label, F.lit(name)))
+    if not groups:
+        return None
+    united = [union_by_position(frames).withColumn(collation, F.lit(group).cast("string")) for group, frames in groups.items()]
+    return union_by_position(united)
+
+
 def scan_databases(relation: DataFrame, databases: DataFrame, name: str = "name",
                    label: str = "table_catalog") -> DataFrame:
     """U1 over one relation that carries its database in column ``label``: one

@@ -21,6 +21,7 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import os
+from functools import reduce
 from urllib.parse import unquote
 from collections.abc import Callable, Iterable, Sequence
 
@@ -386,6 +387,16 @@ def replace_partitions(df: DataFrame, root: str, dataset: str, keys: Sequence[st
     return n
 
 
+OBSERVED_KEYS = 64
+
+
+def _is_key(values: dict):
+    cond = F.lit(True)
+    for k, v in values.items():
+        cond = cond & F.col(k).eqNullSafe(F.lit(v))
+    return cond
+
+
 def write_keyed_step(spark: SparkSession, root: str, dataset: str, df: DataFrame, keys: Sequence[str],
                      wanted: DataFrame) -> int | None:
     """K2 / K3 with one step per workspace (and pool, or day): stage the rows of
@@ -404,9 +415,17 @@ def write_keyed_step(spark: SparkSession, root: str, dataset: str, df: DataFrame
     parts = [{k: r[k] for k in keys} for r in rows]
     # what an unfinished attempt left: the overwrite would keep keys without rows now
     clear_partitions(spark, root, dataset, parts)
-    write(df.withColumn("_label", _partition_label(keys)).filter(F.col("_label").isin(labels)).drop("_label"),
-          root, dataset, mode="overwrite", partition_by=keys)
-    counts = _counts(spark, root, dataset, keys, labels)
+    if len(parts) <= OBSERVED_KEYS:                 # rows per key are counted while they are written
+        of_key = [_is_key(p) for p in parts]
+        obs = Observation(f"step_{dataset}")
+        kept = df.filter(reduce(lambda a, b: a | b, of_key))
+        write(kept.observe(obs, *[F.count_if(c).alias(f"n{i}") for i, c in enumerate(of_key)]), root, dataset,
+              mode="overwrite", partition_by=keys)
+        counts = {x: int(obs.get[f"n{i}"]) for i, x in enumerate(labels)}
+    else:
+        write(df.withColumn("_label", _partition_label(keys)).filter(F.col("_label").isin(labels)).drop("_label"),
+              root, dataset, mode="overwrite", partition_by=keys)
+        counts = _counts(spark, root, dataset, keys, labels)
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     marked = [(dataset, x, counts.get(x, 0), "done", now) for x in sorted(labels)]
     (spark.createDataFrame(marked, STEP_SCHEMA).coalesce(1)

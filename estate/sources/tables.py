@@ -12,10 +12,10 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from estate.functions.timefns import day_start, instant_from_wall
+from estate.functions.timefns import day_start, instant_from_wall, local_date
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -175,18 +175,103 @@ def item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_pages(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
-    """Dumped run-history pages (from orders): three workspaces, one chain of
-    one page per workspace and order day; even keys are pipeline runs, odd ones
-    trigger runs."""
+    """Dumped run-history pages (from orders): three workspaces, one chain per
+    workspace and order day in pages of 100 runs; even keys are pipeline runs,
+    odd ones trigger runs."""
     o = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 2 == (0 if dataset == "pipeline_runs" else 1))
     run = F.struct(F.col("o_orderkey").cast("string").alias("run_id"),
                    F.concat(F.lit("pl_"), F.substring("o_orderpriority", 1, 1)).alias("pipeline_name"),
                    F.col("o_orderstatus").alias("status"))
-    return (o.groupBy(F.concat(F.lit("ws_"), (F.col("o_custkey") % 3).cast("string")).alias("workspace_name"),
-                      F.to_date("o_orderdate").alias("day"))
-            .agg(F.collect_list(run).alias("value"))
-            .select("workspace_name", F.lit(dataset).alias("dataset"), "day", F.lit(1).alias("page_no"),
-                    F.lit(None).cast("string").alias("continuation_token"), "value"))
+    return _paged_runs(o.select(F.concat(F.lit("ws_"), (F.col("o_custkey") % 3).cast("string")).alias("workspace_name"),
+                                F.to_date("o_orderdate").alias("day"), "o_orderkey", run.alias("run")), dataset)
+
+
+def _paged_runs(runs: DataFrame, dataset: str) -> DataFrame:
+    order = Window.partitionBy("workspace_name", "day").orderBy("o_orderkey")
+    return (runs.withColumn("page_no", F.ceil(F.row_number().over(order) / 100).cast("int"))
+            .groupBy("workspace_name", "day", "page_no").agg(F.collect_list("run").alias("value"))
+            .select("workspace_name", F.lit(dataset).alias("dataset"), "day", "page_no",
+                    F.concat(F.lit("tok-"), F.col("page_no").cast("string")).alias("continuation_token"), "value"))
+
+
+ZONES = {"ws_0": "America/New_York", "ws_1": "Europe/Berlin", "ws_2": "Asia/Kolkata"}
+
+
+def zones(spark: SparkSession) -> DataFrame:
+    """The time zone of each workspace."""
+    return spark.createDataFrame(list(ZONES.items()), "workspace_name string, time_zone string")
+
+
+def zoned_run_pages(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
+    """Dumped run-history pages as :func:`run_pages`, with the run's instant; the
+    day that was asked for is the local day of the workspace's zone."""
+    o = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 2 == (0 if dataset == "pipeline_runs" else 1))
+    at = F.col("o_orderdate") + F.make_dt_interval(secs=(F.col("o_orderkey") % 86400).cast("decimal(18,6)"))
+    ws = F.concat(F.lit("ws_"), (F.col("o_custkey") % 3).cast("string"))
+    zone = F.element_at(F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair]), F.col("workspace_name"))
+    run = F.struct(F.col("o_orderkey").cast("string").alias("run_id"), F.col("o_orderstatus").alias("status"),
+                   instant_from_wall("at").alias("last_updated"))
+    runs = o.select("o_orderkey", "o_orderstatus", ws.alias("workspace_name"), at.alias("at"))
+    return _paged_runs(runs.select("workspace_name", local_date("at", zone).alias("day"), "o_orderkey", run.alias("run")), dataset)
+
+
+def token_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`item_pages` as the service gives them: no page numbers, but the token
+    each page was asked with and the one it answered with.  Some chains end early,
+    some lead back to their page 3, some name a page that nobody dumped."""
+    p = item_pages(spark, sf_dir)
+    number, n = F.datediff("day", F.lit("2024-01-01").cast("date")), F.col("page_no")
+
+    def token(no):
+        return F.md5(F.concat_ws("-", "workspace_name", number.cast("string"), no.cast("string")))
+    answer = (F.when((number % 5 == 1) & (n == 28), token(F.lit(3)))
+              .when((number % 5 == 2) & (n == 10), F.lit("gone"))
+              .when(F.coalesce("continuation_token", F.lit("")) == "", F.col("continuation_token"))
+              .otherwise(token(n + 1)))
+    return p.select("workspace_name", "dataset", "day", F.when(n > 1, token(n)).alias("request_token"),
+                    answer.alias("continuation_token"), "value")
+
+
+def listing_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dumped pages of all twelve listings (from part), objects as JSON text whose
+    shape drifts: ``ws_1`` lacks ``size``, ``ws_2`` has it as text and has
+    ``extra``; nested properties everywhere; at most 20 objects a page."""
+    from estate.operators.pages import LISTINGS
+    p = table(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    ws, dataset = F.floor(key / len(LISTINGS)) % 3, key % len(LISTINGS)
+    common = [F.concat(F.lit("/x/"), key.cast("string")).alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("type"),
+              F.struct(F.col("p_brand").alias("brand"), F.array(F.col("p_size")).alias("sizes")).alias("sku")]
+    text = (F.when(ws == 0, F.to_json(F.struct(*common, F.col("p_size").alias("size"))))
+            .when(ws == 1, F.to_json(F.struct(*common)))
+            .otherwise(F.to_json(F.struct(*common, F.col("p_size").cast("string").alias("size"), (F.col("p_size") > 25).alias("extra")))))
+    per_page = 20 * 3 * len(LISTINGS)
+    return (p.select(F.concat(F.lit("ws_"), ws.cast("string")).alias("workspace_name"),
+                     F.element_at(F.array(*[F.lit(x) for x in LISTINGS]), (dataset + 1).cast("int")).alias("dataset"),
+                     (F.floor(key / per_page) + 1).cast("int").alias("page_no"), text.alias("item"))
+            .groupBy("workspace_name", "dataset", "page_no").agg(F.collect_list("item").alias("items"))
+            .select("workspace_name", "dataset", F.lit(None).cast("date").alias("day"), "page_no",
+                    F.concat(F.lit("tok-"), F.col("page_no").cast("string")).alias("continuation_token"),
+                    F.transform("items", lambda x: F.parse_json(x)).alias("value")))
+
+
+def sql_databases(spark: SparkSession, sf_dir: str):
+    """One server's databases (the nations; collation: their region) with a
+    catalog view each, whose columns differ in name and type from database to
+    database: ``[(name, collation)], view of a name``."""
+    n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    listed = [(r.n_name, r.r_name, r.n_nationkey) for r in n.select("n_name", "r_name", "n_nationkey").orderBy("n_nationkey").collect()]
+    keys = {name: k for name, _, k in listed}
+    rows = table(spark, sf_dir, "customer")
+
+    def view(name: str) -> DataFrame:
+        k = keys[name]
+        own = rows.filter(F.col("c_nationkey") == k)
+        key = F.col("c_custkey").cast("int" if k % 2 else "bigint")
+        if k % 3 == 0:
+            return own.select(F.col("c_custkey").cast("string").alias("object"), F.col("c_name").alias("label"))
+        return own.select(key.alias("object_id" if k % 2 else "id"), F.col("c_name").alias("table_name"))
+    return [(name, group) for name, group, _ in listed], view
 
 
 def pool_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

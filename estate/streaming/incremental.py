@@ -51,6 +51,57 @@ def stage_new_rows(spark: SparkSession, batch: DataFrame, root: str, dataset: st
     return batches.append(spark, root, dataset, new, mark_col, keys, partition_by, batch_id, reports)
 
 
+RUNNING = "_running"             # suffix of a dataset's requests that haven't finished
+
+
+def stage_with_running(spark: SparkSession, batch: DataFrame, root: str, dataset: str, mark_col: str,
+                       keys: Sequence[str], request_key: Sequence[str],
+                       transform: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None,
+                       partition_by: Sequence[str] = ("pool_name",), report: str | None = None,
+                       batch_id: str | None = None, marks: DataFrame | None = None, fixed_marks: bool = False,
+                       start_col: str = "start_time", forget: str | None = None) -> int:
+    """T2 on the stream: requests still running (null ``mark_col``) are kept as state
+    beside the dataset and replaced when they finish, however late that is seen.
+
+    The dataset gets the finished requests above their mark, and those that were in
+    the state, whatever their mark.  The state becomes: the requests of this snapshot
+    that still run, and earlier ones that it doesn't show.  The latter are given up
+    (moved to the dataset as they are) once they started more than ``forget`` (an
+    interval) before their key's mark, which bounds the state; ``None`` keeps them.
+    Rows, marks and the new state become visible in one commit."""
+    if not fixed_marks:
+        marks = batches.marks(spark, root, dataset, mark_col, keys)
+    shown = batch if transform is None else transform(batch, None)
+    finished = incremental.keep_newest(shown, request_key, mark_col).filter(F.col(mark_col).isNotNull())
+    running = shown.filter(F.col(mark_col).isNull()).join(*_on(finished, request_key), "left_anti").dropDuplicates(list(request_key))
+    new, before = incremental.newer_than(finished, mark_col, marks, keys), staging.read(spark, root, dataset + RUNNING)
+    if before is not None:
+        late = finished.join(*_on(before, request_key), "left_semi")
+        new = new.join(*_on(before, request_key), "left_anti").unionByName(late)
+        unseen = before.join(*_on(shown, request_key), "left_anti")
+        if forget is not None and marks is not None:
+            given_up = unseen.join(*_on(incremental.newer_than(unseen, start_col, marks, keys, forget), request_key), "left_anti")
+            new = new.unionByName(given_up, allowMissingColumns=True)
+            unseen = unseen.join(*_on(given_up, request_key), "left_anti")
+        running = running.unionByName(unseen, allowMissingColumns=True)
+    reports = {report: lambda rows: analysis.request_window_parts(rows, tuple(keys))} if report else {}
+    return batches.append(spark, root, dataset, new, mark_col, keys, partition_by, batch_id, reports, {dataset + RUNNING: running})
+
+
+def _on(other: DataFrame, key: Sequence[str]):
+    """The other side and the null-safe condition of a join on ``key``."""
+    cond = F.lit(True)
+    for c in key:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    return other.select(*[F.col(c).alias(f"_o_{c}") for c in key]).distinct(), cond
+
+
+def current(spark: SparkSession, root: str, dataset: str) -> DataFrame | None:
+    """Every request once: the finished ones and those that still run."""
+    done, running = staging.read(spark, root, dataset), staging.read(spark, root, dataset + RUNNING)
+    return done if done is None or running is None else done.unionByName(running, allowMissingColumns=True)
+
+
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that the stream's checkpoint keeps (it survives restarts)."""
     return json.loads(staging._read_text(spark, os.path.join(checkpoint, "metadata")))["id"]
@@ -61,7 +112,8 @@ def start_stream(spark: SparkSession, source_dir: str, schema: T.StructType, roo
                  transform: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None,
                  partition_by: Sequence[str] = ("pool_name",), fmt: str = "parquet",
                  max_files_per_trigger: int | None = None, every: str | None = None,
-                 on_batch: Callable[[int, int], None] | None = None, report: str | None = None):
+                 on_batch: Callable[[int, int], None] | None = None, report: str | None = None,
+                 request_key: Sequence[str] | None = None, forget: str | None = None):
     """Start the incremental file stream and return the ``StreamingQuery``.
 
     ``every=None`` processes what is available and stops
@@ -73,6 +125,8 @@ def start_stream(spark: SparkSession, source_dir: str, schema: T.StructType, roo
     across a restart), as the first micro-batch's rows must not hide later
     files.  It needs ``every=None``, where the snapshot is known.
     ``on_batch(batch_id, rows)`` is called after each staged micro-batch.
+    ``request_key`` keeps requests that still run as state
+    (:func:`stage_with_running`, with ``forget``).
     """
     if max_files_per_trigger and every is not None:
         raise ValueError("max_files_per_trigger needs every=None: a running stream can't tell snapshots apart")
@@ -80,8 +134,13 @@ def start_stream(spark: SparkSession, source_dir: str, schema: T.StructType, roo
     marks = _snapshot_marks(spark, root, dataset, mark_col, keys, checkpoint) if fixed else None
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        n = stage_new_rows(spark, batch, root, dataset, mark_col, keys, transform, partition_by,
-                           report, f"{_stream_id(spark, checkpoint)}-{batch_id:08d}", marks, fixed)
+        label = f"{_stream_id(spark, checkpoint)}-{batch_id:08d}"
+        if request_key:
+            n = stage_with_running(spark, batch, root, dataset, mark_col, keys, request_key, transform, partition_by,
+                                   report, label, marks, fixed, forget=forget)
+        else:
+            n = stage_new_rows(spark, batch, root, dataset, mark_col, keys, transform, partition_by,
+                               report, label, marks, fixed)
         if on_batch:
             on_batch(batch_id, n)
 
@@ -113,13 +172,15 @@ def stream_new(spark: SparkSession, source_dir: str, schema: T.StructType, root:
                dataset: str, mark_col: str, checkpoint: str, keys: Sequence[str] = ("pool_name",),
                transform: Callable[[DataFrame, DataFrame | None], DataFrame] | None = None,
                partition_by: Sequence[str] = ("pool_name",), fmt: str = "parquet",
-               max_files_per_trigger: int | None = None, report: str | None = None) -> list[int]:
+               max_files_per_trigger: int | None = None, report: str | None = None,
+               request_key: Sequence[str] | None = None, forget: str | None = None) -> list[int]:
     """Run the file stream over ``source_dir`` until everything available is
     processed; return the number of rows staged per micro-batch."""
     written: list[int] = []
     query = start_stream(spark, source_dir, schema, root, dataset, mark_col, checkpoint, keys,
                          transform, partition_by, fmt, max_files_per_trigger,
-                         on_batch=lambda _bid, n: written.append(n), report=report)
+                         on_batch=lambda _bid, n: written.append(n), report=report,
+                         request_key=request_key, forget=forget)
     query.awaitTermination()
     staging.remove(spark, _marks_folder(checkpoint))     # this snapshot is done
     return written

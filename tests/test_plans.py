@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from estate.operators import analysis
-from estate.plans.queries import staged_requests
+from estate.plans.queries import QUERIES, staged_requests
 
 from conftest import SF_SMALL
 
@@ -16,11 +16,10 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_plan(spark, name):
     plan = _plan(entry.queries()[name](spark, SF_SMALL))
-    for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas",
-                   "MapInPandas"):
+    for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "InPandas", "InArrow"):
         assert marker not in plan, (name, marker)
 
 
