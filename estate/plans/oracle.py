@@ -587,7 +587,6 @@ rows AS (
   UNION ALL SELECT 'session_requests', r.* FROM r LEFT JOIN m ON m.w = r.workspace_name WHERE by_start IS NULL OR start_time > by_start
   UNION ALL SELECT 'requests_history', r.* FROM r LEFT JOIN m ON m.w = r.workspace_name WHERE by_end IS NULL OR end_time > by_end
 )
-SELECT dataset, workspace_name, request_id, start_time, end_time, CAST(NULL AS BIGINT) AS data_processed_mb FROM rows
-UNION ALL
-SELECT 'data_processed', workspace_name, NULL, NULL, NULL, count(*) * 10 FROM r GROUP BY workspace_name""",
+SELECT dataset, workspace_name, request_id, start_time, end_time, data_processed_mb
+FROM rows JOIN (SELECT workspace_name, count(*) * 10 AS data_processed_mb FROM r GROUP BY workspace_name) USING (workspace_name)""",
 })

@@ -410,7 +410,9 @@ def drifting_listings(spark, sf_dir):
     workspaces, staged by a profile run with columns typed over all of them; per
     dataset, workspace and field the column type, its values and the greatest."""
     root = fresh_root(spark, "drifting")
-    run.run_all(spark, root, run.ProfileInputs(listing_dumps=tables.listing_dumps(spark, sf_dir)))
+    dump_dir = os.path.join(root, "_dumps", "listings")
+    dumps.write_dump(tables.listing_dumps(spark, sf_dir), dump_dir)
+    run.run_all(spark, root, run.ProfileInputs(listing_dumps=dumps.read_drifting_pages(spark, dump_dir)))
     out = []
     for dataset in pages.LISTINGS:
         df = staging.read(spark, os.path.join(root, run.WORKSPACE), dataset)
@@ -439,10 +441,10 @@ def zoned_run_history(spark, sf_dir):
     time zones, staged by profile runs that cut each one's history to its own 59
     local days."""
     root = fresh_root(spark, "zoned")
-    dumps = {d: tables.zoned_run_pages(spark, sf_dir, d) for d in pages.RUN_LISTINGS}
+    dumped = {d: tables.zoned_run_pages(spark, sf_dir, d) for d in pages.RUN_LISTINGS}
     settings = run.ProfileSettings(run_ts=ZONED_RUN)
     for only in ("workspace_name <> 'ws_2'", "true"):
-        run.run_all(spark, root, run.ProfileInputs(listing_dumps={d: x.filter(only) for d, x in dumps.items()},
+        run.run_all(spark, root, run.ProfileInputs(listing_dumps={d: x.filter(only) for d, x in dumped.items()},
                                                    zones=tables.zones(spark)), settings)
     staged = [staging.read(spark, os.path.join(root, run.WORKSPACE), d, partition_types={"last_upd": T.DateType()})
               .select(F.lit(d).alias("dataset"), "workspace_name", "last_upd", "run_id", "status", "last_updated")
@@ -509,13 +511,9 @@ def serverless_activity(spark, sf_dir):
     for seen in (raw.filter(F.dayofmonth("start_time") < 12), raw):
         run.run_all(spark, root, run.ProfileInputs(serverless_requests=seen, requests_history=seen, data_processed=processed))
     group = os.path.join(root, run.SERVERLESS)
-    rows = [staging.read(spark, group, d).select(F.lit(d).alias("dataset"), "workspace_name", "request_id", "start_time", "end_time",
-                                                 F.lit(None).cast("long").alias("data_processed_mb"))
+    rows = [staging.read(spark, group, d).select(F.lit(d).alias("dataset"), "workspace_name", "request_id", "start_time", "end_time")
             for d in ("session_requests", "requests_history")]
-    total = staging.read(spark, group, "data_processed").select(
-        F.lit("data_processed").alias("dataset"), "workspace_name", F.lit(None).cast("long").alias("request_id"),
-        F.lit(None).cast("timestamp_ntz").alias("start_time"), F.lit(None).cast("timestamp_ntz").alias("end_time"), "data_processed_mb")
-    return rows[0].unionByName(rows[1]).unionByName(total)
+    return rows[0].unionByName(rows[1]).join(staging.read(spark, group, "data_processed").drop("pool_name"), "workspace_name")
 
 
 QUERIES = {

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from estate.functions.sqltext import redact
 from estate.operators import analysis, filters, incremental, metrics, pages
-from estate.sources import activity, batches, staging
+from estate.sources import activity, batches, jdbc, staging
 
 # fixed values: group folders of the staged layout
 DEDICATED = "sqlpools-dedicated"
@@ -132,6 +132,18 @@ def _compact(spark, group: str, dataset: str, max_batches: int) -> None:
     batches.compact_log(spark, group)
 
 
+def _with_keys(wanted: list[tuple]) -> list[tuple]:
+    """The keys asked for of every dataset (workspaces, and days), in one pass."""
+    if not wanted:
+        return []
+    asked = [keys.select(F.lit(name).alias("_dataset"), *[F.col(c) if c in by else F.lit(None).cast("date").alias(c)
+                                                          for c in ("workspace_name", "last_upd")]) for name, _, by, keys in wanted]
+    found: dict[str, list[dict]] = {name: [] for name, *_ in wanted}
+    for r in jdbc.union_by_position(asked).distinct().collect():
+        found[r["_dataset"]].append(r.asDict())
+    return [(name, rows, by, [{c: k[c] for c in by} for k in found[name]]) for name, rows, by, _ in wanted]
+
+
 def _asked_days(dump: DataFrame, zones: DataFrame | None, s: "ProfileSettings") -> DataFrame:
     """Run-history pages of the local days that a run asks for (P10): in each
     workspace's zone, those before the day on which the run takes place there."""
@@ -156,7 +168,7 @@ def run_all(spark: SparkSession, root: str, inputs: ProfileInputs,
     ded = os.path.join(root, DEDICATED)
     srv = os.path.join(root, SERVERLESS)
 
-    run_id = uuid.uuid4().hex[:12]
+    run_id = f"run-{uuid.uuid4().hex[:12]}"
     if s.pool_allow_list:
         inputs = replace(inputs, **{n: filters.in_scope(getattr(inputs, n), "pool_name", s.pool_allow_list)
                                     for n in ("requests", "sessions", "partition_stats", "pools")
@@ -219,17 +231,17 @@ def run_all(spark: SparkSession, root: str, inputs: ProfileInputs,
         present = set(d) if isinstance(d, dict) else {
             r.dataset for r in d.select("dataset").filter(F.col("dataset").isin(known)).distinct().collect()}
         fields = pages.listing_fields(d) if not isinstance(d, dict) and pages.drifts(d) else None
+        wanted = []
         for dataset in [x for x in pages.LISTINGS if x in present]:
             dump = _listing(d, dataset)
             rows = (pages.read_listing(dump, dataset) if not pages.drifts(dump) else
                     pages.read_drifting(dump, dataset, (fields or pages.listing_fields(dump)).get(dataset, {})))
-            rows = filters.normalise_names(rows)
-            out[dataset] = staging.write_keyed_step(spark, ws, dataset, rows, ("workspace_name",), dump)
+            wanted.append((dataset, filters.normalise_names(rows), ("workspace_name",), dump.select("workspace_name")))
         for dataset in [x for x in pages.RUN_LISTINGS if x in present]:
             dump = _asked_days(_listing(d, dataset), inputs.zones, s)
             rows = filters.normalise_names(pages.runs(dump, dataset))
-            out[dataset] = staging.write_keyed_step(spark, ws, dataset, rows, ("workspace_name", "last_upd"),
-                                                    dump.withColumnRenamed("day", "last_upd"))
+            wanted.append((dataset, rows, ("workspace_name", "last_upd"), dump.select("workspace_name", F.col("day").alias("last_upd"))))
+        out.update(staging.write_keyed_steps(spark, ws, _with_keys(wanted)))
     mon = os.path.join(root, METRICS)
     for dataset, responses in inputs.metric_responses.items():
         by = METRIC_DATASETS[dataset]

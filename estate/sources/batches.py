@@ -80,7 +80,7 @@ class Batch:
 
     def __init__(self, spark: SparkSession, root: str, batch_id: str | None = None):
         self.spark, self.root = spark, root
-        self.id = batch_id or uuid.uuid4().hex[:16]
+        self.id = batch_id or f"run-{uuid.uuid4().hex[:16]}"       # ids are text in any case, not numbers
         self.counts: dict[str, int] = {}
 
     def _folder(self, dataset: str) -> str:

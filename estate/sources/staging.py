@@ -21,6 +21,7 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import os
+import re
 from functools import reduce
 from urllib.parse import unquote
 from collections.abc import Callable, Iterable, Sequence
@@ -48,6 +49,7 @@ def dataset_path(root: str, dataset: str) -> str:
 SCHEMA_FILE = "_estate_schema.json"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"   # Spark's folder name for a null value
 TEXT_MARK = "~text"                             # value of a folder without rows
+_TEXT = re.compile(r"^[g-zG-Z_]|^[a-fA-F][^0-9]*[g-zG-Z_~]|^~")   # neither number nor time
 
 # Text formats are written with microseconds (Spark's JSON default writes
 # milliseconds); reading needs no pattern.
@@ -167,11 +169,23 @@ def _mark_text_folders(spark: SparkSession, path: str, data: T.StructType, parts
     """A partition folder without rows whose text values are no numbers: readers
     that discover partition types from the folders (the analyzer's views) then
     take ``007`` as text, whatever values the dataset has."""
-    if not any(isinstance(f.dataType, T.StringType) for f in parts):
+    texts = [i for i, f in enumerate(parts) if isinstance(f.dataType, T.StringType)]
+    h = _fs(spark, path)
+    if h is None or not texts or not h[0].exists(h[1]):
+        return
+    fs, folder = h
+    # down one branch: a value that can't be a number makes its level text already
+    for i in range(len(parts)):
+        below = [st.getPath() for st in fs.listStatus(folder) if st.isDirectory() and "=" in st.getPath().getName()]
+        values = [p.getName().split("=", 1)[1] for p in below]
+        if not below or i in texts and not any(_TEXT.search(v) and v != NULL_PARTITION for v in values):
+            break
+        folder = below[0]
+    else:
         return
-    folder = os.path.join(path, *[f"{f.name}={TEXT_MARK if isinstance(f.dataType, T.StringType) else NULL_PARTITION}" for f in parts])
-    if not _exists(spark, folder):
-        spark.createDataFrame([], data).coalesce(1).write.mode("overwrite").format(fmt).save(folder)
+    marked = os.path.join(path, *[f"{f.name}={TEXT_MARK if i in texts else NULL_PARTITION}" for i, f in enumerate(parts)])
+    if not _exists(spark, marked):
+        spark.createDataFrame([], data).coalesce(1).write.mode("overwrite").format(fmt).save(marked)
 
 
 def read(spark: SparkSession, root: str, dataset: str, schema: T.StructType | None = None,
@@ -397,40 +411,66 @@ def _is_key(values: dict):
     return cond
 
 
-def write_keyed_step(spark: SparkSession, root: str, dataset: str, df: DataFrame, keys: Sequence[str],
-                     wanted: DataFrame) -> int | None:
-    """K2 / K3 with one step per workspace (and pool, or day): stage the rows of
-    every wanted key whose step isn't done, in one write, and mark each done.
+def write_keyed_steps(spark: SparkSession, root: str,
+                      wanted: Sequence[tuple[str, DataFrame, Sequence[str], list[dict]]]) -> dict[str, int | None]:
+    """K2 / K3 for many datasets of one run, with one step per workspace (and pool,
+    or day): ``(dataset, rows, key columns, keys asked for)`` each.
+
+    Rows of every key asked for whose step isn't done are staged in one write per
+    dataset, and the steps are marked done in one write per run, also those of the
+    datasets before one that fails.  A key without rows is done too, and whatever an
+    unfinished earlier attempt left of it is cleared.  Returns the rows written per
+    dataset, ``None`` if all its steps were done."""
+    done: set[tuple] = set()
+    if _exists(spark, dataset_path(root, STEPS)):      # one row per dataset and key
+        st = steps(spark, root).filter(F.col("dataset").isin([w[0] for w in wanted]) & (F.col("status") == "done"))
+        done = {(r.dataset, r.partition) for r in st.select("dataset", "partition").distinct().collect()}
+    out: dict[str, int | None] = {}
+    marked: list[tuple] = []
+    try:
+        for dataset, df, keys, asked in wanted:
+            parts = {_label(k, keys): k for k in asked}
+            pending = {x: p for x, p in sorted(parts.items()) if (dataset, x) not in done}
+            counts = _write_keys(spark, root, dataset, df, keys, pending, len(pending) == len(parts)) if pending else {}
+            out[dataset] = sum(counts.values()) if pending else None
+            now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+            marked += [(dataset, x, counts.get(x, 0), "done", now) for x in pending]
+    finally:
+        if marked:
+            (spark.createDataFrame(marked, STEP_SCHEMA).coalesce(1)
+             .write.mode("append").parquet(dataset_path(root, STEPS)))
+    return out
 
-    ``wanted`` holds the keys that were asked for, rows or not: a key without
-    rows is done too, and whatever an unfinished earlier attempt left of it is
-    cleared.  Returns the rows written, ``None`` if all steps were done.
-    """
-    asked = wanted.select(*keys).distinct().withColumn("_label", _partition_label(keys))
-    done = steps(spark, root).filter((F.col("dataset") == dataset) & (F.col("status") == "done"))
-    rows = asked.join(done.select(F.col("partition").alias("_label")), "_label", "left_anti").collect()
-    if not rows:                                    # rows: one per workspace, pool or day
-        return None
-    labels = [r["_label"] for r in rows]
-    parts = [{k: r[k] for k in keys} for r in rows]
+
+def _label(values: dict, keys: Sequence[str]) -> str:
+    """``k=v/k=v``, as :func:`_partition_label` computes it from a row."""
+    return "/".join(f"{k}={NULL_PARTITION if values[k] is None else values[k]}" for k in keys)
+
+
+def _write_keys(spark, root, dataset, df, keys, pending: dict[str, dict], all_of_them: bool) -> dict[str, int]:
+    """Stage the rows of the pending keys; rows written per label."""
     # what an unfinished attempt left: the overwrite would keep keys without rows now
-    clear_partitions(spark, root, dataset, parts)
-    if len(parts) <= OBSERVED_KEYS:                 # rows per key are counted while they are written
-        of_key = [_is_key(p) for p in parts]
+    clear_partitions(spark, root, dataset, pending.values())
+    of_key = [_is_key(p) for p in pending.values()]
+    if len(pending) <= OBSERVED_KEYS:               # rows per key are counted while they are written
         obs = Observation(f"step_{dataset}")
-        kept = df.filter(reduce(lambda a, b: a | b, of_key))
-        write(kept.observe(obs, *[F.count_if(c).alias(f"n{i}") for i, c in enumerate(of_key)]), root, dataset,
-              mode="overwrite", partition_by=keys)
-        counts = {x: int(obs.get[f"n{i}"]) for i, x in enumerate(labels)}
-    else:
-        write(df.withColumn("_label", _partition_label(keys)).filter(F.col("_label").isin(labels)).drop("_label"),
-              root, dataset, mode="overwrite", partition_by=keys)
-        counts = _counts(spark, root, dataset, keys, labels)
-    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    marked = [(dataset, x, counts.get(x, 0), "done", now) for x in sorted(labels)]
-    (spark.createDataFrame(marked, STEP_SCHEMA).coalesce(1)
-     .write.mode("append").parquet(dataset_path(root, STEPS)))
-    return sum(counts.values())
+        counted = df.filter(reduce(lambda a, b: a | b, of_key)).observe(obs, *[F.count_if(c).alias(f"n{i}") for i, c in enumerate(of_key)])
+        write(counted, root, dataset, mode="overwrite", partition_by=keys)
+        return {x: int(obs.get[f"n{i}"]) for i, x in enumerate(pending)}
+    if not all_of_them:
+        df = df.withColumn("_label", _partition_label(keys)).filter(F.col("_label").isin(list(pending))).drop("_label")
+    write(df, root, dataset, mode="overwrite", partition_by=keys)
+    return _counts(spark, root, dataset, keys, list(pending))
+
+
+def write_keyed_step(spark: SparkSession, root: str, dataset: str, df: DataFrame, keys: Sequence[str],
+                     wanted: DataFrame) -> int | None:
+    """:func:`write_keyed_steps` of one dataset; ``wanted`` holds the keys that were
+    asked for, rows or not (one per workspace, pool or day)."""
+    asked = [r.asDict() for r in wanted.select(*keys).distinct().collect()]
+    kept = df.join(wanted.select(*[F.col(k).alias(f"_w_{k}") for k in keys]).distinct(),
+                   reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys]), "left_semi")
+    return write_keyed_steps(spark, root, [(dataset, kept, keys, asked)])[dataset]
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -134,7 +134,7 @@ def start_stream(spark: SparkSession, source_dir: str, schema: T.StructType, roo
     marks = _snapshot_marks(spark, root, dataset, mark_col, keys, checkpoint) if fixed else None
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        label = f"{_stream_id(spark, checkpoint)}-{batch_id:08d}"
+        label = f"stream-{_stream_id(spark, checkpoint)}-{batch_id:08d}"
         if request_key:
             n = stage_with_running(spark, batch, root, dataset, mark_col, keys, request_key, transform, partition_by,
                                    report, label, marks, fixed, forget=forget)
