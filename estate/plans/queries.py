@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from estate import schemas
 from estate.operators import analysis, chains, filters, incremental, metrics, pages
+from estate.operators.joins import materialized
 from estate.plans import catalog, run
 from estate.session import fresh_root
 from estate.sources import activity, batches, dumps, jdbc, staging, tables
@@ -346,7 +347,7 @@ def run_history(spark, sf_dir):
     workspace, the second with all."""
     root = fresh_root(spark, "run-history")
     asked = F.col("day").isin(filters.day_list(RUN_DATE, 59))
-    dumps = {d: tables.run_pages(spark, sf_dir, d).filter(asked) for d in pages.RUN_LISTINGS}
+    dumps = {d: materialized(tables.run_pages(spark, sf_dir, d).filter(asked)) for d in pages.RUN_LISTINGS}
     for only in ("workspace_name = 'ws_0'", "true"):
         run.run_all(spark, root, run.ProfileInputs(listing_dumps={d: x.filter(only) for d, x in dumps.items()}))
     days = {"last_upd": T.DateType()}
@@ -441,7 +442,7 @@ def zoned_run_history(spark, sf_dir):
     time zones, staged by profile runs that cut each one's history to its own 59
     local days."""
     root = fresh_root(spark, "zoned")
-    dumped = {d: tables.zoned_run_pages(spark, sf_dir, d) for d in pages.RUN_LISTINGS}
+    dumped = {d: materialized(tables.zoned_run_pages(spark, sf_dir, d)) for d in pages.RUN_LISTINGS}
     settings = run.ProfileSettings(run_ts=ZONED_RUN)
     for only in ("workspace_name <> 'ws_2'", "true"):
         run.run_all(spark, root, run.ProfileInputs(listing_dumps={d: x.filter(only) for d, x in dumped.items()},
