@@ -1,19 +1,28 @@
 """Secret scans with a recursive decoding worklist.
 
 Every text is scanned for three kinds of secret (:data:`KINDS`).  Secrets are
-often wrapped - URL escapes, Unicode escapes, base64, compressed bytes, and
-these inside each other - so each text starts a worklist of layers.  A layer is
-scanned, then unwrapped in every way that applies, and each result not seen
-before in this text (a hash of its bytes; this is also what stops cycles such
-as an archive that holds itself) joins the worklist, until nothing new turns
-up.  Every span found is mapped back through its layers to the original text:
-escapes map character by character, base64 and compressed layers to the whole
-blob that holds them.
+often wrapped - URL escapes, Unicode escapes, base64, compressed bytes, wide
+characters, and these inside each other - so each text starts a worklist of
+layers.  A layer is scanned as bytes, whatever they are, then unwrapped in every
+way that applies, and each result not seen before in this text (a hash of its
+bytes; this is also what stops cycles such as an archive that holds itself) joins
+the worklist, until nothing new turns up.  Every span found is mapped back through
+its layers to the original text: escapes map character by character, base64 and
+compressed layers to the whole blob that holds them.
+
+A base64 run is decoded from each of its first four characters, so whatever is
+glued in front of a blob (a path, a name) can't hide it, and once more with the
+lines of a wrapped block joined.  Compressed streams are looked for at every place
+of a decoded layer, one after the other.  An escape of an escape (``%252541``) is
+undone in one step however deep it is: the escape character belongs to no
+pattern, so what the layers between would show is part of what the last one shows.
 
 Scanning works on UTF-8 bytes - the patterns only name ASCII characters, so
 matches are the same as on characters - and offsets become code points at the
-end.  A decompressed layer is read in overlapping windows, so memory stays
-bounded and nothing of it is skipped.
+end.  A decompressed layer is read in overlapping windows, one at a time.  An
+overlap holds at least ``OVERLAP`` bytes and the whole of a base64 run that isn't
+over yet, if that has at most ``CARRY`` bytes; of a longer run each window is
+decoded by itself, so only a compressed stream inside of such a run is cut.
 
 Defined results: a null or empty text has no spans.  Rows are judged one by
 one, so repeated rows and repeated ids repeat their result; an empty table
@@ -24,7 +33,6 @@ by :func:`find_secrets` and kept by :func:`redact_secrets`.
 from __future__ import annotations
 
 import base64
-import binascii
 import bisect
 import hashlib
 import re
@@ -46,11 +54,21 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]{14,}")     # 18 characters or more
 HEX = re.compile(rb"[0-9a-f]{16,}")            # a run is one match, so the least length can sit in the pattern
 _KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"api")
 
-_PERCENT = re.compile(rb"%[0-9A-Fa-f]{2}")
-_UNICODE = re.compile(rb"\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};")
+# escapes, with any number of escaped escape characters in front; the last group decides
+_PERCENT = re.compile(rb"%(?:25)*([0-9A-Fa-f]{2})")
+_UNICODE = re.compile(rb"\\(?:u005[cC]|x5[cC])*(u[0-9A-Fa-f]{4}|u\{[0-9A-Fa-f]{1,6}\}|x[0-9A-Fa-f]{2})"
+                      rb"|&(?:#38;|#x26;)*(#x[0-9A-Fa-f]{1,6};|#[0-9]{1,7};)")
+_WIDE = re.compile(rb"\x00+")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
-WINDOW = 8 * 1024 * 1024        # bytes of a decompressed layer held at once
-OVERLAP = 64 * 1024             # of neighbouring windows
+_LINES = re.compile(rb"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)+={0,2}")
+_BREAK = b"\r\n \t"
+_PLAIN = bytes.maketrans(b"-_", b"+/")
+_STREAM = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]")
+_RUN = bytes(b for b in range(128) if chr(b).isalnum()) + b"+/_-=\r\n"
+WINDOW = 8 * 1024 * 1024        # bytes of a decompressed layer that come out at once
+OVERLAP = 64 * 1024             # of neighbouring windows, at least
+CARRY = 4 * 1024 * 1024        # of an unfinished base64 run, at most
+CHUNK = 4096                    # compressed bytes taken at once
 
 SPANS = T.ArrayType(T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()),
@@ -88,7 +106,7 @@ def _escapes(layer: Layer, pattern: re.Pattern, decode) -> "Layer | None":
     out, new_at, old_at, old_end = [], [], [], []
     pos = new = 0
     for m in pattern.finditer(layer.data):
-        made = decode(m.group())
+        made = decode(m)
         if made is None:
             continue
         if m.start() > pos:                          # literal stretch
@@ -113,83 +131,112 @@ def _escapes(layer: Layer, pattern: re.Pattern, decode) -> "Layer | None":
     return Layer(b"".join(out), layer, back)
 
 
-def _percent(raw: bytes) -> bytes:
-    return bytes.fromhex(raw[1:].decode())
+def _percent(m: re.Match) -> bytes:
+    return bytes.fromhex(m.group(1).decode())
 
 
-def _code_point(raw: bytes) -> bytes | None:
-    text = raw.decode()
-    if text.startswith("&#"):
-        cp = int(text[3:-1], 16) if text[2] in "xX" else int(text[2:-1])
+def _code_point(m: re.Match) -> bytes | None:
+    text = m.group(m.lastindex).decode()
+    if text[0] == "#":
+        cp = int(text[2:-1], 16) if text[1] == "x" else int(text[1:-1])
     else:
-        cp = int(text.strip("\\ux{}"), 16) if text[-1] != "}" else int(text[3:-1], 16)
+        cp = int(text[1:].strip("{}"), 16)
     if cp > 0x10FFFF or 0xD800 <= cp < 0xE000:
         return None
     return chr(cp).encode()
 
 
-def _blob(raw: bytes) -> bytes | None:
-    """Base64 in either alphabet; None if it doesn't decode."""
-    body = raw.rstrip(b"=").translate(bytes.maketrans(b"-_", b"+/"))
-    if len(body) % 4 == 1:
-        body = body[:-1]
-    try:
-        return base64.b64decode(body + b"=" * (-len(body) % 4))
-    except (binascii.Error, ValueError):
-        return None
+def _nothing(m: re.Match) -> bytes:
+    return b""
+
 
+def _blobs(run: bytes):
+    """What a base64 run in either alphabet decodes to from each of its first
+    four characters on."""
+    body = run.rstrip(b"=").translate(_PLAIN)
+    for skip in range(4):
+        part = body[skip:len(body) - (len(body) - skip) % 4 if (len(body) - skip) % 4 == 1 else None]
+        yield base64.b64decode(part + b"=" * (-len(part) % 4))
 
-def _compressed(data: bytes) -> bool:
-    return data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 15 == 8 and (data[0] * 256 + data[1]) % 31 == 0)
 
+def _open_run(data: bytes) -> int:
+    """Length of the base64 run, with its line breaks, that the data ends in (0
+    beyond ``CARRY``)."""
+    run = len(data) - len(data.rstrip(_RUN))
+    return run if run <= CARRY else 0
 
-def _windows(data: bytes):
-    """Decompressed bytes in overlapping windows; stops quietly where the
-    stream is broken (what came out before is real)."""
-    d, tail, rest = zlib.decompressobj(47), b"", data
-    while rest and not d.eof:
+
+def _windows(data: bytes, start: int):
+    """Decompressed bytes of the stream that starts there, in overlapping
+    windows, and at last the place where it ended (None: it is broken or cut off;
+    what came out before is real)."""
+    d, held, fresh = zlib.decompressobj(47), b"", []
+    size, pos, rest, broken = 0, start, b"", False
+    while not d.eof and not broken and (rest or pos < len(data)):
+        if not rest:
+            rest, pos = data[pos:pos + CHUNK], pos + CHUNK
+        before = d.copy()
         try:
             piece = d.decompress(rest, WINDOW)
+            rest = d.unconsumed_tail
         except zlib.error:
-            return
-        rest = d.unconsumed_tail
-        if not piece:
-            return
-        yield tail + piece
-        tail = piece[-OVERLAP:]
-
-
-def _readable(data: bytes) -> bool:
-    """UTF-8 text with hardly any control characters."""
+            piece, broken = _until_broken(before, rest), True
+        fresh.append(piece)
+        size += len(piece)
+        if size >= WINDOW:
+            window = held + b"".join(fresh)
+            yield window
+            held, fresh, size = window[-max(OVERLAP, _open_run(window)):], [], 0
+            del window
+    if size:
+        yield held + b"".join(fresh)
+    yield min(pos, len(data)) - len(d.unused_data) if d.eof else None
+
+
+def _until_broken(d, rest: bytes) -> bytes:
+    """What comes out of a stream byte by byte before its error."""
+    out = []
     try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return False
-    return sum(c < " " and c not in "\t\n\r" for c in text) * 20 <= len(text)
+        for k in range(len(rest)):
+            out.append(d.decompress(rest[k:k + 1]))
+    except zlib.error:
+        pass
+    return b"".join(out)
+
+
+def _streams(layer: Layer):
+    """The layers that compressed streams inside of a decoded layer give."""
+    data, whole = layer.data, (lambda s, e, n=len(layer.data): (0, n))
+    starts = [m.start() for m in _STREAM.finditer(data)]
+    if len(data) > 2 and data[0] & 15 == 8 and (data[0] * 256 + data[1]) % 31 == 0 and starts[:1] != [0]:
+        starts.insert(0, 0)
+    done = 0
+    for start in starts:
+        if start < done:
+            continue                                 # inside of a stream that has been read to its end
+        for part in _windows(data, start):
+            if isinstance(part, bytes):
+                yield Layer(part, layer, whole)
+            elif part is not None:
+                done = part
 
 
 def _unwrap(layer: Layer):
-    """Every layer that one unwrapping step gives."""
+    """Every layer that one unwrapping step gives, one at a time."""
     data = layer.data
-    for pattern, decode, mark in ((_PERCENT, _percent, b"%"), (_UNICODE, _code_point, None)):
-        if mark in data if mark else (b"\\" in data or b"&#" in data):
+    for pattern, decode, marks in ((_PERCENT, _percent, (b"%",)), (_UNICODE, _code_point, (b"\\", b"&#")),
+                                   (_WIDE, _nothing, (b"\0",))):
+        if any(mark in data for mark in marks):
             made = _escapes(layer, pattern, decode)
             if made is not None:
                 yield made
-    for m in _BASE64.finditer(data):
-        span = m.span()
-        raw = _blob(m.group())
-        if not raw:
-            continue
-        whole = (lambda s, e, at=span: at)
-        if _compressed(raw):
-            for part in _windows(raw):
-                yield Layer(part, layer, whole)
-        elif _readable(raw):
-            yield Layer(raw, layer, whole)
-    if layer.parent is not None and _compressed(data):
-        for part in _windows(data):
-            yield Layer(part, layer, lambda s, e, n=len(data): (0, n))
+    for pattern in (_BASE64, _LINES):
+        for m in pattern.finditer(data):
+            run = m.group() if pattern is _BASE64 else m.group().translate(None, _BREAK)
+            for raw in _blobs(run):
+                yield Layer(raw, layer, lambda s, e, at=m.span(): at)
+    if layer.parent is not None:
+        yield from _streams(layer)
 
 
 def find(data: bytes) -> list[tuple[int, int, int, bool]]:
@@ -198,9 +245,12 @@ def find(data: bytes) -> list[tuple[int, int, int, bool]]:
     base = scan(data)
     found = {(s, k, e): True for k, s, e in base}
     seen = set()
-    work = list(_unwrap(Layer(data)))
+    work = [_unwrap(Layer(data))]                    # one layer of each step is held
     while work:
-        layer = work.pop()
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
         # equal bytes under another blob are another place, so a layer repeats
         # only an equal one at the same place or one of those it came from
         where = (hashlib.sha256(layer.data).digest(), layer.origin(0, max(1, len(layer.data))))
@@ -210,7 +260,7 @@ def find(data: bytes) -> list[tuple[int, int, int, bool]]:
         for k, s, e in scan(layer.data):
             a, b = layer.origin(s, e)
             found.setdefault((a, k, b), False)
-        work.extend(_unwrap(layer))
+        work.append(_unwrap(layer))
     if not found:
         return []
     return _code_points(data, found)

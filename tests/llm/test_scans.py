@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import urllib.parse
+import zlib
 
 import duckdb
 import public_tokenizers
@@ -67,6 +68,45 @@ def test_nested_layers_map_back(wrap):
     assert any(SECRET.startswith("api") and not b for _, b in hits)
 
 
+def hidden(text):
+    return [(text[s:e], k) for s, k, e, b in secret_scan.find(text.encode()) if not b]
+
+
+B64 = lambda raw: base64.b64encode(raw).decode()
+
+
+@pytest.mark.parametrize("text", [
+    *[B64(f"{start}{SECRET}".encode()) for start in ("80", "x ", "hb")],      # look like a zlib header
+    B64(SECRET.encode("utf-16-le")), B64(SECRET.encode("utf-16-be")),
+    B64(b"caf\xe9 " + SECRET.encode()),                                       # no UTF-8
+    *["https://example.com/r" + "q" * k + "/" + B64(SECRET.encode()) for k in range(4)],
+    *["k" * k + "_" + B64(gzip.compress(SECRET.encode())) for k in range(4)],
+    B64(gzip.compress(b"first") + gzip.compress(SECRET.encode())),
+    B64(b"head " + zlib.compress(SECRET.encode()) + zlib.compress(b"x")),
+    base64.encodebytes(b"z" * 50 + SECRET.encode() + b"y" * 60).decode(),     # lines of 76
+    base64.encodebytes(gzip.compress(random.Random(1).randbytes(300) + SECRET.encode())).decode().replace("\n", "\r\n"),
+    B64(gzip.compress(SECRET.encode() + b" " + random.Random(2).randbytes(20_000))[:-9000]),   # cut off
+    "%" + "25" * 500_000 + "61" + urllib.parse.quote(SECRET, safe=""),
+    "".join("\\" + "u005c" * 40 + f"u{ord(c):04x}" for c in SECRET),
+])
+def test_hidden_secrets(text):
+    assert any(k == 0 for _, k in hidden(text))
+
+
+@pytest.mark.parametrize("at", [0, 1, 100_000, 249_999])
+def test_runs_across_windows(at):
+    """A base64 run of 250 KB that crosses the edge of a window."""
+    blob = B64(gzip.compress(random.Random(3).randbytes(187_000) + SECRET.encode()))
+    inner = b". " * ((secret_scan.WINDOW - at) // 2) + b" " * (at % 2) + blob.encode() + b" ." * 5_000_000
+    assert any(k == 0 for _, k in hidden(B64(gzip.compress(inner))))
+
+
+def test_broken_stream_gives_what_came_before():
+    raw = bytearray(gzip.compress(SECRET.encode() + b" " + random.Random(4).randbytes(50_000), 1))
+    raw[30_000:30_010] = b"\xff" * 10
+    assert any(k == 0 for _, k in hidden(B64(bytes(raw))))
+
+
 def test_partial_escape_extends_a_span():
     text = "x token=abc%64efghijklmnop y"
     found = [(text[s:e], b) for s, k, e, b in secret_scan.find(text.encode()) if k == 0]
