@@ -1,10 +1,14 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
 Texts are normalised: letters lower-cased (ASCII and Latin-1), every run of
-other ASCII characters one space.  A benchmark item is cut into segments of
-``SEGMENT`` characters (the last one ends with the item).  A document leaks an
-item if one of its segments occurs in it with at most the segment's edit budget,
-``SHARE`` of its length.
+other ASCII characters one space.  A benchmark item has overlapping segments of
+``SEGMENT`` characters, one every ``STRIDE`` characters (the last one ends with
+the item; a shorter item is one segment).  A document leaks an item if one of its
+segments occurs in it with at most the segment's edit budget, ``SHARE`` of its
+length.  So every passage of ``SEGMENT + STRIDE - 1`` normalised characters (111)
+that a document quotes from an item is found, wherever it begins, and with up to
+the budget (8) of edits in its segment; of shorter quotes those that hold a whole
+segment.
 
 A region with at most ``k`` edits shares at least ``m - q + 1 - k * q`` of the
 segment's q-grams, and all of them within ``k + 1`` neighbouring diagonals
@@ -14,6 +18,10 @@ diagonals that overlap by half - every run of ``k + 1`` diagonals lies whole in
 one of them - and only bands that reach the bound are verified by a banded
 alignment, which also gives the region.
 
+Hits are built for stretches of the text that give at most ``HITS`` of them, or
+of ``STRETCH`` positions where a phrase shared by very many segments gives more;
+neighbouring stretches overlap by more than a region, so no region is cut.
+
 The benchmark is the bounded side: it is sent out in blocks of ``BLOCK_BYTES``
 of text, one pass over the documents each, however large it is.
 
@@ -39,9 +47,12 @@ from estate.llm._ship import ship, slices, string_parts
 
 Q = 10
 SEGMENT = 96
+STRIDE = 16
 SHARE = 0.085
 LEAST = 32
-BLOCK_BYTES = 1024 * 1024
+BLOCK_BYTES = 256 * 1024
+HITS = 1 << 20
+STRETCH = 1 << 10
 SLICE_BYTES = 2 * 1024 * 1024
 FILTER_BITS = 22
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -109,7 +120,7 @@ class Index:
                 if text:
                     self.whole.setdefault(text, []).append(i)
                 continue
-            cuts = list(range(0, max(1, len(text) - SEGMENT + 1), SEGMENT))
+            cuts = list(range(0, max(1, len(text) - SEGMENT + 1), STRIDE))
             if len(text) > SEGMENT and cuts[-1] + SEGMENT < len(text):
                 cuts.append(len(text) - SEGMENT)
             for c in cuts:
@@ -130,11 +141,15 @@ class Index:
         self.seg, self.at = seg[order], at[order]
         self.gram, self.first = np.unique(h[order], return_index=True)
         self.count = np.diff(np.append(self.first, len(h)))
+        self.table = np.zeros((len(self.text), SEGMENT), np.uint8)
+        for k, t in enumerate(self.text):
+            self.table[k, :len(t)] = t
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[self.gram >> np.uint64(64 - FILTER_BITS)] = True
 
-    def hits(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Text position, segment and segment position of all equal q-grams."""
+    def hits(self, raw: np.ndarray):
+        """Text position, segment and segment position of all equal q-grams, in
+        overlapping stretches of the text."""
         h = _grams(raw)
         pos = np.flatnonzero(self.filter[h >> np.uint64(64 - FILTER_BITS)])
         h = h[pos]
@@ -143,20 +158,28 @@ class Index:
         ok = self.gram[k] == h if len(self.gram) else np.zeros(len(h), bool)
         pos, k = pos[ok], k[ok]
         n = self.count[k]
-        entry = np.repeat(self.first[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.repeat(pos, n), self.seg[entry], self.at[entry]
+        total = np.concatenate([[0], np.cumsum(n)])
+        lo, region = 0, SEGMENT + self.most               # positions that one region's q-grams span at most
+        while lo < len(pos):
+            hi = int(np.searchsorted(total, total[lo] + HITS, "right")) - 1
+            hi = max(hi, int(np.searchsorted(pos, pos[lo] + STRETCH)))
+            some, m = k[lo:hi], n[lo:hi]
+            entry = np.repeat(self.first[some] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+            yield np.repeat(pos[lo:hi], m), self.seg[entry], self.at[entry]
+            if hi >= len(pos):
+                return
+            lo = max(lo + 1, int(np.searchsorted(pos, pos[hi] - region)))
 
     def bands(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Segments and first diagonals of the bands that reach their bound."""
-        pos, seg, at = self.hits(raw)
-        width = self.budget[seg] + 1
-        shift = len(raw)                                  # diagonals from 0 on
-        band = (pos - at + SEGMENT) // width
-        key = np.concatenate([seg * (shift + 2 * SEGMENT + 2) + band, seg * (shift + 2 * SEGMENT + 2) + band - 1])
-        key, n = np.unique(key[key >= 0], return_counts=True)
-        seg, band = key // (shift + 2 * SEGMENT + 2), key % (shift + 2 * SEGMENT + 2)
-        ok = n >= self.bound[seg]
-        seg, band = seg[ok], band[ok]
+        wide = len(raw) + 2 * SEGMENT + 2                 # diagonals from 0 on
+        full = [np.zeros(0, np.int64)]
+        for pos, seg, at in self.hits(raw):
+            band = (pos - at + SEGMENT) // (self.budget[seg] + 1)
+            key = np.concatenate([seg * wide + band, (seg * wide + band - 1)[band > 0]])
+            key, n = np.unique(key, return_counts=True)
+            full.append(key[n >= self.bound[key // wide]])
+        seg, band = np.divmod(np.unique(np.concatenate(full)), wide)
         return seg, band * (self.budget[seg] + 1) - SEGMENT
 
     def align(self, raw: np.ndarray, seg: np.ndarray, diag: np.ndarray):
@@ -170,13 +193,10 @@ class Index:
         best = np.full(len(seg), np.iinfo(np.int64).max)
         best_at = np.zeros(len(seg), np.int64)
         cost = np.tile(column, (len(seg), 1)).astype(np.int64)   # edits * step + first column
-        table = np.zeros((len(self.text), SEGMENT), np.uint8)
-        for k, t in enumerate(self.text):
-            table[k, :len(t)] = t
         for j in range(int(length.max(initial=0))):
             i = j + d0[:, None] + column
             inside = (i >= 0) & (i < len(raw))
-            same = inside & (raw[np.where(inside, i, 0)] == table[seg, j][:, None])
+            same = inside & (raw[np.where(inside, i, 0)] == self.table[seg, j][:, None])
             new = cost + np.where(same, 0, step)
             new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + step)
             ramp = column * step

@@ -35,7 +35,7 @@ def least_edits(segment, text):
 def segments(item):
     t = squeezed(item).encode()
     s = decontaminate.SEGMENT
-    cuts = list(range(0, max(1, len(t) - s + 1), s))
+    cuts = list(range(0, max(1, len(t) - s + 1), decontaminate.STRIDE))
     if len(t) > s and cuts[-1] + s < len(t):
         cuts.append(len(t) - s)
     return [t[c:c + s].decode(errors="replace") for c in cuts]
@@ -51,8 +51,9 @@ def brute(text, items):
             continue
         for s in segments(t):
             k = min(int(decontaminate.SHARE * len(s.encode())), (len(s.encode()) - decontaminate.Q - 2) // decontaminate.Q)
-            if least_edits(s, squeezed(text)) <= k:
+            if s in squeezed(text) or least_edits(s, squeezed(text)) <= k:
                 out.add(i)
+                break
     return out
 
 
@@ -94,6 +95,56 @@ def test_edited_passages(spark):
     assert decontaminate.drop_leaks(df, bench.limit(0)).count() == len(docs)
 
 
+def found(texts, items):
+    data = [t.encode() for t in texts]
+    off = np.cumsum([0] + [len(d) for d in data])
+    return decontaminate.Index(items).leaks(np.frombuffer(b"".join(data), np.uint8), off)
+
+
+@pytest.mark.parametrize("edits", [0, 6])
+def test_quotes_at_every_offset(edits):
+    """Every passage of the stated shortest length is found wherever it begins,
+    also with edits; the brute force knows no segments."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghinorst") for _ in range(rng.randrange(1, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    item = squeezed(prose(60))[:233].strip()
+    least = decontaminate.SEGMENT + decontaminate.STRIDE - 1
+    docs = []
+    for at in range(len(item) - least + 1):
+        quote = list(item[at:at + least])
+        for k in rng.sample(range(len(quote)), edits):
+            quote[k] = rng.choice("xyz")
+        docs.append(f"{prose(20)} {''.join(quote)} {prose(20)}")
+    got = found(docs, [(1, item)])
+    assert all(got) and len(got) > 100
+    # no passage as long as a segment is shared within the budget: nothing is found
+    clean = [f"{prose(20)} {item[at:at + 60]} {prose(20)}" for at in range(0, len(item) - 60, 7)]
+    budget = int(decontaminate.SHARE * decontaminate.SEGMENT)
+    windows = [item[a:a + decontaminate.SEGMENT] for a in range(len(item) - decontaminate.SEGMENT + 1)]
+    for text, leaks in zip(clean, found(clean, [(1, item)])):
+        assert not leaks or min(least_edits(w, text) for w in windows) <= budget
+
+
+def test_shared_phrase_in_many_items(monkeypatch):
+    """A phrase of 200 items that a long text repeats: hits are built in
+    stretches, and a stretch of any size gives the same result."""
+    rng = random.Random(6)
+    prose = lambda n: " ".join("".join(rng.choice("abcdeinorst") for _ in range(6)) for _ in range(n))
+    phrase = prose(10)
+    items = [(i, f"{phrase} {prose(12)}") for i in range(200)]
+    text = " ".join(f"{phrase} {prose(2)}" for _ in range(60)) + " " + items[7][1]
+    most = []
+    hits = decontaminate.Index.hits
+    monkeypatch.setattr(decontaminate.Index, "hits", lambda self, raw: (most.append(len(h[0])) or h for h in hits(self, raw)))
+    whole = found([text, items[9][1]], items)
+    assert {m[0] for m in whole[0]} >= {7} and {m[0] for m in whole[1]} >= {9}
+    assert len(most) > 1 and max(most) <= 2 * decontaminate.HITS
+    for size in (1 << 8, 1 << 30):
+        monkeypatch.setattr(decontaminate, "HITS", size)
+        assert found([text, items[9][1]], items) == whole
+
+
 def test_blocks_agree(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "benchmark"))
     one = {r.doc_id: {x.item_id for x in r.leaks} for r in decontaminate.find_leaks(docs, bench).collect()}
