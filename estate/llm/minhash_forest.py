@@ -51,7 +51,7 @@ LEAST_DEPTH = 4       # hashes that make a region
 DEEPEST = 16          # hashes that an order is sorted by
 BITMAP = 1024         # bits of a set's bitmap
 DEALT = 512           # classes of one shingle that a task joins with all others
-SLICE_BYTES = 2 * 1024 * 1024
+SLICE_BYTES = 256 * 1024   # of text that a task turns into shingles at once (some 60 bytes each)
 HASHES = TREES * DEPTH
 _SEEDS = mixed(np.arange(1, HASHES + 1, dtype=np.uint64))
 _STEPS = mixed(np.arange(1001, 1001 + HASHES, dtype=np.uint64)) | np.uint64(1)
@@ -253,9 +253,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comp = stored(extended(comp, second), "minhash-components")
 
     # 2. regions that span components
-    member = entries.join(comp, entries.id == comp.node, "left").select(
-        "id", "n", "tree", "prefix", F.coalesce("component", "id").alias("comp"))
-    found = _region_pairs(member, texts, width, fold_case, percent, least_depth)
+    member = (entries.select("id", "tree", F.substring("prefix", 1, 2 * least_depth).alias("region"))
+              .join(comp, F.col("id") == F.col("node"), "left").select("id", "tree", "region", F.coalesce("component", "id").alias("comp")))
+    found = _region_pairs(member, texts, width, fold_case, percent)
     rest = stored(found.join(pairs, ["a", "b"], "left_anti"), "minhash-candidates")
     third = stored(_linked(rest, texts, width, fold_case, percent), "minhash-links")
     release(spark)
@@ -279,12 +279,10 @@ def _versions(signed: DataFrame, rep: DataFrame) -> DataFrame:
     return rows.join(shared, "id").filter("rep <> b").select(F.col("rep").alias("a"), "b")
 
 
-def _region_pairs(member: DataFrame, texts: DataFrame, width: int, fold_case: bool, percent: int,
-                  least_depth: int) -> DataFrame:
+def _region_pairs(member: DataFrame, texts: DataFrame, width: int, fold_case: bool, percent: int) -> DataFrame:
     """Candidate pairs ``(a, b)`` of different components that share a region."""
-    rows = member.withColumn("region", F.substring("prefix", 1, 2 * least_depth))
-    spans = rows.groupBy("tree", "region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-    left = stored(rows.join(spans, ["tree", "region"], "left_semi").select("id", "comp").distinct(), "minhash-regions")
+    spans = member.groupBy("tree", "region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
+    left = stored(member.join(spans, ["tree", "region"], "left_semi").select("id", "comp").distinct(), "minhash-regions")
     return _prefix_pairs(left, texts, width, fold_case, percent)
 
 
@@ -328,13 +326,17 @@ def _prefix_pairs(left: DataFrame, texts: DataFrame, width: int, fold_case: bool
     first common shingle on, both must have ``o`` left, and the sets, so also
     their bitmaps, may differ by ``n + m - 2 o``."""
     from pyspark.sql import Window
-    sets = stored(texts.join(left, "id", "left_semi").select("id", "text")
+    sets = (texts.join(left, "id", "left_semi").select("id", "text")
                   .mapInArrow(_sets(width, fold_case), f"id long, n long, set array<long>, {', '.join(f'{w} long' for w in WORDS)}")
-                  .withColumn("row", F.xxhash64("set")).dropDuplicates(["id", "row"]), "minhash-sets")   # an id may have several texts
+            .withColumn("hash", F.xxhash64("set")).dropDuplicates(["id", "hash"]))
+    # an id may have several texts: its rows are numbered
+    sets = stored(sets.withColumn("row", F.row_number().over(Window.partitionBy("id").orderBy("hash"))).drop("hash"), "minhash-sets")
     each = sets.select("id", "row", "n", F.explode("set").alias("g"))
-    often = sets.select(F.explode("set").alias("g")).groupBy("g").agg(F.count("*").alias("often"))
-    order = Window.partitionBy("id", "row").orderBy("often", "g")
-    first = each.join(often, "g").withColumn("at", F.row_number().over(order) - 1).drop("often")
+    # shingles of one set only come first in its order and meet nothing: they are counted, not sorted
+    often = (sets.select(F.explode("set").alias("g")).groupBy("g").agg(F.count("*").cast("int").alias("often")).filter("often > 1"))
+    mine = Window.partitionBy("id", "row")
+    first = (each.join(often, "g").withColumn("at", F.col("n") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("often", "g")) - 1)
+             .drop("often"))
     # a shingle that only one component has in front joins nothing
     first = stored(first.filter(f"at <= n - ({percent} * n + 99) div 100").join(left, "id"), "minhash-prefixes")
     per = first.groupBy("g", "comp").agg(F.count("*").alias("size"))
