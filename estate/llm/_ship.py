@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -14,6 +16,7 @@ from estate.session import shared_dir
 
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _shipped: set[str] = set()
+_libc = ctypes.CDLL(None) if sys.platform == "linux" else None
 
 
 def ship(spark: SparkSession) -> None:
@@ -83,6 +86,36 @@ def string_parts(col: pa.Array) -> tuple[memoryview, "object"]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
+_tables: dict[str, dict] = {}
+
+
+def tables(owner: str) -> dict:
+    """What the tasks of one operator keep in their Python worker.  Workers are
+    reused by later stages, so an operator's first task drops the tables of
+    the others: an executor holds those of one operator at a time."""
+    for other in [o for o in _tables if o != owner]:
+        del _tables[other]
+    return _tables.setdefault(owner, {})
+
+
+def tidy() -> None:
+    """Give the memory of finished batches back to the system: Arrow and the C
+    library keep it otherwise, as long as the worker lives."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None and hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
+def tidied(run, owner: str):
+    """The ``mapInArrow`` function ``run`` of an operator, which leaves no
+    memory of its batches in an idle worker."""
+    def task(batches):
+        tables(owner)
+        yield from run(batches)
+        tidy()
+    return task
+
+
 def slices(batches, max_bytes: int, text: int = 1):
     """Record batches cut so that each slice holds at most ``max_bytes`` of the
     text column (or one document, if that alone is longer)."""

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from estate.llm._ship import ship
+from estate.llm._ship import ship, tables, tidy
 
 # fixed value: the pre-token pattern of the rank files
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -52,7 +52,6 @@ KEPT_BYTES = 48                  # longer pre-tokens are encoded but not remembe
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _TURN, _SPREAD, _HIGH = 0x9E3779B1, 0x85EBCA77, (1 << 30) - 1
 _hash = xxhash.xxh32_intdigest
-_open: dict = {}
 
 
 class PerfectHash:
@@ -335,9 +334,10 @@ def prepare(path: str) -> tuple:
 
 
 def vocabulary(path: str, prepared: tuple) -> Vocabulary:
-    if path not in _open:
-        _open[path] = Vocabulary(path, prepared)
-    return _open[path]
+    opened = tables("byte_bpe")
+    if path not in opened:
+        opened[path] = Vocabulary(path, prepared)
+    return opened[path]
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
@@ -378,6 +378,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decod
             raw = data.tobytes()
             out += [None if null else raw[x:y] for null, x, y in zip(pc.is_null(part).to_pylist(), ends[:-1], ends[1:])]
             i = j
+        tidy()
         return pa.array(out, pa.binary())
     return df.withColumn(out_col, decoded(F.col(f"`{ids_col}`").cast("array<int>")))
 

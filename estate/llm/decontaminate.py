@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estate.llm._ship import ship, slices, string_parts
+from estate.llm._ship import ship, slices, string_parts, tables, tidy
 
 Q = 10
 SEGMENT = 96
@@ -56,7 +56,6 @@ STRETCH = 1 << 10
 SLICE_BYTES = 2 * 1024 * 1024
 FILTER_BITS = 22
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_built: dict = {}
 
 
 def _alphabet() -> np.ndarray:
@@ -235,10 +234,11 @@ class Index:
 
 def _index(items: list) -> Index:
     key = hashlib.sha256(repr(items).encode()).digest()
-    if key not in _built:
-        _built.clear()
-        _built[key] = Index(items)
-    return _built[key]
+    built = tables("decontamination")
+    if key not in built:
+        built.clear()
+        built[key] = Index(items)
+    return built[key]
 
 
 LEAKS = "array<struct<item_id:long,start:int,end:int,edits:int>>"
@@ -255,6 +255,7 @@ def _leaks_udf(items: list):
                 data = raw[off[d]:off[d + 1]].tobytes() if found else b""
                 out.append([{"item_id": i, "start": len(data[:s].decode(errors="ignore")),
                              "end": len(data[:e].decode(errors="ignore")), "edits": k} for i, s, e, k in found])
+        tidy()
         return pa.array(out, _LEAKS)
     return leaks
 

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estate.llm._ship import release, ship, slices, stored, string_parts
+from estate.llm._ship import release, ship, slices, stored, string_parts, tidied
 from estate.llm.components import components, extended
 from estate.llm.cover import Rolling, _BYTE, mixed, word_bounds
 
@@ -203,7 +203,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, width: int, fold_case: bool, per
     ta = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     tb = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     return (pairs.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b")
-            .mapInArrow(_confirm(width, fold_case, percent), "a long, b long"))
+            .mapInArrow(tidied(_confirm(width, fold_case, percent), "near_duplicates"), "a long, b long"))
 
 
 def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
@@ -221,7 +221,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ship(spark)
     base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    signed = stored(base.mapInArrow(_signed(width, fold_case), "id long, n long, k1 long, k2 long, sig binary"), "minhash-sets")
+    signed = stored(base.mapInArrow(tidied(_signed(width, fold_case), "near_duplicates"), "id long, n long, k1 long, k2 long, sig binary"), "minhash-sets")
     rep = stored(signed.filter("n > 0 AND id IS NOT NULL").groupBy("k1", "k2", "n").agg(F.min("id").alias("rep")), "minhash-classes")
     heads = rep.select(F.col("rep").alias("id"), "k1", "k2")
     # one row per class: its representative's signature (several where an id repeats)
@@ -234,7 +234,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cut = stored(entries.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                  .select(F.spark_partition_id().alias("part"), "tree", "prefix", "id", "n")
-                 .mapInArrow(_neighbours(least_depth), CUT), "minhash-neighbours")
+                 .mapInArrow(tidied(_neighbours(least_depth), "near_duplicates"), CUT), "minhash-neighbours")
     beside = _adjacent(cut, least_depth)
     # only classes that share a region with another one can ever be compared
     some = beside.select("id").unionByName(beside.select(F.col("other").alias("id"))).distinct()
@@ -327,7 +327,7 @@ def _prefix_pairs(left: DataFrame, texts: DataFrame, width: int, fold_case: bool
     their bitmaps, may differ by ``n + m - 2 o``."""
     from pyspark.sql import Window
     sets = (texts.join(left, "id", "left_semi").select("id", "text")
-                  .mapInArrow(_sets(width, fold_case), f"id long, n long, set array<long>, {', '.join(f'{w} long' for w in WORDS)}")
+                  .mapInArrow(tidied(_sets(width, fold_case), "near_duplicates"), f"id long, n long, set array<long>, {', '.join(f'{w} long' for w in WORDS)}")
             .withColumn("hash", F.xxhash64("set")).dropDuplicates(["id", "hash"]))
     # an id may have several texts: its rows are numbered
     sets = stored(sets.withColumn("row", F.row_number().over(Window.partitionBy("id").orderBy("hash"))).drop("hash"), "minhash-sets")

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from estate.llm._ship import ship
+from estate.llm._ship import ship, tables, tidy
 
 # fixed values: the kinds in their order, their patterns and least lengths
 KINDS = ("assign", "access", "hex")
@@ -285,9 +285,11 @@ def _code_points(data: bytes, found: dict) -> list[tuple[int, int, int, bool]]:
 def _spans_udf():
     @F.arrow_udf(SPANS)
     def spans(texts: pa.Array) -> pa.Array:
+        tables("secrets")
         rows = []
         for data in texts.cast(pa.binary()).to_pylist():
             rows.append([{"kind": KINDS[k], "start": s, "end": e, "base": b} for s, k, e, b in find(data or b"")])
+        tidy()
         return pa.array(rows, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()),
                                                   ("end", pa.int32()), ("base", pa.bool_())])))
     return spans
@@ -312,6 +314,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET
 
     @F.arrow_udf(T.StringType())
     def clean(texts: pa.Array) -> pa.Array:
+        tables("secrets")
         rows = []
         for text in texts.to_pylist():
             spans = find(text.encode()) if text else []
@@ -323,5 +326,6 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET
                     pos = max(pos, e)
                 text = "".join([*out, text[pos:]])
             rows.append(text)
+        tidy()
         return pa.array(rows, pa.string())
     return docs.withColumn(text_col, clean(F.col(f"`{text_col}`")))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estate.llm._ship import ship, slices, stored, string_parts
+from estate.llm._ship import ship, slices, stored, string_parts, tables, tidied, tidy
 from estate.llm.cover import Rolling, _BYTE
 
 BITS = 16
@@ -45,7 +45,7 @@ CONFIDENT = 0.9
 HUMAN_RIGHT = 0.999              # share of human labels taken to be right
 TELLING = 3.0                    # standard errors
 DECAY = {"low": 1e-4, "toxic": 3e-5}
-SLICE_BYTES = 2 * 1024 * 1024
+SLICE_BYTES = 1024 * 1024
 TASKS = ("low", "toxic")
 
 # common insults; two overlapping lists make two labellers
@@ -166,6 +166,7 @@ def _feature_rows(batches):
 def _score_udf(model: np.ndarray, bias: np.ndarray):
     @F.arrow_udf("struct<p_low:double,p_toxic:double>")
     def score(texts: pa.Array) -> pa.Array:
+        tables("quality")
         out = []
         for b in slices([pa.RecordBatch.from_arrays([texts, texts], names=["a", "b"])], SLICE_BYTES):
             f, at = Described(*string_parts(b.column(1))).features()
@@ -173,6 +174,7 @@ def _score_udf(model: np.ndarray, bias: np.ndarray):
             p[np.diff(at) == 0] = 0.0                        # no features: nothing against it
             out.append(p)
         p = np.concatenate(out) if out else np.zeros((0, 2))
+        tidy()
         return pa.StructArray.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], names=["p_low", "p_toxic"])
     return score
 
@@ -311,13 +313,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ship(spark)
     base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    votes = stored(base.mapInArrow(_vote_rows, "id long, low string, toxic string"), "quality-votes")
+    votes = stored(base.mapInArrow(tidied(_vote_rows, "quality"), "id long, low string, toxic string"), "quality-votes")
     rows, confusions = _posteriors(votes, labels)
     rows = stored(rows.select("id", *TASKS, "p_low", "p_toxic").filter("id IS NOT NULL"), "quality-posteriors")
     sample = _sample(rows)
     # the sample is bounded, so it is the side to send to every task
     chosen = base.join(F.broadcast(sample), "id").select("id", "text", "p_low", "p_toxic", "weight", "said_low", "said_toxic")
-    got = chosen.mapInArrow(_feature_rows, "p_low double, p_toxic double, weight double, said_low boolean, said_toxic boolean, features array<int>").toArrow()
+    got = chosen.mapInArrow(tidied(_feature_rows, "quality"), "p_low double, p_toxic double, weight double, said_low boolean, said_toxic boolean, features array<int>").toArrow()
     feats = got["features"].combine_chunks()
     f = feats.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     at = np.concatenate([[0], np.cumsum(feats.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
