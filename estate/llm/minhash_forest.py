@@ -51,6 +51,9 @@ LEAST_DEPTH = 4       # hashes that make a region
 DEEPEST = 16          # hashes that an order is sorted by
 BITMAP = 1024         # bits of a set's bitmap
 DEALT = 512           # classes of one shingle that a task joins with all others
+MARKS = 32            # bits that a class has in the marks that choose texts
+CHUNK = 8 * 4096      # bits of one chunk of marks (what bitmap_construct_agg holds)
+CHUNKS = 4096         # chunks at most (16 MB)
 SLICE_BYTES = 256 * 1024   # of text that a task turns into shingles at once (some 60 bytes each)
 HASHES = TREES * DEPTH
 _SEEDS = mixed(np.arange(1, HASHES + 1, dtype=np.uint64))
@@ -175,6 +178,22 @@ def _adjacent(cut: DataFrame, least_depth: int) -> DataFrame:
     return (cut.filter("kind < 0").select("id", "n", "other", "other_n", "depth").unionByName(across).filter("id <> other"))
 
 
+def _marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of every id in ``ids``, and a few others: each id sets one bit,
+    and the chunks of bits are broadcast.  An exact join follows, which then
+    shuffles the texts of few rows instead of all.  Beyond ``CHUNKS`` chunks the
+    bits get crowded and more rows pass, but none is lost."""
+    chunks = min(CHUNKS, max(1, -(-MARKS * ids.count() // CHUNK)))
+    bit = F.pmod(F.xxhash64("id"), F.lit(chunks * CHUNK))
+    at = F.pmod(bit, F.lit(CHUNK))
+    chunk = F.floor(bit / CHUNK).alias("chunk")
+    marks = ids.select(chunk, at.alias("at")).repartition("chunk").groupBy("chunk").agg(F.bitmap_construct_agg("at").alias("marks"))
+    names = rows.columns
+    byte = F.conv(F.hex(F.substring("marks", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return (rows.select("*", chunk).join(F.broadcast(marks), "chunk")
+            .filter(F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1).select(names))
+
+
 def _sizes_fit(a: str, b: str, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
@@ -237,8 +256,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  .mapInArrow(tidied(_neighbours(least_depth), "near_duplicates"), CUT), "minhash-neighbours")
     beside = _adjacent(cut, least_depth)
     # only classes that share a region with another one can ever be compared
-    some = beside.select("id").unionByName(beside.select(F.col("other").alias("id"))).distinct()
-    texts = stored(base.join(some, "id", "left_semi"), "minhash-texts")
+    some = stored(beside.select("id").unionByName(beside.select(F.col("other").alias("id"))).distinct(), "minhash-some")
+    # (an inner join: Spark would move a semi join below the marks)
+    texts = stored(_marked(base, some).join(some, "id"), "minhash-texts")
     near = beside.filter(_sizes_fit("n", "other_n", percent))
     both = near.select("id", "other", "depth").unionByName(near.select(F.col("other").alias("id"), F.col("id").alias("other"), "depth"))
     best = stored(both.groupBy("id").agg(F.max(F.struct("depth", (-F.col("other")).alias("neg"))).alias("m"))

@@ -156,3 +156,54 @@ def test_pairs_in_a_crowd(spark):
         p, q = sorted((up[a], up[b]))
         up = {i: p if r == q else r for i, r in up.items()}
     assert got == up
+
+
+def shuffle_bytes(spark):
+    """Bytes of all shuffle files of the local executor."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    total = 0
+    while files.hasNext():
+        f = files.next()
+        total += f.length() if f.getName().startswith("shuffle_") else 0
+    return total
+
+
+def test_texts_without_neighbours_are_not_shuffled(spark, monkeypatch):
+    rng = random.Random(11)
+    words = [" ".join(f"{rng.getrandbits(48):012x}" for _ in range(1500)) for _ in range(400)]
+    docs = list(enumerate(words)) + [(1000 + k, words[k] + f" more{k}") for k in range(5)] + [(None, words[9]), (2000, None)]
+    wrote, put = [], minhash_forest.stored
+
+    def stored(df, label):
+        before = shuffle_bytes(spark)
+        out = put(df, label)
+        if label == "minhash-texts":
+            wrote.append((shuffle_bytes(spark) - before, out.count()))
+        return out
+    monkeypatch.setattr(minhash_forest, "stored", stored)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")        # as with more classes than Spark broadcasts
+    try:
+        rows = minhash_forest.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), width=3, percent=85).collect()
+    finally:
+        spark.conf.set(key, old)
+    comp = {r.doc_id: r.component_id for r in rows}
+    assert len(rows) == len(docs) and all(comp[1000 + k] == k for k in range(5)) and comp[200] == 200 and comp[None] == 9
+    (moved, chosen), = wrote
+    assert chosen == 10 and moved < sum(map(len, words)) / 10
+
+
+@pytest.mark.parametrize("chunks", [1, 4096])
+def test_marks_lose_no_id(spark, monkeypatch, chunks):
+    monkeypatch.setattr(minhash_forest, "CHUNKS", chunks)
+    rows = spark.range(40_000).selectExpr("id", "CAST(id AS STRING) AS text").unionByName(
+        spark.createDataFrame([(None, "x"), (3, "again"), (-7, "y")], "id long, text string"))
+    ids = spark.range(0, 40_000, 4).selectExpr("id").unionByName(spark.createDataFrame([(-7,)], "id long"))
+    got = minhash_forest._marked(rows, ids)
+    assert got.columns == ["id", "text"]
+    want = rows.join(ids, "id", "left_semi")
+    assert want.exceptAll(got).isEmpty() and got.exceptAll(rows).isEmpty()
+    if chunks > 1:
+        assert got.count() < want.count() + 2_000
+    assert minhash_forest._marked(rows, ids.limit(0)).isEmpty()
