@@ -89,6 +89,24 @@ def test_words_brute_force(spark, seed):
     assert any(w[2] for w in want)
 
 
+def test_window_counts_bytes_not_words(spark):
+    rng = random.Random(1)
+
+    def passage(size, letters):
+        text = ""
+        while len(text.encode()) < size - 12:
+            text += "".join(rng.choice(letters) for _ in range(rng.randrange(2, 5))) + " "
+        return text + "z" * (size - len(text.encode()))
+
+    shared = [passage(399, "abcdefgh"), passage(400, "abcdefgh"), passage(400, "abcdéfgh")]
+    assert all(len(p.split()) > 50 for p in shared) and len(shared[2]) < 400
+    rows = [(10 * i + k, f"{k}{p}{5 + k}") for i, p in enumerate(shared) for k in range(2)]
+    got = {r.doc_id: (bytes(r.kept).decode(), [tuple(s) for s in r.spans])
+           for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, t in rows:
+        assert got[i] == ((t, []) if i < 10 else (t[0] + t[-1], [(1, 401)]))
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert suffix_dedup.remove_repeats(df).collect() == [] and window_dedup.remove_earlier(df).collect() == []
